@@ -31,7 +31,7 @@ def clean_double(c: str | Column, default: float | None = None) -> Column:
 
 def parse_flight_date(c: str | Column) -> Column:
     """``M/d/yyyy[ time]`` string → DATE; blank or malformed → NULL."""
-    return F.try_to_date(F.regexp_extract(col_(c), FL_DATE_PREFIX, 1), F.lit(FL_DATE_FORMAT))
+    return F.try_to_date(F.regexp_extract(col_(c), FL_DATE_PREFIX, 1), FL_DATE_FORMAT)
 
 
 def hhmm_to_minutes(c: str | Column) -> Column:

@@ -69,4 +69,6 @@ def safe_corr(x: str | Column, y: str | Column) -> Column:
 
 
 def path_text(path: str | Column, sep: str = " -> ") -> Column:
-    return F.concat_ws(sep, col_(path))
+    """``A -> B -> C`` text of a path array; NULL stays NULL (no path)."""
+    p = col_(path)
+    return F.when(p.isNotNull(), F.concat_ws(sep, p))

@@ -6,7 +6,8 @@ from legworks.plans.common import DIGITS
 from legworks.plans.oracle_legs import LEGS_CTE
 
 
-def sql(*ctes: str, final: str, round_cols: tuple[str, ...] | list[str] = ()) -> str:
+def sql(*ctes: str, final: str, round_cols: tuple[str, ...] | list[str] = (),
+        recursive: bool = False) -> str:
     """``WITH legs…, <ctes> SELECT * REPLACE (round(c, 6) AS c…) FROM (<final>)``."""
     blocks = [LEGS_CTE.strip()] + [c.strip().rstrip(",") for c in ctes if c.strip()]
     if round_cols:
@@ -14,7 +15,8 @@ def sql(*ctes: str, final: str, round_cols: tuple[str, ...] | list[str] = ()) ->
         body = f"SELECT * REPLACE ({rep}) FROM ({final}) AS q"
     else:
         body = final
-    return "WITH " + ",\n".join(blocks) + "\n" + body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(blocks) + "\n" + body
 
 
 def in_list(values) -> str:

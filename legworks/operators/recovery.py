@@ -93,7 +93,7 @@ def regime_label(dep_mean: Column, change_mean: Column, fraction: float = 0.10)
             .otherwise(F.lit(NOT_ACHIEVED)))
 
 
-def _cluster_grain(clustered: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+def cluster_grain(clustered: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """Per ``(keys…, cluster)``: row count and the sums the label needs."""
     return clustered.groupBy(*keys, "cluster").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -103,7 +103,7 @@ def _cluster_grain(clustered: DataFrame, keys: Sequence[str], extra: Sequence[Co
         *extra)
 
 
-def _labels_from_grain(grain: DataFrame, fraction: float) -> DataFrame:
+def regime_labels(grain: DataFrame, fraction: float) -> DataFrame:
     """k-row ``(cluster, recovery_status)`` table from a cluster-grain aggregate."""
     per = grain.groupBy("cluster").agg(
         (F.sum("_dep") / F.sum("_n")).alias("_mdep"),
@@ -139,8 +139,8 @@ def label_regimes(clustered: DataFrame, summary: DataFrame | None = None,
 
 def recovery_regimes(clustered: DataFrame, fraction: float = 0.10) -> DataFrame:
     """Flights per ``(YEAR, recovery_status)``: aggregate at cluster grain, then label."""
-    grain = _cluster_grain(clustered, ["YEAR"])
-    labels = _labels_from_grain(grain, fraction)
+    grain = cluster_grain(clustered, ["YEAR"])
+    labels = regime_labels(grain, fraction)
     return (grain.join(F.broadcast(labels), "cluster")
             .groupBy("YEAR", "recovery_status").agg(F.sum("_n").alias("count")))
 
@@ -156,8 +156,8 @@ def cause_mix_absolute(clustered: DataFrame, min_arr_delay: float = 15.0,
     late = F.col("ARR_DELAY") >= min_arr_delay
     extra = [F.count_if(late).alias("_late")] + [
         F.sum(F.when(late, F.coalesce(F.col(c), F.lit(0.0)))).alias(f"_s_{c}") for c in components]
-    grain = _cluster_grain(clustered, [], extra)
-    labels = _labels_from_grain(grain, fraction)
+    grain = cluster_grain(clustered, [], extra)
+    labels = regime_labels(grain, fraction)
     return (grain.join(F.broadcast(labels), "cluster")
             .groupBy("recovery_status")
             .agg(F.sum("_late").alias("_late"),

@@ -41,17 +41,20 @@ def standardize(df: DataFrame, features: Sequence[str], with_mean: bool = True,
     for f in features:
         aggs += [F.avg(f).alias(f"m_{f}"), F.stddev_samp(f).alias(f"s_{f}")]
     names = [x for f in features for x in (f"m_{f}", f"s_{f}")]
+    # bind the subquery to one column: every later reference reads that column,
+    # so the statistics are computed once (CollapseProject keeps it un-inlined)
     stats = df.agg(*aggs).select(F.struct(*names).alias("st")).scalar()
+    bound = df.withColumn("_stats", stats)
     out = []
     for f in features:
         x = F.col(f)
         if with_mean:
-            x = x - stats.getField(f"m_{f}")
+            x = x - F.col(f"_stats.m_{f}")
         if with_std:
-            s = stats.getField(f"s_{f}")
+            s = F.col(f"_stats.s_{f}")
             x = F.when(s == 0, F.lit(0.0)).otherwise(x / s)
         out.append(x.alias(f"{f}{suffix}"))
-    return df.select("*", *out)
+    return bound.select(*[F.col(f"`{c}`") for c in df.columns], *out)
 
 
 # ------------------------------------------------------------------ k-means

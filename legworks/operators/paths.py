@@ -178,6 +178,7 @@ def route_options(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, max_rou
     count, minutes or score; NULL hops/value/path when unreachable.  All pairs
     share one search per criterion, seeded with their distinct origins.
     """
+    edges = materialize(edges.select("src", "dst", time_col, score_col))  # shared by 3 searches
     seeds = pairs.select(F.col("origin").alias("source")).distinct()
     hops = multi_source_hops(edges, seeds, max_hops, with_path=True).select(
         *PAIR_KEYS, F.lit("fewest_hops").alias("criterion"), "hops",
@@ -208,13 +209,20 @@ def path_legs(routes: DataFrame, paths: DataFrame, key_cols: Sequence[str] = ())
         F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(0))))).alias("pos", "leg_pair"))
     legs = legs.select(*key_cols, (F.col("pos") + 1).alias("leg"),
                        F.col("leg_pair.0").alias("src"), F.col("leg_pair.1").alias("dst"))
-    attrs = routes.select("src", "dst", F.concat_ws(",", "carriers").alias("carriers"),
-                          "flight_count", "days_with_service", "availability_pct",
-                          "avg_flight_time", "p90_delay", "std_delay")
+    wanted = ["carriers", "flight_count", "days_with_service", "availability_pct",
+              "avg_flight_time", "p90_delay", "std_delay"]
+    cols = []
+    for c in wanted:
+        if c not in routes.columns:
+            continue
+        is_array = isinstance(routes.schema[c].dataType, T.ArrayType)
+        cols.append(F.concat_ws(",", c).alias(c) if is_array else F.col(c))
+    attrs = routes.select("src", "dst", *cols)
     joined = legs.join(attrs, ["src", "dst"], "inner")
     w = Window.partitionBy(*key_cols) if key_cols else Window.partitionBy()
+    time = F.col("avg_flight_time") if "avg_flight_time" in routes.columns else F.lit(None)
     return joined.withColumn("total_flight_time",
-                             F.sum(F.coalesce(F.col("avg_flight_time"), F.lit(0.0))).over(w))
+                             F.sum(F.coalesce(time.cast("double"), F.lit(0.0))).over(w))
 
 
 # --------------------------------------------------------- network measures

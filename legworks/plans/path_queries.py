@@ -17,6 +17,7 @@ from legworks.operators import routes as N
 from legworks.plans.common import DESTINATION, HUBS, MIN_FLIGHTS, ORIGIN, rounded
 from legworks.plans.route_queries import FLIGHTS, ROUTES, routes
 from legworks.plans.sqltext import in_list, sql
+from legworks.session import materialize
 
 # Origin/destination pairs answered together: a 3-hop pair, two more pairs, a
 # self pair (0 hops) and a pair whose end is not in the graph (no answer).
@@ -37,11 +38,13 @@ def _texted(df: DataFrame) -> DataFrame:
 
 
 def edges(spark, sf_dir):
-    return N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=("USA",))
+    """The search graph, written once to the checkpoint folder so that the
+    searches of one query do not recompute the route aggregate."""
+    return materialize(N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=("USA",)))
 
 
 def analysis_edges(spark, sf_dir):
-    return N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=())
+    return materialize(N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=()))
 
 
 def _pairs(spark):

@@ -102,3 +102,21 @@ def test_filter_funnel_counts(spark):
                                "CANCELLED double, DIVERTED double, DEP_DELAY double, ARR_DELAY double")
     r = L.filter_funnel(df).first()
     assert (r.raw_rows, r.completed_rows, r.delayed_rows) == (3, 2, 1)
+
+
+def test_streaming_landing_is_incremental(spark, tmp_path):
+    from legworks.streaming import land_stream
+
+    src, out, ckpt = tmp_path / "csv", str(tmp_path / "landed"), str(tmp_path / "ckpt")
+    month1 = spark.createDataFrame([(2003, 1, "1/5/2003", "ABC", 5.0), (2003, 1, "1/6/2003", "DEF", 7.0)],
+                                   "YEAR int, MONTH int, FL_DATE string, ORIGIN string, DEP_DELAY double")
+    L.write_report(L.to_source_layout(month1), str(src / "2003-01"), fmt="csv")
+    land_stream(spark, str(src / "*"), out, ckpt).awaitTermination()
+    assert spark.read.parquet(out).count() == 2
+    month2 = spark.createDataFrame([(2003, 2, "2/1/2003", "ABC", 1.0)],
+                                   "YEAR int, MONTH int, FL_DATE string, ORIGIN string, DEP_DELAY double")
+    L.write_report(L.to_source_layout(month2), str(src / "2003-02"), fmt="csv")
+    land_stream(spark, str(src / "*"), out, ckpt).awaitTermination()   # only the new file
+    landed = spark.read.parquet(out)
+    assert landed.count() == 3
+    assert sorted(r.MONTH for r in landed.select("MONTH").distinct().collect()) == [1, 2]

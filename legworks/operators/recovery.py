@@ -7,8 +7,8 @@ Scale design
 ------------
 * The regime label depends on per-cluster means over *all* delayed flights,
   so labelled summaries first aggregate the legs at ``(key…, cluster)`` grain
-  and attach the k-row label table to that small aggregate.  The fact table is
-  scanned once and never joined.
+  and derive the label with a per-cluster window over that small aggregate.
+  The fact table is scanned once and never joined.
 * Year-level distribution measures (top-decile share, Gini, median) work on a
   ``(YEAR, ARR_DELAY, n)`` histogram: delays are whole minutes bounded by the
   filter, so each year window sorts a few hundred rows instead of a year of
@@ -103,13 +103,17 @@ def cluster_grain(clustered: DataFrame, keys: Sequence[str], extra: Sequence[Col
         *extra)
 
 
-def regime_labels(grain: DataFrame, fraction: float) -> DataFrame:
-    """k-row ``(cluster, recovery_status)`` table from a cluster-grain aggregate."""
-    per = grain.groupBy("cluster").agg(
-        (F.sum("_dep") / F.sum("_n")).alias("_mdep"),
-        (F.sum("_chg") / F.sum("_n")).alias("_mchg"))
-    return per.select("cluster", regime_label(F.col("_mdep"), F.col("_mchg"), fraction)
-                      .alias("recovery_status"))
+def label_grain(grain: DataFrame, fraction: float) -> DataFrame:
+    """Attach ``recovery_status`` to every row of a cluster-grain aggregate.
+
+    The cluster means come from a window over the aggregate itself (one
+    partition per cluster, a handful of rows each), so the legs are scanned
+    once and nothing is joined.
+    """
+    per_cluster = Window.partitionBy("cluster")
+    n = F.sum("_n").over(per_cluster)
+    return grain.withColumn("recovery_status", regime_label(
+        F.sum("_dep").over(per_cluster) / n, F.sum("_chg").over(per_cluster) / n, fraction))
 
 
 def cluster_summary(clustered: DataFrame, fraction: float = 0.10) -> DataFrame:
@@ -139,9 +143,7 @@ def label_regimes(clustered: DataFrame, summary: DataFrame | None = None,
 
 def recovery_regimes(clustered: DataFrame, fraction: float = 0.10) -> DataFrame:
     """Flights per ``(YEAR, recovery_status)``: aggregate at cluster grain, then label."""
-    grain = cluster_grain(clustered, ["YEAR"])
-    labels = regime_labels(grain, fraction)
-    return (grain.join(F.broadcast(labels), "cluster")
+    return (label_grain(cluster_grain(clustered, ["YEAR"]), fraction)
             .groupBy("YEAR", "recovery_status").agg(F.sum("_n").alias("count")))
 
 
@@ -156,9 +158,7 @@ def cause_mix_absolute(clustered: DataFrame, min_arr_delay: float = 15.0,
     late = F.col("ARR_DELAY") >= min_arr_delay
     extra = [F.count_if(late).alias("_late")] + [
         F.sum(F.when(late, F.coalesce(F.col(c), F.lit(0.0)))).alias(f"_s_{c}") for c in components]
-    grain = cluster_grain(clustered, [], extra)
-    labels = regime_labels(grain, fraction)
-    return (grain.join(F.broadcast(labels), "cluster")
+    return (label_grain(cluster_grain(clustered, [], extra), fraction)
             .groupBy("recovery_status")
             .agg(F.sum("_late").alias("_late"),
                  *[F.try_divide(F.sum(f"_s_{c}"), F.sum("_late")).alias(c) for c in components])

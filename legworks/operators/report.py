@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from legworks.operators.recovery import cluster_grain, regime_labels, recovery_regimes
+from legworks.operators.recovery import cluster_grain, label_grain, recovery_regimes
 from legworks.schema import REGIME_ORDER
 
 
@@ -28,9 +28,9 @@ def regime_mix(clustered: DataFrame, key: str, top_n: int = 10,
     """For the ``top_n`` most frequent non-NULL ``key`` values (ties by key):
     percent of the key's flights in each regime, one column per regime (0 when
     absent)."""
-    grain = cluster_grain(clustered, [key])
-    labels = regime_labels(grain, fraction)  # labels come from every flight
-    per = (grain.where(F.col(key).isNotNull()).join(F.broadcast(labels), "cluster")
+    # labels come from every flight (NULL keys included), then NULL keys drop
+    labelled = label_grain(cluster_grain(clustered, [key]), fraction)
+    per = (labelled.where(F.col(key).isNotNull())
            .groupBy(key, "recovery_status").agg(F.sum("_n").alias("n")))
     totals = per.groupBy(key).agg(F.sum("n").alias("_total"))
     top = totals.orderBy(F.col("_total").desc(), F.col(key).asc()).limit(top_n).select(key)

@@ -125,34 +125,40 @@ def shortest_paths(edges: DataFrame, seeds: DataFrame, weight: str, cross: str |
     non-negative; a missing weight counts as ``missing``.
     """
     e = _edge_side(weighted_edges(edges, weight, cross, missing), max_broadcast_edges)
-    best_cols = [F.col("b.dist").alias("dist"), F.col("b.cross_dist").alias("cross_dist"),
-                 F.col("b.path").alias("path")]
-    state = materialize(seeds.select(
+    key = F.struct("dist", "cross_dist", "path")
+    seed = materialize(seeds.select(
         F.col("source"), F.col("source").alias("node"), F.lit(0.0).alias("dist"),
         F.lit(0.0).alias("cross_dist"), F.array(F.col("source")).alias("path")))
-    frontier = state
+    # Improvements only ever lower a pair's best value, so the current best is
+    # the minimum over the seed and every round's (checkpointed) improvements —
+    # no state table has to be rewritten each round.
+    pieces, frontier = [seed], seed
+
+    def best_of(frames: list[DataFrame]) -> DataFrame:
+        union = frames[0]
+        for f in frames[1:]:
+            union = union.unionByName(f)
+        return (union.groupBy(*PAIR_KEYS).agg(F.min(key).alias("b"))
+                .select(*PAIR_KEYS, "b.dist", "b.cross_dist", "b.path"))
+
     for _ in range(max_rounds):
         cand = frontier.join(e, frontier["node"] == e["src"]).select(
             frontier["source"], e["dst"].alias("node"),
             (frontier["dist"] + e["w"]).alias("dist"),
             (frontier["cross_dist"] + e["c"]).alias("cross_dist"),
             F.concat(frontier["path"], F.array(e["dst"])).alias("path"))
-        best = (cand.groupBy(*PAIR_KEYS)
-                .agg(F.min(F.struct("dist", "cross_dist", "path")).alias("b"))
-                .select(*PAIR_KEYS, *best_cols))
-        current = state.select(*PAIR_KEYS, F.struct("dist", "cross_dist", "path").alias("cur"))
+        best = best_of([cand])
+        current = best_of(pieces).select(*PAIR_KEYS, key.alias("cur"))
         improved = materialize(
             best.join(current, PAIR_KEYS, "left")
-            .where(F.col("cur").isNull()
-                   | (F.struct("dist", "cross_dist", "path") < F.col("cur")))
+            .where(F.col("cur").isNull() | (key < F.col("cur")))
             .drop("cur"))
         if improved.isEmpty():
             break
-        state = materialize(state.join(improved.select(*PAIR_KEYS), PAIR_KEYS, "left_anti")
-                            .unionByName(improved))
+        pieces.append(improved)
         frontier = improved
-    return state.select(*PAIR_KEYS, (F.size("path") - 1).alias("hops"),
-                        "dist", "cross_dist", "path")
+    return best_of(pieces).select(*PAIR_KEYS, (F.size("path") - 1).alias("hops"),
+                                  "dist", "cross_dist", "path")
 
 
 # ------------------------------------------------------------ single queries
@@ -278,6 +284,13 @@ def far_pairs(pair_hops: DataFrame, min_hops: int = 4, n: int = 20) -> DataFrame
             .select("source", "node", "hops"))
 
 
+def diameter_pairs(pair_hops: DataFrame, n: int = 10) -> DataFrame:
+    """A sample of ``n`` pairs at the network diameter (ordered by pair)."""
+    diameter = pair_hops.select(F.max("hops")).scalar()
+    return (pair_hops.where(F.col("hops") == diameter)
+            .orderBy("source", "node").limit(n).select("source", "node", "hops"))
+
+
 def route_divergence(fastest: DataFrame, reliable: DataFrame, min_gain: float = 0.1,
                      only_divergent: bool = True) -> DataFrame:
     """Compare the fastest and the most reliable path of every pair.

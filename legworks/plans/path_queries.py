@@ -92,6 +92,7 @@ QUERIES = {
     "network_diameter": lambda s, d: rounded(_diameter(s, d)),
     "hop_distribution": lambda s, d: rounded(G.hop_distribution(_pair_hops(s, d))),
     "far_pairs": lambda s, d: G.far_pairs(_pair_hops(s, d)),
+    "diameter_pairs": lambda s, d: G.diameter_pairs(_pair_hops(s, d)),
     "all_pairs_fastest": lambda s, d: rounded(_texted(
         _fastest(s, d).where(F.col("source") != F.col("node")))),
     "all_pairs_reliable": lambda s, d: rounded(_texted(
@@ -237,6 +238,9 @@ SELECT hops, count(*) AS count, 100 * count(*) / sum(count(*)) OVER () AS pct
 FROM pair_hops GROUP BY hops""", round_cols=("pct",)),
     "far_pairs": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
 SELECT source, node, hops FROM pair_hops WHERE hops >= 4 ORDER BY hops DESC, source, node LIMIT 20"""),
+    "diameter_pairs": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
+SELECT source, node, hops FROM pair_hops WHERE hops = (SELECT max(hops) FROM pair_hops)
+ORDER BY source, node LIMIT 10"""),
     "all_pairs_fastest": sql(*_BASE, _sp("fast", _NODES_SQL, "fedges"), recursive=True, final=f"""
 SELECT source, node, hops, dist, cross_dist, {_text('path')} AS path FROM fast
 WHERE source <> node""", round_cols=("dist", "cross_dist")),

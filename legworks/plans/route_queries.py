@@ -36,7 +36,7 @@ QUERIES = {
     "route_time_stats": lambda s, d: rounded(N.route_time_stats(analysis_routes(s, d))),
     "route_delay_stats": lambda s, d: rounded(N.route_delay_stats(analysis_routes(s, d))),
     "route_availability_stats": lambda s, d: rounded(N.route_availability_stats(analysis_routes(s, d))),
-    "network_summary": lambda s, d: N.network_summary(analysis_routes(s, d)),
+    "network_summary": lambda s, d: rounded(N.network_summary(analysis_routes(s, d))),
 }
 
 # ----------------------------------------------------------------- oracle SQL
@@ -144,6 +144,9 @@ SELECT avg(availability_pct) AS avg_avail, quantile_disc(availability_pct, 0.5)
        count(*) FILTER (WHERE availability_pct < 10) AS below_10
 FROM aroutes""", round_cols=("avg_avail", "median_avail")),
     "network_summary": sql(FLIGHTS, ROUTES, AROUTES, final="""
-SELECT (SELECT count(*) FROM (SELECT src FROM aroutes UNION SELECT dst FROM aroutes) n) AS num_airports,
-       count(*) AS num_routes, sum(flight_count) AS total_flights FROM aroutes"""),
+SELECT n.num_airports, count(*) AS num_routes, sum(flight_count) AS total_flights,
+       2 * count(*) / n.num_airports AS avg_degree
+FROM aroutes, (SELECT count(*) AS num_airports
+               FROM (SELECT src FROM aroutes UNION SELECT dst FROM aroutes) u) n
+GROUP BY n.num_airports""", round_cols=("avg_degree",)),
 }

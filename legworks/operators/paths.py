@@ -113,22 +113,34 @@ def multi_source_hops(edges: DataFrame, seeds: DataFrame, max_hops: int,
     return out.select(*cols)
 
 
-def shortest_paths(edges: DataFrame, seeds: DataFrame, weight: str, cross: str | None = None,
-                   max_rounds: int = 8, missing: float = MISSING_WEIGHT,
-                   max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
-    """Weighted shortest paths from every ``seeds.source``, using at most
-    ``max_rounds`` legs (Bellman–Ford rounds), carrying a second metric.
-
-    Returns ``(source, node, hops, dist, cross_dist, path)``: ``dist`` sums
-    ``weight`` along the best path, ``cross_dist`` sums ``cross`` along the
-    same path.  Best = smallest ``(dist, cross_dist, path)``.  Weights must be
+def shortest_paths_multi(edges: DataFrame, seeds: DataFrame,
+                         searches: dict[str, tuple[str, str | None]], max_rounds: int = 8,
+                         missing: float = MISSING_WEIGHT,
+                         max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
+    """Several weighted searches in one loop: ``searches`` maps a search name to
+    ``(weight column, carried column or None)``.
+
+    Each search is Bellman–Ford from every ``seeds.source`` using at most
+    ``max_rounds`` legs.  The edge table is stacked once per search and the
+    state is keyed by ``(search, source, node)``, so e.g. the fastest and the
+    most reliable searches share every round's jobs.  Returns ``(search,
+    source, node, hops, dist, cross_dist, path)``: ``dist`` sums the weight
+    along the best path, ``cross_dist`` sums the carried column along the same
+    path; best = smallest ``(dist, cross_dist, path)``.  Weights must be
     non-negative; a missing weight counts as ``missing``.
     """
-    e = _edge_side(weighted_edges(edges, weight, cross, missing), max_broadcast_edges)
+    stacked = None
+    for name, (weight, cross) in searches.items():
+        part = weighted_edges(edges, weight, cross, missing).withColumn("search", F.lit(name))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    e = _edge_side(stacked, max_broadcast_edges)
+    keys = ["search", *PAIR_KEYS]
     key = F.struct("dist", "cross_dist", "path")
+    names = F.array(*[F.lit(n) for n in searches])
     seed = materialize(seeds.select(
-        F.col("source"), F.col("source").alias("node"), F.lit(0.0).alias("dist"),
-        F.lit(0.0).alias("cross_dist"), F.array(F.col("source")).alias("path")))
+        F.explode(names).alias("search"), F.col("source"), F.col("source").alias("node"),
+        F.lit(0.0).alias("dist"), F.lit(0.0).alias("cross_dist"),
+        F.array(F.col("source")).alias("path")))
     # Improvements only ever lower a pair's best value, so the current best is
     # the minimum over the seed and every round's (checkpointed) improvements —
     # no state table has to be rewritten each round.
@@ -138,29 +150,51 @@ def shortest_paths(edges: DataFrame, seeds: DataFrame, weight: str, cross: str |
         union = frames[0]
         for f in frames[1:]:
             union = union.unionByName(f)
-        return (union.groupBy(*PAIR_KEYS).agg(F.min(key).alias("b"))
-                .select(*PAIR_KEYS, "b.dist", "b.cross_dist", "b.path"))
+        return (union.groupBy(*keys).agg(F.min(key).alias("b"))
+                .select(*keys, "b.dist", "b.cross_dist", "b.path"))
 
     for _ in range(max_rounds):
-        cand = frontier.join(e, frontier["node"] == e["src"]).select(
-            frontier["source"], e["dst"].alias("node"),
+        cand = frontier.join(e, (frontier["search"] == e["search"])
+                             & (frontier["node"] == e["src"])).select(
+            frontier["search"], frontier["source"], e["dst"].alias("node"),
             (frontier["dist"] + e["w"]).alias("dist"),
             (frontier["cross_dist"] + e["c"]).alias("cross_dist"),
             F.concat(frontier["path"], F.array(e["dst"])).alias("path"))
         best = best_of([cand])
-        current = best_of(pieces).select(*PAIR_KEYS, key.alias("cur"))
+        current = best_of(pieces).select(*keys, key.alias("cur"))
         improved = materialize(
-            best.join(current, PAIR_KEYS, "left")
+            best.join(current, keys, "left")
             .where(F.col("cur").isNull() | (key < F.col("cur")))
             .drop("cur"))
         if improved.isEmpty():
             break
         pieces.append(improved)
         frontier = improved
-    return best_of(pieces).select(*PAIR_KEYS, (F.size("path") - 1).alias("hops"),
+    return best_of(pieces).select(*keys, (F.size("path") - 1).alias("hops"),
                                   "dist", "cross_dist", "path")
 
 
+def shortest_paths(edges: DataFrame, seeds: DataFrame, weight: str, cross: str | None = None,
+                   max_rounds: int = 8, missing: float = MISSING_WEIGHT,
+                   max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
+    """Weighted shortest paths from every ``seeds.source`` (one search of
+    ``shortest_paths_multi``): ``(source, node, hops, dist, cross_dist, path)``."""
+    return shortest_paths_multi(edges, seeds, {"w": (weight, cross)}, max_rounds, missing,
+                                max_broadcast_edges).drop("search")
+
+
+def fastest_and_reliable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 8,
+                         time_col: str = "avg_flight_time",
+                         score_col: str = "reliability_score") -> tuple[DataFrame, DataFrame]:
+    """Both searches of the divergence analysis in one loop: fastest by time
+    carrying the score, most reliable by score carrying the time."""
+    both = shortest_paths_multi(edges, seeds, {"fastest": (time_col, score_col),
+                                               "reliable": (score_col, time_col)}, max_rounds)
+    both = materialize(both)
+    return (both.where(F.col("search") == "fastest").drop("search"),
+            both.where(F.col("search") == "reliable").drop("search"))
+
+
 # ------------------------------------------------------------ single queries
 
 def bfs_hops(edges: DataFrame, source: str, target: str | None = None,
@@ -189,12 +223,12 @@ def route_options(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, max_rou
     hops = multi_source_hops(edges, seeds, max_hops, with_path=True).select(
         *PAIR_KEYS, F.lit("fewest_hops").alias("criterion"), "hops",
         F.col("hops").cast("double").alias("value"), "path")
-    fast = shortest_paths(edges, seeds, time_col, max_rounds=max_rounds).select(
-        *PAIR_KEYS, F.lit("fastest").alias("criterion"), "hops", F.col("dist").alias("value"), "path")
-    rel = shortest_paths(edges, seeds, score_col, max_rounds=max_rounds).select(
-        *PAIR_KEYS, F.lit("most_reliable").alias("criterion"), "hops",
-        F.col("dist").alias("value"), "path")
-    found = hops.unionByName(fast).unionByName(rel)
+    weighted = shortest_paths_multi(edges, seeds, {"fastest": (time_col, None),
+                                                   "most_reliable": (score_col, None)},
+                                    max_rounds).select(
+        *PAIR_KEYS, F.col("search").alias("criterion"), "hops", F.col("dist").alias("value"),
+        "path")
+    found = hops.unionByName(weighted)
     wanted = pairs.select("origin", "destination").distinct().select(
         "origin", "destination",
         F.explode(F.array(*[F.lit(c) for c in ("fewest_hops", "fastest", "most_reliable")]))

@@ -71,8 +71,8 @@ def _reliable(spark, sf_dir, e=None):
 
 def _comparison(spark, sf_dir, only_divergent):
     e = edges(spark, sf_dir)
-    return G.route_divergence(_fastest(spark, sf_dir, e), _reliable(spark, sf_dir, e),
-                              only_divergent=only_divergent)
+    fast, rel = G.fastest_and_reliable(e, G.all_sources(e), ROUNDS)
+    return G.route_divergence(fast, rel, only_divergent=only_divergent)
 
 
 def _diameter(spark, sf_dir):

@@ -216,19 +216,25 @@ def route_options(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, max_rou
 
     ``(origin, destination, criterion, hops, value, path)``; ``value`` is the hop
     count, minutes or score; NULL hops/value/path when unreachable.  All pairs
-    share one search per criterion, seeded with their distinct origins.
+    and criteria share one search loop, seeded with the distinct origins.
     """
-    edges = materialize(edges.select("src", "dst", time_col, score_col))  # shared by 3 searches
+    # Fewest hops is the same search with unit weights: the (dist, cross, path)
+    # order then picks the lexicographically smallest fewest-hop path, and
+    # keeping hops <= max_hops after more rounds is exact for it.  So when
+    # max_hops <= max_rounds all three criteria share one loop.
+    edges = materialize(edges.select("src", "dst", time_col, score_col,
+                                     F.lit(1.0).alias("_unit")))
     seeds = pairs.select(F.col("origin").alias("source")).distinct()
-    hops = multi_source_hops(edges, seeds, max_hops, with_path=True).select(
-        *PAIR_KEYS, F.lit("fewest_hops").alias("criterion"), "hops",
-        F.col("hops").cast("double").alias("value"), "path")
-    weighted = shortest_paths_multi(edges, seeds, {"fastest": (time_col, None),
-                                                   "most_reliable": (score_col, None)},
-                                    max_rounds).select(
-        *PAIR_KEYS, F.col("search").alias("criterion"), "hops", F.col("dist").alias("value"),
-        "path")
-    found = hops.unionByName(weighted)
+    weighted = {"fastest": (time_col, None), "most_reliable": (score_col, None)}
+    if max_hops <= max_rounds:
+        found = shortest_paths_multi(edges, seeds, {"fewest_hops": ("_unit", None), **weighted},
+                                     max_rounds)
+    else:
+        found = shortest_paths_multi(edges, seeds, {"fewest_hops": ("_unit", None)}, max_hops) \
+            .unionByName(shortest_paths_multi(edges, seeds, weighted, max_rounds))
+    found = (found.where((F.col("search") != "fewest_hops") | (F.col("hops") <= max_hops))
+             .select(*PAIR_KEYS, F.col("search").alias("criterion"), "hops",
+                     F.col("dist").alias("value"), "path"))
     wanted = pairs.select("origin", "destination").distinct().select(
         "origin", "destination",
         F.explode(F.array(*[F.lit(c) for c in ("fewest_hops", "fastest", "most_reliable")]))

@@ -123,3 +123,21 @@ def test_airport_degrees_stacked(spark):
     d = {r.airport: r for r in N.airport_degrees(e).collect()}
     assert d["Q"].in_degree == 0 and d["Q"].out_degree == 1
     assert d["T"].in_degree == 3 and d["T"].out_degree == 1
+
+
+def test_route_options_caps_and_agreement_with_bfs(spark):
+    e = _graph(spark)
+    pairs = spark.createDataFrame([("S", "T"), ("S", "C5"), ("S", "C7"), ("S", "S"), ("S", "Q")],
+                                  "origin string, destination string")
+    out = {(r.destination, r.criterion): r for r in G.route_options(e, pairs, 6, 8).collect()}
+    assert len(out) == 15
+    bfs = {r.node: r for r in G.bfs_hops(e, "S", max_hops=6).collect()}
+    for dst in ("T", "C5", "S"):
+        assert out[(dst, "fewest_hops")].hops == bfs[dst].hops
+        assert out[(dst, "fewest_hops")].path == bfs[dst].path
+    assert out[("C7", "fewest_hops")].path is None          # 8 legs > 6 hops
+    assert out[("C7", "fastest")].hops == 8                   # within 8 rounds
+    assert out[("T", "fastest")].path == ["S", "A", "T"]
+    assert out[("T", "most_reliable")].path == ["S", "B", "T"]
+    assert out[("S", "fastest")].hops == 0                    # self pair: 0 legs
+    assert out[("Q", "fastest")].path is None                 # unreachable

@@ -78,9 +78,10 @@ aroutes AS (SELECT * FROM routes WHERE flight_count >= 10)"""
 
 DEGREES = """
 degrees AS (
-  SELECT airport, sum(o) AS out_degree, sum(i) AS in_degree,
-         sum(dep) AS total_departures, sum(arr) AS total_arrivals,
-         sum(o) + sum(i) AS total_degree, sum(dep) + sum(arr) AS total_flights
+  SELECT airport, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_degree,
+         CAST(sum(dep) AS BIGINT) AS total_departures, CAST(sum(arr) AS BIGINT) AS total_arrivals,
+         CAST(sum(o) + sum(i) AS BIGINT) AS total_degree,
+         CAST(sum(dep) + sum(arr) AS BIGINT) AS total_flights
   FROM (SELECT src AS airport, 1 AS o, 0 AS i, flight_count AS dep, 0 AS arr FROM aroutes
         UNION ALL
         SELECT dst AS airport, 0 AS o, 1 AS i, 0 AS dep, flight_count AS arr FROM aroutes) s
@@ -125,7 +126,7 @@ ORDER BY flight_count DESC, src, dst LIMIT 20""", round_cols=("avg_flight_time",
     "reliable_routes": _reliable(False),
     "unreliable_routes": _reliable(True),
     "carrier_coverage": sql(FLIGHTS, ROUTES, AROUTES, final="""
-SELECT carrier, count(*) AS num_routes, sum(flight_count) AS total_flights
+SELECT carrier, count(*) AS num_routes, CAST(sum(flight_count) AS BIGINT) AS total_flights
 FROM (SELECT unnest(string_split(carriers, ',')) AS carrier, flight_count FROM aroutes) e
 GROUP BY carrier"""),
     "route_time_stats": sql(FLIGHTS, ROUTES, AROUTES, final="""
@@ -144,7 +145,7 @@ SELECT avg(availability_pct) AS avg_avail, quantile_disc(availability_pct, 0.5)
        count(*) FILTER (WHERE availability_pct < 10) AS below_10
 FROM aroutes""", round_cols=("avg_avail", "median_avail")),
     "network_summary": sql(FLIGHTS, ROUTES, AROUTES, final="""
-SELECT n.num_airports, count(*) AS num_routes, sum(flight_count) AS total_flights,
+SELECT n.num_airports, count(*) AS num_routes, CAST(sum(flight_count) AS BIGINT) AS total_flights,
        2 * count(*) / n.num_airports AS avg_degree
 FROM aroutes, (SELECT count(*) AS num_airports
                FROM (SELECT src FROM aroutes UNION SELECT dst FROM aroutes) u) n

@@ -290,24 +290,25 @@ def hub_reachability(edges: DataFrame, hubs: Sequence[str], max_hops: int = 4) -
 
 
 def all_pairs_hops(edges: DataFrame, max_hops: int = 9) -> DataFrame:
-    """Fewest hops for every ordered pair of distinct, connected airports."""
+    """Fewest hops for every ordered pair of distinct, connected airports,
+    written once (the network reports read it several times)."""
     out = multi_source_hops(edges, all_sources(edges), max_hops)
-    return out.where(F.col("source") != F.col("node"))
+    return materialize(out.where(F.col("source") != F.col("node")))
 
 
 def network_diameter(pair_hops: DataFrame, nodes: DataFrame) -> DataFrame:
     """One row: airports, ordered pairs, reachable/unreachable pairs, % reachable,
     diameter (max hops) and pairs at the diameter."""
     n = nodes.select(F.count(F.lit(1))).scalar()
-    stats = pair_hops.agg(F.count(F.lit(1)).alias("reachable_pairs"),
-                          F.max("hops").alias("diameter"))
-    at_diameter = pair_hops.where(F.col("hops") == pair_hops.select(F.max("hops")).scalar()) \
-        .select(F.count(F.lit(1))).scalar()
+    per_hop = pair_hops.groupBy("hops").agg(F.count(F.lit(1)).alias("c"))  # ≤ max_hops rows
+    stats = per_hop.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("reachable_pairs"),
+                        F.max("hops").alias("diameter"),
+                        F.max_by("c", "hops").alias("pairs_at_diameter"))
     total = n * (n - 1)
     return stats.select(n.alias("num_airports"), total.alias("total_pairs"), "reachable_pairs",
                         (total - F.col("reachable_pairs")).alias("unreachable_pairs"),
                         F.try_divide(100 * F.col("reachable_pairs"), total).alias("pct_reachable"),
-                        "diameter", at_diameter.alias("pairs_at_diameter"))
+                        "diameter", "pairs_at_diameter")
 
 
 def hop_distribution(pair_hops: DataFrame) -> DataFrame:

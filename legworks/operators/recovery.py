@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legworks.functions.columns import fraction_if, row_sum, safe_div
-from legworks.operators.stats import exact_percentile, value_histogram
+from legworks.operators.stats import value_histogram
 from legworks.schema import (CAUSE_COLUMNS, DELAY_WORSENED, NOT_ACHIEVED,
                              RECOVERY_ACHIEVED, TAXI_COLUMNS)
 
@@ -179,21 +179,73 @@ def cause_mix(clustered: DataFrame, min_arr_delay: float = 15.0,
 def yearly_summary(delayed: DataFrame, years: Sequence[int] | None = DEFAULT_YEARS,
                    very_late: float = 60.0) -> DataFrame:
     """Per year: mean departure/arrival delay, exact median arrival delay and the
-    fraction of flights more than ``very_late`` minutes late."""
+    fraction of flights more than ``very_late`` minutes late.
+
+    One pass: the legs are aggregated to a ``(YEAR, ARR_DELAY)`` histogram that
+    also carries the departure-delay sums; means, the fraction and the median
+    (first value whose running count reaches ``ceil(n/2)``) come from it.
+    """
     df = delayed if years is None else delayed.where(F.col("YEAR").isin(list(years)))
-    means = df.groupBy("YEAR").agg(
-        F.avg("DEP_DELAY").alias("mean_dep"),
-        F.avg("ARR_DELAY").alias("mean_arr"),
-        fraction_if(F.col("ARR_DELAY") > very_late).alias("pct_very_late"))
-    median = exact_percentile(df, ["YEAR"], "ARR_DELAY", 0.5, "median_arr")
-    return means.join(median, "YEAR", "left").select(
-        "YEAR", "mean_dep", "mean_arr", "median_arr", "pct_very_late")
+    h = df.groupBy("YEAR", "ARR_DELAY").agg(
+        F.count(F.lit(1)).alias("c"), F.count("DEP_DELAY").alias("c_dep"),
+        F.sum("DEP_DELAY").alias("s_dep"))
+    known = F.col("ARR_DELAY").isNotNull()
+    run = Window.partitionBy("YEAR").orderBy(F.col("ARR_DELAY").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    year = Window.partitionBy("YEAR")
+    c_arr = F.when(known, F.col("c")).otherwise(F.lit(0))
+    h = (h.withColumn("_cum", F.sum(c_arr).over(run))
+          .withColumn("_n", F.sum(c_arr).over(year)))
+    n_arr = F.sum(c_arr)
+    return h.groupBy("YEAR").agg(
+        (F.sum("s_dep") / F.sum("c_dep")).alias("mean_dep"),
+        F.try_divide(F.sum(F.col("ARR_DELAY") * F.col("c")), n_arr).alias("mean_arr"),
+        F.min(F.when(known & (F.col("_cum") >= F.ceil(F.col("_n") * 0.5)), F.col("ARR_DELAY")))
+        .alias("median_arr"),
+        F.try_divide(F.sum(F.when(F.col("ARR_DELAY") > very_late, F.col("c")).otherwise(F.lit(0))),
+                     n_arr).alias("pct_very_late"))
 
 
 def _positive_histogram(delayed: DataFrame, value: str = "ARR_DELAY") -> DataFrame:
     return value_histogram(delayed.where(F.col(value) > 0), ["YEAR"], value).withColumnRenamed(value, "x")
 
 
+def _histogram_measures(delayed: DataFrame, fraction: float, ties: str) -> DataFrame:
+    """Per year, from one ``(YEAR, x, c)`` histogram of positive arrival delay:
+    the top-``fraction`` share (NULL when ``n·fraction < 1``) and the Gini."""
+    if ties not in ("range", "rows"):
+        raise ValueError(f"ties must be 'range' or 'rows', got {ties!r}")
+    h = _positive_histogram(delayed)
+    x, c = F.col("x"), F.col("c")
+    desc = Window.partitionBy("YEAR").orderBy(x.desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    asc = Window.partitionBy("YEAR").orderBy(x.asc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    year = Window.partitionBy("YEAR")
+    h = (h.withColumn("_cum_n", F.sum(c).over(desc))
+          .withColumn("_cum_x", F.sum(x * c).over(desc))
+          .withColumn("_below", F.sum(c).over(asc) - c)
+          .withColumn("_n", F.sum(c).over(year))
+          .withColumn("_total", F.sum(x * c).over(year)))
+    before = F.col("_cum_n") - c
+    limit = F.col("_n") * F.lit(float(fraction))
+    kept = before + 1 <= limit
+    if ties == "range":
+        # every flight tied with the last kept one counts (RANGE frame peers)
+        top = F.max(F.when(kept, F.col("_cum_x") / F.col("_total")))
+    else:
+        take = F.least(c, F.floor(limit) - before)
+        top = F.sum(F.when(kept, x * take)) / F.max("_total")
+    # ranks C+1 … C+c of a value held by c flights sum to c·C + c(c+1)/2
+    rank_sum = c * F.col("_below") + (c * (c + 1)) / 2
+    agg = h.groupBy("YEAR").agg(top.alias("top10_delay_share"),
+                                F.sum(x * rank_sum).alias("_s"), F.sum(c).alias("_n"),
+                                F.sum(x * c).alias("_t"))
+    n = F.col("_n")
+    return agg.select("YEAR", "top10_delay_share",
+                      ((2 * F.col("_s")) / (n * F.col("_t")) - (n + 1) / n).alias("gini_delay"))
+
+
 def top_decile_share(delayed: DataFrame, fraction: float = 0.10, ties: str = "range") -> DataFrame:
     """Share of a year's positive arrival delay carried by its worst ``fraction`` of flights.
 
@@ -203,51 +255,22 @@ def top_decile_share(delayed: DataFrame, fraction: float = 0.10, ties: str = "ra
     strict top-k share; ``ties="rows"`` is the strict share.  Years with fewer than
     ``1/fraction`` delayed flights give no row.
     """
-    h = _positive_histogram(delayed)
-    desc = Window.partitionBy("YEAR").orderBy(F.col("x").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    year = Window.partitionBy("YEAR")
-    h = (h.withColumn("_cum_n", F.sum("c").over(desc))
-          .withColumn("_cum_x", F.sum(F.col("x") * F.col("c")).over(desc))
-          .withColumn("_n", F.sum("c").over(year))
-          .withColumn("_total", F.sum(F.col("x") * F.col("c")).over(year)))
-    before = F.col("_cum_n") - F.col("c")
-    limit = F.col("_n") * F.lit(float(fraction))
-    kept = h.where(before + 1 <= limit)
-    if ties == "range":
-        return kept.groupBy("YEAR").agg(F.max(F.col("_cum_x") / F.col("_total")).alias("top10_delay_share"))
-    if ties == "rows":
-        take = F.least(F.col("c"), F.floor(limit) - before)
-        return kept.groupBy("YEAR").agg(
-            (F.sum(F.col("x") * take) / F.first("_total")).alias("top10_delay_share"))
-    raise ValueError(f"ties must be 'range' or 'rows', got {ties!r}")
+    return (_histogram_measures(delayed, fraction, ties)
+            .where(F.col("top10_delay_share").isNotNull()).select("YEAR", "top10_delay_share"))
 
 
 def delay_gini(delayed: DataFrame) -> DataFrame:
-    """Gini coefficient of positive arrival delay per year.
-
-    ``G = 2·Σ(rank·x) / (n·Σx) − (n+1)/n`` with ascending ranks.  From the
-    histogram: a value with ``c`` flights and ``C`` smaller flights holds ranks
-    ``C+1 … C+c`` whose sum is ``c·C + c(c+1)/2`` — exact, as tied flights have
-    equal ``x``.
-    """
-    h = _positive_histogram(delayed)
-    asc = Window.partitionBy("YEAR").orderBy("x").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    c = F.col("c")
-    below = F.sum("c").over(asc) - c
-    rank_sum = c * below + (c * (c + 1)) / 2
-    per_year = (h.withColumn("_rx", F.col("x") * rank_sum)
-                .groupBy("YEAR").agg(F.sum("_rx").alias("_s"), F.sum("c").alias("_n"),
-                                     F.sum(F.col("x") * c).alias("_t")))
-    n = F.col("_n")
-    return per_year.select(
-        "YEAR", ((2 * F.col("_s")) / (n * F.col("_t")) - (n + 1) / n).alias("gini_delay"))
+    """Gini coefficient of positive arrival delay per year:
+    ``G = 2·Σ(rank·x) / (n·Σx) − (n+1)/n`` with ascending ranks, computed exactly
+    from the delay histogram (tied flights have equal ``x``)."""
+    return _histogram_measures(delayed, 0.10, "range").select("YEAR", "gini_delay")
 
 
 def delay_unevenness(delayed: DataFrame, fraction: float = 0.10, ties: str = "range") -> DataFrame:
-    """Top-decile share and Gini side by side (years present in both)."""
-    return top_decile_share(delayed, fraction, ties).join(delay_gini(delayed), "YEAR", "inner")
+    """Top-decile share and Gini side by side from one histogram pass (years
+    with a top-decile share)."""
+    return (_histogram_measures(delayed, fraction, ties)
+            .where(F.col("top10_delay_share").isNotNull()))
 
 
 def delay_volatility(delayed: DataFrame, two_hours: float = 120.0,

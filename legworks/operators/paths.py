@@ -301,11 +301,13 @@ def network_diameter(pair_hops: DataFrame, nodes: DataFrame) -> DataFrame:
     diameter (max hops) and pairs at the diameter."""
     n = nodes.select(F.count(F.lit(1))).scalar()
     per_hop = pair_hops.groupBy("hops").agg(F.count(F.lit(1)).alias("c"))  # ≤ max_hops rows
-    stats = per_hop.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("reachable_pairs"),
-                        F.max("hops").alias("diameter"),
-                        F.max_by("c", "hops").alias("pairs_at_diameter"))
+    stats = (per_hop.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("reachable_pairs"),
+                         F.max("hops").alias("diameter"),
+                         F.max_by("c", "hops").alias("pairs_at_diameter"))
+             .withColumn("num_airports", n))  # the subquery bound to one column: runs once
+    n = F.col("num_airports")
     total = n * (n - 1)
-    return stats.select(n.alias("num_airports"), total.alias("total_pairs"), "reachable_pairs",
+    return stats.select("num_airports", total.alias("total_pairs"), "reachable_pairs",
                         (total - F.col("reachable_pairs")).alias("unreachable_pairs"),
                         F.try_divide(100 * F.col("reachable_pairs"), total).alias("pct_reachable"),
                         "diameter", "pairs_at_diameter")

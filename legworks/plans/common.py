@@ -59,7 +59,9 @@ def legs(spark, sf_dir: str, years=None) -> DataFrame:
     key = (spark.sparkContext.applicationId, src, *stamp)
     path = _LANDED.get(key)
     if path is None:
+        # the mapped legs scatter every year over all input splits: shuffle them
+        # by year once so each year lands as one file set instead of tasks × years
         path = land_parquet(read_star_legs(spark, sf_dir), scratch_path(spark, "legs"),
-                            partition_by=("YEAR",))
+                            partition_by=("YEAR",), files_per_partition=1)
         _LANDED[key] = path
     return read_landed(spark, path, years=years)

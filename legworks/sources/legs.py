@@ -34,22 +34,22 @@ def to_source_layout(df: DataFrame, renames: dict[str, str] | None = None) -> Da
 
 
 def land_parquet(legs: DataFrame, path: str, partition_by: Sequence[str] = ("YEAR", "MONTH"),
-                 mode: str = "overwrite", files_per_partition: int = 1,
+                 mode: str = "overwrite", files_per_partition: int | None = None,
                  max_records_per_file: int = 5_000_000) -> str:
     """Write legs as Parquet partitioned by year and month (the layout that makes
     year/month slices partition-pruned scans).  Returns ``path``.
 
-    Rows are shuffled by the partition columns plus a deterministic hash bucket
-    (``files_per_partition`` writers per partition value), so a large month is
-    written by several tasks and a retried task rewrites the same rows;
-    ``max_records_per_file`` bounds file size.
+    By default there is no shuffle: every task writes its rows straight into
+    the partition folders (monthly source files already hold one month each,
+    so a task writes one file and no month funnels into one writer).  For input
+    whose months are scattered over many tasks, ``files_per_partition=k``
+    first shuffles by the partition columns plus a deterministic hash bucket in
+    ``[0, k)`` — a large month is then written by ``k`` tasks, and a retried
+    task rewrites the same rows.  ``max_records_per_file`` bounds file size.
     """
-    keys = [F.col(c) for c in partition_by]
-    if files_per_partition > 1:
+    if files_per_partition:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in legs.columns]), F.lit(files_per_partition))
-        legs = legs.repartition(*keys, bucket)
-    else:
-        legs = legs.repartition(*keys)
+        legs = legs.repartition(*[F.col(c) for c in partition_by], bucket)
     (legs.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*partition_by).parquet(path))
     return path

@@ -43,6 +43,8 @@ QUERIES = {
     "filter_funnel": lambda s, d: L.filter_funnel(legs(s, d)),
     "month_coverage": lambda s, d: L.month_coverage(legs(s, d), COVERAGE_START, COVERAGE_END,
                                                     COVERAGE_UNTIL),
+    "coverage_tally": lambda s, d: L.coverage_tally(L.month_coverage(
+        legs(s, d), COVERAGE_START, COVERAGE_END, COVERAGE_UNTIL)),
     "csv_roundtrip": _csv_roundtrip,
     "parquet_roundtrip": _parquet_roundtrip,
     "train_split": lambda s, d: L.train_split(
@@ -53,7 +55,24 @@ _DOUBLE_CSV = ["DEP_DELAY", "TAXI_OUT", "TAXI_IN", "ARR_DELAY", "CANCELLED", "DI
                "CRS_ELAPSED_TIME", "AIR_TIME", "DISTANCE", "CARRIER_DELAY", "WEATHER_DELAY",
                "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"]
 
+_SPINE = f"""
+spine AS (
+  SELECT CAST(year(m) AS INTEGER) AS YEAR, CAST(month(m) AS INTEGER) AS MONTH
+  FROM (SELECT unnest(generate_series(DATE '{COVERAGE_START[0]:04d}-{COVERAGE_START[1]:02d}-01',
+                                      DATE '{COVERAGE_END[0]:04d}-{COVERAGE_END[1]:02d}-01',
+                                      INTERVAL 1 MONTH)) AS m) g
+),
+present AS (SELECT DISTINCT YEAR, MONTH FROM legs),
+coverage AS (
+  SELECT s.YEAR, s.MONTH,
+         CASE WHEN s.YEAR * 100 + s.MONTH > {COVERAGE_UNTIL[0] * 100 + COVERAGE_UNTIL[1]} THEN 'future'
+              WHEN p.YEAR IS NOT NULL THEN 'present' ELSE 'missing' END AS status
+  FROM spine s LEFT JOIN present p ON p.YEAR = s.YEAR AND p.MONTH = s.MONTH
+)"""
+
 ORACLE = {
+    "month_coverage": sql(_SPINE, final="SELECT * FROM coverage"),
+    "coverage_tally": sql(_SPINE, final="SELECT status, count(*) AS months FROM coverage GROUP BY status"),
     "year_slice": sql(final=f"SELECT * FROM legs WHERE YEAR IN ({in_list(YEARS)})"),
     "filter_funnel": sql(final="""
 SELECT count(*) AS raw_rows,
@@ -61,18 +80,6 @@ SELECT count(*) AS raw_rows,
        count(*) FILTER (WHERE CANCELLED = 0 AND DIVERTED = 0 AND DEP_DELAY > 10
                         AND ARR_DELAY >= -15 AND DEP_DELAY <= 360 AND ARR_DELAY <= 360) AS delayed_rows
 FROM legs"""),
-    "month_coverage": sql(f"""
-spine AS (
-  SELECT CAST(year(m) AS INTEGER) AS YEAR, CAST(month(m) AS INTEGER) AS MONTH
-  FROM (SELECT unnest(generate_series(DATE '{COVERAGE_START[0]:04d}-{COVERAGE_START[1]:02d}-01',
-                                      DATE '{COVERAGE_END[0]:04d}-{COVERAGE_END[1]:02d}-01',
-                                      INTERVAL 1 MONTH)) AS m) g
-),
-present AS (SELECT DISTINCT YEAR, MONTH FROM legs)""", final=f"""
-SELECT s.YEAR, s.MONTH,
-       CASE WHEN s.YEAR * 100 + s.MONTH > {COVERAGE_UNTIL[0] * 100 + COVERAGE_UNTIL[1]} THEN 'future'
-            WHEN p.YEAR IS NOT NULL THEN 'present' ELSE 'missing' END AS status
-FROM spine s LEFT JOIN present p ON p.YEAR = s.YEAR AND p.MONTH = s.MONTH"""),
     "csv_roundtrip": sql(final="""
 SELECT YEAR, MONTH, nullif(FL_DATE_RAW, '') AS FL_DATE, OP_UNIQUE_CARRIER, OP_CARRIER, TAIL_NUM,
        ORIGIN, DEST, CRS_DEP_TIME, nullif(DEP_TIME_RAW, '') AS DEP_TIME, DEP_DELAY, TAXI_OUT, TAXI_IN,

@@ -8,6 +8,7 @@ from legworks.session import scratch_path
 from legworks.sources import legs as L
 from legworks.sources.star import leg_key_columns, read_star_legs
 from legworks.plans.common import YEARS, legs, rounded
+from legworks.plans.recovery_queries import ORACLE as _RQ_ORACLE
 from legworks.plans.sqltext import in_list, sql
 
 COVERAGE_START, COVERAGE_END, COVERAGE_UNTIL = (1994, 1), (2002, 12), (2002, 6)
@@ -31,6 +32,17 @@ def _csv_roundtrip(spark, sf_dir):
     return L.read_legs(spark, path).select(*_CSV_COLUMNS)
 
 
+def _report_csv_roundtrip(spark, sf_dir):
+    """A small aggregate (the regime cause mix) exported as one CSV file and read
+    back with its schema — the report hand-off.  Single-file output is only
+    used for results whose size does not grow with the legs (3 rows here)."""
+    from legworks.plans.recovery_queries import QUERIES as RQ
+    mix = RQ["cause_mix"](spark, sf_dir)
+    path = scratch_path(spark, "cause-mix-csv")
+    L.write_report(mix, path, fmt="csv", single_file=True)
+    return L.read_report(spark, path, mix.schema)
+
+
 def _parquet_roundtrip(spark, sf_dir):
     """Land legs partitioned by YEAR/MONTH; read a year slice back (pruned)."""
     path = scratch_path(spark, "legs-parquet")
@@ -47,6 +59,7 @@ QUERIES = {
         legs(s, d), COVERAGE_START, COVERAGE_END, COVERAGE_UNTIL)),
     "csv_roundtrip": _csv_roundtrip,
     "parquet_roundtrip": _parquet_roundtrip,
+    "report_csv_roundtrip": _report_csv_roundtrip,
     "train_split": lambda s, d: L.train_split(
         legs(s, d).select(*KEYS, "FL_DATE"), 0.3, bucket=F.col("l_orderkey") % 100),
 }
@@ -88,6 +101,7 @@ SELECT YEAR, MONTH, nullif(FL_DATE_RAW, '') AS FL_DATE, OP_UNIQUE_CARRIER, OP_CA
        WEATHER_DELAY, NAS_DELAY, SECURITY_DELAY, LATE_AIRCRAFT_DELAY
 FROM legs""", round_cols=_DOUBLE_CSV),
     "parquet_roundtrip": sql(final=f"SELECT * FROM legs WHERE YEAR IN ({in_list(YEARS)})"),
+    "report_csv_roundtrip": _RQ_ORACLE["cause_mix"],
     "train_split": sql(final="""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, FL_DATE,
        CASE WHEN l_orderkey % 100 < 30 THEN 'train' ELSE 'score' END AS split

@@ -83,6 +83,11 @@ def write_report(df: DataFrame, path: str, fmt: str = "csv", single_file: bool =
     return path
 
 
+def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a CSV report back with the schema it was written with (no inference)."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def filter_funnel(legs: DataFrame, min_dep_delay: float = 10.0, min_arr_delay: float = -15.0,
                   max_delay: float = 360.0) -> DataFrame:
     """One row, one pass: raw legs, completed legs, and legs kept by the

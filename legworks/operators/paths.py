@@ -222,8 +222,7 @@ def route_options(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, max_rou
     # order then picks the lexicographically smallest fewest-hop path, and
     # keeping hops <= max_hops after more rounds is exact for it.  So when
     # max_hops <= max_rounds all three criteria share one loop.
-    edges = materialize(edges.select("src", "dst", time_col, score_col,
-                                     F.lit(1.0).alias("_unit")))
+    edges = edges.select("src", "dst", time_col, score_col, F.lit(1.0).alias("_unit"))
     seeds = pairs.select(F.col("origin").alias("source")).distinct()
     weighted = {"fastest": (time_col, None), "most_reliable": (score_col, None)}
     if max_hops <= max_rounds:

@@ -17,7 +17,6 @@ from legworks.operators import routes as N
 from legworks.plans.common import DESTINATION, HUBS, MIN_FLIGHTS, ORIGIN, rounded
 from legworks.plans.route_queries import FLIGHTS, ROUTES, routes
 from legworks.plans.sqltext import in_list, sql
-from legworks.session import materialize
 
 # Origin/destination pairs answered together: a 3-hop pair, two more pairs, a
 # self pair (0 hops) and a pair whose end is not in the graph (no answer).
@@ -38,21 +37,27 @@ def _texted(df: DataFrame) -> DataFrame:
 
 
 def edges(spark, sf_dir):
-    """The search graph, written once to the checkpoint folder so that the
-    searches of one query do not recompute the route aggregate."""
-    return materialize(N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=("USA",)))
+    """The search graph: a filter over the route table, which ``routes`` has
+    already written once to the checkpoint folder."""
+    return N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=("USA",))
 
 
 def analysis_edges(spark, sf_dir):
-    return materialize(N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=()))
+    return N.network_edges(routes(spark, sf_dir), MIN_FLIGHTS, exclude=())
 
 
 def _pairs(spark):
     return spark.createDataFrame(PAIRS, "origin string, destination string")
 
 
-def _options(spark, sf_dir):
-    return G.route_options(edges(spark, sf_dir), _pairs(spark), BFS_MAX_HOPS, ROUNDS)
+def _options(spark, sf_dir, e=None):
+    e = edges(spark, sf_dir) if e is None else e
+    return G.route_options(e, _pairs(spark), BFS_MAX_HOPS, ROUNDS)
+
+
+def _option_legs(spark, sf_dir):
+    e = edges(spark, sf_dir)  # one route table for the searches and the leg details
+    return G.path_legs(e, _options(spark, sf_dir, e), ["origin", "destination", "criterion"])
 
 
 def _pair_hops(spark, sf_dir):
@@ -85,8 +90,7 @@ QUERIES = {
     "shortest_paths": lambda s, d: rounded(_texted(G.shortest_paths(
         edges(s, d), G.seed_frame(s, [ORIGIN]), "avg_flight_time", max_rounds=ROUNDS))),
     "route_options": lambda s, d: rounded(_texted(_options(s, d))),
-    "path_legs": lambda s, d: rounded(G.path_legs(
-        edges(s, d), _options(s, d), ["origin", "destination", "criterion"])),
+    "path_legs": lambda s, d: rounded(_option_legs(s, d)),
     "hub_reachability": lambda s, d: G.hub_reachability(analysis_edges(s, d), HUBS, HUB_MAX_HOPS),
     "all_pairs_hops": lambda s, d: _pair_hops(s, d),
     "network_diameter": lambda s, d: rounded(_diameter(s, d)),

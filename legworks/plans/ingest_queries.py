@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from legworks.session import scratch_path
 from legworks.sources import legs as L
 from legworks.sources.star import leg_key_columns, read_star_legs
-from legworks.plans.common import YEARS, legs, rounded
+from legworks.plans.common import YEARS, legs
 from legworks.plans.recovery_queries import ORACLE as _RQ_ORACLE
 from legworks.plans.sqltext import in_list, sql
 

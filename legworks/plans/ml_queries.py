@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from legworks.operators import ml as M
 from legworks.operators import recovery as R
 from legworks.operators.report import profile
-from legworks.plans.common import RECOVERY_EDGES, legs, rounded
+from legworks.plans.common import legs, rounded
 from legworks.plans.propagation_queries import KEYS, clean, extra
 from legworks.plans.recovery_queries import CLUSTERED, DELAYED, _clustered, _delayed
 from legworks.plans.report_queries import PROFILE_FEATURES

@@ -120,3 +120,20 @@ def test_streaming_landing_is_incremental(spark, tmp_path):
     landed = spark.read.parquet(out)
     assert landed.count() == 3
     assert sorted(r.MONTH for r in landed.select("MONTH").distinct().collect()) == [1, 2]
+
+
+def test_land_parquet_layouts(spark, tmp_path):
+    import glob
+    df = spark.range(3000).select((F.col("id") % 3 + 2000).cast("int").alias("YEAR"),
+                                  (F.col("id") % 12 + 1).cast("int").alias("MONTH"),
+                                  F.col("id").alias("k")).repartition(4)
+    salted = str(tmp_path / "salted")
+    L.land_parquet(df, salted, partition_by=("YEAR",), files_per_partition=3)
+    for year in (2000, 2001, 2002):
+        files = glob.glob(f"{salted}/YEAR={year}/*.parquet")
+        assert 1 <= len(files) <= 3
+    plain = str(tmp_path / "plain")
+    L.land_parquet(df, plain)                                   # no shuffle, YEAR/MONTH folders
+    back = L.read_landed(spark, plain, years=[2001])
+    assert back.count() == 1000
+    assert L.read_landed(spark, salted).count() == 3000

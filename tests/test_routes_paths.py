@@ -141,3 +141,16 @@ def test_route_options_caps_and_agreement_with_bfs(spark):
     assert out[("T", "most_reliable")].path == ["S", "B", "T"]
     assert out[("S", "fastest")].hops == 0                    # self pair: 0 legs
     assert out[("Q", "fastest")].path is None                 # unreachable
+
+
+def test_direct_routes_approx_p90_matches_exact(spark):
+    import random
+    rnd = random.Random(4)
+    d = dt.date(2003, 1, 5)
+    rows = [(d + dt.timedelta(days=rnd.randint(0, 30)), f"A{rnd.randint(0, 3)}", f"B{rnd.randint(0, 3)}",
+             "XX", 60, float(rnd.randint(-30, 200))) for _ in range(3000)]
+    f = spark.createDataFrame(rows, "date date, src string, dst string, carrier string, flight_time int, arr_delay double")
+    exact = {(r.src, r.dst): r.p90_delay for r in N.direct_routes(f).collect()}
+    approx = {(r.src, r.dst): r.p90_delay
+              for r in N.direct_routes(f, p90_method="approx", accuracy=1_000_000).collect()}
+    assert exact == approx

@@ -87,7 +87,7 @@ def multi_source_hops(edges: DataFrame, seeds: DataFrame, max_hops: int,
                          F.lit(0).alias("hops"))
     if with_path:
         start = start.withColumn("path", F.array(F.col("source")))
-    start = materialize(start)
+    start = materialize(start)  # also separates its lineage from the edge side
     pieces, visited, frontier = [start], start.select(*PAIR_KEYS), start
     for hop in range(1, max_hops + 1):
         step = frontier.join(e, frontier["node"] == e["src"]).select(
@@ -99,12 +99,20 @@ def multi_source_hops(edges: DataFrame, seeds: DataFrame, max_hops: int,
             step = step.distinct()
         new = materialize(step.join(visited, PAIR_KEYS, "left_anti")
                           .withColumn("hops", F.lit(hop)))
-        if new.isEmpty():
-            break
+        if stop_at is None:
+            if new.isEmpty():
+                break
+            reached = False
+        else:  # one job answers both "anything new?" and "target reached?"
+            n_new, hits = new.agg(F.count(F.lit(1)),
+                                  F.count_if(F.col("node") == F.lit(stop_at))).first()
+            if n_new == 0:
+                break
+            reached = hits > 0
         pieces.append(new)
         visited = visited.unionByName(new.select(*PAIR_KEYS))
         frontier = new
-        if stop_at is not None and not new.where(F.col("node") == stop_at).isEmpty():
+        if reached:
             break
     out = pieces[0]
     for p in pieces[1:]:

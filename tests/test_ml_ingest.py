@@ -137,3 +137,15 @@ def test_land_parquet_layouts(spark, tmp_path):
     back = L.read_landed(spark, plain, years=[2001])
     assert back.count() == 1000
     assert L.read_landed(spark, salted).count() == 3000
+
+
+def test_kmeans_rows_nearest_to_own_centre(spark):
+    rng = np.random.default_rng(9)
+    centres = [(0.0, 0.0), (30.0, 5.0), (10.0, 40.0)]
+    rows = [(i, float(cx + rng.normal(0, 2)), float(cy + rng.normal(0, 2)))
+            for i, (cx, cy) in enumerate(centres[j % 3] for j in range(600))]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, key_cols=["id"])
+    assert out.select("cluster").distinct().count() == 3
+    checked = M.assign_centroids(out, M.centroid_table(out, ["a", "b"]), ["a", "b"])
+    assert checked.where(F.col("assigned") != F.col("cluster")).count() == 0

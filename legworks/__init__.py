@@ -10,7 +10,15 @@ DataFrame API so Catalyst can prune, push down and plan it.  Sub-packages:
 * ``streaming`` — incremental landing of monthly leg files
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from legworks.session import checkpoint_dir, get_session, materialize
 
 __all__ = ["checkpoint_dir", "get_session", "materialize"]
 __version__ = "0.1.0"
+
+# Functions that Spark ships to executors carry their code with them, so
+# executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

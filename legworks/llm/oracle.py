@@ -19,7 +19,7 @@ dup AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_
         FROM lines WHERE regexp_matches(line, '{_W}') GROUP BY r),
 base AS (
   SELECT d.r, doc_id, source, len(words)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words

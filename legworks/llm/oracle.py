@@ -115,3 +115,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
 """
+
+# op8: payload digests in base32, and the smallest page of each group of equal payloads
+ORACLE["op8_warc"] = r"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (
+  SELECT page_id, url, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS hex FROM p),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS original FROM d)
+SELECT page_id, payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+           ((('0x' || hex[(i // 4) * 5 + 1 : (i // 4) * 5 + 5])::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1]),
+         'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM original THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM original THEN original END AS refers_to,
+       array_to_string(list_reverse(string_split(lower(regexp_extract(url, '://([^/:?#]*)', 1)), '.')), ',')
+         || regexp_extract(url, '://[^/:?#]*(:[0-9]+)?', 1) || ')'
+         || regexp_extract(url, '://[^/#]*([^#]*)', 1) AS url_key,
+       strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS capture_time
+FROM r
+"""

@@ -10,8 +10,11 @@ from legworks.llm import oracle
 from legworks.llm.common import table
 from legworks.llm.decontaminate import decontaminate
 from legworks.llm.host_rules import quality_rules
+from legworks.llm.html_density import main_text
 from legworks.llm.mixing import mix_plan
 from legworks.llm.sharding import shard
+from legworks.llm.toxicity import toxicity
+from legworks.llm.warc import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,18 +23,32 @@ def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=8)
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_host_rules, op4_source_mix, op6_decontamination, op10_sharding)}
+    f.__name__: f for f in (
+        op2_host_rules, op3_toxicity, op4_source_mix, op5_html_density, op6_decontamination,
+        op8_warc, op10_sharding)}
 ORACLE: dict[str, str] = oracle.ORACLE

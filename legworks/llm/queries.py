@@ -11,7 +11,9 @@ from legworks.llm.common import table
 from legworks.llm.decontaminate import decontaminate
 from legworks.llm.host_rules import quality_rules
 from legworks.llm.html_density import main_text
+from legworks.llm.line_dedup import line_dedup
 from legworks.llm.mixing import mix_plan
+from legworks.llm.ngram_join import ngram_join
 from legworks.llm.sharding import shard
 from legworks.llm.toxicity import toxicity
 from legworks.llm.warc import archive
@@ -19,6 +21,10 @@ from legworks.llm.warc import archive
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
@@ -43,12 +49,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=8)
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op2_host_rules, op3_toxicity, op4_source_mix, op5_html_density, op6_decontamination,
-        op8_warc, op10_sharding)}
+        op1_ngram_join, op2_host_rules, op3_toxicity, op4_source_mix, op5_html_density, op6_decontamination,
+        op8_warc, op9_line_dedup, op10_sharding)}
 ORACLE: dict[str, str] = oracle.ORACLE

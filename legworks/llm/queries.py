@@ -14,6 +14,7 @@ from legworks.llm.html_density import main_text
 from legworks.llm.line_dedup import line_dedup
 from legworks.llm.mixing import mix_plan
 from legworks.llm.ngram_join import ngram_join
+from legworks.llm.pii import pii
 from legworks.llm.sharding import shard
 from legworks.llm.toxicity import toxicity
 from legworks.llm.warc import archive
@@ -45,6 +46,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(table(spark, sf_dir, "pages"))
 
@@ -60,5 +65,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_ngram_join, op2_host_rules, op3_toxicity, op4_source_mix, op5_html_density, op6_decontamination,
-        op8_warc, op9_line_dedup, op10_sharding)}
+        op7_pii, op8_warc, op9_line_dedup, op10_sharding)}
 ORACLE: dict[str, str] = oracle.ORACLE

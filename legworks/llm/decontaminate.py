@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,3 +187,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame,
             F.flatten(F.collect_list("hits")).alias("hits"),
             F.flatten(F.collect_list("items")).alias("items"))
     return map_rows(found, _verdicts, VERDICT)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame,
+                      max_pattern_bytes: int = PATTERN_BYTES) -> DataFrame:
+    """The documents that are not contaminated, with all their columns.
+
+    A filter on the scan with one search table; with more, the documents are staged with
+    row numbers and filtered by the verdicts.
+    """
+    if len(blocks := pattern_blocks(benchmark, max_pattern_bytes)) == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(blocks[0])
+        built: list = []
+
+        @F.pandas_udf("boolean")
+        def contaminated(texts: pd.Series) -> pd.Series:
+            if not built:
+                built.append(tables(shared.value))
+            found = [find(built[0], t) for t in texts]
+            return pd.Series(_verdicts({
+                "doc_id": [None] * len(found), "n_words": [f[0] for f in found],
+                "hits": [f[1] for f in found], "items": [f[2] for f in found]})["contaminated"],
+                dtype=bool)
+
+        return docs.where(~contaminated(F.col("text").cast("string")))
+    rows = staged(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                              F.monotonically_increasing_id().alias("doc_id"), "text"),
+                  "decontaminate-docs")
+    keep = decontaminate(rows, benchmark, max_pattern_bytes).where(~F.col("contaminated"))
+    return rows.join(keep.select("doc_id"), "doc_id").select(
+        *[F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

@@ -6,28 +6,29 @@ table ``(source, node, hops, dist, cross_dist, path)``.  Each search is a
 bounded loop of DataFrame joins:
 
 * frontier ⨝ edges on ``node = src`` extends every frontier path by one leg;
-* ``min(struct(dist, cross_dist, path))`` per ``(source, node)`` picks the best
-  candidate — an aggregate with map-side partial aggregation, and a total
-  order, so equal-cost ties resolve the same way on every run and layout;
-* only rows that improved become the next frontier (same result as relaxing
-  every row each round, fewer rows joined), and the loop stops early once
-  nothing changes;
-* each round's output is written with ``checkpoint()`` into the session's
-  shared checkpoint folder, so the plan never grows with the number of rounds
-  and a lost executor costs at most one round.
-
-Scale: the edge table is bounded by airport pairs (a few thousand routes in
-the real network); it is broadcast only after its row count is checked
-against ``max_broadcast_edges`` and joined by shuffle otherwise.  The state
-is bounded by ``sources × airports``.  No path is ever collected to the
-driver: paths travel as ``array<string>`` columns.
+* the extended paths and the state are reduced together by
+  ``min(struct(value, path, is_new))`` per ``(source, node)`` — an aggregate with
+  map-side partial aggregation, and a total order, so equal-cost ties resolve the
+  same way on every run and layout, and the state keeps its row in a tie;
+* only rows that improved become the next frontier, and the loop ends when none
+  did: searches run to their fixed point unless a limit is asked for;
+* a round is one job: the new state is written with ``checkpoint()`` into the
+  session's shared checkpoint folder and the number of improved rows is observed
+  on the way, so the plan never grows with the number of rounds and a lost
+  executor costs at most one round.
+
+Scale: the edge table is bounded by airport pairs (a few thousand routes in the
+real network), the state by ``sources × airports`` — all-pairs searches hold
+airports² rows with their paths, spread over the shuffle partitions.  How the
+edges are joined is left to Spark's size statistics.  No path is ever
+collected to the driver: paths travel as ``array<string>`` columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +36,6 @@ from legworks.functions.columns import path_text
 from legworks.session import materialize
 
 MISSING_WEIGHT = 999999.0
-MAX_BROADCAST_EDGES = 2_000_000
 PAIR_KEYS = ["source", "node"]
 
 
@@ -53,15 +53,6 @@ def all_sources(edges: DataFrame) -> DataFrame:
             .union(edges.select(F.col("dst").alias("source"))).distinct())
 
 
-def _edge_side(edges: DataFrame, max_broadcast_edges: int) -> DataFrame:
-    """Materialise the (small) edge table once and broadcast it only if its
-    checked row count fits; otherwise it is joined by shuffle."""
-    edges = materialize(edges)
-    if edges.count() <= max_broadcast_edges:
-        return F.broadcast(edges)
-    return edges
-
-
 def weighted_edges(edges: DataFrame, weight: str, cross: str | None = None,
                    missing: float = MISSING_WEIGHT) -> DataFrame:
     """``(src, dst, w, c)`` with missing weights replaced by ``missing``."""
@@ -72,133 +63,120 @@ def weighted_edges(edges: DataFrame, weight: str, cross: str | None = None,
 
 # ----------------------------------------------------------------- searches
 
-def multi_source_hops(edges: DataFrame, seeds: DataFrame, max_hops: int,
-                      with_path: bool = False, stop_at: str | None = None,
-                      max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
-    """Breadth-first search from every ``seeds.source`` at once, up to ``max_hops``.
+def _settle(seed: DataFrame, extend: Callable[[DataFrame], DataFrame], keys: Sequence[str],
+            value: Sequence[str], limit: int | None, done: Column | None = None) -> DataFrame:
+    """Relax ``seed`` until no key gets a smaller ``value``, or for ``limit`` rounds.
 
-    Returns ``(source, node, hops[, path])`` for every node reached (the source
-    itself at hop 0).  With ``with_path`` the path is the lexicographically
-    smallest of the fewest-hop paths.  ``stop_at`` ends the search after the
-    hop that first reaches that node (single-target use).
+    ``extend`` turns the rows that improved last into candidates.  ``done``, if given, ends the
+    search with the round that improves such a row.
     """
-    e = _edge_side(edges.select("src", "dst"), max_broadcast_edges)
-    start = seeds.select(F.col("source"), F.col("source").alias("node"),
-                         F.lit(0).alias("hops"))
-    if with_path:
-        start = start.withColumn("path", F.array(F.col("source")))
-    start = materialize(start)  # also separates its lineage from the edge side
-    pieces, visited, frontier = [start], start.select(*PAIR_KEYS), start
-    for hop in range(1, max_hops + 1):
-        step = frontier.join(e, frontier["node"] == e["src"]).select(
-            frontier["source"], e["dst"].alias("node"),
-            *([F.concat(frontier["path"], F.array(e["dst"])).alias("path")] if with_path else []))
-        if with_path:
-            step = step.groupBy(*PAIR_KEYS).agg(F.min("path").alias("path"))
-        else:
-            step = step.distinct()
-        new = materialize(step.join(visited, PAIR_KEYS, "left_anti")
-                          .withColumn("hops", F.lit(hop)))
-        if stop_at is None:
-            if new.isEmpty():
-                break
-            reached = False
-        else:  # one job answers both "anything new?" and "target reached?"
-            n_new, hits = new.agg(F.count(F.lit(1)),
-                                  F.count_if(F.col("node") == F.lit(stop_at))).first()
-            if n_new == 0:
-                break
-            reached = hits > 0
-        pieces.append(new)
-        visited = visited.unionByName(new.select(*PAIR_KEYS))
-        frontier = new
-        if reached:
+    state = materialize(seed.select(*keys, *value, F.lit(True).alias("is_new")))
+    rounds = 0
+    while limit is None or rounds < limit:
+        rounds += 1
+        found = extend(state.where("is_new")).select(*keys, *value, F.lit(True).alias("is_new"))
+        best = (state.withColumn("is_new", F.lit(False)).unionByName(found)
+                .groupBy(*keys).agg(F.min(F.struct(*value, "is_new")).alias("b"))
+                .select(*keys, *[f"b.{v}" for v in value], "b.is_new"))
+        seen = Observation()
+        hit = F.count_if(F.col("is_new") & done) if done is not None else F.lit(0)
+        state = materialize(best.observe(seen, F.count_if("is_new").alias("improved"),
+                                         hit.alias("hits")))
+        if not seen.get["improved"] or seen.get["hits"]:
             break
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    cols = [*PAIR_KEYS, "hops"] + (["path"] if with_path else [])
-    return out.select(*cols)
+    return state.drop("is_new")
+
+
+def multi_source_hops(edges: DataFrame, seeds: DataFrame, max_hops: int | None = None,
+                      with_path: bool = False, stop_at: str | None = None) -> DataFrame:
+    """Breadth-first search from every ``seeds.source`` at once.
+
+    Returns ``(source, node, hops[, path])`` for every node reached (the source
+    itself at hop 0), up to ``max_hops`` if given.  With ``with_path`` the path is the
+    lexicographically smallest of the fewest-hop paths.  ``stop_at`` ends the search
+    after the hop that first reaches that node (single-target use).
+    """
+    e = materialize(edges.select("src", "dst"))
+    value = ["hops", "path"] if with_path else ["hops"]
+    start = seeds.select("source", F.col("source").alias("node"), F.lit(0).alias("hops"),
+                         *([F.array("source").alias("path")] if with_path else []))
+
+    def extend(frontier: DataFrame) -> DataFrame:
+        path = [F.concat("path", F.array("dst")).alias("path")] if with_path else []
+        return frontier.join(e, F.col("node") == F.col("src")).select(
+            "source", F.col("dst").alias("node"), (F.col("hops") + 1).alias("hops"), *path)
+
+    done = F.col("node") == stop_at if stop_at is not None else None
+    return _settle(start, extend, PAIR_KEYS, value, max_hops, done)
+
+
+def _reject_negative(edges: DataFrame) -> None:
+    """Raise if a cycle of the edges could lower a path's cost without end."""
+    bad = edges.where((F.col("w") < 0) | ((F.col("w") == 0) & (F.col("c") < 0)))
+    row = bad.select("search", "src", "dst", "w", "c").head()
+    if row is not None:
+        raise ValueError(f"weights must not be negative: {row.search} {row.src} -> {row.dst} "
+                         f"has weight {row.w}, carried {row.c}")
 
 
 def shortest_paths_multi(edges: DataFrame, seeds: DataFrame,
-                         searches: dict[str, tuple[str, str | None]], max_rounds: int = 8,
-                         missing: float = MISSING_WEIGHT,
-                         max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
+                         searches: dict[str, tuple[str, str | None]],
+                         max_rounds: int | None = None,
+                         missing: float = MISSING_WEIGHT) -> DataFrame:
     """Several weighted searches in one loop: ``searches`` maps a search name to
     ``(weight column, carried column or None)``.
 
-    Each search is Bellman–Ford from every ``seeds.source`` using at most
-    ``max_rounds`` legs.  The edge table is stacked once per search and the
+    Each search is Bellman–Ford from every ``seeds.source``, over paths of any length or
+    of at most ``max_rounds`` legs.  The edge table is stacked once per search and the
     state is keyed by ``(search, source, node)``, so e.g. the fastest and the
     most reliable searches share every round's jobs.  Returns ``(search,
     source, node, hops, dist, cross_dist, path)``: ``dist`` sums the weight
     along the best path, ``cross_dist`` sums the carried column along the same
-    path; best = smallest ``(dist, cross_dist, path)``.  Weights must be
-    non-negative; a missing weight counts as ``missing``.
+    path; best = smallest ``(dist, cross_dist, legs, path)``.  A negative weight raises
+    ``ValueError``; a missing weight counts as ``missing``.
     """
     stacked = None
     for name, (weight, cross) in searches.items():
         part = weighted_edges(edges, weight, cross, missing).withColumn("search", F.lit(name))
         stacked = part if stacked is None else stacked.unionByName(part)
-    e = _edge_side(stacked, max_broadcast_edges)
-    keys = ["search", *PAIR_KEYS]
-    key = F.struct("dist", "cross_dist", "path")
+    e = materialize(stacked)
+    _reject_negative(e)
     names = F.array(*[F.lit(n) for n in searches])
-    seed = materialize(seeds.select(
-        F.explode(names).alias("search"), F.col("source"), F.col("source").alias("node"),
-        F.lit(0.0).alias("dist"), F.lit(0.0).alias("cross_dist"),
-        F.array(F.col("source")).alias("path")))
-    # Improvements only ever lower a pair's best value, so the current best is
-    # the minimum over the seed and every round's (checkpointed) improvements —
-    # no state table has to be rewritten each round.
-    pieces, frontier = [seed], seed
-
-    def best_of(frames: list[DataFrame]) -> DataFrame:
-        union = frames[0]
-        for f in frames[1:]:
-            union = union.unionByName(f)
-        return (union.groupBy(*keys).agg(F.min(key).alias("b"))
-                .select(*keys, "b.dist", "b.cross_dist", "b.path"))
-
-    for _ in range(max_rounds):
-        cand = frontier.join(e, (frontier["search"] == e["search"])
-                             & (frontier["node"] == e["src"])).select(
-            frontier["search"], frontier["source"], e["dst"].alias("node"),
-            (frontier["dist"] + e["w"]).alias("dist"),
-            (frontier["cross_dist"] + e["c"]).alias("cross_dist"),
-            F.concat(frontier["path"], F.array(e["dst"])).alias("path"))
-        best = best_of([cand])
-        current = best_of(pieces).select(*keys, key.alias("cur"))
-        improved = materialize(
-            best.join(current, keys, "left")
-            .where(F.col("cur").isNull() | (key < F.col("cur")))
-            .drop("cur"))
-        if improved.isEmpty():
-            break
-        pieces.append(improved)
-        frontier = improved
-    return best_of(pieces).select(*keys, (F.size("path") - 1).alias("hops"),
-                                  "dist", "cross_dist", "path")
+    start = seeds.select(
+        F.explode(names).alias("search"), "source", F.col("source").alias("node"),
+        F.lit(0.0).alias("dist"), F.lit(0.0).alias("cross_dist"), F.lit(0).alias("hops"),
+        F.array("source").alias("path"))
+
+    def extend(frontier: DataFrame) -> DataFrame:
+        f, g = frontier.alias("f"), e.alias("g")
+        return (f.join(g, (F.col("f.search") == F.col("g.search"))
+                       & (F.col("node") == F.col("src")))
+                .select("f.search", "source", F.col("dst").alias("node"),
+                        (F.col("dist") + F.col("w")).alias("dist"),
+                        (F.col("cross_dist") + F.col("c")).alias("cross_dist"),
+                        (F.col("hops") + 1).alias("hops"),
+                        F.concat("path", F.array("dst")).alias("path")))
+
+    value = ["dist", "cross_dist", "hops", "path"]
+    return _settle(start, extend, ["search", *PAIR_KEYS], value, max_rounds).select(
+        "search", *PAIR_KEYS, "hops", "dist", "cross_dist", "path")
 
 
 def shortest_paths(edges: DataFrame, seeds: DataFrame, weight: str, cross: str | None = None,
-                   max_rounds: int = 8, missing: float = MISSING_WEIGHT,
-                   max_broadcast_edges: int = MAX_BROADCAST_EDGES) -> DataFrame:
+                   max_rounds: int | None = None, missing: float = MISSING_WEIGHT) -> DataFrame:
     """Weighted shortest paths from every ``seeds.source`` (one search of
     ``shortest_paths_multi``): ``(source, node, hops, dist, cross_dist, path)``."""
-    return shortest_paths_multi(edges, seeds, {"w": (weight, cross)}, max_rounds, missing,
-                                max_broadcast_edges).drop("search")
+    return shortest_paths_multi(edges, seeds, {"w": (weight, cross)}, max_rounds,
+                                missing).drop("search")
 
 
-def fastest_and_reliable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 8,
+def fastest_and_reliable(edges: DataFrame, seeds: DataFrame, max_rounds: int | None = None,
                          time_col: str = "avg_flight_time",
                          score_col: str = "reliability_score") -> tuple[DataFrame, DataFrame]:
     """Both searches of the divergence analysis in one loop: fastest by time
     carrying the score, most reliable by score carrying the time."""
     both = shortest_paths_multi(edges, seeds, {"fastest": (time_col, score_col),
                                                "reliable": (score_col, time_col)}, max_rounds)
-    both = materialize(both)
     return (both.where(F.col("search") == "fastest").drop("search"),
             both.where(F.col("search") == "reliable").drop("search"))
 
@@ -206,7 +184,7 @@ def fastest_and_reliable(edges: DataFrame, seeds: DataFrame, max_rounds: int = 8
 # ------------------------------------------------------------ single queries
 
 def bfs_hops(edges: DataFrame, source: str, target: str | None = None,
-             max_hops: int = 6) -> DataFrame:
+             max_hops: int | None = None) -> DataFrame:
     """Fewest-hop search from one airport; with ``target``, stops after the hop
     that reaches it.  ``(source, node, hops, pred, path)``."""
     spark = edges.sparkSession
@@ -216,32 +194,24 @@ def bfs_hops(edges: DataFrame, source: str, target: str | None = None,
                       F.when(F.col("hops") > 0, F.element_at("path", -2)).alias("pred"), "path")
 
 
-def route_options(edges: DataFrame, pairs: DataFrame, max_hops: int = 6, max_rounds: int = 8,
+def route_options(edges: DataFrame, pairs: DataFrame, max_rounds: int | None = None,
                   time_col: str = "avg_flight_time", score_col: str = "reliability_score"
                   ) -> DataFrame:
     """Three answers per ``(origin, destination)`` pair: ``fewest_hops``,
     ``fastest`` (sum of ``time_col``) and ``most_reliable`` (sum of ``score_col``).
 
     ``(origin, destination, criterion, hops, value, path)``; ``value`` is the hop
-    count, minutes or score; NULL hops/value/path when unreachable.  All pairs
-    and criteria share one search loop, seeded with the distinct origins.
+    count, minutes or score; NULL hops/value/path when unreachable (within
+    ``max_rounds`` legs, if given).  Fewest hops is the same search with unit
+    weights, so all pairs and criteria share one loop, seeded with the distinct origins.
     """
-    # Fewest hops is the same search with unit weights: the (dist, cross, path)
-    # order then picks the lexicographically smallest fewest-hop path, and
-    # keeping hops <= max_hops after more rounds is exact for it.  So when
-    # max_hops <= max_rounds all three criteria share one loop.
     edges = edges.select("src", "dst", time_col, score_col, F.lit(1.0).alias("_unit"))
     seeds = pairs.select(F.col("origin").alias("source")).distinct()
-    weighted = {"fastest": (time_col, None), "most_reliable": (score_col, None)}
-    if max_hops <= max_rounds:
-        found = shortest_paths_multi(edges, seeds, {"fewest_hops": ("_unit", None), **weighted},
-                                     max_rounds)
-    else:
-        found = shortest_paths_multi(edges, seeds, {"fewest_hops": ("_unit", None)}, max_hops) \
-            .unionByName(shortest_paths_multi(edges, seeds, weighted, max_rounds))
-    found = (found.where((F.col("search") != "fewest_hops") | (F.col("hops") <= max_hops))
-             .select(*PAIR_KEYS, F.col("search").alias("criterion"), "hops",
-                     F.col("dist").alias("value"), "path"))
+    found = shortest_paths_multi(edges, seeds, {
+        "fewest_hops": ("_unit", None), "fastest": (time_col, None),
+        "most_reliable": (score_col, None)}, max_rounds).select(
+        *PAIR_KEYS, F.col("search").alias("criterion"), "hops", F.col("dist").alias("value"),
+        "path")
     wanted = pairs.select("origin", "destination").distinct().select(
         "origin", "destination",
         F.explode(F.array(*[F.lit(c) for c in ("fewest_hops", "fastest", "most_reliable")]))
@@ -272,35 +242,35 @@ def path_legs(routes: DataFrame, paths: DataFrame, key_cols: Sequence[str] = ())
         cols.append(F.concat_ws(",", c).alias(c) if is_array else F.col(c))
     attrs = routes.select("src", "dst", *cols)
     joined = legs.join(attrs, ["src", "dst"], "inner")
-    w = Window.partitionBy(*key_cols) if key_cols else Window.partitionBy()
     time = F.col("avg_flight_time") if "avg_flight_time" in routes.columns else F.lit(None)
-    return joined.withColumn("total_flight_time",
-                             F.sum(F.coalesce(time.cast("double"), F.lit(0.0))).over(w))
+    total = F.sum(F.coalesce(time.cast("double"), F.lit(0.0)))
+    total = total.over(Window.partitionBy(*key_cols)) if key_cols else joined.select(total).scalar()
+    return joined.withColumn("total_flight_time", total)
 
 
 # --------------------------------------------------------- network measures
 
-def hub_reachability(edges: DataFrame, hubs: Sequence[str], max_hops: int = 4) -> DataFrame:
-    """Per hub: airports first reached at each hop 1…``max_hops`` and in total."""
-    spark = edges.sparkSession
-    seeds = seed_frame(spark, hubs)
+def hub_reachability(edges: DataFrame, hubs: Sequence[str], columns: int = 4,
+                     max_hops: int | None = None) -> DataFrame:
+    """Per hub: airports first reached at each hop 1…``columns``, and in total at any hop."""
+    seeds = seed_frame(edges.sparkSession, hubs)
     reach = multi_source_hops(edges, seeds, max_hops).where(F.col("hops") > 0)
-    wide = (reach.groupBy("source").pivot("hops", list(range(1, max_hops + 1)))
-            .agg(F.count(F.lit(1))))
-    hop_cols = [str(h) for h in range(1, max_hops + 1)]
-    out = seeds.join(wide, "source", "left")
-    return out.select(F.col("source").alias("hub"),
-                      *[F.coalesce(F.col(f"`{h}`"), F.lit(0)).cast("long").alias(f"hop_{h}")
-                        for h in hop_cols],
-                      sum((F.coalesce(F.col(f"`{h}`"), F.lit(0)) for h in hop_cols),
-                          F.lit(0)).cast("long").alias("total"))
+    counts = reach.groupBy("source").agg(
+        *[F.count_if(F.col("hops") == h).alias(f"hop_{h}") for h in range(1, columns + 1)],
+        F.count(F.lit(1)).alias("total"))
+    return seeds.join(counts, "source", "left").select(
+        F.col("source").alias("hub"),
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts.columns[1:]])
 
 
-def all_pairs_hops(edges: DataFrame, max_hops: int = 9) -> DataFrame:
-    """Fewest hops for every ordered pair of distinct, connected airports,
-    written once (the network reports read it several times)."""
-    out = multi_source_hops(edges, all_sources(edges), max_hops)
-    return materialize(out.where(F.col("source") != F.col("node")))
+def all_pairs_hops(edges: DataFrame, max_hops: int | None = None) -> DataFrame:
+    """Fewest hops for every ordered pair of distinct, connected airports.
+
+    The searches' state has been written once already; the network reports read it
+    several times.
+    """
+    return multi_source_hops(edges, all_sources(edges), max_hops).where(
+        F.col("source") != F.col("node"))
 
 
 def network_diameter(pair_hops: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -334,6 +304,11 @@ def far_pairs(pair_hops: DataFrame, min_hops: int = 4, n: int = 20) -> DataFrame
             .select("source", "node", "hops"))
 
 
+def far_pair_count(pair_hops: DataFrame, min_hops: int = 4) -> DataFrame:
+    """One row: how many pairs need ``>= min_hops`` hops."""
+    return pair_hops.agg(F.count_if(F.col("hops") >= min_hops).alias("far_pairs"))
+
+
 def diameter_pairs(pair_hops: DataFrame, n: int = 10) -> DataFrame:
     """A sample of ``n`` pairs at the network diameter (ordered by pair)."""
     diameter = pair_hops.select(F.max("hops")).scalar()
@@ -381,6 +356,13 @@ def divergence_stats(comparison: DataFrame) -> DataFrame:
         F.max(F.when(div, F.col("reliability_gain"))).alias("max_reliability_gain"))
 
 
+def divergence_top_pairs(divergent: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` divergent pairs with the largest reliability gain, in figures."""
+    return (divergent.orderBy(F.col("reliability_gain").desc(), "src", "dst").limit(n)
+            .select("src", "dst", "fast_time", "rel_time", "fast_rel_score", "rel_score",
+                    "time_penalty", "reliability_gain"))
+
+
 def divergence_examples(divergent: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` pairs with the largest reliability gain, with both paths as text."""
     return (divergent.orderBy(F.col("reliability_gain").desc(), "src", "dst").limit(n)

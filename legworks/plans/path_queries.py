@@ -21,10 +21,10 @@ from legworks.plans.sqltext import in_list, sql
 # Origin/destination pairs answered together: a 3-hop pair, two more pairs, a
 # self pair (0 hops) and a pair whose end is not in the graph (no answer).
 PAIRS = [(ORIGIN, DESTINATION), ("A07", "A45"), ("A30", "A02"), ("A15", "A15"), (ORIGIN, "USA")]
-BFS_MAX_HOPS = 6
-ALL_PAIRS_MAX_HOPS = 9
-HUB_MAX_HOPS = 4
-ROUNDS = 8
+HUB_COLUMNS = 4
+# The searches run to their fixed point.  The SQL walks a number of legs that exceeds every
+# best path of the test tables (8 legs at most).
+ORACLE_LEGS = 14
 
 
 def _texted(df: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ def _pairs(spark):
 
 def _options(spark, sf_dir, e=None):
     e = edges(spark, sf_dir) if e is None else e
-    return G.route_options(e, _pairs(spark), BFS_MAX_HOPS, ROUNDS)
+    return G.route_options(e, _pairs(spark))
 
 
 def _option_legs(spark, sf_dir):
@@ -61,41 +61,42 @@ def _option_legs(spark, sf_dir):
 
 
 def _pair_hops(spark, sf_dir):
-    return G.all_pairs_hops(edges(spark, sf_dir), ALL_PAIRS_MAX_HOPS)
+    return G.all_pairs_hops(edges(spark, sf_dir))
 
 
 def _fastest(spark, sf_dir, e=None):
     e = edges(spark, sf_dir) if e is None else e
-    return G.shortest_paths(e, G.all_sources(e), "avg_flight_time", "reliability_score", ROUNDS)
+    return G.shortest_paths(e, G.all_sources(e), "avg_flight_time", "reliability_score")
 
 
 def _reliable(spark, sf_dir, e=None):
     e = edges(spark, sf_dir) if e is None else e
-    return G.shortest_paths(e, G.all_sources(e), "reliability_score", "avg_flight_time", ROUNDS)
+    return G.shortest_paths(e, G.all_sources(e), "reliability_score", "avg_flight_time")
 
 
 def _comparison(spark, sf_dir, only_divergent):
     e = edges(spark, sf_dir)
-    fast, rel = G.fastest_and_reliable(e, G.all_sources(e), ROUNDS)
+    fast, rel = G.fastest_and_reliable(e, G.all_sources(e))
     return G.route_divergence(fast, rel, only_divergent=only_divergent)
 
 
 def _diameter(spark, sf_dir):
     e = edges(spark, sf_dir)
-    return G.network_diameter(G.all_pairs_hops(e, ALL_PAIRS_MAX_HOPS), N.airport_nodes(e))
+    return G.network_diameter(G.all_pairs_hops(e), N.airport_nodes(e))
 
 
 QUERIES = {
-    "bfs_hops": lambda s, d: _texted(G.bfs_hops(edges(s, d), ORIGIN, DESTINATION, BFS_MAX_HOPS)),
+    "bfs_hops": lambda s, d: _texted(G.bfs_hops(edges(s, d), ORIGIN, DESTINATION)),
     "shortest_paths": lambda s, d: rounded(_texted(G.shortest_paths(
-        edges(s, d), G.seed_frame(s, [ORIGIN]), "avg_flight_time", max_rounds=ROUNDS))),
+        edges(s, d), G.seed_frame(s, [ORIGIN]), "avg_flight_time"))),
     "route_options": lambda s, d: rounded(_texted(_options(s, d))),
     "path_legs": lambda s, d: rounded(_option_legs(s, d)),
-    "hub_reachability": lambda s, d: G.hub_reachability(analysis_edges(s, d), HUBS, HUB_MAX_HOPS),
+    "hub_reachability": lambda s, d: G.hub_reachability(analysis_edges(s, d), HUBS, HUB_COLUMNS),
     "all_pairs_hops": lambda s, d: _pair_hops(s, d),
     "network_diameter": lambda s, d: rounded(_diameter(s, d)),
     "hop_distribution": lambda s, d: rounded(G.hop_distribution(_pair_hops(s, d))),
     "far_pairs": lambda s, d: G.far_pairs(_pair_hops(s, d)),
+    "far_pair_count": lambda s, d: G.far_pair_count(_pair_hops(s, d)),
     "diameter_pairs": lambda s, d: G.diameter_pairs(_pair_hops(s, d)),
     "all_pairs_fastest": lambda s, d: rounded(_texted(
         _fastest(s, d).where(F.col("source") != F.col("node")))),
@@ -103,6 +104,7 @@ QUERIES = {
         _reliable(s, d).where(F.col("source") != F.col("node")))),
     "route_divergence": lambda s, d: rounded(_texted(_comparison(s, d, True))),
     "divergence_stats": lambda s, d: rounded(G.divergence_stats(_comparison(s, d, False))),
+    "divergence_top_pairs": lambda s, d: rounded(G.divergence_top_pairs(_comparison(s, d, True))),
     "divergence_examples": lambda s, d: rounded(G.divergence_examples(_comparison(s, d, True))),
 }
 
@@ -119,7 +121,7 @@ redges AS (SELECT src, dst, coalesce(reliability_score, 999999.0) AS w,
 tedges AS (SELECT src, dst, coalesce(avg_flight_time, 999999.0) AS w, 0.0::DOUBLE AS c FROM edges)"""
 
 
-def _bfs(name: str, seeds: str, edge_cte: str, max_hops: int) -> str:
+def _bfs(name: str, seeds: str, edge_cte: str, max_hops: int = ORACLE_LEGS) -> str:
     return f"""
 {name}_walk(source, node, h, path) AS (
   SELECT source, source, 0, [source] FROM ({seeds}) s
@@ -135,7 +137,7 @@ def _bfs(name: str, seeds: str, edge_cte: str, max_hops: int) -> str:
 )"""
 
 
-def _sp(name: str, seeds: str, edge_cte: str, rounds: int = ROUNDS) -> str:
+def _sp(name: str, seeds: str, edge_cte: str, rounds: int = ORACLE_LEGS) -> str:
     return f"""
 {name}_walk(source, node, it, m) AS (
   SELECT source, source, 0, {{'d': 0.0::DOUBLE, 'c': 0.0::DOUBLE, 'p': [source]}} FROM ({seeds}) s
@@ -161,7 +163,7 @@ _PAIRS_SQL = "SELECT * FROM (VALUES {}) v(origin, destination)".format(
     ", ".join(f"('{a}', '{b}')" for a, b in PAIRS))
 _ORIGINS = f"SELECT DISTINCT origin AS source FROM ({_PAIRS_SQL}) p"
 
-OPTIONS = _bfs("ohops", _ORIGINS, "edges", BFS_MAX_HOPS) + "," + _sp(
+OPTIONS = _bfs("ohops", _ORIGINS, "edges", ORACLE_LEGS) + "," + _sp(
     "ofast", _ORIGINS, "tedges") + "," + _sp(
     "orel", _ORIGINS, """(SELECT src, dst, coalesce(reliability_score, 999999.0) AS w,
                                 0.0::DOUBLE AS c FROM edges)""") + f""",
@@ -178,7 +180,7 @@ options AS (
 )"""
 
 _NODES_SQL = "SELECT source FROM nodes"
-PAIR_HOPS = _bfs("aph", _NODES_SQL, "edges", ALL_PAIRS_MAX_HOPS) + """,
+PAIR_HOPS = _bfs("aph", _NODES_SQL, "edges", ORACLE_LEGS) + """,
 pair_hops AS (SELECT source, node, hops FROM aph WHERE source <> node)"""
 
 COMPARISON = _sp("fast", _NODES_SQL, "fedges") + "," + _sp("rel", _NODES_SQL, "redges") + """,
@@ -197,11 +199,11 @@ _DIV_DOUBLES = ("fast_time", "fast_rel_score", "rel_score", "rel_time", "time_pe
 _BASE = (FLIGHTS, ROUTES, EDGES)
 
 ORACLE = {
-    "bfs_hops": sql(*_BASE, _bfs("b", f"SELECT '{ORIGIN}' AS source", "edges", BFS_MAX_HOPS),
+    "bfs_hops": sql(*_BASE, _bfs("b", f"SELECT '{ORIGIN}' AS source", "edges", ORACLE_LEGS),
                     recursive=True, final=f"""
 SELECT source, node, hops, CASE WHEN hops > 0 THEN path[len(path) - 1] END AS pred,
        {_text('path')} AS path
-FROM b WHERE hops <= coalesce((SELECT min(hops) FROM b WHERE node = '{DESTINATION}'), {BFS_MAX_HOPS})"""),
+FROM b WHERE hops <= coalesce((SELECT min(hops) FROM b WHERE node = '{DESTINATION}'), {ORACLE_LEGS})"""),
     "shortest_paths": sql(*_BASE, _sp("s", f"SELECT '{ORIGIN}' AS source", "tedges"),
                           recursive=True, final=f"""
 SELECT source, node, hops, dist, cross_dist, {_text('path')} AS path FROM s""",
@@ -222,11 +224,11 @@ FROM (
 ) x""", round_cols=("availability_pct", "avg_flight_time", "p90_delay", "std_delay",
                     "total_flight_time")),
     "hub_reachability": sql(*_BASE, _bfs("hr", f"SELECT unnest([{in_list(HUBS)}]) AS source",
-                                         "aedges", HUB_MAX_HOPS), recursive=True, final="""
+                                         "aedges", ORACLE_LEGS), recursive=True, final="""
 SELECT h.hub, {cols}, count(r.node) AS total
 FROM (SELECT unnest([{hubs}]) AS hub) h LEFT JOIN hr r ON r.source = h.hub AND r.hops > 0
 GROUP BY h.hub""".format(hubs=in_list(HUBS), cols=", ".join(
-        f"count(r.node) FILTER (WHERE r.hops = {i}) AS hop_{i}" for i in range(1, HUB_MAX_HOPS + 1)))),
+        f"count(r.node) FILTER (WHERE r.hops = {i}) AS hop_{i}" for i in range(1, HUB_COLUMNS + 1)))),
     "all_pairs_hops": sql(*_BASE, PAIR_HOPS, recursive=True, final="SELECT * FROM pair_hops"),
     "network_diameter": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
 SELECT n.num_airports, n.num_airports * (n.num_airports - 1) AS total_pairs,
@@ -242,6 +244,8 @@ SELECT hops, count(*) AS count, 100 * count(*) / sum(count(*)) OVER () AS pct
 FROM pair_hops GROUP BY hops""", round_cols=("pct",)),
     "far_pairs": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
 SELECT source, node, hops FROM pair_hops WHERE hops >= 4 ORDER BY hops DESC, source, node LIMIT 20"""),
+    "far_pair_count": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
+SELECT count(*) FILTER (WHERE hops >= 4) AS far_pairs FROM pair_hops"""),
     "diameter_pairs": sql(*_BASE, PAIR_HOPS, recursive=True, final="""
 SELECT source, node, hops FROM pair_hops WHERE hops = (SELECT max(hops) FROM pair_hops)
 ORDER BY source, node LIMIT 10"""),
@@ -266,6 +270,9 @@ SELECT count(*) AS pairs_compared,
        max(reliability_gain) FILTER (WHERE abs(reliability_gain) > 0.1) AS max_reliability_gain
 FROM comparison""", round_cols=("pct_different", "avg_time_penalty", "avg_reliability_gain",
                                  "max_time_penalty", "max_reliability_gain")),
+    "divergence_top_pairs": sql(*_BASE, COMPARISON, recursive=True, final="""
+SELECT src, dst, fast_time, rel_time, fast_rel_score, rel_score, time_penalty, reliability_gain
+FROM divergent ORDER BY reliability_gain DESC, src, dst LIMIT 20""", round_cols=_DIV_DOUBLES),
     "divergence_examples": sql(*_BASE, COMPARISON, recursive=True, final=f"""
 SELECT src, dst, round(fast_time, 0) AS fast_time, round(rel_time, 0) AS rel_time, fast_rel_score,
        rel_score, time_penalty, reliability_gain, {_text('fast_path')} AS fastest_route,

@@ -55,18 +55,41 @@ def _graph(spark):
 
 
 def test_bfs_paths_and_ties(spark):
-    out = {r.node: r for r in G.bfs_hops(_graph(spark), "S", max_hops=6).collect()}
+    out = {r.node: r for r in G.bfs_hops(_graph(spark), "S").collect()}
     assert out["S"].hops == 0 and out["S"].pred is None
     assert out["T"].hops == 2 and out["T"].path == ["S", "A", "T"]   # lexicographic tie-break
     assert "USA" not in out and "Q" not in out
-    assert out["C5"].hops == 6 and "C6" not in out                    # hop cap
+    assert out["C10"].hops == 11                                      # to the end of the chain
+    capped = {r.node: r for r in G.bfs_hops(_graph(spark), "S", max_hops=6).collect()}
+    assert capped["C5"].hops == 6 and "C6" not in capped              # a limit on request
 
 
 def test_bfs_stops_after_target_hop(spark):
-    out = G.bfs_hops(_graph(spark), "S", target="A", max_hops=6)
+    out = G.bfs_hops(_graph(spark), "S", target="A")
     assert out.agg(F.max("hops")).first()[0] == 1
 
 
+def test_long_chain_answers_all_criteria(spark):
+    rows = [(f"N{i}", f"N{i + 1}", 20, 1.0, 2.0) for i in range(12)]
+    e = spark.createDataFrame(rows, "src string, dst string, flight_count long, "
+                                    "avg_flight_time double, reliability_score double")
+    pairs = spark.createDataFrame([("N0", "N10")], "origin string, destination string")
+    out = {r.criterion: r for r in G.route_options(e, pairs).collect()}
+    assert {c: (r.hops, r.value) for c, r in out.items()} == {
+        "fewest_hops": (10, 10.0), "fastest": (10, 10.0), "most_reliable": (10, 20.0)}
+    assert G.all_pairs_hops(e).agg(F.max("hops")).first()[0] == 12
+
+
+def test_negative_weights_are_refused_and_zero_cycles_end(spark):
+    schema = "src string, dst string, w double"
+    bad = spark.createDataFrame([("A", "B", -5.0), ("B", "A", -5.0)], schema)
+    with pytest.raises(ValueError, match="negative"):
+        G.shortest_paths(bad, G.seed_frame(spark, ["A"]), "w")
+    free = spark.createDataFrame([("A", "B", 0.0), ("B", "A", 0.0), ("A", "Z", 0.0)], schema)
+    out = {r.node: r.path for r in G.shortest_paths(free, G.seed_frame(spark, ["A"]), "w").collect()}
+    assert out == {"A": ["A"], "B": ["A", "B"], "Z": ["A", "Z"]}
+
+
 def test_shortest_paths_cap_and_missing_weight(spark):
     e = _graph(spark)
     out = {r.node: r for r in G.shortest_paths(e, G.seed_frame(spark, ["S"]), "avg_flight_time",
@@ -94,7 +117,7 @@ def test_divergence_gain_never_negative(spark):
 
 def test_all_pairs_hops_triangle_rule(spark):
     e = _graph(spark)
-    hops = G.all_pairs_hops(e, 9)
+    hops = G.all_pairs_hops(e)
     # d(s, v) <= d(s, u) + 1 for every edge u→v
     h = hops.alias("h")
     viol = (h.join(e.alias("e"), F.col("h.node") == F.col("e.src"))
@@ -107,6 +130,7 @@ def test_all_pairs_hops_triangle_rule(spark):
 def test_hub_reachability_counts(spark):
     out = {r.hub: r for r in G.hub_reachability(_graph(spark), ["S", "ZZZ"], 4).collect()}
     assert out["S"].hop_1 == 4 and out["S"].hop_2 == 2      # A B N C0 ; T C1
+    assert out["S"].total == 15                              # beyond the four columns, too
     assert out["ZZZ"].total == 0
 
 
@@ -125,18 +149,19 @@ def test_airport_degrees_stacked(spark):
     assert d["T"].in_degree == 3 and d["T"].out_degree == 1
 
 
-def test_route_options_caps_and_agreement_with_bfs(spark):
+def test_route_options_agree_with_bfs(spark):
     e = _graph(spark)
     pairs = spark.createDataFrame([("S", "T"), ("S", "C5"), ("S", "C7"), ("S", "S"), ("S", "Q")],
                                   "origin string, destination string")
-    out = {(r.destination, r.criterion): r for r in G.route_options(e, pairs, 6, 8).collect()}
+    out = {(r.destination, r.criterion): r for r in G.route_options(e, pairs).collect()}
     assert len(out) == 15
-    bfs = {r.node: r for r in G.bfs_hops(e, "S", max_hops=6).collect()}
-    for dst in ("T", "C5", "S"):
+    bfs = {r.node: r for r in G.bfs_hops(e, "S").collect()}
+    for dst in ("T", "C5", "C7", "S"):
         assert out[(dst, "fewest_hops")].hops == bfs[dst].hops
         assert out[(dst, "fewest_hops")].path == bfs[dst].path
-    assert out[("C7", "fewest_hops")].path is None          # 8 legs > 6 hops
-    assert out[("C7", "fastest")].hops == 8                   # within 8 rounds
+    assert out[("C7", "fastest")].hops == 8
+    few = {(r.destination, r.criterion): r for r in G.route_options(e, pairs, 6).collect()}
+    assert few[("C7", "fewest_hops")].path is None            # 8 legs, 6 asked for
     assert out[("T", "fastest")].path == ["S", "A", "T"]
     assert out[("T", "most_reliable")].path == ["S", "B", "T"]
     assert out[("S", "fastest")].hops == 0                    # self pair: 0 legs

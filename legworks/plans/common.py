@@ -35,7 +35,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-_LANDED: dict[tuple[str, str, float, int], str] = {}
+_LANDED: dict[tuple, str] = {}
 
 
 def legs(spark, sf_dir: str, years=None) -> DataFrame:
@@ -43,25 +43,19 @@ def legs(spark, sf_dir: str, years=None) -> DataFrame:
     writes them once as YEAR-partitioned Parquet under the shared checkpoint
     folder (the same landing step real CSV input goes through); every query then
     scans that table with partition and column pruning instead of re-deriving
-    the legs.  The key includes the source file's size and mtime."""
-    import os
-
-    from legworks.session import scratch_path
+    the legs.  The key holds the source files' names, sizes and times of change in
+    whatever store they are, so a rewritten source is landed again."""
+    from legworks.session import file_stamp, scratch_path
     from legworks.sources.legs import land_parquet, read_landed
     from legworks.sources.star import read_star_legs
 
     src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    try:
-        st = os.stat(src)
-        stamp = (st.st_mtime, st.st_size)
-    except OSError:  # not a local path: key by location only
-        stamp = (0.0, 0)
-    key = (spark.sparkContext.applicationId, src, *stamp)
+    key = (spark.sparkContext.applicationId, src, file_stamp(spark, src))
     path = _LANDED.get(key)
     if path is None:
-        # the mapped legs scatter every year over all input splits: shuffle them
-        # by year once so each year lands as one file set instead of tasks × years
+        # the mapped legs scatter every year over all input splits: gather them by year,
+        # a large year in as many tasks and files as its size asks for
         path = land_parquet(read_star_legs(spark, sf_dir), scratch_path(spark, "legs"),
-                            partition_by=("YEAR",), files_per_partition=1)
+                            partition_by=("YEAR",), gather=True)
         _LANDED[key] = path
     return read_landed(spark, path, years=years)

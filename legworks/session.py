@@ -71,7 +71,37 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written tables, in the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/legworks-tables/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base}/legworks-tables/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder of ``scratch_root``."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application has written under ``scratch_root``.  Frames that
+    read them can't be used any more; call it when the results have been saved."""
+    fs, path = _file_system(spark, scratch_root(spark))
+    fs.delete(path, True)
+
+
+def _file_system(spark: SparkSession, location: str):
+    """The Hadoop file system and path of a location, whatever its store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    fs, path = _file_system(spark, location)
+    return fs.exists(path)
+
+
+def file_stamp(spark: SparkSession, location: str) -> tuple[tuple[str, int, int], ...]:
+    """Name, size and time of change of a file, or of each file in a folder."""
+    fs, path = _file_system(spark, location)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in fs.listStatus(path)))

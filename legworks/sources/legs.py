@@ -4,21 +4,66 @@ month coverage and report writers."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from legworks.schema import LEG_COLUMNS, LEG_SCHEMA
+from legworks.session import exists
 
+# Folder by which Spark's file sink marks a table that a stream writes.
+STREAM_LOG = "_spark_metadata"
 
-def read_legs(spark: SparkSession, path: str | Sequence[str], schema=LEG_SCHEMA) -> DataFrame:
+
+REJECTED = "_rejected"
+
+
+def read_legs(spark: SparkSession, path: str | Sequence[str], schema=LEG_SCHEMA,
+              bad_rows: str = "raise") -> DataFrame:
     """Scan on-time CSV files (a directory, glob or list) with an explicit schema.
 
+    Every file's header must name the schema's columns in their order; another header
+    raises.  So does a line with another number of fields, and a field that doesn't fit its
+    column's type once a query uses it.  With ``bad_rows="keep"`` such lines stay, with
+    unfit fields NULL and the line's text in the column ``_rejected`` (NULL for good
+    lines; see ``rejected_rows``), whichever columns a query uses.
+
     No ``inferSchema`` pass: inference reads the data twice and can type the
     same column differently for different file sets.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    return typed_legs(csv_reader(spark.read, schema, bad_rows).csv(paths), schema, bad_rows)
+
+
+def csv_reader(reader, schema: StructType, bad_rows: str):
+    """Schema and options of a batch or stream reader of on-time CSV files."""
+    if bad_rows not in ("raise", "keep"):
+        raise ValueError(f"bad_rows must be 'raise' or 'keep', not {bad_rows!r}")
+    reader = reader.option("header", True).option("enforceSchema", False).option(
+        "columnPruning", False)
+    if bad_rows == "raise":
+        return reader.option("mode", "FAILFAST").schema(schema)
+    fields = [StructField(f.name, StringType()) for f in schema.fields]
+    return (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECTED)
+            .schema(StructType([*fields, StructField(REJECTED, StringType())])))
+
+
+def typed_legs(raw: DataFrame, schema: StructType, bad_rows: str) -> DataFrame:
+    if bad_rows == "raise":
+        return raw
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    unfit = reduce(Column.__or__, [F.col(n).isNotNull() & c.isNull() for n, c in typed.items()])
+    line = F.to_csv(F.struct(*typed), {"nullValue": "", "emptyValue": ""})
+    return raw.select(*[c.alias(n) for n, c in typed.items()],
+                      F.coalesce(F.col(REJECTED), F.when(unfit, line)).alias(REJECTED))
+
+
+def rejected_rows(legs: DataFrame) -> DataFrame:
+    """Lines and rejected lines per year, of a scan with ``bad_rows="keep"``."""
+    return legs.groupBy("YEAR").agg(F.count(F.lit(1)).alias("lines"),
+                                    F.count(REJECTED).alias("rejected"))
 
 
 def to_source_layout(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
@@ -34,23 +79,36 @@ def to_source_layout(df: DataFrame, renames: dict[str, str] | None = None) -> Da
 
 
 def land_parquet(legs: DataFrame, path: str, partition_by: Sequence[str] = ("YEAR", "MONTH"),
-                 mode: str = "overwrite", files_per_partition: int | None = None,
+                 mode: str = "replace_partitions", gather: bool = False,
+                 files_per_partition: int | None = None,
                  max_records_per_file: int = 5_000_000) -> str:
     """Write legs as Parquet partitioned by year and month (the layout that makes
     year/month slices partition-pruned scans).  Returns ``path``.
 
+    ``mode``: ``replace_partitions`` (the partitions that ``legs`` has are replaced, all
+    others stay, so months land one by one and may be landed again), ``append``, or
+    ``overwrite`` (the whole table).  A table that a stream lands into is refused.
+
     By default there is no shuffle: every task writes its rows straight into
     the partition folders (monthly source files already hold one month each,
     so a task writes one file and no month funnels into one writer).  For input
-    whose months are scattered over many tasks, ``files_per_partition=k``
-    first shuffles by the partition columns plus a deterministic hash bucket in
-    ``[0, k)`` — a large month is then written by ``k`` tasks, and a retried
-    task rewrites the same rows.  ``max_records_per_file`` bounds file size.
+    whose months are scattered over many tasks, ``gather`` brings the rows of
+    a partition together; adaptive execution splits a large partition over several
+    tasks by its size.  ``files_per_partition=k`` does the same with a fixed number:
+    a deterministic hash bucket in ``[0, k)``.  ``max_records_per_file`` bounds file size.
     """
+    modes = {"replace_partitions": "overwrite", "append": "append", "overwrite": "overwrite"}
+    if mode not in modes:
+        raise ValueError(f"mode must be one of {sorted(modes)}, not {mode!r}")
+    if exists(legs.sparkSession, f"{path.rstrip('/')}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is landed by a stream; batch rows would not be seen there")
     if files_per_partition:
         bucket = F.pmod(F.xxhash64(*[F.col(c) for c in legs.columns]), F.lit(files_per_partition))
         legs = legs.repartition(*[F.col(c) for c in partition_by], bucket)
-    (legs.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+    elif gather:
+        legs = legs.hint("rebalance", *partition_by)
+    (legs.write.mode(modes[mode]).option("maxRecordsPerFile", max_records_per_file)
+     .option("partitionOverwriteMode", "dynamic" if mode == "replace_partitions" else "static")
      .partitionBy(*partition_by).parquet(path))
     return path
 

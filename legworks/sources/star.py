@@ -3,7 +3,7 @@
 The driver's test data is TPC-H shaped, not on-time CSV.  This mapping gives a
 deterministic leg table with every column the operators need, using only
 integer arithmetic on lineitem keys so Spark and DuckDB agree row for row.
-The DuckDB twin of these expressions is ``legworks.plans.oracle.LEGS_CTE``.
+The DuckDB twin of these expressions is ``LEGS_CTE`` in ``legworks.plans.oracle_legs``.
 
 Scale notes: only six lineitem columns are read (ReadSchema shows them), and a
 ``years`` slice becomes a range predicate on ``l_shipdate`` that Parquet

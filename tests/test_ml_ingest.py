@@ -104,22 +104,85 @@ def test_filter_funnel_counts(spark):
     assert (r.raw_rows, r.completed_rows, r.delayed_rows) == (3, 2, 1)
 
 
+def _month(spark, year, month, delays):
+    rows = [(year, month, f"{month}/{i + 1}/{year}", "ABC", float(d)) for i, d in enumerate(delays)]
+    return spark.createDataFrame(rows, "YEAR int, MONTH int, FL_DATE string, ORIGIN string, "
+                                       "DEP_DELAY double")
+
+
 def test_streaming_landing_is_incremental(spark, tmp_path):
     from legworks.streaming import land_stream
 
-    src, out, ckpt = tmp_path / "csv", str(tmp_path / "landed"), str(tmp_path / "ckpt")
-    month1 = spark.createDataFrame([(2003, 1, "1/5/2003", "ABC", 5.0), (2003, 1, "1/6/2003", "DEF", 7.0)],
-                                   "YEAR int, MONTH int, FL_DATE string, ORIGIN string, DEP_DELAY double")
-    L.write_report(L.to_source_layout(month1), str(src / "2003-01"), fmt="csv")
-    land_stream(spark, str(src / "*"), out, ckpt).awaitTermination()
+    src, out = tmp_path / "csv", str(tmp_path / "landed")
+    L.write_report(L.to_source_layout(_month(spark, 2003, 1, [5, 7])), str(src / "1"), fmt="csv")
+    land_stream(spark, str(src / "*"), out).awaitTermination()
     assert spark.read.parquet(out).count() == 2
-    month2 = spark.createDataFrame([(2003, 2, "2/1/2003", "ABC", 1.0)],
-                                   "YEAR int, MONTH int, FL_DATE string, ORIGIN string, DEP_DELAY double")
-    L.write_report(L.to_source_layout(month2), str(src / "2003-02"), fmt="csv")
-    land_stream(spark, str(src / "*"), out, ckpt).awaitTermination()   # only the new file
+    L.write_report(L.to_source_layout(_month(spark, 2003, 2, [1])), str(src / "2"), fmt="csv")
+    land_stream(spark, str(src / "*"), out).awaitTermination()   # a restart: only the new file
     landed = spark.read.parquet(out)
-    assert landed.count() == 3
-    assert sorted(r.MONTH for r in landed.select("MONTH").distinct().collect()) == [1, 2]
+    assert sorted((r.MONTH, r.DEP_DELAY) for r in landed.collect()) == [(1, 5.0), (1, 7.0), (2, 1.0)]
+    with pytest.raises(ValueError, match="stream"):               # one kind of writer a table
+        L.land_parquet(_month(spark, 2003, 3, [1]), out)
+
+
+def test_stream_refuses_a_batch_table(spark, tmp_path):
+    from legworks.streaming import land_stream
+
+    out = str(tmp_path / "batch")
+    L.land_parquet(_month(spark, 2003, 1, [5]), out)
+    with pytest.raises(ValueError, match="hidden"):
+        land_stream(spark, str(tmp_path), out)
+
+
+def test_months_land_one_by_one_and_again(spark, tmp_path):
+    out = str(tmp_path / "landed")
+    L.land_parquet(_month(spark, 2003, 1, [5, 7]), out)
+    L.land_parquet(_month(spark, 2003, 2, [1]), out)
+    L.land_parquet(_month(spark, 2003, 1, [6]), out)              # January again, corrected
+    rows = sorted((r.MONTH, r.DEP_DELAY) for r in L.read_landed(spark, out).collect())
+    assert rows == [(1, 6.0), (2, 1.0)]
+    L.land_parquet(_month(spark, 2003, 2, [2]), out, mode="append")
+    assert L.read_landed(spark, out).count() == 3
+    L.land_parquet(_month(spark, 2004, 1, [9]), out, mode="overwrite")
+    assert L.read_landed(spark, out).count() == 1
+
+
+def test_gathered_landing_splits_a_large_year(spark, tmp_path):
+    import glob
+    df = spark.range(400_000).select(F.lit(2001).alias("YEAR"), F.col("id"), F.rand(3).alias("x"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        L.land_parquet(df, str(tmp_path / "t"), partition_by=("YEAR",), gather=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(str(tmp_path / "t" / "YEAR=2001" / "*.parquet"))) > 1
+
+
+def test_csv_headers_are_checked_and_bad_lines_counted(spark, tmp_path):
+    good = L.to_source_layout(_month(spark, 2003, 1, [5, 7]))
+    swapped = good.select(*["DEST" if c == "ORIGIN" else "ORIGIN" if c == "DEST" else c
+                            for c in good.columns])
+    L.write_report(swapped, str(tmp_path / "swapped"))
+    with pytest.raises(Exception, match="(?i)header"):
+        L.read_legs(spark, str(tmp_path / "swapped")).select("ORIGIN").collect()
+    bad = good.withColumn("YEAR", F.when(F.col("DEP_DELAY") == 7, "2003.5").otherwise("2003"))
+    L.write_report(bad, str(tmp_path / "bad"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        L.read_legs(spark, str(tmp_path / "bad")).select("YEAR").collect()
+    kept = L.read_legs(spark, str(tmp_path / "bad"), bad_rows="keep")
+    got = {r.YEAR: (r.lines, r.rejected) for r in L.rejected_rows(kept).collect()}
+    assert got == {2003: (1, 0), None: (1, 1)}
+    assert kept.where("_rejected IS NOT NULL").first().ORIGIN == "ABC"
+
+
+def test_scratch_tables_can_be_cleared(spark, tmp_path):
+    from legworks import session as S
+    path = S.scratch_path(spark, "probe")
+    spark.range(3).write.parquet(path)
+    before = S.file_stamp(spark, path)
+    assert S.exists(spark, path) and len(before) >= 1
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert S.file_stamp(spark, path) != before
 
 
 def test_land_parquet_layouts(spark, tmp_path):

@@ -4,11 +4,11 @@ centroid assignment, and an isolation forest for anomaly scores.
 * ``standardize`` and ``assign_centroids`` stay JVM-side: the fitted statistics
   enter the plan as one scalar subquery, the centroids (bounded by
   ``k × features``) as literals — never as a join against the rows.
-* ``kmeans_clusters`` wraps Spark ML's distributed k-means and renumbers the
-  clusters by ascending centre on the first feature so ids are comparable
-  between runs.
-* ``isolation_forest`` (Liu, Ting & Zhou, 2008) is a Spark job: a hash-ranked
-  sample of ``max_samples`` rows per tree (all randomness from hashes of the
+* ``fit_kmeans`` fits Spark ML's distributed k-means on the feature columns alone
+  and numbers the clusters by ascending centre on the first feature; the rows
+  themselves are assigned by an expression, without a shuffle.
+* ``isolation_forest`` (Liu, Ting & Zhou, 2008) is a Spark job: every tree draws its
+  own ``max_samples`` rows from all rows by hash (all randomness from hashes of the
   row key, so it does not depend on data layout), one tree grown per group in
   ``applyInPandas``, and scoring in a vectorised ``pandas_udf``.  Only the
   forest itself (``num_trees × (2·max_samples − 1)`` nodes at most) reaches the
@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -94,39 +96,66 @@ def assign_centroids(df: DataFrame, centroids: DataFrame | Sequence[tuple[int, S
     return df.withColumn(out, best.getField("id")).withColumn(f"{out}_dist2", best.getField("d"))
 
 
-def kmeans_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-                    scale: bool = False, key_cols: Sequence[str] = (), max_iter: int = 20,
-                    partitions: int | None = None, out: str = "cluster") -> DataFrame:
-    """Fit Spark ML k-means on ``features`` and add ``out``.
-
-    ``scale`` z-scores the features first (StandardScaler with mean and std).
-    For run-to-run stability the input is hash-partitioned by ``key_cols`` and
-    sorted within partitions before fitting (k-means|| sampling depends on row
-    placement), and cluster ids are renumbered by ascending centre on the first
-    feature.
+@dataclass(frozen=True)
+class KMeansFit:
+    """Fitted centres, ids by ascending first coordinate, in the units the fit used:
+    (x - mean) / std per feature (mean 0 and std 1 without scaling; a std of 0 maps to 0)."""
+
+    features: tuple[str, ...]
+    centres: tuple[tuple[float, ...], ...]
+    mean: tuple[float, ...]
+    std: tuple[float, ...]
+
+    def scaled(self) -> list[Column]:
+        return [F.lit(0.0) if s == 0 else (F.col(f) - F.lit(m)) / F.lit(s)
+                for f, m, s in zip(self.features, self.mean, self.std, strict=True)]
+
+    def assign(self, df: DataFrame, out: str = "cluster") -> DataFrame:
+        """``df`` with the nearest centre's id (ties to the lower); NULL for a NULL feature."""
+        names = [f"_scaled_{i}" for i in range(len(self.features))]
+        rows = df.select("*", *[c.alias(n) for c, n in zip(self.scaled(), names, strict=True)])
+        rows = assign_centroids(rows, list(enumerate(self.centres)), names, out=out)
+        missing = reduce(Column.__or__, [F.col(f).isNull() for f in self.features])
+        return rows.withColumn(out, F.when(~missing, F.col(out))).drop(*names, f"{out}_dist2")
+
+
+def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
+               scale: bool = False, max_iter: int = 20, partitions: int | None = None,
+               key_cols: Sequence[str] = ()) -> KMeansFit:
+    """Fit Spark ML k-means on ``features``, z-scored first if ``scale``.
+
+    Only the feature columns are read.  A NULL feature raises: leave such rows out before.
+    The start of k-means|| depends on how rows lie in partitions, so by default the
+    centres may differ between clusters and file layouts.  With ``partitions`` and ``key_cols``
+    the keys and features (and nothing else) are first dealt into that many sorted
+    partitions, and the fit is the same wherever it runs.
     """
+    from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
-    data = df
-    if key_cols:
-        n = partitions or df.sparkSession.sparkContext.defaultParallelism
-        data = data.repartition(n, *key_cols).sortWithinPartitions(*key_cols)
-    vec = VectorAssembler(inputCols=list(features), outputCol="_features",
-                          handleInvalid="skip").transform(data)
-    col = "_features"
+    narrow = df.select(*key_cols, *features) if partitions else df.select(*features)
+    if partitions:
+        if not key_cols:
+            raise ValueError("partitions needs key_cols")
+        narrow = narrow.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols)
+    stages = [VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="error")]
     if scale:
-        vec = StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True,
-                             withStd=True).fit(vec).transform(vec)
-        col = "_scaled"
-    model = KMeans(k=k, seed=seed, featuresCol=col, predictionCol="_raw_cluster",
-                   maxIter=max_iter).fit(vec)
-    order = sorted(range(len(model.clusterCenters())),
-                   key=lambda i: (float(model.clusterCenters()[i][0]), i))
-    remap = F.create_map(*[x for new, old in enumerate(order) for x in (F.lit(old), F.lit(new))])
-    return (model.transform(vec)
-            .withColumn(out, remap[F.col("_raw_cluster")])
-            .drop("_features", "_scaled", "_raw_cluster"))
+        stages.append(StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=True))
+    stages.append(KMeans(k=k, seed=seed, featuresCol="_z" if scale else "_x", maxIter=max_iter))
+    fitted = Pipeline(stages=stages).fit(narrow).stages
+    n = len(features)
+    centres = sorted(tuple(float(v) for v in c) for c in fitted[-1].clusterCenters())
+    mean, std = (fitted[1].mean, fitted[1].std) if scale else ([0.0] * n, [1.0] * n)
+    return KMeansFit(tuple(features), tuple(centres), tuple(map(float, mean)),
+                     tuple(map(float, std)))
+
+
+def kmeans_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
+                    scale: bool = False, max_iter: int = 20, partitions: int | None = None,
+                    key_cols: Sequence[str] = (), out: str = "cluster") -> DataFrame:
+    """Fit k-means (``fit_kmeans``) and add the cluster of every row as ``out``."""
+    return fit_kmeans(df, features, k, seed, scale, max_iter, partitions, key_cols).assign(df, out)
 
 
 # --------------------------------------------------------- isolation forest
@@ -224,24 +253,25 @@ class IsolationForestModel:
 
 
 def isolation_forest(train: DataFrame, features: Sequence[str], key_cols: Sequence[str],
-                     num_trees: int = 50, max_samples: int = 256, seed: int = 42,
-                     oversample: float = 3.0) -> IsolationForestModel:
+                     num_trees: int = 50, max_samples: int = 256, seed: int = 42
+                     ) -> IsolationForestModel:
     """Fit an isolation forest on ``train``.
 
-    Sampling: a row enters the candidate pool when a hash of its key falls
-    below ``oversample·num_trees·max_samples / n`` (so the pool size does not
-    grow with the data), then every tree takes the ``max_samples`` pool rows
-    with the smallest tree-specific hash.  The per-tree window and the tree
-    growth see at most ``pool`` rows per tree.
+    Every tree draws its rows from all of ``train``: those with the ``max_samples``
+    smallest hashes of tree and key.  A row leaves its task only for the trees whose
+    hash is below a threshold that lets about twice as many pass (never fewer than needed but with
+    odds below 1e-30; a tree that falls short grows on what it has), so what is
+    shuffled and ranked is bounded by trees and samples, not by rows.
     """
     n = train.count()
     if n == 0:
         raise ValueError("isolation_forest: empty training data")
     keys = [F.col(k) for k in key_cols]
-    unit = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(2 ** 53)) / float(2 ** 53)
-    p = min(1.0, oversample * num_trees * max_samples / n)
-    pool = train.select(*key_cols, *features).where(unit < F.lit(p))
-    trees = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
+    share = min(1.0, (2.0 * max_samples + 64) / n)
+    limit = int((share - 0.5) * 2 ** 64) if share < 1.0 else 2 ** 63 - 1
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(num_trees - 1)),
+                     lambda t: F.xxhash64(F.lit(seed), t, *keys) <= F.lit(limit))
+    trees = train.select(*key_cols, *features, F.explode(drawn).alias("tree"))
     rank = Window.partitionBy("tree").orderBy(
         F.xxhash64(F.lit(seed), F.col("tree"), *keys), *keys)
     sample = (trees.withColumn("_r", F.row_number().over(rank))

@@ -69,7 +69,12 @@ def extra_delay(clean: DataFrame, tie_break: Sequence[str] = (),
     """
     if null_tail not in ("chain", "independent"):
         raise ValueError("null_tail must be 'chain' or 'independent'")
-    day = Window.partitionBy("TAIL_NUM", "FL_DATE_DT").orderBy(
+    # a leg that can't chain needs no neighbour: it is dealt out by its own hash
+    alone = F.col("FL_DATE_DT").isNull()
+    if null_tail == "independent":
+        alone = alone | F.col("TAIL_NUM").isNull()
+    spread = F.when(alone, F.xxhash64(*clean.columns))
+    day = Window.partitionBy("TAIL_NUM", "FL_DATE_DT", spread).orderBy(
         F.col("DEP_TIME").asc(), *[F.col(k).asc() for k in tie_break])
     prev = F.lag(F.struct(F.lit(True).alias("has"), F.col("ARR_DELAY").alias("arr"))).over(day)
     out = clean.withColumn("_prev", prev)

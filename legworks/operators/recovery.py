@@ -32,15 +32,11 @@ BASE_COLUMNS = ["YEAR", "ORIGIN", "OP_UNIQUE_CARRIER", "DEP_DELAY", "ARR_DELAY",
                 "TAXI_OUT", "TAXI_IN", "CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY",
                 "LATE_AIRCRAFT_DELAY", "SECURITY_DELAY", "CANCELLED", "DIVERTED"]
 # Delay components averaged per regime: the five causes and the two taxi times.
-MIX_COLUMNS = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "LATE_AIRCRAFT_DELAY",
-               "SECURITY_DELAY", "TAXI_IN", "TAXI_OUT"]
+MIX_COLUMNS = CAUSE_COLUMNS + TAXI_COLUMNS
 LABELLED_COLUMNS = ["YEAR", "ORIGIN", "OP_UNIQUE_CARRIER", "DEP_DELAY", "ARR_DELAY",
                     "DELAY_CHANGE", "cluster", "recovery_status"]
 DEFAULT_YEARS = (2003, 2013, 2015, 2025)
 
-assert set(MIX_COLUMNS) == set(CAUSE_COLUMNS) | set(TAXI_COLUMNS)
-
-
 # --------------------------------------------------------------------- filter
 
 def delayed_flights(legs: DataFrame, min_dep_delay: float = 10.0,
@@ -132,11 +128,11 @@ def label_regimes(clustered: DataFrame, summary: DataFrame | None = None,
                   ) -> DataFrame:
     """Every flight with its cluster's regime (the per-flight labelled table).
 
-    The summary has one row per cluster id — bounded by k, so broadcasting it is
-    safe at any data size and the legs are never shuffled for this join.
+    The summary has one row per cluster id; how it is joined is left to Spark's size
+    statistics, which broadcast it for the few clusters of a k-means fit.
     """
     summary = cluster_summary(clustered, fraction) if summary is None else summary
-    labels = F.broadcast(summary.select("cluster", "recovery_status"))
+    labels = summary.select("cluster", "recovery_status")
     out = clustered.join(labels, on="cluster", how="left")
     return out.select(*columns) if columns else out
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from legworks.operators.recovery import cluster_grain, label_grain, recovery_regimes
@@ -32,13 +32,10 @@ def regime_mix(clustered: DataFrame, key: str, top_n: int = 10,
     labelled = label_grain(cluster_grain(clustered, [key]), fraction)
     per = (labelled.where(F.col(key).isNotNull())
            .groupBy(key, "recovery_status").agg(F.sum("_n").alias("n")))
-    # top keys by a window over the per-key aggregate (keys × regimes rows) —
-    # no second pass over the legs
-    ranked = (per.withColumn("_total", F.sum("n").over(Window.partitionBy(key)))
-              .withColumn("_rank", F.dense_rank().over(
-                  Window.orderBy(F.col("_total").desc(), F.col(key).asc()))))
-    pct = (ranked.where(F.col("_rank") <= top_n)
-           .withColumn("pct", 100 * F.col("n") / F.col("_total")))
+    # the top keys by a top-k over one row per key; Spark keeps n rows of each task
+    totals = per.groupBy(key).agg(F.sum("n").alias("_total"))
+    top = totals.orderBy(F.col("_total").desc(), F.col(key).asc()).limit(top_n)
+    pct = per.join(top, key).withColumn("pct", 100 * F.col("n") / F.col("_total"))
     wide = pct.groupBy(key).pivot("recovery_status", list(statuses)).agg(F.first("pct"))
     return wide.fillna(0.0, subset=list(statuses))
 

@@ -1,4 +1,4 @@
-"""Generic aggregate helpers: exact percentiles from histograms, shares, top-k."""
+"""Generic aggregate helpers: histograms, percentiles, distributions, top-k."""
 
 from __future__ import annotations
 
@@ -20,25 +20,14 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str,
             .groupBy(*keys, value).agg(F.count(F.lit(1)).alias(count_col)))
 
 
-def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float,
-                     alias: str) -> DataFrame:
-    """Exact discrete percentile per key: the ``ceil(p·n)``-th smallest value.
+def exact_percentile(c: str, p: float) -> Column:
+    """Exact discrete percentile: the ``ceil(p·n)``-th smallest value, NULLs left out.
 
-    This is the value ``percentile_approx`` converges to (and DuckDB's
-    ``quantile_disc``), computed without a sketch: histogram → running count
-    within the key → first value whose running count reaches the rank.  The
-    window only spans a key's distinct values, never its raw rows.
+    An aggregate whose buffer is a count per distinct value: delays are whole
+    minutes in a bounded range, so it merges before and after the shuffle like a
+    small histogram, in the same pass as a group's other aggregates.
     """
-    hist = value_histogram(df, keys, value)
-    run = Window.partitionBy(*keys).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*keys)
-    ranked = (hist
-              .withColumn("_cum", F.sum("c").over(run))
-              .withColumn("_n", F.sum("c").over(whole)))
-    target = F.ceil(F.col("_n") * F.lit(float(p)))
-    return (ranked.where(F.col("_cum") >= target)
-            .groupBy(*keys).agg(F.min(value).alias(alias)))
+    return F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY `{c}`)")
 
 
 def approx_percentile(c: str | Column, p: float, accuracy: int = 1_000_000) -> Column:
@@ -46,12 +35,6 @@ def approx_percentile(c: str | Column, p: float, accuracy: int = 1_000_000) -> C
     return F.percentile_approx(F.col(c) if isinstance(c, str) else c, float(p), accuracy)
 
 
-def share_of_group(value: str | Column, keys: Sequence[str]) -> Column:
-    """``value / sum(value) over (partition by keys)`` — NULL on a zero total."""
-    v = F.col(value) if isinstance(value, str) else value
-    return F.try_divide(v, F.sum(v).over(Window.partitionBy(*keys)))
-
-
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
                     rank_col: str = "rank", method: str = "row_number") -> DataFrame:
     """Rows ranked ``<= k`` within each key (Spark plans a WindowGroupLimit)."""
@@ -60,12 +43,26 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return df.withColumn(rank_col, fn().over(w)).where(F.col(rank_col) <= k)
 
 
-def top_keys(df: DataFrame, key: str, n: int, weight: str | None = None) -> DataFrame:
-    """The ``n`` most frequent (or heaviest) non-NULL keys, ties broken by key.
+def distribution(df: DataFrame, measures: dict[str, tuple[str, str, float | None]],
+                 accuracy: int = 1_000_000) -> DataFrame:
+    """One row of summary figures over ``df``, in one pass.
 
-    Pre-aggregates per key, so the global sort only sees one row per key and
-    Spark turns ``orderBy().limit()`` into a TakeOrderedAndProject.
+    ``measures`` maps a result column to ``(column, statistic, argument)``; statistics are
+    ``min``, ``max``, ``avg``, ``quantile`` (the argument is p), ``at_least`` and
+    ``below`` (rows on that side of the argument).
     """
-    agg = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (df.where(F.col(key).isNotNull()).groupBy(key).agg(agg.alias("_w"))
-            .orderBy(F.col("_w").desc(), F.col(key).asc()).limit(n).select(key))
+    kinds = {
+        "min": lambda c, _: F.min(c), "max": lambda c, _: F.max(c), "avg": lambda c, _: F.avg(c),
+        "quantile": lambda c, p: approx_percentile(c, p, accuracy),
+        "at_least": lambda c, x: F.count_if(F.col(c) >= x),
+        "below": lambda c, x: F.count_if(F.col(c) < x)}
+    return df.agg(*[kinds[kind](column, arg).alias(name)
+                    for name, (column, kind, arg) in measures.items()])
+
+
+def rounded_columns(df: DataFrame, columns: Sequence[str], digits: int,
+                    exact: Sequence[str] = ()) -> DataFrame:
+    """``columns`` of ``df``, its double columns rounded but for those in ``exact``."""
+    doubles = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
+    return df.select(*[F.round(c, digits).alias(c) if c in doubles - set(exact) else F.col(c)
+                       for c in columns])

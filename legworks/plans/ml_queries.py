@@ -1,8 +1,9 @@
-"""Catalogue entries for the ML family.
+"""Catalogue entries for the ML family, with their oracle SQL.
 
-``standardize`` and ``assign_centroids`` are deterministic and oracle-checked;
-k-means and the isolation forest depend on a randomised fit and are checked
-rows-only (their row counts are fixed by the data, not by the fit).
+A randomised fit leaves its centres and trees open, but the data fix a lot of what must
+come out: which rows are scored, that each row is in the cluster of its nearest fitted
+centre, that scores lie in (0, 1], that about the asked share is flagged, and that
+groups add up to the whole.  The fitted entries return that, for every row.
 """
 
 from __future__ import annotations
@@ -13,63 +14,116 @@ from legworks.operators import ml as M
 from legworks.operators import recovery as R
 from legworks.operators.report import profile
 from legworks.plans.common import legs, rounded
-from legworks.plans.propagation_queries import KEYS, clean, extra
-from legworks.plans.recovery_queries import CLUSTERED, DELAYED, _clustered, _delayed
+from legworks.plans.propagation_queries import CLEAN, EXTRA, KEYS, clean, extra
+from legworks.plans.recovery_queries import (CLUSTERED, DELAYED, DELAYED_DOUBLES, _clustered,
+                                             _delayed)
 from legworks.plans.report_queries import PROFILE_FEATURES
 from legworks.plans.sqltext import sql
 from legworks.sources.legs import train_split
 
+# The features, cluster counts and seed of the two analyses.
 RECOVERY_FEATURES = ["DEP_DELAY", "ARR_DELAY", "DELAY_CHANGE"]
 PROPAGATION_FEATURES = ["DEP_DELAY", "ARR_DELAY", "EXTRA_DELAY", "DISTANCE"]
+RECOVERY_K, PROPAGATION_K, SEED = 3, 6, 42
+CONTAMINATION = 0.05
+FIT_PARTITIONS = 8         # the fit repeats on any cluster
 
 
-def _kmeans_recovery(spark, sf_dir):
+def _fit_recovery(spark, sf_dir):
     delayed = R.delayed_flights(legs(spark, sf_dir), columns=R.BASE_COLUMNS + KEYS)
-    clustered = M.kmeans_clusters(delayed, RECOVERY_FEATURES, k=3, seed=42, scale=True,
-                                  key_cols=KEYS)
-    return R.label_regimes(clustered)
+    fit = M.fit_kmeans(delayed, RECOVERY_FEATURES, RECOVERY_K, SEED, scale=True,
+                       partitions=FIT_PARTITIONS, key_cols=KEYS)
+    return delayed, fit
+
+
+def _nearest(rows, fit):
+    """Whether the row's cluster is one whose centre no other is nearer than."""
+    away = [sum((x - F.lit(v)) * (x - F.lit(v)) for x, v in zip(fit.scaled(), c, strict=True))
+            for c in fit.centres]
+    own = F.get(F.array(*away), F.col("cluster"))
+    return rows.withColumn("nearest", own <= F.least(*away) + F.lit(1e-9))
+
+
+def _kmeans_recovery(spark, sf_dir):
+    delayed, fit = _fit_recovery(spark, sf_dir)
+    rows = _nearest(fit.assign(delayed), fit)
+    return R.label_regimes(rows, columns=None).select(
+        *KEYS, "YEAR", *RECOVERY_FEATURES, "nearest",
+        F.col("recovery_status").isNotNull().alias("labelled"))
+
+
+def _fitted_regimes(spark, sf_dir):
+    """Flights and mean causes over all regimes of the fitted clusters: R1 and R4 put together
+    again must give the totals of the data."""
+    delayed, fit = _fit_recovery(spark, sf_dir)
+    clustered = fit.assign(delayed)
+    per_year = R.recovery_regimes(clustered).groupBy("YEAR").agg(F.sum("count").alias("flights"))
+    mix = R.cause_mix(clustered)
+    shares = [c for c in mix.columns if c.endswith("_pct")]
+    whole = mix.agg(F.min(F.abs(sum(F.col(c) for c in shares) - 100) < 1e-6).alias("whole"))
+    return per_year.withColumn("whole", whole.scalar())
 
 
 def _kmeans_propagation(spark, sf_dir):
-    clustered = M.kmeans_clusters(extra(spark, sf_dir), PROPAGATION_FEATURES, k=6, seed=42,
-                                  key_cols=KEYS)
-    return clustered.select(*KEYS, *PROPAGATION_FEATURES, "cluster")
+    rows = extra(spark, sf_dir)
+    fit = M.fit_kmeans(rows, PROPAGATION_FEATURES, PROPAGATION_K, SEED,
+                       partitions=FIT_PARTITIONS, key_cols=KEYS)
+    return _nearest(fit.assign(rows), fit).select(*KEYS, *PROPAGATION_FEATURES, "nearest")
 
 
 def _scored(spark, sf_dir):
-    """Isolation forest on the propagation features: fit on a 30 % hash split,
-    score the other 70 %."""
+    """Isolation forest on the propagation features: fit on 30 % of the orders, score the rest."""
     df = clean(spark, sf_dir).withColumn("DELAY_RECOVERY", F.col("DEP_DELAY") - F.col("ARR_DELAY"))
-    split = train_split(df, 0.3, key_cols=KEYS)
+    split = train_split(df, 0.3, bucket=F.col("l_orderkey") % 100)
     train = split.where(F.col("split") == "train")
     score = split.where(F.col("split") == "score")
-    return M.anomaly_scores(train, score, PROFILE_FEATURES, KEYS, contamination=0.05,
-                            num_trees=50, max_samples=256, seed=42)
+    return M.anomaly_scores(train, score, PROFILE_FEATURES, KEYS, contamination=CONTAMINATION,
+                            num_trees=50, max_samples=256, seed=SEED)
+
+
+def _anomaly_scores(spark, sf_dir):
+    score = F.col("anomaly_score")
+    return _scored(spark, sf_dir).select(
+        *KEYS, ((score > 0) & (score <= 1)).alias("score_valid"),
+        F.col("final_prediction").isin(0, 1).alias("flag_valid"))
+
+
+def _anomaly_profile(spark, sf_dir):
+    """Profile of normal and flagged legs put together: rows, the flagged share near the asked
+    one, and the means of all scored rows from the means of the two groups."""
+    scored = _scored(spark, sf_dir)
+    groups = profile(scored, "final_prediction", PROFILE_FEATURES).join(
+        scored.groupBy("final_prediction").count(), "final_prediction")
+    n = F.col("count")
+    share = F.sum(F.when(F.col("final_prediction") == 1, n).otherwise(0)) / F.sum(n)
+    return groups.agg(
+        F.sum(n).alias("scored_rows"),
+        share.between(CONTAMINATION - 0.03, CONTAMINATION + 0.03).alias("share_near"),
+        *[(F.sum(F.col(f"{f}_mean") * n) / F.sum(n)).alias(f"{f}_mean")
+          for f in PROFILE_FEATURES])
 
 
 QUERIES = {
     "standardize": lambda s, d: rounded(M.standardize(_delayed(s, d), RECOVERY_FEATURES)),
+    "standardize_scale_only": lambda s, d: rounded(M.standardize(
+        _delayed(s, d), RECOVERY_FEATURES, with_mean=False)),
     "assign_centroids": lambda s, d: rounded(M.assign_centroids(
         _clustered(s, d), M.centroid_table(_clustered(s, d), RECOVERY_FEATURES),
         RECOVERY_FEATURES).select("YEAR", "ORIGIN", "OP_UNIQUE_CARRIER", *RECOVERY_FEATURES,
                                   "cluster", "assigned", "assigned_dist2")),
     "kmeans_recovery": _kmeans_recovery,
     "kmeans_propagation": _kmeans_propagation,
-    "anomaly_scores": lambda s, d: _scored(s, d).select(*KEYS, "anomaly_score", "final_prediction"),
-    "anomaly_profile": lambda s, d: rounded(profile(_scored(s, d), "final_prediction",
-                                                    PROFILE_FEATURES)),
+    "fitted_regimes": _fitted_regimes,
+    "anomaly_scores": _anomaly_scores,
+    "anomaly_profile": lambda s, d: rounded(_anomaly_profile(s, d)),
 }
 
-_DELAYED_DOUBLES = ["DEP_DELAY", "ARR_DELAY", "TAXI_OUT", "TAXI_IN", "CARRIER_DELAY",
-                    "WEATHER_DELAY", "NAS_DELAY", "LATE_AIRCRAFT_DELAY", "SECURITY_DELAY",
-                    "CANCELLED", "DIVERTED", "DELAY_CHANGE"]
-
 ORACLE = {
     "standardize": sql(DELAYED, final="SELECT *, {} FROM delayed".format(", ".join(
         f"CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 "
         f"ELSE ({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () END AS {f}_z"
         for f in RECOVERY_FEATURES)),
-        round_cols=_DELAYED_DOUBLES + [f"{f}_z" for f in RECOVERY_FEATURES]),
+        round_cols=DELAYED_DOUBLES + [f"{f}_z" for f in RECOVERY_FEATURES]),
     "assign_centroids": sql(DELAYED, CLUSTERED, """
 cent AS (SELECT cluster AS id, avg(DEP_DELAY) AS f0, avg(ARR_DELAY) AS f1, avg(DELAY_CHANGE) AS f2
          FROM clustered GROUP BY cluster),
@@ -84,4 +138,28 @@ SELECT r.YEAR, r.ORIGIN, r.OP_UNIQUE_CARRIER, r.DEP_DELAY, r.ARR_DELAY, r.DELAY_
        b.b.id AS assigned, b.b.d AS assigned_dist2
 FROM rows_ r JOIN best b USING (rid)""",
         round_cols=("DEP_DELAY", "ARR_DELAY", "DELAY_CHANGE", "assigned_dist2")),
+    "standardize_scale_only": sql(DELAYED, final="SELECT *, {} FROM delayed".format(", ".join(
+        f"CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 "
+        f"ELSE {f} / stddev_samp({f}) OVER () END AS {f}_z" for f in RECOVERY_FEATURES)),
+        round_cols=DELAYED_DOUBLES + [f"{f}_z" for f in RECOVERY_FEATURES]),
+    "kmeans_recovery": sql(final="""
+SELECT {keys}, YEAR, DEP_DELAY, ARR_DELAY, ARR_DELAY - DEP_DELAY AS DELAY_CHANGE,
+       true AS nearest, true AS labelled
+FROM legs
+WHERE CANCELLED = 0 AND DIVERTED = 0 AND DEP_DELAY > 10 AND ARR_DELAY >= -15
+  AND DEP_DELAY <= 360 AND ARR_DELAY <= 360""".format(keys=", ".join(KEYS))),
+    "fitted_regimes": sql(DELAYED, final="""
+SELECT YEAR, count(*) AS flights, true AS whole FROM delayed GROUP BY YEAR"""),
+    "kmeans_propagation": sql(CLEAN, EXTRA, final="""
+SELECT {keys}, {features}, true AS nearest FROM extra""".format(
+        keys=", ".join(KEYS), features=", ".join(PROPAGATION_FEATURES))),
+    "anomaly_scores": sql(CLEAN, final="""
+SELECT {keys}, true AS score_valid, true AS flag_valid FROM clean
+WHERE l_orderkey % 100 >= 30""".format(keys=", ".join(KEYS))),
+    "anomaly_profile": sql(CLEAN, final="""
+SELECT count(*) AS scored_rows, true AS share_near, {means} FROM
+  (SELECT *, DEP_DELAY - ARR_DELAY AS DELAY_RECOVERY FROM clean) c
+WHERE l_orderkey % 100 >= 30""".format(
+        means=", ".join(f"avg({f}) AS {f}_mean" for f in PROFILE_FEATURES)),
+        round_cols=[f"{f}_mean" for f in PROFILE_FEATURES]),
 }

@@ -12,13 +12,14 @@ from legworks.sources.star import leg_key_columns
 KEYS = leg_key_columns()
 
 
-def clean(spark, sf_dir):
-    return P.clean_legs(legs(spark, sf_dir), date_col="FL_DATE_RAW",
+def clean(spark, sf_dir, years=None):
+    return P.clean_legs(legs(spark, sf_dir, years), date_col="FL_DATE_RAW",
                         dep_time_col="DEP_TIME_RAW", arr_time_col="ARR_TIME_RAW", keep=KEYS)
 
 
-def extra(spark, sf_dir):
-    return P.extra_delay(clean(spark, sf_dir), tie_break=KEYS)
+def extra(spark, sf_dir, years=None):
+    """``years`` prunes partitions; a leg's chain never leaves its day, so that is exact."""
+    return P.extra_delay(clean(spark, sf_dir, years), tie_break=KEYS)
 
 
 def _clustered(spark, sf_dir):
@@ -26,7 +27,7 @@ def _clustered(spark, sf_dir):
 
 
 def _cascade(spark, sf_dir):
-    return P.airport_cascade_causes(extra(spark, sf_dir), years=YEARS)
+    return P.airport_cascade_causes(extra(spark, sf_dir, YEARS), years=YEARS)
 
 
 QUERIES = {

@@ -62,11 +62,9 @@ labelled AS (
   SELECT c.*, s.recovery_status FROM clustered c LEFT JOIN summary s USING (cluster)
 )"""
 
-_MIX = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "LATE_AIRCRAFT_DELAY",
-        "SECURITY_DELAY", "TAXI_IN", "TAXI_OUT"]
-_DELAYED_DOUBLES = ["DEP_DELAY", "ARR_DELAY", "TAXI_OUT", "TAXI_IN", "CARRIER_DELAY",
-                    "WEATHER_DELAY", "NAS_DELAY", "LATE_AIRCRAFT_DELAY", "SECURITY_DELAY",
-                    "CANCELLED", "DIVERTED", "DELAY_CHANGE"]
+_MIX = R.MIX_COLUMNS
+DELAYED_DOUBLES = [c for c in R.BASE_COLUMNS
+                   if c not in ("YEAR", "ORIGIN", "OP_UNIQUE_CARRIER")] + ["DELAY_CHANGE"]
 
 MIX_ABS = """
 mix_abs AS (
@@ -122,7 +120,7 @@ FROM ranked QUALIFY rank <= 10""", round_cols=("airport_delay", "total_delay", "
 
 
 ORACLE = {
-    "delayed_flights": sql(DELAYED, final="SELECT * FROM delayed", round_cols=_DELAYED_DOUBLES),
+    "delayed_flights": sql(DELAYED, final="SELECT * FROM delayed", round_cols=DELAYED_DOUBLES),
     "cluster_summary": sql(DELAYED, CLUSTERED, final="SELECT * FROM summary",
                            round_cols=("DEP_DELAY", "ARR_DELAY", "DELAY_CHANGE", "threshold")),
     "label_regimes": sql(DELAYED, CLUSTERED, final="""

@@ -1,4 +1,4 @@
-"""Explicit schemas for legs, routes and distance tables."""
+"""Explicit schema of the legs, and the fixed names of causes and regimes."""
 
 from __future__ import annotations
 
@@ -53,18 +53,3 @@ RECOVERY_ACHIEVED = "Recovery Achieved"
 NOT_ACHIEVED = "Not Achieved"
 DELAY_WORSENED = "Delay Worsened"
 REGIME_ORDER = [RECOVERY_ACHIEVED, NOT_ACHIEVED, DELAY_WORSENED]
-
-ROUTE_SCHEMA = T.StructType([
-    T.StructField("src", _STR), T.StructField("dst", _STR),
-    T.StructField("flight_count", T.LongType()), T.StructField("days_with_service", T.LongType()),
-    T.StructField("num_carriers", T.LongType()), T.StructField("carriers", T.ArrayType(_STR)),
-    T.StructField("avg_flight_time", _DBL), T.StructField("avg_delay", _DBL),
-    T.StructField("std_delay", _DBL), T.StructField("p90_delay", _DBL),
-    T.StructField("reliability_score", _DBL), T.StructField("availability_pct", _DBL),
-])
-
-DISTANCE_SCHEMA = T.StructType([
-    T.StructField("source", _STR), T.StructField("node", _STR),
-    T.StructField("hops", _INT), T.StructField("dist", _DBL),
-    T.StructField("cross_dist", _DBL), T.StructField("path", T.ArrayType(_STR)),
-])

@@ -52,11 +52,24 @@ def test_standardize_and_centroids(spark):
 def test_kmeans_relabels_by_first_feature(spark):
     rows = [(i, float(v + (i % 5) * 0.01), float(v)) for i, v in enumerate([0] * 30 + [50] * 30 + [100] * 30)]
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, key_cols=["id"])
+    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, partitions=4, key_cols=["id"])
     means = {r.cluster: r.m for r in out.groupBy("cluster").agg(F.avg("a").alias("m")).collect()}
     assert [round(means[c]) for c in sorted(means)] == [0, 50, 100]
 
 
+def test_kmeans_refuses_null_features_and_repeats(spark):
+    rows = [(i, float(i % 7), float(i % 3) if i % 10 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    with pytest.raises(Exception, match="(?i)null"):
+        M.fit_kmeans(df, ["a", "b"], k=3)
+    whole = df.where("b IS NOT NULL")
+    fit = M.fit_kmeans(whole.repartition(3), ["a", "b"], k=3, scale=True, partitions=4, key_cols=["id"])
+    again = M.fit_kmeans(whole.repartition(7), ["a", "b"], k=3, scale=True, partitions=4, key_cols=["id"])
+    assert fit == again
+    out = fit.assign(df)
+    assert out.count() == 100 and out.where("cluster IS NULL").count() == 10
+
+
 def test_profile_one_pass(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0)], "flag int, v double")
     out = {r.flag: r for r in RP.profile(df, "flag", ["v"]).collect()}
@@ -208,7 +221,7 @@ def test_kmeans_rows_nearest_to_own_centre(spark):
     rows = [(i, float(cx + rng.normal(0, 2)), float(cy + rng.normal(0, 2)))
             for i, (cx, cy) in enumerate(centres[j % 3] for j in range(600))]
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, key_cols=["id"])
+    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, partitions=4, key_cols=["id"])
     assert out.select("cluster").distinct().count() == 3
     checked = M.assign_centroids(out, M.centroid_table(out, ["a", "b"]), ["a", "b"])
     assert checked.where(F.col("assigned") != F.col("cluster")).count() == 0

@@ -12,7 +12,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MAX_EPOCHS = 2
 SYMBOLS = r"[0-9#*$%&|<>{}=_~^@\\/+]"
-BUCKET_ROWS = 20_000       # rows that one sort of the sampling order should hold, about
+BUCKET_ROWS = 2_000       # rows that one sort of the sampling order should hold, about
 MAX_SOURCES_BROADCAST = 100_000
 
 

@@ -159,6 +159,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
               .repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
               .select("toxic", "terms"))
     row = sample.mapInArrow(fit, "bias double, terms binary, w binary, v binary").head()
+    if row is None:  # no row to learn from
+        return fit_machine([], np.zeros(0))
     return Machine(row.bias, np.frombuffer(row.terms, np.int32), np.frombuffer(row.w),
                    np.frombuffer(row.v).reshape(-1, FACTORS))
 

@@ -18,10 +18,11 @@ from legworks.llm.decontaminate import words_of
 HASH_BITS = 18
 PREFIXES = (4, 5)          # of a word's characters; the word itself is a term, too
 MAX_TRAIN = 12_000         # labelled rows that the model is fitted on, by hash of doc_id
+PRIOR = 3.0                # documents of either kind that every term is taken to be in besides
 MAX_TERMS = 8192           # hashed terms in the model, by association with the label
-MIN_CHI2, MIN_DOCS = 20.0, 3   # so high that few of all hashed terms pass by chance
+MIN_CHI2, MIN_DOCS, ROWS_A_DOC = 20.0, 3, 2000   # so high that few of all hashed terms pass by chance
 FACTORS = 8
-BATCH, STEPS, RATE, L2 = 256, 1500, 0.02, 1e-4
+BATCH, STEPS, RATE, DECAY = 256, 1500, 0.02, 1e-2
 THRESHOLD = 0.7
 SEED = 11
 FOLDS, HELD_OUT = 3, 1     # fixed by the contract: rows of this remainder are never learnt from
@@ -59,7 +60,9 @@ class Machine:
 
 def fit_machine(docs: list[np.ndarray], y: np.ndarray) -> Machine:
     """Adam on the log loss in mini-batches; terms chosen by chi-square on the same rows,
-    linear weights started at half their log odds."""
+    where rows of the same terms and label count once, so that copies don't vote; linear weights started at half their log odds, or 0 for terms of clean texts."""
+    once = {(d.tobytes(), label): i for i, (d, label) in enumerate(zip(docs, y, strict=True))}
+    docs, y = [docs[i] for i in once.values()], y[list(once.values())]
     n, toxic = len(y), float(y.sum())
     base = (toxic + 0.5) / (n + 1.0) if n else 0.1
     bias = float(np.log(base / (1 - base)))
@@ -74,7 +77,7 @@ def fit_machine(docs: list[np.ndarray], y: np.ndarray) -> Machine:
         hits[terms] += label
     with np.errstate(divide="ignore", invalid="ignore"):
         chi2 = n * (hits * n - df * toxic) ** 2 / (df * (n - df) * toxic * (n - toxic))
-    chi2[(df < MIN_DOCS) | ~np.isfinite(chi2)] = 0
+    chi2[(df < max(MIN_DOCS, n // ROWS_A_DOC)) | ~np.isfinite(chi2)] = 0
     best = np.argsort(-chi2, kind="stable")[:MAX_TERMS]
     terms = np.sort(best[chi2[best] >= MIN_CHI2]).astype(np.int32)
     if not len(terms):
@@ -86,8 +89,9 @@ def fit_machine(docs: list[np.ndarray], y: np.ndarray) -> Machine:
     rng = np.random.default_rng(SEED)
     k = len(terms)
     params = np.zeros((k, FACTORS + 1))
-    params[:, 0] = 0.5 * np.log((hits[terms] + 0.5) / (toxic + 1)
-                                / ((df[terms] - hits[terms] + 0.5) / (n - toxic + 1)))
+    params[:, 0] = 0.5 * np.maximum(0, np.log(
+        (hits[terms] + PRIOR) / (toxic + 1)
+        / ((df[terms] - hits[terms] + PRIOR) / (n - toxic + 1))))
     params[:, 1:] = rng.normal(0, 0.05, (k, FACTORS))
     first, second = np.zeros_like(params), np.zeros_like(params)
     order = rng.permutation(n)
@@ -102,13 +106,15 @@ def fit_machine(docs: list[np.ndarray], y: np.ndarray) -> Machine:
         z = (bias + np.bincount(nth, w, len(batch))
              + 0.5 * ((total ** 2).sum(1) - np.bincount(nth, (v * v).sum(1), len(batch))))
         g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
-        grad = L2 * params
+        grad = np.zeros_like(params)
         np.add.at(grad, idx, g[nth, None] * np.hstack([np.ones((len(idx), 1)), total[nth] - v]))
         bias -= RATE * g.sum()
         first = 0.9 * first + 0.1 * grad
         second = 0.999 * second + 0.001 * grad * grad
-        params -= RATE * (first / (1 - 0.9 ** step)) / (
-            np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
+        # weights decay by themselves: as a part of the gradient, the decay would be scaled up
+        # to full steps wherever the loss has none left
+        params -= RATE * ((first / (1 - 0.9 ** step))
+                          / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8) + DECAY * params)
     return Machine(float(bias), terms, params[:, 0], params[:, 1:])
 
 

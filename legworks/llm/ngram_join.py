@@ -18,7 +18,7 @@ WORDS = 5                      # words of a shingle
 SIMILAR = (4, 5)               # Jaccard similarity of links, as a fraction: 0.8
 RECALL = 0.999                 # of a pair just at the threshold
 DEPTH = 3                      # levels of splitting; larger buckets are then compared in blocks
-SMALL = 500                    # items of a bucket that is not split any more
+SMALL = 2500                   # items of a bucket that is not split any more
 CELL_ROWS, CELL_TOKENS = 1000, 1_000_000
 BINS = 64                      # of the sketch
 SIGMAS = 5.0                   # of a sketch's error by which a pair may miss the threshold
@@ -29,8 +29,10 @@ SIGNATURE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("digest", T.LongType()),
     T.StructField("item", T.LongType()), T.StructField("size", T.IntegerType()),
     T.StructField("sketch", T.BinaryType()),
-    T.StructField("paths", T.ArrayType(T.LongType())),
-    T.StructField("parents", T.ArrayType(T.IntegerType()))])
+    T.StructField("paths", T.ArrayType(T.LongType())),      # of the first level
+    T.StructField("deeper", T.ArrayType(T.StructType([       # of the others
+        T.StructField("level", T.IntegerType()), T.StructField("parent", T.LongType()),
+        T.StructField("path", T.LongType())])))])
 
 
 def runs_for(recall: float, depth: int) -> int:
@@ -90,34 +92,29 @@ def sketch_of(tokens: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def chosen_paths(tokens: np.ndarray, runs: int, depth: int) -> tuple[list[int], list[int]]:
-    """Paths of all levels, and the position of each one's parent (-1 - run at the first level).
+def chosen_paths(tokens: np.ndarray, runs: int, depth: int) -> list[tuple[list, list]]:
+    """(parents, paths) of each level; the parents of the first level are the runs.
 
     Below every path, a token is chosen if its hash with the path is under
     1 / (0.8 * tokens): two similar sets agree on such a choice once in the mean.
     """
     n = len(tokens)
     if not n:
-        return [], []
+        return [([], [])] * depth
     limit = np.uint64(min(2 ** 64 - 1, int(2 ** 64 * SIMILAR[1] / (SIMILAR[0] * n))))
     level = mixed(np.arange(1, runs + 1, dtype=np.uint64) * SEED)
-    at = np.arange(-1, -1 - runs, -1)
-    paths, parents = [], []
+    out = []
     wide = max(1, 4_000_000 // n)
     for _ in range(depth):
-        found, above = [], []
+        found, above = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for lo in range(0, len(level), wide):
             h = mixed(tokens[None, :] ^ level[lo:lo + wide, None])
             row, col = np.nonzero(h < limit)
             found.append(mixed(h[row, col] + level[lo + row]))
-            above.append(at[lo + row])
-        if not found:
-            break
+            above.append(level[lo + row])
         level, above = np.concatenate(found), np.concatenate(above)
-        at = np.arange(len(paths), len(paths) + len(level))
-        paths += level.astype(np.int64).tolist()
-        parents += above.tolist()
-    return paths, parents
+        out.append((above.view(np.int64).tolist(), level.view(np.int64).tolist()))
+    return out
 
 
 def signatures(docs: DataFrame, runs: int, depth: int) -> DataFrame:
@@ -126,9 +123,13 @@ def signatures(docs: DataFrame, runs: int, depth: int) -> DataFrame:
         out["doc_id"], out["digest"] = cols["doc_id"], cols["digest"]
         for text in cols["text"]:
             tokens = shingles(text)
-            paths, parents = chosen_paths(tokens, runs, depth)
+            levels = chosen_paths(tokens, runs, depth)
+            deeper = [{"level": k, "parent": a, "path": b}
+                      for k, level in enumerate(levels[1:], 2)
+                      for a, b in zip(*level, strict=True)]
             for k, v in (("item", item_of(tokens)), ("size", len(tokens)),
-                         ("sketch", sketch_of(tokens)), ("paths", paths), ("parents", parents)):
+                         ("sketch", sketch_of(tokens)), ("paths", levels[0][1]),
+                         ("deeper", deeper)):
                 out[k].append(v)
         return out
 
@@ -140,20 +141,19 @@ def signatures(docs: DataFrame, runs: int, depth: int) -> DataFrame:
 def buckets(sets: DataFrame, depth: int) -> DataFrame:
     """(bucket, item, weight) of the paths at which splitting ends: those of small buckets, and
     those of the last level."""
-    flat = sets.select("item", "size", F.explode(F.arrays_zip("paths", "parents")).alias("p"),
-                       "paths")
-    rows = flat.select("item", "size", F.col("p.paths").alias("path"),
-                       F.when(F.col("p.parents") >= 0,
-                              F.get("paths", F.col("p.parents"))).alias("parent"))
-    level = rows.where("parent IS NULL")
+    level = sets.select("item", "size", F.explode("paths").alias("path"))
     out = None
-    for k in range(depth):
-        if k + 1 < depth:
+    for k in range(1, depth + 1):
+        if k < depth:
             large = staged(level.groupBy("path").count().where(F.col("count") > SMALL)
                            .select("path"), "large")
             large = small_side(large, MAX_BROADCAST)
             done = level.join(large, "path", "left_anti")
-            level = rows.join(large.withColumnRenamed("path", "parent"), "parent")
+            below = sets.select("item", "size", F.explode(F.filter(
+                "deeper", _of_level(k + 1))).alias("p"))
+            level = (below.select("item", "size", "p.parent", "p.path")
+                     .join(large.withColumnRenamed("path", "parent"), "parent")
+                     .select("item", "size", "path"))
         else:
             done = level
         done = done.select(F.col("path").alias("bucket"), "item", F.col("size").alias("weight"))
@@ -161,6 +161,10 @@ def buckets(sets: DataFrame, depth: int) -> DataFrame:
     return out
 
 
+def _of_level(k: int):
+    return lambda p: p["level"] == k
+
+
 def _may_link(group: pa.Table) -> list[tuple]:
     """(cell, item) of the items that have a pair left by sizes and sketches."""
     todo = open_pairs(group)
@@ -233,7 +237,7 @@ def classes(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> Data
                                   F.count("*").cast("int").alias("texts")))
     sets = staged(signed.where("size > 0").groupBy("item").agg(
         F.first("size").alias("size"), F.first("sketch").alias("sketch"),
-        F.first("paths").alias("paths"), F.first("parents").alias("parents"))
+        F.first("paths").alias("paths"), F.first("deeper").alias("deeper"))
         .join(texts, "item"), "sets")
 
     cell = staged(cells(buckets(sets, depth), CELL_ROWS, CELL_TOKENS), "cells")
@@ -325,16 +329,19 @@ def first_of_class(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH)
     drop = staged(joined.where(~F.coalesce(stays, F.lit(False))).select(*keys).distinct(), "drop")
     again = staged(verdict.groupBy(*keys).count().where("count > 1").select(*keys)
                    .join(drop, keys, "left_anti"), "again")
-    tag = docs.withColumn("_digest", F.xxhash64(text_or_empty()))
+    mark = "_digest"
+    while mark in [c.lower() for c in docs.columns]:
+        mark += "_"
+    tag = docs.withColumn(mark, F.xxhash64(text_or_empty()))
 
     def on(side: DataFrame):
         return (tag["doc_id"].cast("long").eqNullSafe(side["doc_id"])
-                & (tag["_digest"] == side["digest"]))
+                & (tag[mark] == side["digest"]))
 
     drop_side = small_side(drop, MAX_BROADCAST)
     kept = tag.join(drop_side, on(drop_side), "left_anti")
     if not again.isEmpty():
         again = small_side(again, MAX_BROADCAST)
-        once = kept.join(again, on(again), "left_semi").dropDuplicates(["doc_id", "_digest"])
+        once = kept.join(again, on(again), "left_semi").dropDuplicates(["doc_id", mark])
         kept = kept.join(again, on(again), "left_anti").union(once)
-    return kept.drop("_digest")
+    return kept.drop(mark)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legworks.llm.common import text_or_empty
+from legworks.llm.common import sample_by_hash, text_or_empty
 from legworks.llm.decontaminate import words_of
 
 HASH_BITS = 18
@@ -132,10 +132,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     (bounded by ``MAX_TRAIN``) meet in one task, and only the model goes
     to the driver.
     """
-    chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
-                           & ~is_held_out(F.col("doc_id")))
-              .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_TRAIN))
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
+                         & ~is_held_out(F.col("doc_id")))
+    chosen = sample_by_hash(known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")),
+                            ["doc_id"], MAX_TRAIN)
     texts = (docs.select("doc_id", text_or_empty().alias("text"))
              .join(F.broadcast(chosen), "doc_id"))  # MAX_TRAIN rows at most
 

@@ -63,6 +63,8 @@ def corpus(seed, groups, members):
 def test_classes_and_links_equal_brute_force(spark, monkeypatch, small, cell):
     monkeypatch.setattr(J, "SMALL", small)         # the second case splits and deals in blocks
     monkeypatch.setattr(J, "CELL_ROWS", cell)
+    if small < 100:
+        monkeypatch.setattr(J, "MAX_BROADCAST", 0)  # and joins by shuffle
     rows = corpus(3, 8, 14)
     docs = messy_docs(spark, [(i, t, "s") for i, t in rows])
     got = J.classes(docs, recall=0.9999).drop("size")

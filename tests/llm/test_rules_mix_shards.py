@@ -75,6 +75,7 @@ def test_mix_meets_targets_and_repeats(spark, monkeypatch):
             for i in range(10, 500)]
     docs = messy_docs(spark, rows)
     plan = M.mix_plan(docs).collect()
+    monkeypatch.setattr(M, "MAX_SOURCES_BROADCAST", 1)     # joins by shuffle give the same
     again = M.mix_plan(docs.repartition(7)).collect()
     assert sorted(map(str, plan)) == sorted(map(str, again))
     assert len(plan) == docs.count()
@@ -122,3 +123,23 @@ def test_shards_are_contiguous_and_balanced(spark):
     sums = [r["sum(size)"] for r in even]
     assert len(sums) == 8 and max(sums) - min(sums) <= 2 * 900
     assert shard(no_docs(spark)).collect() == []
+
+
+def test_samples_by_hash_are_the_smallest(spark):
+    from legworks.llm.common import sample_by_hash, small_side
+    from pyspark.sql import functions as F
+
+    df = spark.range(60_000).withColumnRenamed("id", "k")
+    got = {r.k for r in sample_by_hash(df, ["k"], 500).collect()}
+    want = {r.k for r in df.orderBy(F.xxhash64("k"), "k").limit(500).collect()}
+    assert got == want and len(got) == 500
+    assert sample_by_hash(df.limit(10), ["k"], 500).count() == 10
+    hint = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hint(small_side(df.limit(10), 10)) and not hint(small_side(df.limit(11), 10))
+
+
+def test_hosts_join_by_shuffle(spark, monkeypatch):
+    docs = messy_docs(spark)
+    a = sorted(map(str, H.quality_rules(docs).collect()))
+    monkeypatch.setattr(H, "MAX_HOSTS_BROADCAST", 0)
+    assert sorted(map(str, H.quality_rules(docs).collect())) == a

@@ -38,6 +38,8 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
             "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = set("ul ol dl table body article section main div".split())
 SPACES = re.compile(r"\s+")
+# names that tell of a page what it has, rather than what an element is
+STATE = re.compile(r"^(?:has|no|with|without|is|not)[-_]|[-_](?:open|closed|enabled|disabled)$", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -107,10 +109,11 @@ def not_main(tag: str, attrs: dict[str, str | None], parent: Node) -> bool:
         return True
     if (attrs.get("role") or "").lower() in NOT_MAIN_ROLES or "hidden" in attrs:
         return True
-    if tag in ("article", "main", "body") and "class" not in attrs:
-        return False
-    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return names != " " and any(w.lower() in NOT_MAIN_WORDS for w in WORDS.findall(names))
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    if tag in ("article", "main"):  # by a name of its own only: these hold the main text
+        return any(n.lower() in NOT_MAIN_WORDS for n in names)
+    return any(w.lower() in NOT_MAIN_WORDS for n in names if not STATE.search(n)
+               for w in WORDS.findall(n))
 
 
 def parse(html: str) -> Node:

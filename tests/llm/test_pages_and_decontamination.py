@@ -24,6 +24,11 @@ PAGES = {
     "unclosed": ("<body><header>Site name</header><main><h1>Head &amp; more<p>"
                  + ARTICLE.replace("</p>", "") + "</main><form>Name <input> <button>Go</button></form>"),
 }
+PAGES["names"] = ("<body class='has-sidebar no-comments'><div class='wrap comments-open'><main "
+                  "class='with-ads'><article class='post hentry'><header><h1>Head &amp; more</h1></header>"
+                  + ARTICLE + "<aside>Pull</aside></article><section id='respond-form'><p>Leave a reply"
+                  "</p></section><article class='comment'><p>I read this with interest.</p></article>"
+                  "</main></div><div class='topBanner'>Buy now, and buy a lot of it</div></body>")
 TEXT = ["Head & more", *(f"Sentence number {i} of the article, with enough words to be dense."
                          for i in range(6))]
 

@@ -135,3 +135,28 @@ SELECT page_id, payload_bytes,
        strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS capture_time
 FROM r
 """
+
+# op10: CRC-32 by its table, then prefix sums in the order of doc_id
+ORACLE["op10_sharding"] = r"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                        lambda x: ('0x' || x)::BIGINT) AS bytes
+  FROM documents),
+c AS (
+  SELECT doc_id, size::BIGINT AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+               lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS text_crc32
+  FROM d, t),
+s AS (
+  SELECT *, row_number() OVER o AS nth, sum(size) OVER () AS total, sum(size) OVER o AS ending
+  FROM c WINDOW o AS (ORDER BY doc_id NULLS FIRST, text_crc32, size
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+p AS (SELECT *, ((2 * ending - size) * 8 // (2 * total))::INTEGER AS shard FROM s)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       (nth - min(nth) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
+FROM p
+"""

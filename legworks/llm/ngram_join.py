@@ -62,7 +62,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_known) > 300_000:
+    if len(_known) > 100_000:
         _known.clear()
     hashes = np.empty(len(words), np.uint64)
     for i, w in enumerate(words):
@@ -104,7 +104,7 @@ def chosen_paths(tokens: np.ndarray, runs: int, depth: int) -> list[tuple[list,
     limit = np.uint64(min(2 ** 64 - 1, int(2 ** 64 * SIMILAR[1] / (SIMILAR[0] * n))))
     level = mixed(np.arange(1, runs + 1, dtype=np.uint64) * SEED)
     out = []
-    wide = max(1, 4_000_000 // n)
+    wide = max(1, 400_000 // n)   # paths at a time
     for _ in range(depth):
         found, above = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
         for lo in range(0, len(level), wide):

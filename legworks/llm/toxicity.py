@@ -186,7 +186,7 @@ def score(text: Column, machine: Machine, spark) -> Column:
             for w in set(words_of(t)):
                 at = known.get(w)
                 if at is None:
-                    if len(known) > 300_000:
+                    if len(known) > 100_000:
                         known.clear()
                     at = known[w] = tuple(place[h] for h in terms_of(w) if h in place)
                 if at:

@@ -227,7 +227,12 @@ def _links(group: pa.Table) -> list[tuple]:
 
 
 def classes(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> DataFrame:
-    """A row per document: doc_id, digest (of the text), class_id, n_links."""
+    """A row per document: doc_id, digest (of the text), class_id, n_links, size (of the set)."""
+    return _rooted(docs, recall, depth).drop("root")
+
+
+def _rooted(docs: DataFrame, recall: float, depth: int) -> DataFrame:
+    """``classes`` with the class's root, an item: ids may repeat or be null, roots tell apart."""
     runs = runs_for(recall, depth)
     signed = staged(signatures(docs, runs, depth), "signatures")
     rows = signed.select("doc_id", "digest", "item", "size")
@@ -260,12 +265,13 @@ def classes(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> Data
              .withColumn("root", F.coalesce("root", "item")))
     ids = known.groupBy("root").agg(F.min("first").alias("class_id"))
     verdict = known.join(ids, "root").select(
-        "item", "class_id", (F.coalesce("links", F.lit(0)) + F.col("texts") - 1).alias("n_links"))
+        "item", "root", "class_id",
+        (F.coalesce("links", F.lit(0)) + F.col("texts") - 1).alias("n_links"))
     return (rows.join(verdict, "item", "left")
             .select("doc_id", "digest",
                     F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
                     .alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "size"))
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "size", "root"))
 
 
 def _tokens(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -313,20 +319,18 @@ def ngram_join(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> D
 
 
 def first_of_class(docs: DataFrame, recall: float = RECALL, depth: int = DEPTH) -> DataFrame:
-    """The documents without those that a class has besides its first (the smallest doc_id).
+    """The documents without those that a class has besides its first (the smallest doc_id, a
+    null after all others; of several texts with that id, the smallest digest).
 
     Decisions go by (doc_id, digest of the text); rows that repeat both are one
     document, and one row of them stays.  Texts without words all stay.
     """
-    verdict = staged(classes(docs, recall, depth), "classes").where("size > 0")
+    verdict = staged(_rooted(docs, recall, depth), "classes").where("size > 0")
     keys = ["doc_id", "digest"]
-    # among different texts with the class's smallest id, the smallest digest stays
-    first = (verdict.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-             .groupBy("class_id").agg(F.min("digest").alias("keep")))
-    joined = verdict.join(first.withColumnRenamed("class_id", "of"),
-                          F.col("class_id").eqNullSafe(F.col("of")), "left")
-    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("keep"))
-    drop = staged(joined.where(~F.coalesce(stays, F.lit(False))).select(*keys).distinct(), "drop")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), *keys)
+    first = verdict.groupBy("root").agg(F.min(place).alias("keep"))
+    drop = staged(verdict.join(first, "root").where(place != F.col("keep"))
+                  .select(*keys).distinct(), "drop")
     again = staged(verdict.groupBy(*keys).count().where("count > 1").select(*keys)
                    .join(drop, keys, "left_anti"), "again")
     mark = "_digest"

@@ -91,6 +91,16 @@ def test_one_document_of_each_class_stays(spark):
     assert got == expect
 
 
+def test_classes_with_equal_or_null_ids_are_apart(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, "A text"), (1, "B text"), (2, "B  text"), (None, "C text"), (None, "D text"),
+            (None, "D text"), (None, long), (3, long + " more"), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((str(r.doc_id), r.text) for r in J.first_of_class(docs).collect()))
+    assert got == sorted([("1", "A text"), ("1", "B text"), ("None", "C text"), ("None", "D text"),
+                          ("3", long + " more"), ("None", "")])
+
+
 def test_no_documents(spark):
     assert J.ngram_join(no_docs(spark)).collect() == []
     assert J.first_of_class(no_docs(spark)).collect() == []

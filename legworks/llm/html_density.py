@@ -167,8 +167,8 @@ def densities(nodes: list[Node]) -> None:
 
 def main_nodes(nodes: list[Node]) -> list[Node]:
     """The subtree of the largest density sum, widened to the article that it is part of;
-    beside it, the best subtrees of siblings along its path to the body that are as dense
-    as the least dense node of that path."""
+    without an article the whole page, except the siblings along the path to the body whose
+    text is mostly links."""
     best = max(nodes, key=lambda n: n.total)  # the first of equals: parents before children
     path = []
     node = best
@@ -180,14 +180,13 @@ def main_nodes(nodes: list[Node]) -> list[Node]:
             best = node
     if best.tag in ("article", "main"):
         return [best]
-    threshold = min(n.density for n in path)
-    chosen = [best]
-    for child, parent in zip(path[path.index(best):], path[path.index(best) + 1:], strict=False):
+    for child, parent in zip(path, path[1:], strict=False):
         for other in parent.children:
-            if (isinstance(other, Node) and not other.dropped and other is not child
-                    and (other.density >= threshold or other.tag in HEADINGS)):
-                chosen.append(max(in_order(other), key=lambda n: n.total))
-    return chosen
+            # links between words of their parent are part of a sentence
+            if (isinstance(other, Node) and other is not child and not other.dropped
+                    and other.tag not in HEADINGS and (other.tag in BLOCK or not parent.own)):
+                other.dropped = 2 * other.link_chars > other.chars
+    return [nodes[0]]
 
 
 def blocks(root: Node, chosen: list[Node]) -> list[str]:

@@ -38,6 +38,15 @@ def test_main_text(name):
     assert H.extract(PAGES[name]).split("\n\n") == TEXT
 
 
+def test_sections_of_shorter_paragraphs_stay():
+    long, short = ("<section>" + f"<p>{w * 5}</p>" * 5 + "</section>"
+                   for w in ("long words " * 9, "short one "))
+    links = "<div><a href=/a>Some page</a> <a href=/b>Another page</a></div>"
+    page = f"<body>{links}<div class=content>Lead in.{long}{short}{links}</div></body>"
+    assert H.extract(page).split("\n\n") == [
+        "Lead in.", *[("long words " * 45).strip()] * 5, *[("short one " * 5).strip()] * 5]
+
+
 def test_blocks_and_white_space():
     page = ("<article><p>a <b>b</b>c\n\t d<br>e&nbsp;&#233;&lt;p&gt;</p>tail<!-- no --><p></p>"
             "<ul><li>one<li>two</ul><pre>x\n  y</pre></article>")

@@ -24,6 +24,7 @@ ol p pre section summary table tbody tfoot thead tr ul caption""".split())
 SPACE = set("br td th".split())
 NEVER = set("""head title script style noscript template iframe object svg canvas audio video map
 nav footer aside form button select textarea input label fieldset dialog menu""".split())
+WRAPPERS = {"form", "fieldset"}   # of NEVER; some pages are one form
 NOT_MAIN_WORDS = set("""ad ads adv advert adverts advertisement advertising adsense banner
 breadcrumb breadcrumbs comment comments commentlist cookie cookies consent copyright disqus
 footer login menu menubar modal nav navbar navigation newsletter notice notices notification
@@ -44,11 +45,11 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "chars", "tags", "link_chars",
+    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "chars", "tags", "link_chars",
                  "link_tags", "own", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: tuple = ()):
+        self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
         self.children: list[Node | str] = []
 
 
@@ -66,7 +67,9 @@ class Tree(HTMLParser):
             self._close_within("p", SCOPE | BLOCK - {"p"})
         for other in SIBLINGS.get(tag, ()):
             self._close_within(other, SCOPE)
-        node = Node(tag, self.at, not_main(tag, dict(attrs), self.at))
+        attrs = dict(attrs)
+        dropped = not_main(tag, attrs, self.at)
+        node = Node(tag, self.at, dropped, doubtful(tag, attrs) if dropped else ())
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -116,10 +119,54 @@ def not_main(tag: str, attrs: dict[str, str | None], parent: Node) -> bool:
                for w in WORDS.findall(n))
 
 
+def doubtful(tag: str, attrs: dict[str, str | None]) -> tuple:
+    """What a dropped element was dropped for, if that may also wrap the main text: a form, or
+    words that are only a part of its names; empty if it is furniture for certain."""
+    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    if (tag in NEVER - WRAPPERS or tag in ("header", "article", "main") or "hidden" in attrs
+            or (attrs.get("role") or "").lower() in NOT_MAIN_ROLES - {"form"}
+            or any(n.lower() in NOT_MAIN_WORDS for n in names)):
+        return ()
+    return (tag in WRAPPERS, *sorted({n for n in names if not STATE.search(n) and any(
+        w.lower() in NOT_MAIN_WORDS for w in WORDS.findall(n))}))
+
+
+def keep_wrappers(root: Node) -> None:
+    """Take back the drop of doubtful elements that hold an article or main, or that hold (named
+    ones with those of the same names) most of the page's text outside links."""
+    nodes, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack += [c for c in node.children
+                  if isinstance(c, Node) and (not c.dropped or c.doubt)]
+    if not any(n.doubt for n in nodes):
+        return
+    plain: dict[int, int] = {}
+    holds: set[int] = set()
+    alike: dict[tuple, int] = {}
+    for node in reversed(nodes):
+        n = plain.get(id(node), 0) + sum(len("".join(c.split())) for c in node.children
+                                         if isinstance(c, str))
+        plain[id(node)] = n = 0 if node.tag == "a" else n
+        if node.parent is not None:
+            plain[id(node.parent)] = plain.get(id(node.parent), 0) + n
+            if node.tag in ("article", "main") or id(node) in holds:
+                holds.add(id(node.parent))
+        if node.doubt:
+            if node.doubt[0]:                 # forms are judged one by one
+                node.doubt = (True, id(node))
+            alike[node.doubt] = alike.get(node.doubt, 0) + n
+    for node in nodes:
+        if node.doubt and (id(node) in holds or 2 * alike[node.doubt] > plain[id(root)]):
+            node.dropped = False
+
+
 def parse(html: str) -> Node:
     tree = Tree()
     tree.feed(html)
     tree.close()
+    keep_wrappers(tree.root)
     return tree.root
 
 

@@ -47,6 +47,18 @@ def test_sections_of_shorter_paragraphs_stay():
         "Lead in.", *[("long words " * 45).strip()] * 5, *[("short one " * 5).strip()] * 5]
 
 
+@pytest.mark.parametrize("wrap", [
+    "<form id=aspnetForm>{}</form>", "<div class=content-sidebar-wrap><main>{}</main></div>",
+    "<div class=share-story-body>{}</div>", "<article><div class=search-result-content>{}</div>"])
+def test_wrappers_of_the_main_text_stay(wrap):
+    small = "<div class=related-posts><p>Another post</p></div><form>Name <input></form>"
+    page = "<body>" + wrap.format("<h2>Head &amp; more</h2>" + ARTICLE) + small
+    assert H.extract(page).split("\n\n") == TEXT
+    widgets = "".join(f"<div class='elementor-widget-text-editor'>{p}</p></div>"
+                      for p in ARTICLE.split("</p>")[:-1])
+    assert H.extract(f"<article><h2>Head &amp; more</h2>{widgets}{small}").split("\n\n") == TEXT
+
+
 def test_blocks_and_white_space():
     page = ("<article><p>a <b>b</b>c\n\t d<br>e&nbsp;&#233;&lt;p&gt;</p>tail<!-- no --><p></p>"
             "<ul><li>one<li>two</ul><pre>x\n  y</pre></article>")

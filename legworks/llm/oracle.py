@@ -160,3 +160,78 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        (nth - min(nth) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INTEGER AS grown_shard
 FROM p
 """
+
+# op12: whole scores of the anchors with all rows, positives by rank, windows by their scores
+ORACLE["op12_hard_negatives"] = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score
+  FROM s WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id
+                            ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE s.label <> s.anchor_label AND 80 * positive_score <= 100 * s.score
+    AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
+# op13: crc32 by its table, near words by what is left when one code point is taken out
+ORACLE["op13_spelling_variants"] = r"""
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  GROUP BY ALL),
+c AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+             regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'),
+             lambda x: ('0x' || x)::BIGINT)),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)::BIGINT AS h
+  FROM r, t),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT)
+                                   || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM c GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m
+  FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.less = w.word
+  UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.less = w.word),
+best AS (
+  SELECT word, max(n) AS n, count(*) AS n_near, max(m) AS m,
+         arg_min(other, {'a': -m, 'b': encode(other)}) AS other FROM near GROUP BY word),
+form AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN m >= 2 * w.n THEN other END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n
+  FROM w LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, form AS at FROM form WHERE form IS NOT NULL
+  UNION ALL SELECT chain.word, form.form FROM chain JOIN form ON chain.at = form.word
+  WHERE form.form IS NOT NULL),
+ends AS (
+  SELECT chain.word, chain.at AS root FROM chain JOIN form ON chain.at = form.word
+  WHERE form.form IS NULL)
+SELECT form.word, form, coalesce(root, form.word) AS root, n, n_near, form_n
+FROM form LEFT JOIN ends USING (word)
+"""

@@ -71,11 +71,12 @@ def map_rows(df: DataFrame, per_batch: Callable[[dict[str, list]], dict[str, lis
 
 
 def map_groups(df: DataFrame, key: str, per_group: Callable[[pa.Table], list[tuple]],
-               schema: StructType) -> DataFrame:
+               schema: StructType, tasks: int | None = None, held_rows: int = 20_000) -> DataFrame:
     """Shuffle by the long column ``key`` and apply ``per_group`` to each group's rows.
 
     Groups stream out of a sorted partition one at a time, so only one group is
-    in memory; callers bound the size of a group beforehand.
+    in memory; callers bound the size of a group beforehand.  ``tasks`` fixes the number of
+    tasks, for few rows with much work; at ``held_rows`` rows of the result a task hands them on.
     """
     arrow = to_arrow_schema(schema)
 
@@ -106,11 +107,12 @@ def map_groups(df: DataFrame, key: str, per_group: Callable[[pa.Table], list[tup
                     held = []
                 else:
                     rows += per_group(piece)
-            if len(rows) >= 20_000:
+            if len(rows) >= held_rows:
                 yield emit(rows)
                 rows = []
         if held:
             rows += per_group(pa.concat_tables(held))
         yield emit(rows)
 
-    return df.repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)
+    dealt = df.repartition(tasks, key) if tasks else df.repartition(key)
+    return dealt.sortWithinPartitions(key).mapInArrow(run, schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from legworks.llm import oracle
 from legworks.llm.common import table
 from legworks.llm.decontaminate import decontaminate
+from legworks.llm.embedding_dedup import embedding_dedup
 from legworks.llm.hard_negatives import hard_negatives
 from legworks.llm.host_rules import quality_rules
 from legworks.llm.html_density import main_text
@@ -65,6 +66,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(
         F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -78,6 +83,6 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_ngram_join, op2_host_rules, op3_toxicity, op4_source_mix, op5_html_density, op6_decontamination,
-        op7_pii, op8_warc, op9_line_dedup, op10_sharding, op12_hard_negatives,
-        op13_spelling_variants)}
+        op7_pii, op8_warc, op9_line_dedup, op10_sharding,
+        op11_embedding_dedup, op12_hard_negatives, op13_spelling_variants)}
 ORACLE: dict[str, str] = oracle.ORACLE

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterable
 from functools import reduce
 
@@ -15,7 +16,9 @@ from legworks.llm.common import map_rows, staged
 
 WINDOW = 13
 MIN_HIT_PERCENT = 5            # contaminated: 20 * n_hit >= n_words
-PATTERN_BYTES = 32_000_000     # benchmark text that one search table may hold
+# Benchmark text that one search table may hold.  A table takes some hundred bytes for each byte of
+# text, so this is about 200 MB in each Python worker.
+PATTERN_BYTES = 2_000_000
 
 # bytes below 0x80 that are no letter or digit part words; A-Z become a-z
 _KEEP = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz")
@@ -111,27 +114,25 @@ def find(search: list[WuManber], text: str | None) -> tuple[int, list[int], list
     return len(words), merge(spans), sorted(items)
 
 
-def pattern_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[str, str]]]:
-    """The benchmark's items in blocks whose texts hold ``max_bytes`` at most (or one item).
+def block_count(benchmark: DataFrame, max_bytes: int) -> int:
+    """Blocks that the benchmark's items are dealt into: one if their texts hold ``max_bytes`` at
+    most, else so many that a block holds half of that in the mean."""
+    total = benchmark.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    return 1 if total <= max_bytes else math.ceil(2 * total / max_bytes)
 
-    Only the benchmark passes through the driver, a block's worth at a time.
-    """
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text")
-    blocks: list[list[tuple[str, str]]] = [[]]
-    held = 0
-    for item, text in rows.toLocalIterator():
-        size = len(text or "")
-        if held and held + size > max_bytes:
-            blocks.append([])
-            held = 0
-        blocks[-1].append((item, text))
-        held += size
-    return blocks
-
-
-def _search(docs: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
-    """Hits of one block of items, with the columns of ``HITS``."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # at most PATTERN_BYTES of text
+
+def pattern_block(benchmark: DataFrame, n: int, block: int) -> list[tuple[str, str]]:
+    """The distinct items of a block: those whose hash says so.  A block is all of the benchmark that
+    is in the driver, or in an executor, at a time."""
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                            F.col("text").cast("string").alias("text")).distinct()
+    if n > 1:
+        rows = rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == block)
+    return [(r["item"], r["text"]) for r in rows.collect()]
+
+
+def _search(docs: DataFrame, shared) -> DataFrame:
+    """Hits of one block of items (broadcast), with the columns of ``HITS``."""
     built: list = []
 
     def per_batch(cols):
@@ -164,28 +165,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame,
     """Words of each document that lie in a benchmark window, and the items they are from.
 
     One scan of the documents without a shuffle while the benchmark fits into one
-    search table (``max_pattern_bytes`` of text).  A larger benchmark is searched
-    in blocks, a scan for each, and the hits of a document are gathered by row.
+    search table (``max_pattern_bytes`` of text).  A larger benchmark is dealt into blocks
+    by hash; they are searched one after the other, a scan for each, and the hits of a
+    document are gathered by row.  No more than a block leaves Spark at a time.
 
     Null and empty texts have no words and are clean.  Items that occur more than
     once count once; a null item_id is the empty string; items without words
-    match nothing.  Repeated documents give repeated rows.  Empty tables: no
+    match nothing.  Very long texts are searched whole.  Repeated documents give repeated rows.  Empty tables: no
     documents give no rows, no benchmark gives no hits.  Columns other than
     doc_id, text and item_id are ignored.
 
     Returns doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
     """
-    blocks = pattern_blocks(benchmark, max_pattern_bytes)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
                        F.monotonically_increasing_id().alias("row"))
-    if len(blocks) > 1:
-        rows = staged(rows, "decontaminate-rows")  # the same row numbers in each scan
-    found = reduce(DataFrame.union, [_search(rows, b) for b in blocks])
-    if len(blocks) > 1:
-        found = found.groupBy("row").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.flatten(F.collect_list("hits")).alias("hits"),
-            F.flatten(F.collect_list("items")).alias("items"))
+    n, context = block_count(benchmark, max_pattern_bytes), docs.sparkSession.sparkContext
+    if n == 1:
+        found = _search(rows, context.broadcast(pattern_block(benchmark, 1, 0)))
+        return map_rows(found, _verdicts, VERDICT)
+    rows = staged(rows, "decontaminate-rows")  # the same row numbers in each scan
+    parts = []
+    for block in range(n):
+        shared = context.broadcast(pattern_block(benchmark, n, block))
+        hits = _search(rows, shared)
+        # the first scan has a row of every document, the others those with hits
+        parts.append(staged(hits if not block else hits.where(F.size("hits") > 0),
+                            "decontaminate-hits"))
+        shared.destroy()
+    found = reduce(DataFrame.union, parts).groupBy("row").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.flatten(F.collect_list("hits")).alias("hits"),
+        F.flatten(F.collect_list("items")).alias("items"))
     return map_rows(found, _verdicts, VERDICT)
 
 
@@ -193,11 +203,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame,
                       max_pattern_bytes: int = PATTERN_BYTES) -> DataFrame:
     """The documents that are not contaminated, with all their columns.
 
-    A filter on the scan with one search table; with more, the documents are staged with
+    Null and empty texts stay, as do repeats of clean documents; an empty table stays empty, and
+    without a benchmark all documents stay.  A filter on the scan with one search table; with more, the documents are staged with
     row numbers and filtered by the verdicts.
     """
-    if len(blocks := pattern_blocks(benchmark, max_pattern_bytes)) == 1:
-        shared = docs.sparkSession.sparkContext.broadcast(blocks[0])
+    if block_count(benchmark, max_pattern_bytes) == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(pattern_block(benchmark, 1, 0))
         built: list = []
 
         @F.pandas_udf("boolean")

@@ -285,7 +285,7 @@ def _plan(groups: DataFrame, pages: DataFrame, dims: int, wants: Callable) -> Da
                 need = wants(row, *bounds(x, lo, hi), _longs(row["label_lo"]),
                              _longs(row["label_hi"]))
                 yield _batch([(b, row["group"], np.flatnonzero(need[:, k]).astype(
-                    np.int16).tobytes()) for k, b in enumerate(_longs(row["blocks"]).tolist())
+                    np.int32).tobytes()) for k, b in enumerate(_longs(row["blocks"]).tolist())
                     if need[:, k].any()], PLAN)
 
     return met.mapInArrow(run, PLAN)
@@ -336,7 +336,7 @@ def _read(plan: DataFrame, groups: DataFrame, blocks: DataFrame, dims: int, wind
                     best = held[row["group"]] = _Best(_longs(row["own_ids"]), windows,
                                                                keep)
                 block = _Block(row, dims)
-                who = np.frombuffer(row["wanted"], np.int16)
+                who = np.frombuffer(row["wanted"], np.int32)
                 x = np.frombuffer(row["own"], np.int32).reshape(-1, dims)[who]
                 s = scores(x, block.x)
                 for w, mask in enumerate(inside(row, who, s, block)):

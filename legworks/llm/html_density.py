@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -31,9 +32,19 @@ footer login menu menubar modal nav navbar navigation newsletter notice notices
 pagination pager popup promo promotion related replies reply respond search share sharing
 sidebar signup social sponsor sponsored subscribe subscription toolbar topbar tracking widget
 masthead gdpr paywall discussion""".split())
+# words that articles use for their own parts, too
+ALSO_MAIN_WORDS = set("discussion related notice notices search widget footer banner".split())
+COMMENT_WORDS = set("comment comments commentlist disqus replies reply respond".split())
 NOT_MAIN_ROLES = set("""navigation banner contentinfo complementary search form alert alertdialog
 dialog menu menubar toolbar""".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+FLOW = set("p ul ol dl pre blockquote table figure hr".split()) | HEADINGS
+ITEMS = {"div", "li", "article", "section"}
+BYLINES = set("b strong a cite span time img header h4 h5 h6 small".split())
+SMALL_PRINT = re.compile(r"\s*(?:©|\(c\)|copyright\b)", re.I)
+SMALL_PRINT_CHARS = 300
+# Evidence from which a named part of an article is furniture (see ``is_furniture``).
+FURNITURE = 2
 # start tags that end an open element of the same kind
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
             "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -45,11 +56,16 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "chars", "tags", "link_chars",
-                 "link_tags", "own", "density", "total")
+    __slots__ = ("tag", "parent", "children", "dropped", "doubt", "names", "within", "chars", "tags",
+                 "link_chars", "link_tags", "own", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: tuple = ()):
+    def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: tuple = (),
+                 names: tuple = ()):
         self.tag, self.parent, self.dropped, self.doubt = tag, parent, dropped, doubt
+        self.names = names               # that tell of furniture, of a part of an article or main
+        # the outermost article or main around
+        self.within: Node | None = parent and (
+            parent.within or (parent if parent.tag in ("article", "main") else None))
         self.children: list[Node | str] = []
 
 
@@ -59,6 +75,7 @@ class Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.open: Counter[str] = Counter()      # elements by tag that are open
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body"):
@@ -68,22 +85,34 @@ class Tree(HTMLParser):
         for other in SIBLINGS.get(tag, ()):
             self._close_within(other, SCOPE)
         attrs = dict(attrs)
-        dropped = not_main(tag, attrs, self.at)
-        node = Node(tag, self.at, dropped, doubtful(tag, attrs) if dropped else ())
+        inside = self.at.within or (self.at.tag in ("article", "main") and self.at)
+        dropped = not_main(tag, attrs, bool(inside))
+        names = tuple(named(attrs)) if inside and not dropped else ()
+        if inside and tag == "article" and self.open["article"]:
+            names += ("comment",)                # an article in an article is a comment on it
+        node = Node(tag, self.at, dropped, doubtful(tag, attrs) if dropped else (), names)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag not in BLOCK and self.at.tag == tag:
+            self._close(self.at)
+
+    def _close(self, node):
+        while self.at is not node.parent:
+            self.open[self.at.tag] -= 1
             self.at = self.at.parent
 
     def handle_endtag(self, tag):
+        if not self.open[tag]:
+            return
         node = self.at
         while node.parent is not None:
             if node.tag == tag:
-                self.at = node.parent
+                self._close(node)
                 return
             if node.tag in BLOCK and tag not in BLOCK:
                 return  # an inline end tag doesn't close a block
@@ -93,25 +122,37 @@ class Tree(HTMLParser):
         self.at.children.append(data)
 
     def _close_within(self, tag, scope):
+        if not self.open[tag]:
+            return
         node = self.at
-        while node.parent is not None and node.tag not in scope - {tag}:
+        while node.parent is not None and (node.tag not in scope or node.tag == tag):
             if node.tag == tag:
-                self.at = node.parent
+                self._close(node)
                 return
             node = node.parent
 
 
-def not_main(tag: str, attrs: dict[str, str | None], parent: Node) -> bool:
-    """Whether an element is page furniture by its tag, role, class or id."""
-    if tag in NEVER:
-        return True
-    inside = parent
-    while inside is not None and inside.tag not in ("article", "main"):
-        inside = inside.parent
-    if tag == "header" and inside is None:
+def named(attrs: dict[str, str | None]) -> list[str]:
+    """Names of furniture among an element's classes and id: a word by itself, or with others
+    (then with a plus)."""
+    out = []
+    for n in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split():
+        if n.lower() in NOT_MAIN_WORDS:
+            out.append(n.lower())
+        elif not STATE.search(n):
+            out += [f"+{w.lower()}" for w in WORDS.findall(n) if w.lower() in NOT_MAIN_WORDS]
+    return out
+
+
+def not_main(tag: str, attrs: dict[str, str | None], inside: bool) -> bool:
+    """Whether an element is page furniture by its tag or role or, outside of an article or
+    main (``inside``), by its class or id."""
+    if tag in NEVER or (tag == "header" and not inside):
         return True
     if (attrs.get("role") or "").lower() in NOT_MAIN_ROLES or "hidden" in attrs:
         return True
+    if inside:
+        return False
     names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
     if tag in ("article", "main"):  # by a name of its own only: these hold the main text
         return any(n.lower() in NOT_MAIN_WORDS for n in names)
@@ -212,28 +253,122 @@ def densities(nodes: list[Node]) -> None:
             c.density for c in node.children if isinstance(c, Node) and not c.dropped)
 
 
+def kids(node: Node) -> list[Node]:
+    return [c for c in node.children if isinstance(c, Node) and not c.dropped]
+
+
+def link_heavy(node: Node) -> bool:
+    return 2 * node.link_chars > node.chars
+
+
+def repeats(node: Node) -> bool:
+    """Whether nearly all of a node's text is in items of the same make, a byline and what was said:
+    the shape of reader comments."""
+    while len(inner := kids(node)) == 1 and not node.own:
+        node = inner[0]
+    items = [c for c in inner if c.tag in ITEMS]
+    makes = Counter((c.tag, tuple(k.tag for k in kids(c))) for c in items)
+    if not makes:
+        return False
+    (tag, make), n = makes.most_common(1)[0]
+    said = sum(c.chars for c in items if (c.tag, tuple(k.tag for k in kids(c))) == (tag, make))
+    return (n > 1 and len(make) > 1 and make[0] in BYLINES and make[-1] in FLOW | {"div"}
+            and 5 * said >= 4 * node.chars)
+
+
+def reads_on(node: Node) -> bool:
+    """Whether a node is made like a part of an article: it has a heading or several
+    paragraphs, isn't mostly links and doesn't repeat a pattern."""
+    while len(inner := kids(node)) == 1 and not node.own and inner[0].tag not in FLOW:
+        node = inner[0]
+    flow = [c for c in inner if c.tag in FLOW and c.chars]
+    return (not link_heavy(node) and not repeats(node)
+            and (len(flow) > 1 or any(c.tag in HEADINGS for c in flow)))
+
+
+def small_print(node: Node) -> bool:
+    """Whether a short block begins like a copyright line."""
+    if node.chars > SMALL_PRINT_CHARS:
+        return False
+    return bool(SMALL_PRINT.match(" ".join(blocks(node, [node]))))
+
+
+def is_furniture(node: Node, alike: int) -> bool:
+    """Whether a named part of an article is a menu, an advert, a comment list and the like.
+
+    Names are only a part of the evidence, next to links, length, make and repetition: a section that
+    reads like the article stays whatever its name, as do parts of one name that together (``alike``
+    characters) hold most of the text.
+    """
+    own = [n for n in node.names if not n.startswith("+")]
+    words = {n.lstrip("+") for n in node.names}
+    whole = node.within.chars if node.within is not None else node.chars
+    share = node.link_chars / node.chars if node.chars else 0.0
+    evidence = 2 if own else 1
+    evidence += 2 if words & COMMENT_WORDS else 1 if words - ALSO_MAIN_WORDS else 0
+    evidence += 2 if share > 0.5 else 1 if share > 0.25 else 0
+    evidence += repeats(node)
+    evidence += 20 * alike < whole
+    if share <= 0.25 and not repeats(node):
+        evidence -= 2 * (reads_on(node) or node.tag == "section")
+    return evidence - 4 * (2 * alike > whole) >= FURNITURE
+
+
+def drop_furniture(nodes: list[Node]) -> bool:
+    """Drop the named parts of articles that the evidence speaks against, outer ones first."""
+    suspects = [n for n in nodes if n.names]
+    alike: Counter[tuple] = Counter()
+    for n in suspects:
+        alike[n.names, n.tag] += n.chars
+    found = False
+    for n in suspects:
+        up = n.parent
+        if up is not None and up.dropped:
+            n.dropped = True
+        elif is_furniture(n, alike[n.names, n.tag]):
+            n.dropped = found = True
+    return found
+
+
 def main_nodes(nodes: list[Node]) -> list[Node]:
-    """The subtree of the largest density sum, widened to the article that it is part of;
-    without an article the whole page, except the siblings along the path to the body whose
-    text is mostly links."""
+    """The subtree of the largest density sum (of equals the outermost, then the first), widened by
+    what belongs to it.
+
+    Inside an article or main, that is the outermost one around it and, for an article, its
+    sibling articles.  Else it is what stands beside the subtree on its path to the body:
+    headings and running text; siblings as dense as the least dense node of the path, right beside
+    the subtree; farther off, parts that read like an article.  Parts that are mostly links,
+    that repeat a byline and a remark, and copyright lines don't belong to it.
+    """
     best = max(nodes, key=lambda n: n.total)  # the first of equals: parents before children
-    path = []
-    node = best
-    while node is not None:
-        path.append(node)
-        node = node.parent
-    for node in path:
-        if node.tag in ("article", "main"):
-            best = node
-    if best.tag in ("article", "main"):
+    around = best.within or (best if best.tag in ("article", "main") else None)
+    if around is not None:
+        if around.tag == "article" and around.parent is not None:
+            return [c for c in kids(around.parent)
+                    if c is around or (c.tag == "article" and not link_heavy(c))]
+        return [around]
+    path = [best]
+    while path[-1].parent is not None:
+        path.append(path[-1].parent)
+    least = min(n.density for n in path)
+    if len(path) == 1:                        # the body itself
+        for other in kids(best):
+            if other.tag in BLOCK and other.tag not in HEADINGS:
+                other.dropped = link_heavy(other) or repeats(other) or small_print(other)
         return [best]
-    for child, parent in zip(path, path[1:], strict=False):
-        for other in parent.children:
+    for level, (child, parent) in enumerate(zip(path, path[1:], strict=False)):
+        top = parent.parent is None
+        for other in kids(parent):
             # links between words of their parent are part of a sentence
-            if (isinstance(other, Node) and other is not child and not other.dropped
-                    and other.tag not in HEADINGS and (other.tag in BLOCK or not parent.own)):
-                other.dropped = 2 * other.link_chars > other.chars
-    return [nodes[0]]
+            if other is child or other.tag in HEADINGS or not (
+                    other.tag in BLOCK or not parent.own):
+                continue
+            if link_heavy(other) or small_print(other):
+                other.dropped = True
+            elif other.tag not in FLOW and other.tag in BLOCK:
+                near = level == 0 and not top and other.density >= least and not repeats(other)
+                other.dropped = not (near or reads_on(other))
+    return [path[-1]]
 
 
 def blocks(root: Node, chosen: list[Node]) -> list[str]:
@@ -273,6 +408,9 @@ def extract(html: str | None) -> str:
     root = parse(html or "")
     nodes = in_order(root)
     densities(nodes)
+    if drop_furniture(nodes):
+        nodes = in_order(root)
+        densities(nodes)
     if not root.chars:
         return ""
     return "\n\n".join(blocks(root, main_nodes(nodes)))
@@ -281,9 +419,13 @@ def extract(html: str | None) -> str:
 def main_text(pages: DataFrame) -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars (code points).
 
+    Composite text density: characters per tag of every DOM node, lowered by its links; the
+    subtree with the largest sum of its children's densities is the main text, widened by what belongs
+    to it (``main_nodes``).  Of subtrees of equal sums the outermost, then the first one is taken.
+
     A page is handled by itself, so there is no shuffle.  Null and empty html,
     and pages without text outside menus and the like, give an empty text.  Very
-    long pages are parsed whole.  Repeated rows stay.  An empty table gives no
+    long and very deep pages are parsed whole, in time that grows with their length.  Repeated rows stay.  An empty table gives no
     rows.  Columns other than page_id, url and html are ignored.
     """
     def per_batch(cols):

@@ -2,48 +2,40 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from legworks.llm.common import map_groups, small_side, staged, text_or_empty
 from legworks.llm.links import cells, components, open_pairs, summary
 from legworks.llm.ngram_join import mixed
 
-EDITS = 2                  # lines within so many edits of code points are near duplicates
-MIN_CHARS = 16             # shorter lines are near duplicates within one edit
-SHORTEST = 8               # and still shorter ones, of which an edit changes more, if they are equal
-SHARE = (3, 64)            # of the characters, as a fraction: the edits of longer lines
-GRAM = 14                  # characters of the runs by which longer lines meet (10 for edits < 2)
-SLOTS = 1 << 20            # of the counts of such runs in a sample of documents
-SAMPLE = 2000              # documents of the sample; it orders the runs and decides nothing
-CELL_ROWS = 500
+# Edits of code points within which lines are near duplicates, by the length of the longer one;
+# shorter lines are near duplicates if they are equal.
+BOUNDS = ((8, 1), (16, 2), (64, 3), (256, 4))
+CELL_ROWS, CELL_CHARS = 500, 500_000
 MAX_BROADCAST = 1_000_000
 HASH_SEED = 42             # that of Spark's xxhash64()
+LONG = 4096                # code points up to which a line's places of a character are one number
 CLASSES = 64               # of characters, in the counts that rule out pairs
+FILTER_BITS = 27           # of the filter of index entries: 2^27 bits, 16 MB in each worker
+SEEN_LINES = 100_000       # line ids by which a task leaves out repeats
+SLICE_CHARS = 1 << 20      # code points of lines that are hashed together
+BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
-KEYS = pa.schema([("bucket", pa.int64()), ("code", pa.int64())])
+KEYS = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("item", T.LongType()),
+                     T.StructField("chars", T.IntegerType()), T.StructField("own", T.BooleanType())])
 
 
-def bound(length: int, edits: int = EDITS) -> int:
+def bound(length: int, bounds: tuple = BOUNDS) -> int:
     """Edits within which two lines are near duplicates, by the length of the longer one."""
-    if length < SHORTEST:
-        return 0
-    if length < MIN_CHARS:
-        return min(1, edits)
-    return max(edits, length * SHARE[0] // SHARE[1])
-
-
-def reach(length: int, edits: int) -> int:
-    """The largest bound of a line and another, of its length or longer."""
-    top, bottom = SHARE
-    longest = max(length * bottom // (bottom - top), length) + max(edits, 1) + 1
-    while longest - bound(longest, edits) > length:
-        longest -= 1
-    return bound(longest, edits)
+    return max((edits for least, edits in bounds if length >= least), default=0)
 
 
 def segments(length: int, edits: int) -> list[tuple[int, int]]:
@@ -101,7 +93,7 @@ def within(a: str, b: str, edits: int) -> bool:
                 diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
         return row[m] <= edits
     places: dict[str, int] = {}
-    for i, x in enumerate(a):
+    for i, x in enumerate(a[:LONG]):
         places[x] = places.get(x, 0) | 1 << i
     width = 2 * edits + 1
     mask = (1 << width) - 1
@@ -109,8 +101,11 @@ def within(a: str, b: str, edits: int) -> bool:
     distance = edits                     # of the band's lowest row in column 0
     for j, y in enumerate(b, 1):
         at = j - edits - 1               # position in a of the band's first row
-        equal = places.get(y, 0)
-        equal = (equal >> at if at >= 0 else equal << -at) & mask
+        if n <= LONG:
+            equal = places.get(y, 0)
+            equal = (equal >> at if at >= 0 else equal << -at) & mask
+        else:                            # of long lines, only the band is looked at
+            equal = sum(1 << k for k in range(max(0, -at), min(width, n - at)) if a[at + k] == y)
         same = equal | down
         diagonal = (((up + (same & up)) ^ up) | same) & mask
         right_up = (down | ~(diagonal | up)) & mask
@@ -125,158 +120,174 @@ def within(a: str, b: str, edits: int) -> bool:
     return distance <= edits
 
 
-def lookups(length: int, edits: int) -> list[tuple[int, int, int, int, bool]]:
-    """(seed, -, start, size, own) of the segments by which a line meets lines under the
-    length from which the bound grows: those of one edit and those of ``edits``."""
-    out = []
-    for few, low, high in ((min(1, edits), SHORTEST, MIN_CHARS), (edits, MIN_CHARS, None)):
-        if not few or length < low - few or (high and length >= high) or (
-                bound(length, edits) > edits):
-            continue
-        # a line under ``low`` is only looked up
-        out += [((other * (few + 1) + i) * 2 + (low == MIN_CHARS), i, p, size, own)
-                for other, i, p, size, own in probes(length, few) if own or length >= low]
-    return out
+def lookups(length: int, bounds: tuple = BOUNDS) -> list[tuple[int, int, int, bool]]:
+    """(seed, start, size, own) of the segments of a line: its index entries (own) and probes.
 
+    Probes are those of the line's own bound.  A line just under a length from which the bound grows
+    is also indexed by the segments of the larger bound, by which longer lines look it up.
+    """
+    edits, out = bound(length, bounds), []
+    for few in sorted({bound(n, bounds) for n in range(length, length + bounds[-1][1] + 1)}):
+        # a longer line with that bound is in reach
+        if few and any(bound(n, bounds) == few for n in range(length, length + few + 1)):
+            out += [(other << 16 | few << 8 | i, p, size, own)
+                    for other, i, p, size, own in probes(length, few) if own or few == edits]
+    return out
 
-def run_size(edits: int) -> int:
-    """Characters of a run: a line in reach of t edits holds t + 1 runs side by side at least."""
-    return GRAM if edits > 1 else 10
 
+def code_points(line: str) -> np.ndarray:
+    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
 
-def grams(points: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of all runs of ``size`` code points."""
-    n = max(0, len(points) - size + 1)
-    h = np.zeros(n, np.uint64)
-    for i in range(size):
-        h = h * np.uint64(0x100000001B3) + points[i:i + n]
-    return mixed(h)
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse, modulo 2^64."""
+    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+    out = []
+    for x in (BASE, inverse):
+        steps = np.full(n, x, np.uint64)
+        steps[:1] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
 
-def code_points(line: str) -> np.ndarray:
-    return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
 
+class KeyMaker:
+    """Hashes of all looked-up substrings of many lines at a time.
 
-def lasting(order: np.ndarray, edits: int, size: int) -> np.ndarray:
-    """The places of the first runs of a line, in ``order``, that ``edits`` edits can't all change.
+    With running sums of code point hashes times powers of an odd base, a substring's hash is a
+    difference of two sums, shifted to its start by the inverse power.
+    """
 
-    An edit changes the runs over one place only, at most ``size`` neighbours.  All runs up to the
-    last in order are taken, so of two lines within ``edits`` the one whose last comes first
-    has a run that the other took as well.
+    def __init__(self, bounds: tuple):
+        self.bounds, self.plans = bounds, {}
+        self.up, self.down = _powers(0)
+
+    def plan(self, length: int) -> tuple[np.ndarray, ...]:
+        if length not in self.plans:
+            if len(self.plans) > 10_000:
+                self.plans.clear()
+            rows = lookups(length, self.bounds)
+            seed, start, size, own = (np.array(x) for x in zip(*rows, strict=True)) if rows else (
+                np.zeros(0, np.int64),) * 4
+            self.plans[length] = (mixed(seed.astype(np.uint64) + np.uint64(1)), start, size,
+                                  own.astype(bool))
+        return self.plans[length]
+
+    def keys(self, lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(line numbers, hashes, own) of the lines, a length at a time."""
+        points = code_points("".join(lines))
+        if len(self.up) < len(points) + 1:
+            self.up, self.down = _powers(len(points) + 1)
+        h = mixed(points.astype(np.uint64) + BASE)
+        sums = np.append(np.uint64(0), np.cumsum(h * self.up[:len(points)], dtype=np.uint64))
+        lengths = np.array([len(x) for x in lines])
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(lengths, kind="stable")
+        cuts = np.flatnonzero(np.diff(lengths[order])) + 1
+        for group in np.split(order, cuts):
+            if len(group):
+                seed, start, size, own = self.plan(int(lengths[group[0]]))
+                if len(seed):
+                    at = starts[group][:, None] + start[None]
+                    part = (sums[at + size] - sums[at]) * self.down[at]
+                    yield (np.repeat(group, len(seed)), mixed(part ^ seed).ravel(),
+                           np.tile(own, len(group)))
+
+
+def _keys_of(docs: DataFrame, bounds: tuple, schema: T.StructType, pick) -> DataFrame:
+    """``pick`` (bucket, item, chars, own, as arrays) applied to the keys of all lines, by slices.
+
+    Lines are made distinct before they get keys, as far as a task's memory of ids goes.
     """
-    m = 3 * (edits + 1)
-    while True:
-        m = min(m, len(order))
-        places = np.flatnonzero(order <= np.partition(order, m - 1)[m - 1])
-        needed, last = 0, -size
-        for p in places.tolist():
-            if p - last >= size:
-                needed, last = needed + 1, p
-        if needed > edits or m == len(order):
-            return places
-        m += max(2, m // 4)
-
-
-def _gram_ranks(docs: DataFrame, size: int) -> np.ndarray:
-    """A rank for each slot of run hashes: how often its runs occur in a sample, as a logarithm."""
-    def run(batches):
-        seen = np.zeros(SLOTS, np.int64)
+    least = bounds[0][0] - bounds[0][1]
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maker, seen = KeyMaker(bounds), set()
+        lines, items, held = [], [], 0
+
+        def made() -> Iterator[pa.RecordBatch]:
+            item, chars = np.array(items, np.int64), np.array([len(x) for x in lines], np.int32)
+            for who, h, own in maker.keys(lines):
+                out = pick(h.view(np.int64), item[who], chars[who], own)
+                if len(out[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], schema=arrow)
+
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                for line in set(text.split("\n")):
-                    np.add.at(seen, grams(code_points(line), size) % np.uint64(SLOTS), 1)
-        slot = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])],
-                                         names=["slot", "n"])
-
-    n = docs.count()
-    text = text_or_empty()
-    if n > SAMPLE:
-        docs = docs.where(F.xxhash64(text) <= int((SAMPLE / n - 0.5) * 2 ** 64))
-    found = (docs.select(text.alias("text")).mapInArrow(run, "slot long, n long")
-             .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
-    ranks = np.zeros(SLOTS, np.uint8)
-    ranks[found.column("slot").to_numpy()] = np.log2(found.column("n").to_numpy()).astype(
-        np.uint8) + 1
-    return ranks
-
-
-def _keys(docs: DataFrame, edits: int) -> DataFrame:
-    """(bucket, code) rows of all lines: the bucket hashes other length, segment and substring, or
-    a run of a longer line; the code is the line's id with its last bit set for an index entry."""
-    plans: dict[int, tuple[list, int]] = {}
-    size_of_run = run_size(edits)
-    ranks = _gram_ranks(docs, size_of_run)
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                texts = batch.column("text").slice(at, 1000).to_pylist()
-                bucket, code = [], []
-                for line in {x for t in texts for x in t.split("\n") if len(x) >= SHORTEST - 1}:
-                    item = xxhash.xxh64_intdigest(line.encode(), HASH_SEED) & ~1
-                    n = len(line)
-                    plan = plans.get(n)
-                    if plan is None:
-                        if len(plans) > 10_000:
-                            plans.clear()
-                        plan = plans[n] = lookups(n, edits), reach(n, edits)
-                    for seed, _, p, size, own in plan[0]:
-                        bucket.append(xxhash.xxh64_intdigest(line[p:p + size].encode(), seed))
-                        code.append(item | own)
-                    if plan[1] > edits:
-                        h = grams(code_points(line), size_of_run)
-                        rank = ranks[h % np.uint64(SLOTS)].astype(np.uint64)
-                        order = rank << np.uint64(56) | h >> np.uint64(8)
-                        found = np.unique(order[lasting(order, plan[1], size_of_run)]).tolist()
-                        bucket += found
-                        code += [item | 1] * len(found)
-                    if len(bucket) > 100_000:
-                        yield _key_batch(bucket, code)
-                        bucket, code = [], []
-                yield _key_batch(bucket, code)
-
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "bucket long, code long")
-
-
-def _key_batch(bucket: list[int], code: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (bucket, code)], schema=KEYS)
+                for line in text.split("\n"):
+                    if len(line) < least or not line.strip(" \t\n\x0b\x0c\r"):
+                        continue
+                    item = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), HASH_SEED)
+                    if item in seen:
+                        continue
+                    if len(seen) >= SEEN_LINES:
+                        seen.clear()
+                    seen.add(item)
+                    lines.append(line)
+                    items.append((item & ~1) - (item >> 63 << 64))
+                    held += len(line)
+                    if held >= SLICE_CHARS:
+                        yield from made()
+                        lines, items, held = [], [], 0
+        if lines:
+            yield from made()
+
+    return docs.select(text_or_empty().alias("text")).mapInArrow(run, schema)
+
+
+SLOT = T.StructType([T.StructField("slot", T.LongType())])
+
+
+def _entry_filter(docs: DataFrame, bounds: tuple) -> np.ndarray:
+    """A bit for each slot that an index entry's hash falls in: ``FILTER_BITS`` decide its size,
+    whatever the table's."""
+    shift = np.int64((1 << FILTER_BITS) - 1)
+    slots = _keys_of(docs, bounds, SLOT, lambda h, item, chars, own: [h[own] & shift])
+    # 4 KB bitmaps, merged before and after the shuffle
+    maps = (slots.groupBy(F.shiftright("slot", 15).cast("int").alias("page"))
+            .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32_767)).alias("bits")).toArrow())
+    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for page, bits in zip(maps.column("page").to_pylist(), maps.column("bits").to_pylist(),
+                          strict=True):
+        out[page * 4096:page * 4096 + len(bits)] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
+    """bucket, item, chars and own of all index entries, and of the probes that may meet one.
+
+    A bucket is a hash of the other line's length, its bound, the segment and the substring.
+    The filter of the entries saves most probes; what it lets through by chance meets nothing.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_entry_filter(docs, bounds))
+    mask = np.int64((1 << FILTER_BITS) - 1)
+
+    def pick(h, item, chars, own):
+        slot = h & mask
+        keep = own | (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+        return h[keep], item[keep], chars[keep], own[keep]
+
+    return _keys_of(docs, bounds, KEYS, pick)
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
-    """(bucket, item) of the buckets that hold an index entry and a second line.
+    """bucket, item and chars of the buckets that hold an index entry and a second line.
 
     Buckets of the same lines become one: a bucket is renamed to the sum of its lines' hashes.
+    Buckets are counted before they are brought together with their lines, in a join that
+    adaptive execution can split.
     """
-    def run(batches):
-        held = [(b.column("bucket").to_numpy(), b.column("code").to_numpy()) for b in batches]
-        if not held:
-            return
-        bucket, code = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        order = np.lexsort((code, bucket))
-        bucket, code = bucket[order], code[order]
-        item = code & ~1
-        first = np.append(True, (bucket[1:] != bucket[:-1]) | (item[1:] != item[:-1]))[:len(item)]
-        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(item)])
-        if not len(starts):
-            return
-        lines = np.add.reduceat(first.astype(np.int64), starts)
-        index = np.add.reduceat(code & 1, starts)
-        sizes = np.diff(np.append(starts, len(item)))
-        keep = first & np.repeat((lines > 1) & (index > 0), sizes)
-        sums = np.add.reduceat(np.where(first, mixed(item.view(np.uint64)), np.uint64(0)), starts)
-        bucket, item = np.repeat(sums.view(np.int64), sizes)[keep], item[keep]
-        for at in range(0, len(item), 50_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[at:at + 50_000]), pa.array(item[at:at + 50_000])],
-                names=["bucket", "item"])
-
-    return keys.repartition("bucket").mapInArrow(run, "bucket long, item long").distinct()
-
-
-def _near_lines(edits: int):
+    lines = staged(keys.groupBy("bucket", "item").agg(
+        F.first("chars").alias("chars"), F.max("own").alias("own")), "line-entries")
+    sizes = (lines.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.max("own").alias("indexed"),
+        F.sum(F.shiftright(F.xxhash64("item"), 16)).alias("lines"))
+        .where("n > 1 AND indexed").select("bucket", "lines"))
+    return (lines.join(sizes, "bucket").select(F.col("lines").alias("bucket"), "item", "chars")
+            .distinct())
+
+
+def _near_lines(bounds: tuple):
     def links(group: pa.Table) -> list[tuple]:
         todo = open_pairs(group)
         if not todo.any():
@@ -284,7 +295,7 @@ def _near_lines(edits: int):
         lines = group.column("line").to_pylist()
         n = len(lines)
         sizes = np.array([len(x) for x in lines])
-        limits = np.array([bound(k, edits) for k in sizes.tolist()])
+        limits = np.array([bound(k, bounds) for k in sizes.tolist()])
         limits = np.maximum(limits[:, None], limits[None, :])
         todo &= np.abs(sizes[:, None] - sizes[None, :]) <= limits
         counts = np.zeros((n, CLASSES), np.int32)
@@ -305,15 +316,16 @@ LINKS = T.StructType([T.StructField("item", T.LongType()), T.StructField("root",
                       T.StructField("links", T.LongType())])
 
 
-def near_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def near_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
     """Links of distinct lines: item (line id), root and links, a row per cell and line."""
-    shared = staged(_shared_keys(_keys(docs, edits)), "line-keys")
-    cell = staged(cells(shared.withColumn("weight", F.lit(1)), CELL_ROWS, CELL_ROWS), "line-cells")
+    shared = staged(_shared_keys(_keys(docs, bounds)), "line-keys")
+    cell = staged(cells(shared.withColumnRenamed("chars", "weight"), CELL_ROWS, CELL_CHARS),
+                  "line-cells")
     wanted = small_side(staged(cell.select("item").distinct(), "line-wanted"), MAX_BROADCAST)
     texts = (docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line"))
              .withColumn("item", line_id("line")).join(wanted, "item")
              .groupBy("item").agg(F.first("line").alias("line")))
-    return staged(map_groups(cell.join(texts, "item"), "cell", _near_lines(edits), LINKS),
+    return staged(map_groups(cell.join(texts, "item"), "cell", _near_lines(bounds), LINKS),
                   "line-links")
 
 
@@ -329,13 +341,13 @@ def line_rows(docs: DataFrame) -> DataFrame:
         F.col("line").rlike(r"[^\x20\x09-\x0D]"), line_id("line")).alias("item"))
 
 
-def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
+def duplicate_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, row): its lines that are duplicates, and of which documents.
 
     See ``line_dedup``.
     """
     rows = staged(line_rows(docs), "lines")
-    found = near_lines(docs, edits)
+    found = near_lines(docs, bounds)
     roots = components(found.select(F.col("item").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("item").agg(F.sum("links").alias("links"))
     place = F.struct("doc_id", "row", "line_no")
@@ -359,23 +371,25 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
         .alias("kept_in"))
 
 
-def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Lines that repeat a line of another place, exactly or within ``bound`` edits: ``edits``
-    from ``MIN_CHARS`` characters on, then the ``SHARE`` of the longer line's characters if that is
-    more; one from ``SHORTEST`` characters on; shorter lines have to be equal.
+def line_dedup(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
+    """Lines that repeat a line of another place, exactly or within ``bound`` edits.
+
+    The bound follows from the longer line's length: none under 8 code points, one under 16, two
+    under 64, three under 256, four beyond (``bounds``).  That is this operator's definition
+    of near: a longer line is not allowed more edits than four.
 
     A line is cut into edits + 1 even segments; a line within that many edits keeps one of
-    them whole, at a place that lengths and edits left and right confine.  Where the bound
-    grows, a line is known by runs of ``GRAM`` characters instead, the rarest
-    in a sample first and as many as that many edits can't all change: two near
-    lines then have one in common.  Lines that share such a key are compared in
+    them whole, at a place that lengths and edits left and right confine.  All
+    segments are index entries; of the probes, those are looked up that a filter of the
+    entries' hashes lets through.  Lines that share a key are compared in
     cells of bounded size by counts of characters, then by a banded bit-parallel
     distance.  Classes are connected components; a class keeps its first line by
     (doc_id, row, line number).
 
     Lines part at \\n and count if they have a word; equal lines are one line,
     however often they occur.  Lines are 63-bit hashes.  Null and empty texts have no
-    lines.  Rows that repeat are separate places: the first keeps its lines.  An
+    lines.  Very long texts and lines are read whole; a cell's lines are bounded by their
+    characters, too.  Rows that repeat are separate places: the first keeps its lines.  An
     empty table gives no rows.  Columns other than doc_id and text are ignored.
 
     Returns doc_id, n_lines, n_dropped, n_near (dropped for a line that is not equal), n_links
@@ -383,15 +397,18 @@ def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     kept_in (ids of the documents that keep those lines).
     """
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
-    return duplicate_lines(rows, edits).drop("row")
+    return duplicate_lines(rows, bounds).drop("row")
+
 
+def drop_duplicate_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
+    """``docs``, all columns, with the duplicate lines taken out of ``text`` (a null stays null).
 
-def drop_duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
-    """``docs``, all columns, with the duplicate lines taken out of ``text`` (a null stays null)."""
+    As ``line_dedup``: of rows that repeat, the first keeps its lines; an empty table stays empty.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = staged(docs.select(F.struct(*columns).alias("doc"), "doc_id", "text",
                               F.monotonically_increasing_id().alias("row")), "line-docs")
-    drop = duplicate_lines(rows, edits).where("n_dropped > 0").select("row", "dropped")
+    drop = duplicate_lines(rows, bounds).where("n_dropped > 0").select("row", "dropped")
     left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("dropped", i))
     text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     return (rows.join(drop, "row", "left").withColumn("clean", text)

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,8 @@ from legworks.session import scratch_path
 CRLF = "\r\n"
 FIRST_CAPTURE = "2024-01-01 00:00:00"   # capture times count seconds from here by page_id
 RECORDS_PER_FILE = 20_000
+FILE_BYTES = 128_000_000                # of the records of a file, unless it holds a single one
+RECORD_CLASSES = (8_192, 131_072, 2_097_152, 33_554_432)   # largest record of a class of sizes
 MAX_GROUPS_BROADCAST = 200_000
 # Digit alphabets of conv() and of base32.
 CONV_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -36,19 +39,24 @@ def base32_of_hex(digest: Column) -> Column:
     return F.translate(F.concat(*parts), CONV_DIGITS, BASE32)
 
 
-def capture_records(pages: DataFrame) -> DataFrame:
+def repeated_payloads(pages: DataFrame) -> DataFrame:
+    """group (SHA-1) and original (the smallest page_id) of payloads of two pages or more."""
+    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
+    return staged(pages.select("page_id", F.sha1(payload).alias("group"))
+                  .groupBy("group").agg(F.min("page_id").alias("original"),
+                                        F.count("*").alias("n"))
+                  .where("n > 1").drop("n"), "warc-groups")
+
+
+def capture_records(pages: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One WARC record per page, as the column ``record``.
 
-    Of pages with equal payloads that with the smallest page_id is a response, the
-    others are revisits of it without the payload.  Only groups of two or more
-    are joined back: broadcast if they are few, else by a shuffle on the digest in
-    which Spark splits a hot digest.
+    Of pages with equal payloads (``groups``; by default those among ``pages``) that with the
+    smallest page_id is a response, the others are revisits of it without the payload.  Only
+    groups of two or more are joined back: broadcast if they are few, else by a shuffle on the
+    digest in which Spark splits a hot digest.
     """
-    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
-    groups = staged(pages.select("page_id", F.sha1(payload).alias("group"))
-                    .groupBy("group").agg(F.min("page_id").alias("original"),
-                                          F.count("*").alias("n"))
-                    .where("n > 1").drop("n"), "warc-groups")
+    groups = repeated_payloads(pages) if groups is None else groups
     rows = (pages.select(F.col("page_id").cast("long"),
                          F.coalesce(F.col("url").cast("string"), F.lit("about:blank")).alias("url"),
                          F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
@@ -83,13 +91,26 @@ def capture_records(pages: DataFrame) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, path: str) -> None:
-    """Write the records as gzip files of at most ``RECORDS_PER_FILE`` records.
+    """Write the records as gzip files of at most ``FILE_BYTES`` and ``RECORDS_PER_FILE`` records; a
+    larger record has a file of its own.
 
     Spark's own text writer does it, so a lost task is written again and a file
     appears only when it is whole.  The two line ends that close a record are the separator.
+    The writer counts records, so pages are written by classes of their size, each with as many to a
+    file as its largest allow; a class without pages costs nothing.
     """
-    (capture_records(pages).write.option("compression", "gzip").option("lineSep", CRLF * 2)
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    # what a page's record takes at most
+    most = (F.octet_length(F.coalesce(F.col("html").cast("string"), F.lit("")))
+            + 3 * F.coalesce(F.octet_length(F.col("url").cast("string")), F.lit(0)) + 2_048)
+    none = F.lit(None).cast("int")
+    kind = reduce(lambda c, n: c.when(most <= n, n), RECORD_CLASSES, F.when(F.lit(False), none))
+    found = [r["kind"] for r in pages.groupBy(kind.alias("kind")).count().collect()]
+    groups = repeated_payloads(pages)
+    for largest in found or RECORD_CLASSES[:1]:
+        held = 1 if largest is None else max(1, min(RECORDS_PER_FILE, FILE_BYTES // largest))
+        (capture_records(pages.where(kind.eqNullSafe(F.lit(largest))), groups)
+         .write.mode("append").option("compression", "gzip").option("lineSep", CRLF * 2)
+         .option("maxRecordsPerFile", held).text(path))
 
 
 def parse_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -255,7 +276,8 @@ def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
     The payload is the html in UTF-8 (null: empty).  A null url is 'about:blank', a
     null page_id is kept (it is no original unless no other row has the payload).
     Rows that repeat a page_id and payload are all responses if that id is
-    the smallest.  Empty payloads form a group as any other.  An empty table writes
+    the smallest.  Empty payloads form a group as any other.  A very long page has a file of its
+    own, which is read as one value (2 GB at most, as a Spark row).  An empty table writes
     no record and gives no rows.  Columns other than page_id, url and html are ignored.
 
     Returns, in index order within a part: page_id, payload_bytes, payload_digest,

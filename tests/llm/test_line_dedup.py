@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from hypothesis import given, settings, strategies as st
 from messy import messy_docs, no_docs
 
@@ -39,10 +40,12 @@ def edited(rnd, line, n):
 
 def sample(seed=2):
     rnd = random.Random(seed)
-    base = ["".join(rnd.choice("abcdef ") for _ in range(rnd.randint(16, 60))) for _ in range(12)]
+    # lines of 5 to 600 characters, some about the lengths from which the bound grows
+    base = ["".join(rnd.choice("abcdef ") for _ in range(n)) for n in (
+        5, 7, 8, 9, 15, 16, 17, 30, 45, 60, 62, 64, 65, 100, 160, 254, 256, 259, 400, 600)]
     rows = []
-    for i in range(40):
-        lines = [edited(rnd, rnd.choice(base), rnd.choice([0, 0, 1, 2, 3])) for _ in range(3)]
+    for i in range(60):
+        lines = [edited(rnd, rnd.choice(base), rnd.choice([0, 0, 1, 2, 3, 4, 5])) for _ in range(3)]
         rows.append((100 + i, "\n".join([*lines, "tiny"]), "s"))
     return rows
 
@@ -65,7 +68,8 @@ def brute(rows):
 
     for p, a in enumerate(lines):
         for b in lines[p + 1:]:
-            if min(len(a), len(b)) >= L.MIN_CHARS and distance(a, b) <= L.EDITS:
+            limit = L.bound(max(len(a), len(b)))
+            if abs(len(a) - len(b)) <= limit and distance(a, b) <= limit:
                 links[a] += 1
                 links[b] += 1
                 root[find(a)] = find(b)
@@ -115,36 +119,68 @@ def test_no_documents(spark):
     assert L.line_dedup(no_docs(spark)).collect() == []
 
 
-def test_bound_grows_with_the_length(spark):
+def test_bounds_by_length(spark):
     rnd = random.Random(7)
-    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(4, 9))) for _ in range(60)]
     lines = ["page 1 of 9", "page 2 of 9", "no", "on", "1234567", "12345678"]
-    for n in (10, 12, 30, 30, 900):        # and the same line after some edits
-        base = " ".join(rnd.choice(words) for _ in range(n))
-        lines += [base, base.replace(base.split()[n // 2], "another", 1)]
-        lines += [edited(rnd, base, k) for k in (L.bound(len(base)) - 1, L.bound(len(base)) + 4)]
+    for n in (20, 63, 64, 100, 255, 256, 300, 900):        # and the same line after some edits
+        base = "".join(rnd.choice("abcdefgh ") for _ in range(n))
+        lines += [base, *(edited(rnd, base, k) for k in (L.bound(n), L.bound(n) + 3))]
     docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
     want = [sum(abs(len(a) - len(b)) <= L.bound(max(len(a), len(b)))
                 and distance(a, b) <= L.bound(max(len(a), len(b))) for b in lines if b != a)
-            if len(a) < 2000 else None for a in lines]
+            for a in lines]
     got = {r.doc_id: r for r in L.line_dedup(docs).collect()}
-    assert [got[i].n_links if w is not None else None for i, w in enumerate(want)] == want
+    assert [got[i].n_links for i in range(len(lines))] == want
     assert got[1].dropped == [0] and got[3].dropped == [] and got[5].dropped == [0]
-    long = len(lines) - 4                       # 900 words, one replaced
-    assert got[long + 1].dropped == [0] and got[long + 1].n_near == 1
-
-
-def test_near_lines_share_a_run():
-    rnd, size = random.Random(3), L.run_size(L.EDITS)
-    for _ in range(100):
-        a = "".join(rnd.choice("abcd ") for _ in range(rnd.randint(64, 250)))
-        b = edited(rnd, a, rnd.randint(0, L.bound(len(a))))
-        if distance(a, b) > L.bound(max(len(a), len(b))):
+    assert sum(w > 0 for w in want) > 10
+    assert [L.bound(n) for n in (0, 7, 8, 15, 16, 63, 64, 255, 256, 10 ** 6)] == [
+        0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
+
+
+def test_near_lines_share_a_key_of_an_index_entry():
+    rnd, maker = random.Random(3), L.KeyMaker(L.BOUNDS)
+    near = 0
+    for _ in range(600):
+        a = "".join(rnd.choice("abcd ") for _ in range(rnd.choice([7, 8, 14, 16, 62, 63, 64, 66, 253,
+                                                                  256, 258, 300])))
+        b = edited(rnd, a, rnd.randint(0, 4))
+        limit = L.bound(max(len(a), len(b)))
+        if a == b or not limit or distance(a, b) > limit:
             continue
-        taken = [set(h[L.lasting(h, L.reach(len(x), L.EDITS), size)].tolist())
-                 for x in (a, b) for h in [L.grams(L.code_points(x), size)]]
-        assert taken[0] & taken[1]
-    for edits in range(5):      # every line that has a bound of its own holds enough runs
-        for n in range(8, 5000):
-            t = L.reach(n, edits)
-            assert t <= edits or n // L.run_size(edits) > t
+        near += 1
+        who, key, own = (np.concatenate(x) for x in zip(*maker.keys([a, b]), strict=True))
+        entries = [set(key[(who == i) & own].tolist()) for i in (0, 1)]
+        looked_up = [set(key[who == i].tolist()) for i in (0, 1)]
+        assert entries[0] & looked_up[1] or entries[1] & looked_up[0]
+    assert near > 100
+
+
+def test_keys_are_hashes_of_substrings():
+    maker = L.KeyMaker(L.BOUNDS)
+    lines = ["the same words here", "xx the same words he", "the same words here"]
+    found = {}
+    for who, key, _ in maker.keys(lines):
+        for i, k in zip(who.tolist(), key.tolist(), strict=True):
+            found.setdefault(i, []).append(k)
+    assert found[0] == found[2]                   # whatever stands around them
+    plan = L.lookups(len(lines[0]))
+    texts = {(seed, lines[0][p:p + n]) for seed, p, n, _ in plan}
+    assert len(set(found[0])) == len(texts)
+
+
+def test_a_line_of_a_million_characters(spark):
+    long = "".join(random.Random(1).choices("abcdefgh ", k=1_000_000))
+    other = long[:400_000] + "X" + long[400_001:]
+    apart = long[:1000] + "Y" * 5 + long[1000:999_000] + "Z" * 5 + long[999_000:]
+    docs = spark.createDataFrame([(1, long), (2, other), (3, apart)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_links, r.n_dropped) for r in L.line_dedup(docs).collect()}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (0, 0)}
+
+
+def test_the_filter_decides_nothing(spark, monkeypatch):
+    docs = spark.createDataFrame([(r[0], r[1]) for r in sample(5)], "doc_id long, text string")
+    docs = docs.coalesce(1)
+    want = sorted(map(tuple, L.line_dedup(docs).select("doc_id", "n_links", "n_dropped").collect()))
+    monkeypatch.setattr(L, "FILTER_BITS", 15)       # nearly all probes pass
+    got = sorted(map(tuple, L.line_dedup(docs).select("doc_id", "n_links", "n_dropped").collect()))
+    assert got == want and any(n for _, n, _ in want)

@@ -4,9 +4,11 @@ centroid assignment, and an isolation forest for anomaly scores.
 * ``standardize`` and ``assign_centroids`` stay JVM-side: the fitted statistics
   enter the plan as one scalar subquery, the centroids (bounded by
   ``k × features``) as literals — never as a join against the rows.
-* ``fit_kmeans`` fits Spark ML's distributed k-means on the feature columns alone
-  and numbers the clusters by ascending centre on the first feature; the rows
+* ``fit_kmeans`` fits Spark ML's distributed k-means on the distinct feature points,
+  weighted by their rows (``weighted_points``: delays are whole minutes, so there are far fewer
+  points than rows), and numbers the clusters by ascending centre on the first feature; the rows
   themselves are assigned by an expression, without a shuffle.
+* ``lloyd`` iterates from given centres on the same points, a job and k rows a round.
 * ``isolation_forest`` (Liu, Ting & Zhou, 2008) is a Spark job: every tree draws its
   own ``max_samples`` rows from all rows by hash (all randomness from hashes of the
   row key, so it does not depend on data layout), one tree grown per group in
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -28,6 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from legworks.operators.stats import exact_percentile
+from legworks.session import materialize
+
 
 # ----------------------------------------------------------- standardisation
 
@@ -119,43 +124,109 @@ class KMeansFit:
         return rows.withColumn(out, F.when(~missing, F.col(out))).drop(*names, f"{out}_dist2")
 
 
+POINT_WEIGHT = "_weight"
+POINTS_PER_TASK = 200_000
+
+
+def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """The distinct points of the feature columns with their rows as ``_weight``: a written table in a
+    layout that only the points decide.
+
+    Rows are counted before the shuffle, so it is bounded by distinct points.  Points are
+    dealt by their hash into as many partitions as their number asks for, in the order of their
+    values: what is fitted on them is the same on any cluster and for any file layout.  A NULL
+    feature raises: leave such rows out before.
+    """
+    missing = reduce(Column.__or__, [F.col(f).isNull() for f in features])
+    known = F.when(missing, F.raise_error(F.lit("k-means: a feature is NULL"))).otherwise(True)
+    # every zero is the same point
+    counted = materialize(df.where(known).select(*[(F.col(f).cast("double") + F.lit(0.0)).alias(f)
+                                                   for f in features])
+                          .groupBy(*features).agg(F.count(F.lit(1)).cast("double")
+                                                  .alias(POINT_WEIGHT)))
+    tasks = max(1, math.ceil(counted.count() / POINTS_PER_TASK))
+    return materialize(counted.repartition(tasks, *features).sortWithinPartitions(*features))
+
+
+def _moments(points: DataFrame, features: Sequence[str]) -> tuple[list[float], list[float]]:
+    """Weighted mean and sample standard deviation of each feature (two passes)."""
+    w = F.col(POINT_WEIGHT)
+    first = points.agg(F.sum(w), *[F.sum(w * F.col(f)) for f in features]).head()
+    n, mean = first[0], [v / first[0] for v in first[1:]]
+    second = points.agg(*[F.sum(w * (F.col(f) - F.lit(m)) ** 2)
+                          for f, m in zip(features, mean, strict=True)]).head()
+    return mean, [math.sqrt(v / (n - 1)) if n > 1 else 0.0 for v in second]
+
+
 def fit_kmeans(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-               scale: bool = False, max_iter: int = 20, partitions: int | None = None,
-               key_cols: Sequence[str] = ()) -> KMeansFit:
+               scale: bool = False, max_iter: int = 20, points: DataFrame | None = None
+               ) -> KMeansFit:
     """Fit Spark ML k-means on ``features``, z-scored first if ``scale``.
 
-    Only the feature columns are read.  A NULL feature raises: leave such rows out before.
-    The start of k-means|| depends on how rows lie in partitions, so by default the
-    centres may differ between clusters and file layouts.  With ``partitions`` and ``key_cols``
-    the keys and features (and nothing else) are first dealt into that many sorted
-    partitions, and the fit is the same wherever it runs.
+    The fit runs on ``weighted_points`` (given as ``points``, or made here): the centres
+    minimise the same sum over rows, every row counted, and are the same on any layout.
+    A NULL feature raises.
     """
-    from pyspark.ml import Pipeline
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-
-    narrow = df.select(*key_cols, *features) if partitions else df.select(*features)
-    if partitions:
-        if not key_cols:
-            raise ValueError("partitions needs key_cols")
-        narrow = narrow.repartition(partitions, *key_cols).sortWithinPartitions(*key_cols)
-    stages = [VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="error")]
-    if scale:
-        stages.append(StandardScaler(inputCol="_x", outputCol="_z", withMean=True, withStd=True))
-    stages.append(KMeans(k=k, seed=seed, featuresCol="_z" if scale else "_x", maxIter=max_iter))
-    fitted = Pipeline(stages=stages).fit(narrow).stages
+    from pyspark.ml.feature import VectorAssembler
+
+    points = weighted_points(df, features) if points is None else points
     n = len(features)
-    centres = sorted(tuple(float(v) for v in c) for c in fitted[-1].clusterCenters())
-    mean, std = (fitted[1].mean, fitted[1].std) if scale else ([0.0] * n, [1.0] * n)
-    return KMeansFit(tuple(features), tuple(centres), tuple(map(float, mean)),
-                     tuple(map(float, std)))
+    if points.isEmpty():
+        raise ValueError("k-means: no rows")
+    mean, std = _moments(points, features) if scale else ([0.0] * n, [1.0] * n)
+    empty = KMeansFit(tuple(features), (), tuple(mean), tuple(std))
+    names = [f"_scaled_{i}" for i in range(n)]
+    rows = points.select(POINT_WEIGHT, *[c.alias(x) for c, x in zip(empty.scaled(), names,
+                                                                    strict=True)])
+    rows = VectorAssembler(inputCols=names, outputCol="_x", handleInvalid="error").transform(rows)
+    model = KMeans(k=k, seed=seed, featuresCol="_x", weightCol=POINT_WEIGHT,
+                   maxIter=max_iter).fit(rows.select("_x", POINT_WEIGHT))
+    centres = sorted(tuple(float(v) for v in c) for c in model.clusterCenters())
+    return replace(empty, centres=tuple(centres))
+
+
+def lloyd(points: DataFrame, start: KMeansFit, rounds: int = 20) -> KMeansFit:
+    """``start`` improved by Lloyd's rounds on weighted points, until no centre moves or for
+    ``rounds`` rounds.  A round is one aggregate whose result is a row per centre; a centre without
+    points stays.  Centres keep their order."""
+    fit = start
+    for _ in range(rounds):
+        sums = (fit.assign(points).groupBy("cluster").agg(
+            F.sum(POINT_WEIGHT).alias("n"),
+            *[F.sum(F.col(POINT_WEIGHT) * c).alias(f"s{i}") for i, c in enumerate(fit.scaled())])
+            .collect())
+        centres = list(fit.centres)
+        for r in sums:
+            centres[r["cluster"]] = tuple(r[f"s{i}"] / r["n"] for i in range(len(fit.features)))
+        if centres == list(fit.centres):
+            break
+        fit = replace(fit, centres=tuple(centres))
+    return fit
+
+
+def inertia(points: DataFrame, fit: KMeansFit) -> float:
+    """Sum over rows of the squared distance to the nearest centre, in the units of the fit."""
+    away = [reduce(Column.__add__, [(x - F.lit(v)) ** 2 for x, v in zip(fit.scaled(), c, strict=True)])
+            for c in fit.centres]
+    nearest = away[0] if len(away) == 1 else F.least(*away)
+    return points.agg(F.sum(F.col(POINT_WEIGHT) * nearest)).head()[0] or 0.0
+
+
+def quantile_start(df: DataFrame, features: Sequence[str], k: int) -> KMeansFit:
+    """Centres that the data fix without a draw: the i-th has every feature's
+    (2i + 1) / 2k quantile (a value of the feature)."""
+    at = [(2 * i + 1) / (2 * k) for i in range(k)]
+    row = df.agg(*[exact_percentile(f, p).alias(f"{f}_{i}")
+                   for f in features for i, p in enumerate(at)]).head()
+    centres = tuple(tuple(float(row[f"{f}_{i}"]) for f in features) for i in range(k))
+    return KMeansFit(tuple(features), centres, (0.0,) * len(features), (1.0,) * len(features))
 
 
 def kmeans_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
-                    scale: bool = False, max_iter: int = 20, partitions: int | None = None,
-                    key_cols: Sequence[str] = (), out: str = "cluster") -> DataFrame:
+                    scale: bool = False, max_iter: int = 20, out: str = "cluster") -> DataFrame:
     """Fit k-means (``fit_kmeans``) and add the cluster of every row as ``out``."""
-    return fit_kmeans(df, features, k, seed, scale, max_iter, partitions, key_cols).assign(df, out)
+    return fit_kmeans(df, features, k, seed, scale, max_iter).assign(df, out)
 
 
 # --------------------------------------------------------- isolation forest
@@ -222,6 +293,16 @@ class IsolationForestModel:
                                t["left"].to_numpy(), t["right"].to_numpy(),
                                t["size"].to_numpy()))
 
+    @classmethod
+    def of_trees(cls, trees: Sequence[tuple], features: Sequence[str], sample_size: int
+                 ) -> IsolationForestModel:
+        """A forest from its node arrays (feature, split, left, right, size), one tuple a tree."""
+        model = cls.__new__(cls)
+        model.features, model.sample_size = list(features), int(sample_size)
+        kinds = (np.int64, np.float64, np.int64, np.int64, np.int64)
+        model.trees = [tuple(np.array(a, k) for a, k in zip(t, kinds, strict=True)) for t in trees]
+        return model
+
     def path_lengths(self, x: np.ndarray) -> np.ndarray:
         """Mean isolation depth of each row over the forest (with leaf correction)."""
         total = np.zeros(len(x))
@@ -285,6 +366,13 @@ def isolation_forest(train: DataFrame, features: Sequence[str], key_cols: Sequen
     return IsolationForestModel(nodes, features, psi)
 
 
+def score_threshold(train: DataFrame, model: IsolationForestModel, contamination: float = 0.05
+                    ) -> DataFrame:
+    """One value: the ``1 − contamination`` quantile of the training scores."""
+    return train.select(model.score_column().alias("s")).select(
+        F.percentile_approx("s", 1.0 - contamination, 100000).alias("threshold"))
+
+
 def anomaly_scores(train: DataFrame, score: DataFrame, features: Sequence[str],
                    key_cols: Sequence[str], contamination: float = 0.05, num_trees: int = 50,
                    max_samples: int = 256, seed: int = 42) -> DataFrame:
@@ -292,9 +380,7 @@ def anomaly_scores(train: DataFrame, score: DataFrame, features: Sequence[str],
     ``final_prediction`` (1 when the score reaches the ``1 − contamination``
     quantile of the training scores)."""
     model = isolation_forest(train, features, key_cols, num_trees, max_samples, seed)
-    train_scores = train.select(model.score_column().alias("s"))
-    threshold = train_scores.select(
-        F.percentile_approx("s", 1.0 - contamination, 100000)).scalar()
+    threshold = score_threshold(train, model, contamination).scalar()
     scored = score.withColumn("anomaly_score", model.score_column())
     return scored.withColumn("final_prediction",
                              (F.col("anomaly_score") >= threshold).cast("int"))

@@ -57,8 +57,8 @@ def clean_legs(legs: DataFrame, date_col: str = "FL_DATE", dep_time_col: str = "
                    & (F.col("CANCELLED") == 0) & (F.col("DIVERTED") == 0)))
 
 
-def extra_delay(clean: DataFrame, tie_break: Sequence[str] = (),
-                null_tail: str = "chain") -> DataFrame:
+def extra_delay(clean: DataFrame, tie_break: Sequence[str] = (), null_tail: str = "chain",
+                spread_alone: bool = True) -> DataFrame:
     """Add ``PREV_ARR_DELAY`` (same-day previous leg), ``EXTRA_DELAY`` and
     ``DELAY_RECOVERY = DEP_DELAY − ARR_DELAY``.
 
@@ -66,6 +66,10 @@ def extra_delay(clean: DataFrame, tie_break: Sequence[str] = (),
     (give a unique key so equal times are deterministic).  ``null_tail="chain"``
     treats legs without a tail number as one aircraft, as the source analysis
     does; ``"independent"`` gives each of them no previous leg.
+
+    Legs that can't chain (undated ones) are dealt out by a hash of their own.
+    ``spread_alone=False`` leaves that out: the window's keys are then the aircraft and day alone, by
+    which a bucketed table needs no shuffle (undated legs of an aircraft lie in one bucket).
     """
     if null_tail not in ("chain", "independent"):
         raise ValueError("null_tail must be 'chain' or 'independent'")
@@ -74,7 +78,8 @@ def extra_delay(clean: DataFrame, tie_break: Sequence[str] = (),
     if null_tail == "independent":
         alone = alone | F.col("TAIL_NUM").isNull()
     spread = F.when(alone, F.xxhash64(*clean.columns))
-    day = Window.partitionBy("TAIL_NUM", "FL_DATE_DT", spread).orderBy(
+    keys = ["TAIL_NUM", "FL_DATE_DT", *([spread] if spread_alone else [])]
+    day = Window.partitionBy(*keys).orderBy(
         F.col("DEP_TIME").asc(), *[F.col(k).asc() for k in tie_break])
     prev = F.lag(F.struct(F.lit(True).alias("has"), F.col("ARR_DELAY").alias("arr"))).over(day)
     out = clean.withColumn("_prev", prev)

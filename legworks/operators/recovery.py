@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from legworks.functions.columns import fraction_if, row_sum, safe_div
-from legworks.operators.stats import value_histogram
+from legworks.operators.stats import running_totals, value_histogram
 from legworks.schema import (CAUSE_COLUMNS, DELAY_WORSENED, NOT_ACHIEVED,
                              RECOVERY_ACHIEVED, TAXI_COLUMNS)
 
@@ -154,7 +154,13 @@ def cause_mix_absolute(clustered: DataFrame, min_arr_delay: float = 15.0,
     late = F.col("ARR_DELAY") >= min_arr_delay
     extra = [F.count_if(late).alias("_late")] + [
         F.sum(F.when(late, F.coalesce(F.col(c), F.lit(0.0)))).alias(f"_s_{c}") for c in components]
-    return (label_grain(cluster_grain(clustered, [], extra), fraction)
+    return mix_of_grain(cluster_grain(clustered, [], extra), components, fraction)
+
+
+def mix_of_grain(grain: DataFrame, components: Sequence[str] = MIX_COLUMNS,
+                 fraction: float = 0.10) -> DataFrame:
+    """Mean components per regime from sums per cluster (``_late`` and ``_s_<component>``)."""
+    return (label_grain(grain, fraction)
             .groupBy("recovery_status")
             .agg(F.sum("_late").alias("_late"),
                  *[F.try_divide(F.sum(f"_s_{c}"), F.sum("_late")).alias(c) for c in components])
@@ -185,6 +191,11 @@ def yearly_summary(delayed: DataFrame, years: Sequence[int] | None = DEFAULT_YEA
     h = df.groupBy("YEAR", "ARR_DELAY").agg(
         F.count(F.lit(1)).alias("c"), F.count("DEP_DELAY").alias("c_dep"),
         F.sum("DEP_DELAY").alias("s_dep"))
+    return summary_of_histogram(h, very_late)
+
+
+def summary_of_histogram(h: DataFrame, very_late: float = 60.0) -> DataFrame:
+    """The yearly summary from rows per (YEAR, ARR_DELAY): c, c_dep and s_dep."""
     known = F.col("ARR_DELAY").isNotNull()
     run = Window.partitionBy("YEAR").orderBy(F.col("ARR_DELAY").asc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
@@ -269,6 +280,39 @@ def delay_unevenness(delayed: DataFrame, fraction: float = 0.10, ties: str = "ra
             .where(F.col("top10_delay_share").isNotNull()))
 
 
+def value_unevenness(rows: DataFrame, value: str, keys: Sequence[str] = ("YEAR",),
+                     fraction: float = 0.10, ties: str = "range", tasks: int | None = None
+                     ) -> DataFrame:
+    """Top-``fraction`` share and Gini coefficient of any positive ``value`` per key: ``top_share``
+    (NULL when ``n·fraction < 1``) and ``gini``.
+
+    The measures of ``delay_unevenness`` for values that aren't whole minutes: with a
+    distinct value per row a histogram is as long as a year, so the ranks come from
+    ``running_totals`` over ranges of values, and no key's values meet in one task.
+    """
+    if ties not in ("range", "rows"):
+        raise ValueError(f"ties must be 'range' or 'rows', got {ties!r}")
+    one = F.lit(1)
+    run = running_totals(rows.where(F.col(value) > 0), keys, value,
+                         {"n": one, "x": F.col(value).cast("double")}, tasks)
+    n, x, below = F.col("n"), F.col("x"), F.col("n_below")
+    above = F.col("n_total") - below - n
+    limit = F.col("n_total") * F.lit(float(fraction))
+    kept = above + 1 <= limit
+    if ties == "range":
+        # what a value's peers and all larger ones add up to
+        top = F.max(F.when(kept, (F.col("x_total") - F.col("x_below")) / F.col("x_total")))
+    else:
+        take = F.least(n, F.floor(limit) - above)
+        top = F.sum(F.when(kept, F.col(value) * take)) / F.max("x_total")
+    # the ranks of n peers sum to n·below + n(n+1)/2
+    rank_sum = n * below + (n * (n + 1)) / 2
+    count, total = F.max("n_total"), F.max("x_total")
+    return run.groupBy(*keys).agg(
+        top.alias("top_share"),
+        ((2 * F.sum(F.col(value) * rank_sum)) / (count * total) - (count + 1) / count).alias("gini"))
+
+
 def delay_volatility(delayed: DataFrame, two_hours: float = 120.0,
                      four_hours: float = 240.0) -> DataFrame:
     """Per year: mean, sample std, fractions beyond 2h / 4h, coefficient of variation."""

@@ -48,9 +48,10 @@ def airport_regime_mix(clustered: DataFrame, top_n: int = 10, **kw) -> DataFrame
     return regime_mix(clustered, "ORIGIN", top_n, **kw)
 
 
-def profile(df: DataFrame, flag: str, features: Sequence[str]) -> DataFrame:
-    """Mean and sample std of each feature per value of ``flag`` — one
-    aggregation pass for all groups."""
+def profile(df: DataFrame, flag: str, features: Sequence[str], count: str | None = None
+            ) -> DataFrame:
+    """Mean and sample std of each feature per value of ``flag``, and its rows as ``count`` if
+    named — one aggregation pass for all groups."""
     aggs = [F.avg(f).alias(f"{f}_mean") for f in features] + [
         F.stddev_samp(f).alias(f"{f}_std") for f in features]
-    return df.groupBy(flag).agg(*aggs)
+    return df.groupBy(flag).agg(*aggs, *([F.count(F.lit(1)).alias(count)] if count else []))

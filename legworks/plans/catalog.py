@@ -22,6 +22,7 @@ _FAMILIES = [
     "legworks.plans.path_queries",
     "legworks.plans.report_queries",
     "legworks.plans.ml_queries",
+    "legworks.plans.state_queries",
 ]
 
 

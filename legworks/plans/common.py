@@ -3,6 +3,8 @@ result normalisation."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +37,23 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-_LANDED: dict[tuple, str] = {}
+_KEPT: dict[tuple, str] = {}
+
+
+def kept(spark, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table that ``write`` (given the path) makes once per Spark application, in the
+    shared checkpoint folder.  The key holds the source files' names, sizes and times of change
+    in whatever store they are, so a rewritten source is written again."""
+    from legworks.session import file_stamp, scratch_path
+
+    src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
+    key = (spark.sparkContext.applicationId, name, src, file_stamp(spark, src))
+    path = _KEPT.get(key)
+    if path is None:
+        path = scratch_path(spark, name)
+        write(path)
+        _KEPT[key] = path
+    return path
 
 
 def legs(spark, sf_dir: str, years=None) -> DataFrame:
@@ -43,19 +61,12 @@ def legs(spark, sf_dir: str, years=None) -> DataFrame:
     writes them once as YEAR-partitioned Parquet under the shared checkpoint
     folder (the same landing step real CSV input goes through); every query then
     scans that table with partition and column pruning instead of re-deriving
-    the legs.  The key holds the source files' names, sizes and times of change in
-    whatever store they are, so a rewritten source is landed again."""
-    from legworks.session import file_stamp, scratch_path
+    the legs."""
     from legworks.sources.legs import land_parquet, read_landed
     from legworks.sources.star import read_star_legs
 
-    src = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    key = (spark.sparkContext.applicationId, src, file_stamp(spark, src))
-    path = _LANDED.get(key)
-    if path is None:
-        # the mapped legs scatter every year over all input splits: gather them by year,
-        # a large year in as many tasks and files as its size asks for
-        path = land_parquet(read_star_legs(spark, sf_dir), scratch_path(spark, "legs"),
-                            partition_by=("YEAR",), gather=True)
-        _LANDED[key] = path
+    # the mapped legs scatter every year over all input splits: gather them by year,
+    # a large year in as many tasks and files as its size asks for
+    path = kept(spark, sf_dir, "legs", lambda p: land_parquet(
+        read_star_legs(spark, sf_dir), p, partition_by=("YEAR",), gather=True))
     return read_landed(spark, path, years=years)

@@ -32,6 +32,18 @@ def _csv_roundtrip(spark, sf_dir):
     return L.read_legs(spark, path).select(*_CSV_COLUMNS)
 
 
+def _header_variants(spark, sf_dir):
+    """Export the legs as files of three headers (the whole layout; its columns from the last to
+    the first; without the taxi times and with a further column) and scan them by name."""
+    src = L.to_source_layout(legs(spark, sf_dir).drop("FL_DATE"), _RENAMES)
+    path = scratch_path(spark, "legs-headers-csv")
+    shapes = [src, src.select(*reversed(src.columns)),
+              src.drop("TAXI_OUT", "TAXI_IN").withColumn("NOTE", F.lit("x"))]
+    for i, rows in enumerate(shapes):
+        L.write_report(rows.where(F.col("YEAR") % 3 == i), f"{path}/{i}", fmt="csv")
+    return L.read_legs(spark, f"{path}/*", headers="by_name").select(*_CSV_COLUMNS)
+
+
 def _rejected_rows(spark, sf_dir):
     """Export the legs with bad fields planted (a decimal departure time in every row whose
     part key is a multiple of 97), scan them back and count the rejected lines."""
@@ -73,6 +85,7 @@ QUERIES = {
     "coverage_tally": lambda s, d: L.coverage_tally(L.month_coverage(
         legs(s, d), COVERAGE_START, COVERAGE_END, COVERAGE_UNTIL)),
     "csv_roundtrip": _csv_roundtrip,
+    "header_variants": _header_variants,
     "parquet_roundtrip": _parquet_roundtrip,
     "rejected_rows": _rejected_rows,
     "report_csv_roundtrip": _report_csv_roundtrip,
@@ -115,6 +128,15 @@ SELECT YEAR, MONTH, nullif(FL_DATE_RAW, '') AS FL_DATE, OP_UNIQUE_CARRIER, OP_CA
        CRS_ARR_TIME, nullif(ARR_TIME_RAW, '') AS ARR_TIME, ARR_DELAY, CANCELLED, DIVERTED,
        CAST(CRS_ELAPSED_TIME AS DOUBLE) AS CRS_ELAPSED_TIME, AIR_TIME, DISTANCE, CARRIER_DELAY,
        WEATHER_DELAY, NAS_DELAY, SECURITY_DELAY, LATE_AIRCRAFT_DELAY
+FROM legs""", round_cols=_DOUBLE_CSV),
+    "header_variants": sql(final="""
+SELECT YEAR, MONTH, nullif(FL_DATE_RAW, '') AS FL_DATE, OP_UNIQUE_CARRIER, OP_CARRIER, TAIL_NUM,
+       ORIGIN, DEST, CRS_DEP_TIME, nullif(DEP_TIME_RAW, '') AS DEP_TIME, DEP_DELAY,
+       CASE WHEN YEAR % 3 <> 2 THEN TAXI_OUT END AS TAXI_OUT,
+       CASE WHEN YEAR % 3 <> 2 THEN TAXI_IN END AS TAXI_IN,
+       CRS_ARR_TIME, nullif(ARR_TIME_RAW, '') AS ARR_TIME, ARR_DELAY, CANCELLED, DIVERTED,
+       CAST(CRS_ELAPSED_TIME AS DOUBLE) AS CRS_ELAPSED_TIME, AIR_TIME, DISTANCE, CARRIER_DELAY,
+       WEATHER_DELAY, NAS_DELAY, SECURITY_DELAY, LATE_AIRCRAFT_DELAY
 FROM legs""", round_cols=_DOUBLE_CSV),
     "parquet_roundtrip": sql(final="SELECT * FROM legs"),
     "rejected_rows": sql(final="""

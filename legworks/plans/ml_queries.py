@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from legworks.operators import ml as M
+from legworks.operators import models as SM
 from legworks.operators import recovery as R
 from legworks.operators.report import profile
 from legworks.plans.common import legs, rounded
@@ -19,6 +20,7 @@ from legworks.plans.recovery_queries import (CLUSTERED, DELAYED, DELAYED_DOUBLES
                                              _delayed)
 from legworks.plans.report_queries import PROFILE_FEATURES
 from legworks.plans.sqltext import sql
+from legworks.session import scratch_path
 from legworks.sources.legs import train_split
 
 # The features, cluster counts and seed of the two analyses.
@@ -26,14 +28,22 @@ RECOVERY_FEATURES = ["DEP_DELAY", "ARR_DELAY", "DELAY_CHANGE"]
 PROPAGATION_FEATURES = ["DEP_DELAY", "ARR_DELAY", "EXTRA_DELAY", "DISTANCE"]
 RECOVERY_K, PROPAGATION_K, SEED = 3, 6, 42
 CONTAMINATION = 0.05
-FIT_PARTITIONS = 8         # the fit repeats on any cluster
+SETTLED = 1.02             # the fit's inertia over that of Lloyd's rounds from its centres
+SETTLED_ROUNDS = 3
+LLOYD_ROUNDS = 6
+
+
+def _fit(rows, features, k, scale=False):
+    """The fit, and whether it is settled: Lloyd's rounds from its centres gain next to nothing."""
+    points = M.weighted_points(rows, features)
+    fit = M.fit_kmeans(rows, features, k, SEED, scale=scale, points=points)
+    better = M.lloyd(points, fit, SETTLED_ROUNDS)
+    return fit, M.inertia(points, fit) <= SETTLED * M.inertia(points, better)
 
 
 def _fit_recovery(spark, sf_dir):
     delayed = R.delayed_flights(legs(spark, sf_dir), columns=R.BASE_COLUMNS + KEYS)
-    fit = M.fit_kmeans(delayed, RECOVERY_FEATURES, RECOVERY_K, SEED, scale=True,
-                       partitions=FIT_PARTITIONS, key_cols=KEYS)
-    return delayed, fit
+    return delayed, *_fit(delayed, RECOVERY_FEATURES, RECOVERY_K, scale=True)
 
 
 def _nearest(rows, fit):
@@ -45,17 +55,28 @@ def _nearest(rows, fit):
 
 
 def _kmeans_recovery(spark, sf_dir):
-    delayed, fit = _fit_recovery(spark, sf_dir)
+    delayed, fit, settled = _fit_recovery(spark, sf_dir)
     rows = _nearest(fit.assign(delayed), fit)
     return R.label_regimes(rows, columns=None).select(
-        *KEYS, "YEAR", *RECOVERY_FEATURES, "nearest",
+        *KEYS, "YEAR", *RECOVERY_FEATURES, "nearest", F.lit(settled).alias("settled"),
         F.col("recovery_status").isNotNull().alias("labelled"))
 
 
+def _kmeans_lloyd(spark, sf_dir):
+    """k-means without a draw: Lloyd's rounds from quantiles, whose centres SQL can check."""
+    rows = extra(spark, sf_dir)
+    points = M.weighted_points(rows, PROPAGATION_FEATURES)
+    fit = M.lloyd(points, M.quantile_start(rows, PROPAGATION_FEATURES, PROPAGATION_K),
+                  LLOYD_ROUNDS)
+    return fit.assign(rows).groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("legs"),
+        *[F.avg(f).alias(f"mean_{f}") for f in PROPAGATION_FEATURES])
+
+
 def _fitted_regimes(spark, sf_dir):
     """Flights and mean causes over all regimes of the fitted clusters: R1 and R4 put together
     again must give the totals of the data."""
-    delayed, fit = _fit_recovery(spark, sf_dir)
+    delayed, fit, _ = _fit_recovery(spark, sf_dir)
     clustered = fit.assign(delayed)
     per_year = R.recovery_regimes(clustered).groupBy("YEAR").agg(F.sum("count").alias("flights"))
     mix = R.cause_mix(clustered)
@@ -66,9 +87,24 @@ def _fitted_regimes(spark, sf_dir):
 
 def _kmeans_propagation(spark, sf_dir):
     rows = extra(spark, sf_dir)
-    fit = M.fit_kmeans(rows, PROPAGATION_FEATURES, PROPAGATION_K, SEED,
-                       partitions=FIT_PARTITIONS, key_cols=KEYS)
-    return _nearest(fit.assign(rows), fit).select(*KEYS, *PROPAGATION_FEATURES, "nearest")
+    fit, settled = _fit(rows, PROPAGATION_FEATURES, PROPAGATION_K)
+    return _nearest(fit.assign(rows), fit).select(
+        *KEYS, *PROPAGATION_FEATURES, "nearest", F.lit(settled).alias("settled"))
+
+
+def _stored_models(spark, sf_dir):
+    """Clusters and anomaly scores of models that were written and read back: each row's
+    score must be that of the model in memory."""
+    delayed, fit, _ = _fit_recovery(spark, sf_dir)
+    centres, trees = scratch_path(spark, "kmeans-model"), scratch_path(spark, "forest-model")
+    SM.save_kmeans(spark, fit, centres)
+    forest = M.isolation_forest(delayed, RECOVERY_FEATURES, KEYS, num_trees=20, seed=SEED)
+    limit = M.score_threshold(delayed, forest, CONTAMINATION).head()[0]
+    SM.save_forest(spark, forest, trees, limit)
+    both = SM.score_forest(SM.score_kmeans(fit.assign(delayed, "own_cluster").withColumn(
+        "own_score", forest.score_column()), centres), trees)
+    return both.select(*KEYS, "YEAR", (F.col("cluster") == F.col("own_cluster")).alias("same_cluster"),
+                       (F.col("anomaly_score") == F.col("own_score")).alias("same_score"))
 
 
 def _scored(spark, sf_dir):
@@ -91,9 +127,7 @@ def _anomaly_scores(spark, sf_dir):
 def _anomaly_profile(spark, sf_dir):
     """Profile of normal and flagged legs put together: rows, the flagged share near the asked
     one, and the means of all scored rows from the means of the two groups."""
-    scored = _scored(spark, sf_dir)
-    groups = profile(scored, "final_prediction", PROFILE_FEATURES).join(
-        scored.groupBy("final_prediction").count(), "final_prediction")
+    groups = profile(_scored(spark, sf_dir), "final_prediction", PROFILE_FEATURES, count="count")
     n = F.col("count")
     share = F.sum(F.when(F.col("final_prediction") == 1, n).otherwise(0)) / F.sum(n)
     return groups.agg(
@@ -103,6 +137,38 @@ def _anomaly_profile(spark, sf_dir):
           for f in PROFILE_FEATURES])
 
 
+DELAYED_KEYS = """
+k AS (
+  SELECT {keys}, YEAR FROM legs
+  WHERE CANCELLED = 0 AND DIVERTED = 0 AND DEP_DELAY > 10 AND ARR_DELAY >= -15
+    AND DEP_DELAY <= 360 AND ARR_DELAY <= 360
+)""".format(keys=", ".join(KEYS))
+
+
+def _lloyd_sql() -> str:
+    """Lloyd's rounds spelled out: a pair of steps each, from the same quantiles."""
+    fs, k = PROPAGATION_FEATURES, PROPAGATION_K
+    starts = " UNION ALL ".join(
+        f"SELECT {i} AS id, " + ", ".join(
+            f"CAST(quantile_disc({f}, {(2 * i + 1) / (2 * k)!r}::DOUBLE) AS DOUBLE) AS {f}" for f in fs)
+        + " FROM extra" for i in range(k))
+    away = " + ".join(f"(p.{f} - c.{f}) * (p.{f} - c.{f})" for f in fs)
+    steps = [f"points AS MATERIALIZED (SELECT {', '.join(fs)}, count(*) AS w FROM extra GROUP BY ALL)",
+             f"c0 AS MATERIALIZED ({starts})"]
+    for i in range(LLOYD_ROUNDS + 1):
+        steps.append(f"a{i} AS MATERIALIZED (SELECT {', '.join(f'p.{f}' for f in fs)}, any_value(w) AS w, "
+                     f"min({{'d': {away}, 'id': c.id}}).id AS id FROM points p, c{i} c GROUP BY "
+                     + ", ".join(f"p.{f}" for f in fs) + ")")
+        means = ", ".join(f"coalesce(sum(a.w * a.{f}) / sum(a.w), any_value(c.{f})) AS {f}" for f in fs)
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.id, {means} FROM c{i} c "
+                     f"LEFT JOIN a{i} a ON a.id = c.id GROUP BY c.id)")
+    last = f"a{LLOYD_ROUNDS}"
+    return sql(CLEAN, EXTRA, *steps, final=f"""
+SELECT CAST(id AS INTEGER) AS cluster, CAST(sum(w) AS BIGINT) AS legs,
+       {', '.join(f'sum(w * {f}) / sum(w) AS mean_{f}' for f in fs)}
+FROM {last} GROUP BY id""", round_cols=[f"mean_{f}" for f in fs])
+
+
 QUERIES = {
     "standardize": lambda s, d: rounded(M.standardize(_delayed(s, d), RECOVERY_FEATURES)),
     "standardize_scale_only": lambda s, d: rounded(M.standardize(
@@ -113,7 +179,9 @@ QUERIES = {
                                   "cluster", "assigned", "assigned_dist2")),
     "kmeans_recovery": _kmeans_recovery,
     "kmeans_propagation": _kmeans_propagation,
+    "kmeans_lloyd": lambda s, d: rounded(_kmeans_lloyd(s, d)),
     "fitted_regimes": _fitted_regimes,
+    "stored_models": _stored_models,
     "anomaly_scores": _anomaly_scores,
     "anomaly_profile": lambda s, d: rounded(_anomaly_profile(s, d)),
 }
@@ -144,15 +212,17 @@ FROM rows_ r JOIN best b USING (rid)""",
         round_cols=DELAYED_DOUBLES + [f"{f}_z" for f in RECOVERY_FEATURES]),
     "kmeans_recovery": sql(final="""
 SELECT {keys}, YEAR, DEP_DELAY, ARR_DELAY, ARR_DELAY - DEP_DELAY AS DELAY_CHANGE,
-       true AS nearest, true AS labelled
+       true AS nearest, true AS settled, true AS labelled
 FROM legs
 WHERE CANCELLED = 0 AND DIVERTED = 0 AND DEP_DELAY > 10 AND ARR_DELAY >= -15
   AND DEP_DELAY <= 360 AND ARR_DELAY <= 360""".format(keys=", ".join(KEYS))),
     "fitted_regimes": sql(DELAYED, final="""
 SELECT YEAR, count(*) AS flights, true AS whole FROM delayed GROUP BY YEAR"""),
     "kmeans_propagation": sql(CLEAN, EXTRA, final="""
-SELECT {keys}, {features}, true AS nearest FROM extra""".format(
+SELECT {keys}, {features}, true AS nearest, true AS settled FROM extra""".format(
         keys=", ".join(KEYS), features=", ".join(PROPAGATION_FEATURES))),
+    "stored_models": sql(DELAYED_KEYS, final="SELECT *, true AS same_cluster, true AS same_score FROM k"),
+    "kmeans_lloyd": _lloyd_sql(),
     "anomaly_scores": sql(CLEAN, final="""
 SELECT {keys}, true AS score_valid, true AS flag_valid FROM clean
 WHERE l_orderkey % 100 >= 30""".format(keys=", ".join(KEYS))),

@@ -17,11 +17,15 @@ from legworks.operators import routes as N
 from legworks.plans.common import DESTINATION, HUBS, MIN_FLIGHTS, ORIGIN, rounded
 from legworks.plans.route_queries import FLIGHTS, ROUTES, routes
 from legworks.plans.sqltext import in_list, sql
+from legworks.session import materialize
 
 # Origin/destination pairs answered together: a 3-hop pair, two more pairs, a
 # self pair (0 hops) and a pair whose end is not in the graph (no answer).
 PAIRS = [(ORIGIN, DESTINATION), ("A07", "A45"), ("A30", "A02"), ("A15", "A15"), (ORIGIN, "USA")]
 HUB_COLUMNS = 4
+# Weight and carried column of the two searches that are compared.
+BOTH_WAYS = {"fastest": ("avg_flight_time", "reliability_score"),
+             "reliable": ("reliability_score", "avg_flight_time")}
 # The searches run to their fixed point.  The SQL walks a number of legs that exceeds every
 # best path of the test tables (8 legs at most).
 ORACLE_LEGS = 14
@@ -80,6 +84,19 @@ def _comparison(spark, sf_dir, only_divergent):
     return G.route_divergence(fast, rel, only_divergent=only_divergent)
 
 
+def _examples(spark, sf_dir):
+    """Searches without paths; those of the reported pairs are rebuilt."""
+    e = edges(spark, sf_dir)
+    table = materialize(G.predecessor_table(e, G.all_sources(e), BOTH_WAYS))
+    parts = [table.where(F.col("search") == name) for name in BOTH_WAYS]
+    return G.divergence_examples(G.route_divergence(*parts), table=table)
+
+
+def _doubled(spark, sf_dir, name):
+    found = G.all_pairs_doubling(edges(spark, sf_dir), {name: BOTH_WAYS[name]})
+    return found.where("source <> node").drop("search")
+
+
 def _diameter(spark, sf_dir):
     e = edges(spark, sf_dir)
     return G.network_diameter(G.all_pairs_hops(e), N.airport_nodes(e))
@@ -105,7 +122,10 @@ QUERIES = {
     "route_divergence": lambda s, d: rounded(_texted(_comparison(s, d, True))),
     "divergence_stats": lambda s, d: rounded(G.divergence_stats(_comparison(s, d, False))),
     "divergence_top_pairs": lambda s, d: rounded(G.divergence_top_pairs(_comparison(s, d, True))),
-    "divergence_examples": lambda s, d: rounded(G.divergence_examples(_comparison(s, d, True))),
+    "divergence_examples": lambda s, d: rounded(_examples(s, d)),
+    "all_pairs_hops_doubling": lambda s, d: G.all_pairs_hops_doubling(edges(s, d)),
+    "all_pairs_fastest_doubling": lambda s, d: rounded(_texted(_doubled(s, d, "fastest"))),
+    "all_pairs_reliable_doubling": lambda s, d: rounded(_texted(_doubled(s, d, "reliable"))),
 }
 
 # ----------------------------------------------------------------- oracle SQL
@@ -279,3 +299,6 @@ SELECT src, dst, round(fast_time, 0) AS fast_time, round(rel_time, 0) AS rel_tim
        {_text('rel_path')} AS reliable_route
 FROM divergent ORDER BY reliability_gain DESC, src, dst LIMIT 5""", round_cols=_DIV_DOUBLES),
 }
+# squaring the table gives the rows of the frontier searches
+ORACLE |= {f"{name}_doubling": ORACLE[name] for name in (
+    "all_pairs_hops", "all_pairs_fastest", "all_pairs_reliable")}

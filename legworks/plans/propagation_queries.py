@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from legworks.operators import propagation as P
 from legworks.operators.recovery import bucket_clusters
-from legworks.plans.common import PROFILE_YEARS, PROPAGATION_EDGES, YEARS, legs, rounded
+from legworks.plans.common import PROFILE_YEARS, PROPAGATION_EDGES, YEARS, kept, legs, rounded
 from legworks.plans.sqltext import in_list, sql
 from legworks.schema import PROPAGATION_CAUSES
+from legworks.sources.legs import land_bucketed
 from legworks.sources.star import leg_key_columns
 
 KEYS = leg_key_columns()
+CLEAN_BUCKETS = 32         # a few for the test tables; some 100 MB each on a cluster
 
 
 def clean(spark, sf_dir, years=None):
@@ -22,6 +24,17 @@ def extra(spark, sf_dir, years=None):
     return P.extra_delay(clean(spark, sf_dir, years), tie_break=KEYS)
 
 
+def bucketed_clean(spark, sf_dir):
+    """The cleaned legs in buckets of aircraft and day: the day window reads them as they lie."""
+    def name(path: str) -> str:
+        return "legworks_clean_" + path.rsplit("-", 1)[-1]
+
+    path = kept(spark, sf_dir, "clean-legs", lambda p: land_bucketed(
+        clean(spark, sf_dir), name(p), p, ["TAIL_NUM", "FL_DATE_DT"],
+        ["TAIL_NUM", "FL_DATE_DT", "DEP_TIME", *KEYS], CLEAN_BUCKETS))
+    return spark.table(name(path))
+
+
 def _clustered(spark, sf_dir):
     return bucket_clusters(extra(spark, sf_dir), "EXTRA_DELAY", PROPAGATION_EDGES, (True, True))
 
@@ -33,6 +46,8 @@ def _cascade(spark, sf_dir):
 QUERIES = {
     "clean_legs": lambda s, d: clean(s, d),
     "extra_delay": lambda s, d: rounded(extra(s, d)),
+    "extra_delay_bucketed": lambda s, d: rounded(P.extra_delay(
+        bucketed_clean(s, d), tie_break=KEYS, spread_alone=False)),
     "cascade_stats": lambda s, d: rounded(P.cascade_stats(extra(s, d))),
     "cluster_impact": lambda s, d: rounded(P.cluster_impact(_clustered(s, d))),
     "cluster_cause_correlation": lambda s, d: rounded(P.cluster_cause_correlation(_clustered(s, d))),
@@ -107,6 +122,8 @@ _EXTRA_DOUBLES = _FEATURES + ["ARR_TIME", "DEP_TIME", "CANCELLED", "DIVERTED",
 ORACLE = {
     "clean_legs": sql(CLEAN, final="SELECT * FROM clean"),
     "extra_delay": sql(CLEAN, EXTRA, final="SELECT * FROM extra", round_cols=_EXTRA_DOUBLES),
+    "extra_delay_bucketed": sql(CLEAN, EXTRA, final="SELECT * FROM extra",
+                                round_cols=_EXTRA_DOUBLES),
     "cascade_stats": sql(CLEAN, EXTRA, final="""
 SELECT avg(EXTRA_DELAY) AS avg_extra_delay, stddev_samp(EXTRA_DELAY) AS std_extra_delay,
        max(EXTRA_DELAY) AS max_extra_delay, min(EXTRA_DELAY) AS min_extra_delay FROM extra""",

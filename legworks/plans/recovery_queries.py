@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from legworks.operators import recovery as R
 from legworks.plans.common import CONTRIBUTION_YEARS, RECOVERY_EDGES, YEARS, legs, rounded
 from legworks.plans.sqltext import in_list, sql
@@ -15,6 +17,13 @@ def _clustered(spark, sf_dir):
     return R.bucket_clusters(_delayed(spark, sf_dir), "DELAY_CHANGE", RECOVERY_EDGES)
 
 
+def _delay_per_hour(spark, sf_dir):
+    """Minutes late per scheduled hour, unevenly spread over a year's flights: continuous values."""
+    late = R.delayed_flights(legs(spark, sf_dir), columns=[*R.BASE_COLUMNS, "CRS_ELAPSED_TIME"])
+    return R.value_unevenness(late.withColumn(
+        "per_hour", F.col("ARR_DELAY") * 60 / F.col("CRS_ELAPSED_TIME")), "per_hour")
+
+
 QUERIES = {
     "delayed_flights": lambda s, d: rounded(_delayed(s, d)),
     "cluster_summary": lambda s, d: rounded(R.cluster_summary(_clustered(s, d))),
@@ -26,6 +35,7 @@ QUERIES = {
     "top_decile_share": lambda s, d: rounded(R.top_decile_share(_delayed(s, d))),
     "delay_gini": lambda s, d: rounded(R.delay_gini(_delayed(s, d))),
     "delay_unevenness": lambda s, d: rounded(R.delay_unevenness(_delayed(s, d))),
+    "delay_per_hour_unevenness": lambda s, d: rounded(_delay_per_hour(s, d)),
     "airport_concentration": lambda s, d: rounded(R.airport_concentration(_delayed(s, d))),
     "airport_contribution": lambda s, d: rounded(R.airport_contribution(_delayed(s, d))),
     "top_airport_contribution_years": lambda s, d: rounded(
@@ -145,6 +155,23 @@ FROM delayed WHERE YEAR IN ({in_list(YEARS)}) GROUP BY YEAR""",
     "delay_unevenness": sql(DELAYED, TOP10, GINI, final="""
 SELECT t.YEAR, t.top10_delay_share, g.gini_delay FROM top10 t JOIN gini g USING (YEAR)""",
         round_cols=("top10_delay_share", "gini_delay")),
+    "delay_per_hour_unevenness": sql("""
+pos AS (
+  SELECT YEAR, ARR_DELAY * 60 / CRS_ELAPSED_TIME AS x FROM legs
+  WHERE CANCELLED = 0 AND DIVERTED = 0 AND DEP_DELAY > 10 AND ARR_DELAY > 0
+    AND DEP_DELAY <= 360 AND ARR_DELAY <= 360
+),
+ranked AS (
+  SELECT YEAR, x, row_number() OVER (PARTITION BY YEAR ORDER BY x) AS up,
+         row_number() OVER (PARTITION BY YEAR ORDER BY x DESC) AS down,
+         count(*) OVER (PARTITION BY YEAR) AS n, sum(x) OVER (PARTITION BY YEAR) AS total,
+         sum(x) OVER (PARTITION BY YEAR ORDER BY x DESC
+                      RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS carried
+  FROM pos
+)""", final="""
+SELECT YEAR, max(CASE WHEN down <= n * 0.1 THEN carried / total END) AS top_share,
+       2 * sum(up * x) / (max(n) * max(total)) - (max(n) + 1) / max(n) AS gini
+FROM ranked GROUP BY YEAR""", round_cols=("top_share", "gini")),
     "airport_concentration": sql(DELAYED, final="""
 SELECT YEAR, sum(CASE WHEN rk <= 10 THEN total_delay ELSE 0 END) / nullif(sum(total_delay), 0)
          AS top10_airport_delay_share

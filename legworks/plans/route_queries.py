@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from legworks.operators import routes as N
-from legworks.plans.common import BUSY_FLIGHTS, MIN_FLIGHTS, legs, rounded
+from legworks.plans.common import BUSY_FLIGHTS, MIN_FLIGHTS, kept, legs, rounded
 from legworks.plans.sqltext import sql
-from legworks.session import materialize
 
 
 def flights(spark, sf_dir):
@@ -13,9 +12,11 @@ def flights(spark, sf_dir):
 
 
 def routes(spark, sf_dir):
-    """The route table, written once: it is small (airport pairs) but costs a
-    pass over the legs, and the reports read it from several branches."""
-    return materialize(N.direct_routes(flights(spark, sf_dir)))
+    """The route table, written once per application: it is small (airport pairs) but costs a
+    pass over the legs, and all reports and searches read it."""
+    path = kept(spark, sf_dir, "routes",
+                lambda p: N.direct_routes(flights(spark, sf_dir)).write.parquet(p))
+    return spark.read.parquet(path)
 
 
 def analysis_routes(spark, sf_dir):

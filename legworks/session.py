@@ -105,3 +105,32 @@ def file_stamp(spark: SparkSession, location: str) -> tuple[tuple[str, int, int]
     fs, path = _file_system(spark, location)
     return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
                         for f in fs.listStatus(path)))
+
+
+def files_under(spark: SparkSession, location: str) -> list[str]:
+    """Data files of a file, folder or glob pattern, in order of their paths, in whatever store."""
+    fs, path = _file_system(spark, location)
+    found = fs.globStatus(path)
+    if not found:
+        raise FileNotFoundError(location)
+    out = []
+    for status in found:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        out += [f.getPath().toString() for f in inside
+                if not f.isDirectory() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, file: str) -> str:
+    """The first line of a text file, which may be compressed; empty for an empty file."""
+    fs, path = _file_system(spark, file)
+    jvm = spark._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark._jsparkSession.sessionState().newHadoopConf()).getCodec(path)
+    stream = fs.open(path)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        stream.close()

@@ -3,6 +3,8 @@ month coverage and report writers."""
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from legworks.schema import LEG_COLUMNS, LEG_SCHEMA
-from legworks.session import exists
+from legworks.session import exists, files_under, first_line
 
 # Folder by which Spark's file sink marks a table that a stream writes.
 STREAM_LOG = "_spark_metadata"
@@ -21,11 +23,11 @@ REJECTED = "_rejected"
 
 
 def read_legs(spark: SparkSession, path: str | Sequence[str], schema=LEG_SCHEMA,
-              bad_rows: str = "raise") -> DataFrame:
+              bad_rows: str = "raise", headers: str = "same") -> DataFrame:
     """Scan on-time CSV files (a directory, glob or list) with an explicit schema.
 
     Every file's header must name the schema's columns in their order; another header
-    raises.  So does a line with another number of fields, and a field that doesn't fit its
+    raises (``headers="by_name"`` reads files of differing headers, see ``header_groups``).  So does a line with another number of fields, and a field that doesn't fit its
     column's type once a query uses it.  With ``bad_rows="keep"`` such lines stay, with
     unfit fields NULL and the line's text in the column ``_rejected`` (NULL for good
     lines; see ``rejected_rows``), whichever columns a query uses.
@@ -34,7 +36,76 @@ def read_legs(spark: SparkSession, path: str | Sequence[str], schema=LEG_SCHEMA,
     same column differently for different file sets.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return typed_legs(csv_reader(spark.read, schema, bad_rows).csv(paths), schema, bad_rows)
+    if headers not in ("same", "by_name"):
+        raise ValueError(f"headers must be 'same' or 'by_name', not {headers!r}")
+    if headers == "same":
+        return typed_legs(csv_reader(spark.read, schema, bad_rows).csv(paths), schema, bad_rows)
+    out = None
+    for names, files in header_groups(spark, paths).items():
+        rows = _by_name(spark, names, files, schema, bad_rows)
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"no file with a header in {paths}")
+    return out
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files by their header: column names in upper case, in the files' order.
+
+    Only the first line of each file is read, by the driver, for a list of files that it
+    holds anyway.  Files without any line are left out.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        for file in files_under(spark, path):
+            names = tuple(n.strip().upper() for n in next(csv.reader([first_line(spark, file)]), []))
+            while names and not names[-1]:      # a comma at the end of the line
+                names = names[:-1]
+            if not names:
+                continue
+            if len(set(names)) < len(names):
+                twice = sorted(n for n, k in Counter(names).items() if k > 1)
+                raise ValueError(f"{file} names a column twice: {', '.join(twice)}")
+            groups.setdefault(names, []).append(file)
+    return groups
+
+
+def _by_name(spark: SparkSession, names: Sequence[str], files: Sequence[str], schema: StructType,
+             bad_rows: str) -> DataFrame:
+    """Files of one header in the schema's order; what they don't have is NULL, what the
+    schema doesn't have is left out."""
+    known = {f.name.upper(): f for f in schema.fields}
+    own = StructType([StructField(known[n].name if n in known else n,
+                                  known[n].dataType if n in known else StringType())
+                      for n in names])
+    # the header has been read, in whatever case it names its columns
+    reader = csv_reader(spark.read, own, bad_rows).option("enforceSchema", True)
+    rows = typed_legs(reader.csv(list(files)), own, bad_rows)
+    have = set(own.fieldNames())
+    columns = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+               for f in schema.fields]
+    return rows.select(*columns, *([REJECTED] if bad_rows == "keep" else []))
+
+
+def header_report(spark: SparkSession, path: str | Sequence[str], schema=LEG_SCHEMA) -> DataFrame:
+    """A row per header: files, the schema's columns that are missing (NULL when read by name), the
+    further ones that are left out, and whether the common columns come in the schema's order."""
+    paths = [path] if isinstance(path, str) else list(path)
+    order = {f.name.upper(): i for i, f in enumerate(schema.fields)}
+    rows = []
+    for names, files in header_groups(spark, paths).items():
+        places = [order[n] for n in names if n in order]
+        rows.append((len(files), files[0].rsplit("/", 1)[-1],
+                     [f.name for f in schema.fields if f.name.upper() not in names],
+                     [n for n in names if n not in order], places == sorted(places)))
+    return spark.createDataFrame(rows, "files int, first_file string, missing array<string>, "
+                                       "further array<string>, in_order boolean")
+
+
+def missing_values(legs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows and NULLs of each column, per year: what files of other headers lacked."""
+    return legs.groupBy("YEAR").agg(F.count(F.lit(1)).alias("lines"), *[
+        F.count_if(F.col(c).isNull()).alias(f"{c}_missing") for c in columns])
 
 
 def csv_reader(reader, schema: StructType, bad_rows: str):
@@ -66,6 +137,24 @@ def rejected_rows(legs: DataFrame) -> DataFrame:
                                     F.count(REJECTED).alias("rejected"))
 
 
+def land_bucketed(legs: DataFrame, name: str, path: str, keys: Sequence[str],
+                  order: Sequence[str] = (), buckets: int = 200) -> DataFrame:
+    """Write ``legs`` as the table ``name`` (files at ``path``), dealt into ``buckets`` by the hash of
+    ``keys`` and sorted by ``order`` within each; returns the table.
+
+    Joins, aggregates and windows whose keys include ``keys`` then read it without a shuffle, every
+    time.  Choose keys that part a hot value (tail and date, not the tail alone).  Rows are brought
+    together by bucket before the write, so a bucket is one file.
+    """
+    if exists(legs.sparkSession, path):
+        raise ValueError(f"{path} exists; bucketed tables are written anew")
+    order = list(order) or list(keys)
+    (legs.repartition(buckets, *keys).sortWithinPartitions(*order)
+     .write.bucketBy(buckets, *keys).sortBy(*order).option("path", path)
+     .format("parquet").saveAsTable(name))
+    return legs.sparkSession.table(name)
+
+
 def to_source_layout(df: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
     """Project a frame onto the 77-column on-time layout (missing columns NULL),
     e.g. to export legs in the source format."""

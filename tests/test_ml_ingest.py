@@ -52,7 +52,7 @@ def test_standardize_and_centroids(spark):
 def test_kmeans_relabels_by_first_feature(spark):
     rows = [(i, float(v + (i % 5) * 0.01), float(v)) for i, v in enumerate([0] * 30 + [50] * 30 + [100] * 30)]
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, partitions=4, key_cols=["id"])
+    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42)
     means = {r.cluster: r.m for r in out.groupBy("cluster").agg(F.avg("a").alias("m")).collect()}
     assert [round(means[c]) for c in sorted(means)] == [0, 50, 100]
 
@@ -63,13 +63,76 @@ def test_kmeans_refuses_null_features_and_repeats(spark):
     with pytest.raises(Exception, match="(?i)null"):
         M.fit_kmeans(df, ["a", "b"], k=3)
     whole = df.where("b IS NOT NULL")
-    fit = M.fit_kmeans(whole.repartition(3), ["a", "b"], k=3, scale=True, partitions=4, key_cols=["id"])
-    again = M.fit_kmeans(whole.repartition(7), ["a", "b"], k=3, scale=True, partitions=4, key_cols=["id"])
+    fit = M.fit_kmeans(whole.repartition(3), ["a", "b"], k=3, scale=True)
+    again = M.fit_kmeans(whole.repartition(7), ["a", "b"], k=3, scale=True)
     assert fit == again
     out = fit.assign(df)
     assert out.count() == 100 and out.where("cluster IS NULL").count() == 10
 
 
+def _delay_rows(spark, n=4000):
+    rng = np.random.default_rng(11)
+    centre = rng.integers(0, 3, n)
+    rows = [(i, float(round(x)), float(round(y))) for i, (x, y) in enumerate(
+        rng.normal(0, 12, (n, 2)) + np.array([[0, 0], [60, 20], [140, 160]])[centre])]
+    return spark.createDataFrame(rows, "id long, a double, b double")
+
+
+def test_weighted_points_count_every_row(spark):
+    df = _delay_rows(spark)
+    points = M.weighted_points(df.repartition(5), ["a", "b"])
+    got = {(r.a, r.b): r[M.POINT_WEIGHT] for r in points.collect()}
+    want = {(r.a, r.b): float(r["count"]) for r in df.groupBy("a", "b").count().collect()}
+    assert got == want and len(got) < 4000
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "a double")
+    assert sorted(tuple(r) for r in M.weighted_points(zeros, ["a"]).collect()) == [(0.0, 2.0), (1.0, 1.0)]
+
+
+def test_kmeans_on_points_equals_a_fit_on_all_rows(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    df = _delay_rows(spark)
+    points = M.weighted_points(df, ["a", "b"])
+    fit = M.fit_kmeans(df, ["a", "b"], k=3, seed=42, points=points)
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    full = KMeans(k=3, seed=42, maxIter=20).fit(rows)
+    assert M.inertia(points, fit) == pytest.approx(full.summary.trainingCost, rel=1e-3)
+    # the same sum over the rows themselves
+    x = np.array([(r.a, r.b) for r in df.collect()])
+    away = ((x[:, None, :] - np.array(fit.centres)[None]) ** 2).sum(axis=2).min(axis=1)
+    assert M.inertia(points, fit) == pytest.approx(away.sum())
+
+
+def test_lloyd_is_plain_lloyd_and_improves_a_poor_start(spark):
+    df = _delay_rows(spark)
+    points = M.weighted_points(df, ["a", "b"])
+    start = M.KMeansFit(("a", "b"), ((0.0, 0.0), (5.0, 0.0), (10.0, 0.0)), (0.0, 0.0), (1.0, 1.0))
+    x = np.array([(r.a, r.b) for r in df.collect()])
+    centres = np.array(start.centres)
+    for _ in range(4):
+        own = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
+        centres = np.array([x[own == i].mean(axis=0) if (own == i).any() else centres[i]
+                            for i in range(3)])
+    got = M.lloyd(points, start, rounds=4)
+    assert np.allclose(np.array(got.centres), centres)
+    # what the catalogue's column "settled" tells apart
+    assert M.inertia(points, start) > 2 * M.inertia(points, M.lloyd(points, start))
+    fit = M.fit_kmeans(df, ["a", "b"], k=3, points=points)
+    assert M.inertia(points, fit) <= 1.02 * M.inertia(points, M.lloyd(points, fit))
+
+
+def test_lloyd_keeps_a_centre_without_points(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "a double")
+    start = M.KMeansFit(("a",), ((2.0,), (900.0,)), (0.0,), (1.0,))
+    assert M.lloyd(M.weighted_points(df, ["a"]), start).centres == ((2.0,), (900.0,))
+
+
+def test_quantile_start_is_made_of_values(spark):
+    df = spark.createDataFrame([(float(i), float(i % 10)) for i in range(100)], "a double, b double")
+    assert M.quantile_start(df, ["a", "b"], 2).centres == ((24.0, 2.0), (74.0, 7.0))
+
+
 def test_profile_one_pass(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 10.0)], "flag int, v double")
     out = {r.flag: r for r in RP.profile(df, "flag", ["v"]).collect()}
@@ -221,7 +284,7 @@ def test_kmeans_rows_nearest_to_own_centre(spark):
     rows = [(i, float(cx + rng.normal(0, 2)), float(cy + rng.normal(0, 2)))
             for i, (cx, cy) in enumerate(centres[j % 3] for j in range(600))]
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42, partitions=4, key_cols=["id"])
+    out = M.kmeans_clusters(df, ["a", "b"], k=3, seed=42)
     assert out.select("cluster").distinct().count() == 3
     checked = M.assign_centroids(out, M.centroid_table(out, ["a", "b"]), ["a", "b"])
     assert checked.where(F.col("assigned") != F.col("cluster")).count() == 0

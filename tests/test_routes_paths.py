@@ -179,3 +179,78 @@ def test_direct_routes_approx_p90_matches_exact(spark):
     approx = {(r.src, r.dst): r.p90_delay
               for r in N.direct_routes(f, p90_method="approx", accuracy=1_000_000).collect()}
     assert exact == approx
+
+
+def _random_edges(spark, seed, nodes=7, whole=False):
+    import random
+    rnd = random.Random(seed)
+    pairs = {(f"N{rnd.randrange(nodes):02d}", f"N{rnd.randrange(nodes):02d}") for _ in range(3 * nodes)}
+    # a long chain, so that best paths of many legs exist; whole weights, so that paths tie
+    pairs |= {(f"L{i:02d}", f"L{i + 1:02d}") for i in range(8)} | {("N00", "L00")}
+    draw = (lambda: float(rnd.randint(1, 3))) if whole else (lambda: rnd.uniform(1, 90))
+    rows = [(a, b, 20, draw(), draw()) for a, b in sorted(pairs)]
+    return spark.createDataFrame(rows, "src string, dst string, flight_count long, "
+                                       "avg_flight_time double, reliability_score double").coalesce(1)
+
+
+BOTH = {"fastest": ("avg_flight_time", "reliability_score"),
+        "reliable": ("reliability_score", "avg_flight_time")}
+
+
+def _plain(df):
+    return sorted(([round(v, 6) if isinstance(v, float) else v for v in r]
+                   for r in df.select(sorted(df.columns)).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed,whole", [(1, False), (2, True)])
+def test_doubling_gives_the_frontier_search_in_fewer_rounds(spark, seed, whole):
+    e = _random_edges(spark, seed, whole=whole)
+    plain, doubled = {}, {}
+    want = _plain(G.shortest_paths_multi(e, G.all_sources(e), BOTH, report=plain))
+    assert _plain(G.all_pairs_doubling(e, BOTH, report=doubled)) == want
+    assert doubled["rounds"] <= max(plain["rounds"] / 2, 5)
+    hops = {}
+    assert _plain(G.all_pairs_hops_doubling(e, hops)) == _plain(G.all_pairs_hops(e))
+    assert hops["rounds"] <= 5               # 16 legs at most, and a round that finds nothing
+
+
+def test_doubling_refuses_negative_weights(spark):
+    e = spark.createDataFrame([("A", "B", -1.0)], "src string, dst string, w double")
+    with pytest.raises(ValueError, match="negative"):
+        G.all_pairs_doubling(e, {"w": ("w", None)})
+
+
+@pytest.mark.parametrize("seed,whole", [(3, False), (4, True)])
+def test_predecessors_rebuild_the_same_paths(spark, seed, whole):
+    e = _random_edges(spark, seed, whole=whole)
+    searches = BOTH | {"legs": ("one", None)}
+    e = e.withColumn("one", F.lit(1.0))          # unit weights: ties are the rule
+    seeds = G.all_sources(e)
+    table = G.predecessor_table(e, seeds, searches)
+    assert not any(t.startswith("array") for _, t in table.dtypes)
+    want = G.shortest_paths_multi(e, seeds, searches)
+    wanted = want.select("search", "source", "node")
+    assert _plain(G.rebuild_paths(table, wanted).drop("pred")) == _plain(want)
+    # one pair of one search
+    one = G.rebuild_paths(table, wanted.where("search = 'legs' AND source = 'N00' AND node = 'L05'"))
+    assert [r.path for r in one.collect()] == [["N00", *(f"L{i:02d}" for i in range(6))]]
+    assert table.where("pred IS NULL AND source <> node").isEmpty()
+
+
+def test_divergence_examples_from_predecessors(spark):
+    e = _graph(spark)
+    fast, rel = G.fastest_and_reliable(e, G.all_sources(e))
+    want = _plain(G.divergence_examples(G.route_divergence(fast, rel)))
+    table = G.predecessor_table(e, G.all_sources(e), BOTH)
+    parts = [table.where(F.col("search") == n) for n in BOTH]
+    assert _plain(G.divergence_examples(G.route_divergence(*parts), table=table)) == want and want
+
+
+def test_route_options_by_predecessors_and_with_a_cap(spark):
+    e = _random_edges(spark, 6, whole=True)
+    pairs = spark.createDataFrame([("N00", "L05"), ("N01", "N01"), ("N00", "none"), ("N02", "N03")],
+                                  "origin string, destination string")
+    assert _plain(G.route_options(e, pairs)) == _plain(G.route_options(e, pairs, max_rounds=40))
+    short = {(r.origin, r.destination): r.hops for r in G.route_options(
+        e, pairs, max_rounds=2).where("criterion = 'fewest_hops'").collect()}
+    assert short[("N00", "L05")] is None and short[("N01", "N01")] == 0

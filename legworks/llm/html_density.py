@@ -57,7 +57,7 @@ WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 class Node:
     __slots__ = ("tag", "parent", "children", "dropped", "doubt", "names", "within", "chars", "tags",
-                 "link_chars", "link_tags", "own", "density", "total")
+                 "link_chars", "link_tags", "own", "density", "total", "core")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool = False, doubt: tuple = (),
                  names: tuple = ()):
@@ -232,6 +232,9 @@ def densities(nodes: list[Node]) -> None:
         kids = [c for c in node.children if isinstance(c, Node) and not c.dropped]
         node.chars = node.own + sum(c.chars for c in kids)
         node.tags = len(kids) + sum(c.tags for c in kids)
+        # down to where a node's text parts, past wrappers of a single element
+        node.core = kids[0].core if (len(kids) == 1 and not node.own
+                                     and kids[0].tag not in FLOW) else node
         link = node.tag == "a"
         node.link_chars = node.chars if link else sum(c.link_chars for c in kids)
         node.link_tags = sum(c.link_tags + (c.tag == "a") for c in kids)
@@ -264,8 +267,9 @@ def link_heavy(node: Node) -> bool:
 def repeats(node: Node) -> bool:
     """Whether nearly all of a node's text is in items of the same make, a byline and what was said:
     the shape of reader comments."""
-    while len(inner := kids(node)) == 1 and not node.own:
-        node = inner[0]
+    inner = kids(node.core)
+    if len(inner) == 1 and inner[0].tag in ("ul", "ol"):
+        inner = kids(inner[0])
     items = [c for c in inner if c.tag in ITEMS]
     makes = Counter((c.tag, tuple(k.tag for k in kids(c))) for c in items)
     if not makes:
@@ -279,9 +283,7 @@ def repeats(node: Node) -> bool:
 def reads_on(node: Node) -> bool:
     """Whether a node is made like a part of an article: it has a heading or several
     paragraphs, isn't mostly links and doesn't repeat a pattern."""
-    while len(inner := kids(node)) == 1 and not node.own and inner[0].tag not in FLOW:
-        node = inner[0]
-    flow = [c for c in inner if c.tag in FLOW and c.chars]
+    flow = [c for c in kids(node.core) if c.tag in FLOW and c.chars]
     return (not link_heavy(node) and not repeats(node)
             and (len(flow) > 1 or any(c.tag in HEADINGS for c in flow)))
 
@@ -320,14 +322,16 @@ def drop_furniture(nodes: list[Node]) -> bool:
     alike: Counter[tuple] = Counter()
     for n in suspects:
         alike[n.names, n.tag] += n.chars
-    found = False
-    for n in suspects:
-        up = n.parent
-        if up is not None and up.dropped:
+    if not suspects:
+        return False
+    gone: set[int] = set()
+    for n in nodes:                            # parents first
+        if n.parent is not None and id(n.parent) in gone:
+            gone.add(id(n))
+        elif n.names and is_furniture(n, alike[n.names, n.tag]):
             n.dropped = True
-        elif is_furniture(n, alike[n.names, n.tag]):
-            n.dropped = found = True
-    return found
+            gone.add(id(n))
+    return bool(gone)
 
 
 def main_nodes(nodes: list[Node]) -> list[Node]:

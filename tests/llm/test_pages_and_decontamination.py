@@ -3,9 +3,12 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import re
+import time
 
+import pyarrow.parquet as pq
 import pytest
 from messy import messy_docs, no_docs
 
@@ -69,6 +72,120 @@ def test_blocks_and_white_space():
     assert H.extract("<div>" * 3000 + "deep words") == "deep words"
 
 
+PARAS = "".join(f"<p>Sentence number {i} of a section, with enough words to be dense.</p>"
+                for i in range(10, 13))
+SECTION = [f"Sentence number {i} of a section, with enough words to be dense." for i in range(10, 13)]
+COMMENTS = "".join(f"<div><b>Reader {i}</b><p>{words}</p></div>" for i, words in enumerate((
+    "I read this twice and I still wonder what to make of it, honestly.",
+    "Thanks for this, it is the best that I have read on it for a long time.",
+    "I think that the second half is wrong, and the first half is not new.")))
+
+
+@pytest.mark.parametrize("name", ["discussion", "related", "notice", "search", "related-work"])
+def test_named_sections_of_an_article_stay(name):
+    for tag in ("section", "div"):
+        part = f"<{tag} id='{name}'><h2>More on it</h2>{PARAS}</{tag}>"
+        page = f"<body><nav>x</nav><article><h1>Head &amp; more</h1>{ARTICLE}{part}</article></body>"
+        assert H.extract(page).split("\n\n") == [*TEXT, "More on it", *SECTION]
+
+
+def test_furniture_in_an_article_goes():
+    links = "".join(f"<li><a href=/{i}>Another post of ours, number {i}</a></li>" for i in range(6))
+    parts = [f"<section id=related><h3>Related</h3><ul>{links}</ul></section>",
+             "<div class=ad>Buy a lot of it now</div>", "<div class='share-buttons'><a href=/s>Share</a></div>",
+             f"<section id=comments>{COMMENTS}</section>", f"<div class=comments>{COMMENTS}</div>",
+             "<div class=newsletter><p>Sign up for our letter</p></div>",
+             f"<article><p>{'A reader said this on it. ' * 3}</p></article>"]
+    for part in parts:
+        page = f"<body><article><h1>Head &amp; more</h1>{ARTICLE}{part}</article></body>"
+        assert H.extract(page).split("\n\n") == TEXT, part
+
+
+def test_sibling_articles_stay():
+    teaser = "<article><a href=/x>Read about something else that we wrote last year</a></article>"
+    page = f"<body><article><h1>Head &amp; more</h1>{ARTICLE}</article><article>{PARAS}</article>{teaser}"
+    assert H.extract(page).split("\n\n") == [*TEXT, *SECTION]
+
+
+def test_plain_divs_around_the_main_text():
+    """Without an article: a site's intro, comments without a name and a copyright line go."""
+    page = ("<body><div>Welcome to the site of somebody who writes about this and that.</div>"
+            f"<div id=c><h1>Head &amp; more</h1>{ARTICLE}</div><div>{COMMENTS}</div>"
+            "<div>&copy; 2024 Somebody. All rights reserved.</div></body>")
+    assert H.extract(page).split("\n\n") == TEXT
+    wrapped = page.replace("<body>", "<body><div id=page>").replace("</body>", "</div></body>")
+    assert H.extract(wrapped).split("\n\n") == TEXT
+
+
+def test_ties_go_to_the_outermost_then_the_first():
+    a = "<div><p>one and the same words</p></div>"
+    root = H.parse(f"<body><div>{a}</div><div>{a}</div></body>")
+    nodes = H.in_order(root)
+    H.densities(nodes)
+    best = [n for n in nodes if n.total == max(m.total for m in nodes)]
+    assert max(nodes, key=lambda n: n.total) is best[0]
+
+
+def test_deep_pages_take_linear_time():
+    at = time.monotonic()
+    assert H.extract("<div>" * 50_000 + "deep words" + "</div>" * 50_000) == "deep words"
+    assert H.extract("<article><section>" * 20_000 + "deep words" + "</x>" * 50_000) == "deep words"
+    assert time.monotonic() - at < 60
+
+
+def densities_again(node):
+    """Composite density of a node and its descendants by the formulas, from the text alone:
+    (characters, tags, link characters, link tags) of each, then the sums."""
+    def text(n):
+        return "".join("".join(c.split()) if isinstance(c, str) else "" if c.dropped else text(c)
+                       for c in n.children)
+
+    def inside(n):
+        for c in n.children:
+            if not isinstance(c, str) and not c.dropped:
+                yield c
+                yield from inside(c)
+
+    def linked(n):
+        if n.tag == "a":
+            return len(text(n))
+        return sum(linked(c) for c in n.children if not isinstance(c, str) and not c.dropped)
+
+    page, page_links = len(text(node)), linked(node)
+
+    def value(chars, tags, link_chars, link_tags):
+        if not chars:
+            return 0.0
+        tags = max(tags, 1)
+        ratio = (chars / max(link_chars, 1)) * (tags / max(link_tags, 1))
+        base = math.log((chars / max(chars - link_chars, 1)) * link_chars
+                        + page_links / page * chars + math.e)
+        return chars / tags * math.log(max(ratio, 1.0)) / math.log(max(base, 1.1))
+
+    def density(n):
+        below = list(inside(n))
+        return value(len(text(n)), len(below), linked(n), sum(c.tag == "a" for c in below))
+
+    out = {}
+    for n in [node, *inside(node)]:
+        own = sum(len("".join(c.split())) for c in n.children if isinstance(c, str))
+        out[id(n)] = density(n), value(own, 0, own if n.tag == "a" else 0, 0) + sum(
+            density(c) for c in n.children if not isinstance(c, str) and not c.dropped)
+    return out
+
+
+def test_densities_agree_with_a_plain_reading():
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet").column("html").to_pylist()
+    for html in [*pages, *PAGES.values()]:
+        root = H.parse(html)
+        nodes = H.in_order(root)
+        H.densities(nodes)
+        again = densities_again(root)
+        assert len(again) == len(nodes)
+        for n in nodes:
+            assert (n.density, n.total) == pytest.approx(again[id(n)], rel=1e-9, abs=1e-9)
+
+
 def page_frame(spark, rows):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     return df.selectExpr("*", "'x' AS digest", "'y' AS record", "'z' AS text", "1 AS original")

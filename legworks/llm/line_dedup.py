@@ -24,9 +24,9 @@ MAX_BROADCAST = 1_000_000
 HASH_SEED = 42             # that of Spark's xxhash64()
 LONG = 4096                # code points up to which a line's places of a character are one number
 CLASSES = 64               # of characters, in the counts that rule out pairs
-FILTER_BITS = 27           # of the filter of index entries: 2^27 bits, 16 MB in each worker
+FILTER_BITS = 27           # of a filter: 2^27 bits, 16 MB in each worker
 SEEN_LINES = 100_000       # line ids by which a task leaves out repeats
-SLICE_CHARS = 1 << 20      # code points of lines that are hashed together
+SLICE_CHARS = 1 << 18      # code points of lines that are hashed together
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 KEYS = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("item", T.LongType()),
@@ -151,50 +151,59 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class KeyMaker:
-    """Hashes of all looked-up substrings of many lines at a time.
+    """Hashes of the looked-up substrings of many lines at a time.
 
     With running sums of code point hashes times powers of an odd base, a substring's hash is a
     difference of two sums, shifted to its start by the inverse power.
     """
 
-    def __init__(self, bounds: tuple):
-        self.bounds, self.plans = bounds, {}
+    def __init__(self, bounds: tuple, own: bool):
+        self.bounds, self.own, self.plans = bounds, own, {}
         self.up, self.down = _powers(0)
+        self.hashes = mixed(np.arange(1 << 16, dtype=np.uint64) + BASE)
 
     def plan(self, length: int) -> tuple[np.ndarray, ...]:
+        """Seeds, starts and ends of a line's index entries (``own``) or of its probes."""
         if length not in self.plans:
             if len(self.plans) > 10_000:
                 self.plans.clear()
-            rows = lookups(length, self.bounds)
-            seed, start, size, own = (np.array(x) for x in zip(*rows, strict=True)) if rows else (
-                np.zeros(0, np.int64),) * 4
-            self.plans[length] = (mixed(seed.astype(np.uint64) + np.uint64(1)), start, size,
-                                  own.astype(bool))
+            rows = [x[:3] for x in lookups(length, self.bounds) if x[3] == self.own]
+            seed, start, size = np.array(rows, np.int64).reshape(-1, 3).T
+            self.plans[length] = mixed(seed.astype(np.uint64) + np.uint64(1)), start, start + size
         return self.plans[length]
 
-    def keys(self, lines: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(line numbers, hashes, own) of the lines, a length at a time."""
+    def keys(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(line numbers, hashes) of all lines."""
         points = code_points("".join(lines))
         if len(self.up) < len(points) + 1:
             self.up, self.down = _powers(len(points) + 1)
-        h = mixed(points.astype(np.uint64) + BASE)
-        sums = np.append(np.uint64(0), np.cumsum(h * self.up[:len(points)], dtype=np.uint64))
-        lengths = np.array([len(x) for x in lines])
-        starts = np.cumsum(lengths) - lengths
-        order = np.argsort(lengths, kind="stable")
-        cuts = np.flatnonzero(np.diff(lengths[order])) + 1
-        for group in np.split(order, cuts):
-            if len(group):
-                seed, start, size, own = self.plan(int(lengths[group[0]]))
-                if len(seed):
-                    at = starts[group][:, None] + start[None]
-                    part = (sums[at + size] - sums[at]) * self.down[at]
-                    yield (np.repeat(group, len(seed)), mixed(part ^ seed).ravel(),
-                           np.tile(own, len(group)))
-
-
-def _keys_of(docs: DataFrame, bounds: tuple, schema: T.StructType, pick) -> DataFrame:
-    """``pick`` (bucket, item, chars, own, as arrays) applied to the keys of all lines, by slices.
+        if len(points) and points.max() >= len(self.hashes):
+            h = mixed(points.astype(np.uint64) + BASE)
+        else:
+            h = self.hashes[points]
+        h *= self.up[:len(points)]
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(h, out=sums[1:])
+        lengths = [len(x) for x in lines]
+        seeds, starts, ends = (np.concatenate(x) for x in zip(
+            *[self.plan(n) for n in lengths], strict=True))
+        counts = [len(self.plan(n)[0]) for n in lengths]
+        at = np.repeat(np.cumsum(lengths) - lengths, counts)
+        part = (sums[at + ends] - sums[at + starts]) * self.down[at + starts]
+        return np.repeat(np.arange(len(lines)), counts), part ^ seeds
+
+
+def slots(h: np.ndarray) -> np.ndarray:
+    """The place of hashes in the filters."""
+    return ((h * BASE) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def in_filter(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _keys_of(docs: DataFrame, bounds: tuple, own: bool, schema: T.StructType, pick) -> DataFrame:
+    """``pick`` (hashes, items, lengths, as arrays) applied to the keys of all lines, by slices.
 
     Lines are made distinct before they get keys, as far as a task's memory of ids goes.
     """
@@ -202,15 +211,15 @@ def _keys_of(docs: DataFrame, bounds: tuple, schema: T.StructType, pick) -> Data
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker, seen = KeyMaker(bounds), set()
+        maker, seen = KeyMaker(bounds, own), set()
         lines, items, held = [], [], 0
 
-        def made() -> Iterator[pa.RecordBatch]:
-            item, chars = np.array(items, np.int64), np.array([len(x) for x in lines], np.int32)
-            for who, h, own in maker.keys(lines):
-                out = pick(h.view(np.int64), item[who], chars[who], own)
-                if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], schema=arrow)
+        def made() -> pa.RecordBatch:
+            item = np.array(items, np.uint64).view(np.int64) & ~np.int64(1)
+            who, h = maker.keys(lines)
+            chars = np.array([len(x) for x in lines], np.int32)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in pick(h, item[who], chars[who])], schema=arrow)
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
@@ -224,50 +233,68 @@ def _keys_of(docs: DataFrame, bounds: tuple, schema: T.StructType, pick) -> Data
                         seen.clear()
                     seen.add(item)
                     lines.append(line)
-                    items.append((item & ~1) - (item >> 63 << 64))
+                    items.append(item)
                     held += len(line)
                     if held >= SLICE_CHARS:
-                        yield from made()
+                        yield made()
                         lines, items, held = [], [], 0
         if lines:
-            yield from made()
+            yield made()
 
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
-SLOT = T.StructType([T.StructField("slot", T.LongType())])
+ENTRY = T.StructType([T.StructField("slot", T.LongType()), T.StructField("tag", T.ShortType())])
+PROBE = T.StructType([*KEYS, T.StructField("slot", T.LongType())])
 
 
-def _entry_filter(docs: DataFrame, bounds: tuple) -> np.ndarray:
-    """A bit for each slot that an index entry's hash falls in: ``FILTER_BITS`` decide its size,
-    whatever the table's."""
-    shift = np.int64((1 << FILTER_BITS) - 1)
-    slots = _keys_of(docs, bounds, SLOT, lambda h, item, chars, own: [h[own] & shift])
-    # 4 KB bitmaps, merged before and after the shuffle
-    maps = (slots.groupBy(F.shiftright("slot", 15).cast("int").alias("page"))
-            .agg(F.bitmap_construct_agg(F.col("slot").bitwiseAND(32_767)).alias("bits")).toArrow())
-    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for page, bits in zip(maps.column("page").to_pylist(), maps.column("bits").to_pylist(),
-                          strict=True):
-        out[page * 4096:page * 4096 + len(bits)] = np.frombuffer(bits, np.uint8)
+def _filters(slots_of: DataFrame, columns: dict) -> list[np.ndarray]:
+    """A bit per slot, set for the rows that satisfy each of the conditions.  ``FILTER_BITS`` decide
+    the size, whatever the table's; 4 KB bitmaps are merged before and after the shuffle."""
+    bit = F.col("slot").bitwiseAND(32_767)
+    maps = (slots_of.groupBy(F.shiftright("slot", 15).cast("int").alias("page"))
+            .agg(*[F.bitmap_construct_agg(F.when(c, bit)).alias(n) for n, c in columns.items()])
+            .toArrow())
+    out = []
+    for name in columns:
+        bits = np.zeros(max(4096, (1 << FILTER_BITS) // 8), np.uint8)
+        for page, part in zip(maps.column("page").to_pylist(), maps.column(name).to_pylist(),
+                              strict=True):
+            bits[page * 4096:page * 4096 + len(part)] = np.frombuffer(part, np.uint8)
+        out.append(bits)
     return out
 
 
 def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
-    """bucket, item, chars and own of all index entries, and of the probes that may meet one.
+    """bucket, item, chars and own of the index entries and probes that may meet one another.
 
     A bucket is a hash of the other line's length, its bound, the segment and the substring.
-    The filter of the entries saves most probes; what it lets through by chance meets nothing.
+    Filters of fixed size save what meets nothing: a probe needs the slot of an entry, an entry that of
+    such a probe or of another line's entry.  What passes by chance meets nothing later.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(_entry_filter(docs, bounds))
-    mask = np.int64((1 << FILTER_BITS) - 1)
+    context = docs.sparkSession.sparkContext
+    entries = _keys_of(docs, bounds, True, ENTRY, lambda h, item, chars: (
+        slots(h), (item >> 20 & 0x7FFF).astype(np.int16)))
+    # whether different lines have an entry in the slot, told by a few bits of their ids
+    entries = entries.groupBy("slot").agg((F.min("tag") != F.max("tag")).alias("shared"))
+    any_entry, shared_entry = _filters(entries, {"one": F.lit(True), "shared": F.col("shared")})
+    held = context.broadcast(any_entry)
+
+    def probed(h, item, chars):
+        slot = slots(h)
+        keep = in_filter(held.value, slot)
+        h, slot = h[keep], slot[keep]
+        return mixed(h).view(np.int64), item[keep], chars[keep], np.zeros(len(h), bool), slot
+
+    found = staged(_keys_of(docs, bounds, False, PROBE, probed), "line-probes")
+    met, = _filters(found.select("slot").distinct(), {"met": F.lit(True)})
+    wanted = context.broadcast(met | shared_entry)
 
-    def pick(h, item, chars, own):
-        slot = h & mask
-        keep = own | (shared.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
-        return h[keep], item[keep], chars[keep], own[keep]
+    def indexed(h, item, chars):
+        keep = in_filter(wanted.value, slots(h))
+        return mixed(h[keep]).view(np.int64), item[keep], chars[keep], np.ones(keep.sum(), bool)
 
-    return _keys_of(docs, bounds, KEYS, pick)
+    return found.drop("slot").union(_keys_of(docs, bounds, True, KEYS, indexed))
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
@@ -379,9 +406,9 @@ def line_dedup(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
     of near: a longer line is not allowed more edits than four.
 
     A line is cut into edits + 1 even segments; a line within that many edits keeps one of
-    them whole, at a place that lengths and edits left and right confine.  All
-    segments are index entries; of the probes, those are looked up that a filter of the
-    entries' hashes lets through.  Lines that share a key are compared in
+    them whole, at a place that lengths and edits left and right confine.  Segments
+    are index entries, substrings at such places are probes; filters of fixed size
+    drop those that meet nothing before anything is shuffled.  Lines that share a key are compared in
     cells of bounded size by counts of characters, then by a banded bit-parallel
     distance.  Classes are connected components; a class keeps its first line by
     (doc_id, row, line number).

@@ -137,8 +137,13 @@ def test_bounds_by_length(spark):
         0, 0, 1, 1, 2, 2, 3, 3, 4, 4]
 
 
+def keys_by_line(lines, own):
+    who, key = L.KeyMaker(L.BOUNDS, own).keys(lines)
+    return [key[who == i].tolist() for i in range(len(lines))]
+
+
 def test_near_lines_share_a_key_of_an_index_entry():
-    rnd, maker = random.Random(3), L.KeyMaker(L.BOUNDS)
+    rnd = random.Random(3)
     near = 0
     for _ in range(600):
         a = "".join(rnd.choice("abcd ") for _ in range(rnd.choice([7, 8, 14, 16, 62, 63, 64, 66, 253,
@@ -148,24 +153,19 @@ def test_near_lines_share_a_key_of_an_index_entry():
         if a == b or not limit or distance(a, b) > limit:
             continue
         near += 1
-        who, key, own = (np.concatenate(x) for x in zip(*maker.keys([a, b]), strict=True))
-        entries = [set(key[(who == i) & own].tolist()) for i in (0, 1)]
-        looked_up = [set(key[who == i].tolist()) for i in (0, 1)]
+        entries = [set(x) for x in keys_by_line([a, b], True)]
+        looked_up = [e | set(x) for e, x in zip(entries, keys_by_line([a, b], False), strict=True)]
         assert entries[0] & looked_up[1] or entries[1] & looked_up[0]
     assert near > 100
 
 
 def test_keys_are_hashes_of_substrings():
-    maker = L.KeyMaker(L.BOUNDS)
-    lines = ["the same words here", "xx the same words he", "the same words here"]
-    found = {}
-    for who, key, _ in maker.keys(lines):
-        for i, k in zip(who.tolist(), key.tolist(), strict=True):
-            found.setdefault(i, []).append(k)
-    assert found[0] == found[2]                   # whatever stands around them
-    plan = L.lookups(len(lines[0]))
-    texts = {(seed, lines[0][p:p + n]) for seed, p, n, _ in plan}
-    assert len(set(found[0])) == len(texts)
+    lines = ["the same words here", "xx the same words he", "the same words here", "no"]
+    for own in (True, False):
+        found = keys_by_line(lines, own)
+        assert found[0] == found[2] and found[3] == []             # whatever stands around them
+        texts = {(seed, lines[0][p:p + n]) for seed, p, n, mine in L.lookups(len(lines[0])) if mine == own}
+        assert len(set(found[0])) == len(texts)
 
 
 def test_a_line_of_a_million_characters(spark):

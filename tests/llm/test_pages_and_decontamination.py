@@ -247,6 +247,25 @@ def test_archives_round_trip(spark, tmp_path, monkeypatch):
     assert n == len(rows)
 
 
+def test_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "FILE_BYTES", 60_000)
+    rows = [(i, f"http://h{i}.org/", f"p{i} " * (300 if i % 5 else 9000)) for i in range(60)]
+    rows += [(100, "http://big.org/", "z" * 400_000), (101, "http://big.org/2", "z" * 400_000)]
+    pages = page_frame(spark, rows).coalesce(1)
+    path = str(tmp_path / "w")
+    W.write_warc(pages, path)
+    sizes = {}
+    for f in sorted((tmp_path / "w").glob("part-*.gz")):
+        raw = gzip.decompress(f.read_bytes())
+        sizes[f.name] = len(raw), raw.count(b"WARC/1.1")
+    assert len(sizes) > 5 and sum(n for _, n in sizes.values()) == len(rows)
+    assert all(size <= 60_000 or n == 1 for size, n in sizes.values())
+    got = {(r.page_id, r.payload_bytes, r.record_type) for r in W.read_index(spark, path).collect()}
+    assert got == {(i, len(h), "revisit" if i == 101 else "response") for i, _, h in rows}
+    with_blocks = W.archive(pages, str(tmp_path / "v"))
+    assert with_blocks.count() == len(rows)
+
+
 def test_index_is_in_global_order(spark, tmp_path):
     rows = [(i, f"http://h{i * 7 % 5}.org/{i * 3 % 4}", f"p{i}") for i in range(60)]
     path = str(tmp_path / "w")

@@ -149,6 +149,72 @@ def test_base_spans_equal_plain_reading(spark):
     assert by[2001].spans == ""                # and leave dates and counts alone
 
 
+def added(n, seed=12):
+    """Texts with spans that the base patterns miss, and the spans: (text, {kind:start:end})."""
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        area, mid, last = rnd.randint(200, 999), rnd.randint(200, 999), rnd.randint(1000, 9999)
+        plain = rnd.choice([f"1 ({area}) {mid}-{last}", f"1.{area}.{mid}.{last}", f"1-{area}-{mid}-{last}"])
+        wanted = {"phone": [plain], "email": [], "card": []}
+        text = f"please call {plain} about it"
+        if i % 4 == 0:                 # the base pattern's match runs on into an address
+            number = f"+1 ({area}) {mid}-{last}"
+            text, wanted["phone"] = f"call {number} 190.{i % 200}.223.204 today", [number]
+        elif i % 4 == 1:               # two neighbours
+            other = f"1 ({mid}) {area}-{last}"
+            text, wanted["phone"] = f"phone {plain} {other} now", [plain, other]
+        elif i % 4 == 2:
+            name = f"u{i}.x [at] host{i % 9} [dot] example [dot] com"
+            text += f" or mail {name} instead"
+            wanted["email"] = [name]
+        spans = {f"{k}:{text.index(x)}:{text.index(x) + len(x)}" for k, v in wanted.items() for x in v}
+        out.append((text, spans))
+    return out
+
+
+CLEAN = ["on 2024-01-02 we sold 12 of 3456 pieces", "see pages 12 34 and 56 of the 1999 report",
+         "between 10 20 30 and 40 50 60 of them", "version 1.2.3 of 2021-11-30 10:15", "7 8 9 10 11",
+         "a table: 1.5 2.5 3.5 4.5 and 100 200 300"]
+
+
+def test_added_spans_are_precise_and_found(spark):
+    cases = added(80)
+    docs = spark.createDataFrame(
+        [(i, t) for i, t, _ in planted(400)] + [(5000 + i, t) for i, (t, _) in enumerate(cases)]
+        + [(7000 + i, f"{t}, and so on {i}") for i, t in enumerate(CLEAN * 10)],
+        "doc_id long, text string")
+    out = {r.doc_id: set(r.spans.split(",")) - {""} for r in P.pii(docs).collect()}
+    for kind in ("phone", "email"):
+        want = {(i, s) for i, (_, spans) in enumerate(cases) for s in spans if s.startswith(kind)}
+        base = {(i, s[2]) for i, (t, _) in enumerate(cases) for s in base_spans(t)}
+        got = {(i, s) for i in range(len(cases)) for s in out[5000 + i]
+               if s.startswith(kind)} - base
+        assert not want & base
+        precision, recall = len(got & want) / max(1, len(got)), len(got & want) / len(want)
+        print(f"added {kind}: {len(want)} planted, precision {precision:.2f}, recall {recall:.2f}")
+        assert precision >= 0.8 and recall >= 0.8, (sorted(got - want)[:5], sorted(want - got)[:5])
+    assert [s for i in range(len(CLEAN) * 10) for s in out[7000 + i]] == []
+
+
+def test_proposals_overlap_and_are_settled(spark):
+    text = "+1 (826) 555-4081 190.137.223.204 4111 1111 1111 1111"
+    runs = P.candidates(spark.createDataFrame([(1, text)], "doc_id long, text string")).where("gen = 'number'")
+    spans = P.sub_spans(runs).collect()
+    cut = {(r.kind, text[r.start:r.end]) for r in spans}
+    assert {("phone", "+1 (826) 555-4081"), ("card", "4111 1111 1111 1111"),
+            ("phone", "(826) 555-4081")} <= cut
+    assert all(r.raw == text[r.start:r.end] and text[:r.start].endswith(r.before[-5:])
+               and text[r.end:].startswith(r.after) for r in spans)
+    assert all(7 <= sum(c.isdigit() for c in r.raw) <= 19 for r in spans)
+    scored = [(1, 1, 0, "phone", 0, 10, 0.9), (1, 1, 1, "phone", 5, 15, 0.95), (1, 1, 2, "card", 12, 20, 0.5),
+              (1, 1, 3, "phone", 16, 30, 0.4), (1, 1, 9, "phone", 50, 60, 0.1), (2, 1, 0, "phone", 0, 10, 0.2)]
+    df = spark.createDataFrame(scored, "row long, run int, pos int, kind string, start int, end int, p double")
+    kept = {(r.row, r.start) for r in P.settled(df).collect()}
+    # the best; what it leaves: the likelier of the rest; and what overlaps nothing
+    assert kept == {(1, 5), (1, 16), (1, 50), (2, 0)}
+
+
 def test_no_personal_data(spark):
     plain = spark.createDataFrame([(1, "nothing here"), (2, None)], "doc_id long, text string")
     assert [(r.spans, r.n_card) for r in P.pii(plain).collect()] == [("", 0)] * 2

@@ -24,7 +24,7 @@ MAX_BROADCAST = 1_000_000
 HASH_SEED = 42             # that of Spark's xxhash64()
 LONG = 4096                # code points up to which a line's places of a character are one number
 CLASSES = 64               # of characters, in the counts that rule out pairs
-FILTER_BITS = 27           # of a filter: 2^27 bits, 16 MB in each worker
+FILTER_PAGES = 1 << 13     # of 4 KB, of a filter: 32 MB in each worker, whatever the table's size
 SEEN_LINES = 100_000       # line ids by which a task leaves out repeats
 SLICE_CHARS = 1 << 18      # code points of lines that are hashed together
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -194,12 +194,18 @@ class KeyMaker:
 
 
 def slots(h: np.ndarray) -> np.ndarray:
-    """The place of hashes in the filters."""
-    return ((h * BASE) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    """Where hashes lie in the filters: a page, and two bits of its 2^15."""
+    x = h * BASE
+    page = (x >> np.uint64(50)) % np.uint64(FILTER_PAGES)
+    return (page << np.uint64(30) | x >> np.uint64(19) & np.uint64((1 << 30) - 1)).astype(np.int64)
 
 
 def in_filter(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
+    page = (slot >> 30) << 12
+    out = np.ones(len(slot), bool)
+    for at in (slot >> 15 & 32_767, slot & 32_767):
+        out &= (bits[page + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return out
 
 
 def _keys_of(docs: DataFrame, bounds: tuple, own: bool, schema: T.StructType, pick) -> DataFrame:
@@ -249,19 +255,18 @@ PROBE = T.StructType([*KEYS, T.StructField("slot", T.LongType())])
 
 
 def _filters(slots_of: DataFrame, columns: dict) -> list[np.ndarray]:
-    """A bit per slot, set for the rows that satisfy each of the conditions.  ``FILTER_BITS`` decide
-    the size, whatever the table's; 4 KB bitmaps are merged before and after the shuffle."""
-    bit = F.col("slot").bitwiseAND(32_767)
-    maps = (slots_of.groupBy(F.shiftright("slot", 15).cast("int").alias("page"))
-            .agg(*[F.bitmap_construct_agg(F.when(c, bit)).alias(n) for n, c in columns.items()])
-            .toArrow())
-    out = []
-    for name in columns:
-        bits = np.zeros(max(4096, (1 << FILTER_BITS) // 8), np.uint8)
-        for page, part in zip(maps.column("page").to_pylist(), maps.column(name).to_pylist(),
-                              strict=True):
-            bits[page * 4096:page * 4096 + len(part)] = np.frombuffer(part, np.uint8)
-        out.append(bits)
+    """A filter of the rows that satisfy each of the conditions: pages of 4 KB in which a row's two
+    bits are set, merged before and after the shuffle.  ``FILTER_PAGES`` decide the size."""
+    first, second = F.shiftright("slot", 15).bitwiseAND(32_767), F.col("slot").bitwiseAND(32_767)
+    maps = (slots_of.groupBy(F.shiftright("slot", 30).cast("int").alias("page")).agg(*[
+        F.bitmap_construct_agg(F.when(c, at)).alias(f"{n}{i}")
+        for n, c in columns.items() for i, at in enumerate((first, second))]))
+    out = [np.zeros(FILTER_PAGES * 4096, np.uint8) for _ in columns]
+    for row in maps.toLocalIterator():
+        at = slice(row["page"] * 4096, (row["page"] + 1) * 4096)
+        for bits, name in zip(out, columns, strict=True):
+            for i in (0, 1):
+                bits[at] |= np.frombuffer(row[f"{name}{i}"], np.uint8)
     return out
 
 
@@ -279,6 +284,7 @@ def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
     entries = entries.groupBy("slot").agg((F.min("tag") != F.max("tag")).alias("shared"))
     any_entry, shared_entry = _filters(entries, {"one": F.lit(True), "shared": F.col("shared")})
     held = context.broadcast(any_entry)
+    del any_entry
 
     def probed(h, item, chars):
         slot = slots(h)
@@ -287,11 +293,12 @@ def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
         return mixed(h).view(np.int64), item[keep], chars[keep], np.zeros(len(h), bool), slot
 
     found = staged(_keys_of(docs, bounds, False, PROBE, probed), "line-probes")
-    met, = _filters(found.select("slot").distinct(), {"met": F.lit(True)})
-    wanted = context.broadcast(met | shared_entry)
+    met, = _filters(found.select("slot"), {"met": F.lit(True)})
+    wanted = context.broadcast((met, shared_entry))
 
     def indexed(h, item, chars):
-        keep = in_filter(wanted.value, slots(h))
+        slot = slots(h)
+        keep = in_filter(wanted.value[0], slot) | in_filter(wanted.value[1], slot)
         return mixed(h[keep]).view(np.int64), item[keep], chars[keep], np.ones(keep.sum(), bool)
 
     return found.drop("slot").union(_keys_of(docs, bounds, True, KEYS, indexed))

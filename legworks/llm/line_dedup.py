@@ -293,12 +293,15 @@ def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
         return mixed(h).view(np.int64), item[keep], chars[keep], np.zeros(len(h), bool), slot
 
     found = staged(_keys_of(docs, bounds, False, PROBE, probed), "line-probes")
+    held.destroy()
     met, = _filters(found.select("slot"), {"met": F.lit(True)})
-    wanted = context.broadcast((met, shared_entry))
+    met |= shared_entry
+    del held, shared_entry
+    wanted = context.broadcast(met)
+    del met
 
     def indexed(h, item, chars):
-        slot = slots(h)
-        keep = in_filter(wanted.value[0], slot) | in_filter(wanted.value[1], slot)
+        keep = in_filter(wanted.value, slots(h))
         return mixed(h[keep]).view(np.int64), item[keep], chars[keep], np.ones(keep.sum(), bool)
 
     return found.drop("slot").union(_keys_of(docs, bounds, True, KEYS, indexed))

@@ -20,7 +20,7 @@ def clean(spark, sf_dir, years=None):
 
 
 def extra(spark, sf_dir, years=None):
-    """``years`` prunes partitions; a leg's chain never leaves its day, so that is exact."""
+    """``years`` prunes the scan; a leg's chain never leaves its day, so that is exact."""
     return P.extra_delay(clean(spark, sf_dir, years), tie_break=KEYS)
 
 

@@ -288,3 +288,29 @@ def test_kmeans_rows_nearest_to_own_centre(spark):
     assert out.select("cluster").distinct().count() == 3
     checked = M.assign_centroids(out, M.centroid_table(out, ["a", "b"]), ["a", "b"])
     assert checked.where(F.col("assigned") != F.col("cluster")).count() == 0
+
+
+def _lineitem(spark, folder, rows):
+    """A source table of ``rows`` (order, part, supplier, line, quantity, date)."""
+    (spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                           "l_quantity double, l_shipdate string")
+     .withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
+     .write.parquet(f"{folder}/lineitem.parquet"))
+    return str(folder)
+
+
+def test_legs_are_read_from_the_source(spark, tmp_path):
+    from legworks.plans.common import legs
+    from legworks.plans.report_queries import QUERIES
+    folder = _lineitem(spark, tmp_path, [
+        (i, i + 3, 1, 1, 5.0 + i % 9, f"{1995 + i % 4}-0{1 + i % 9}-1{i % 9}") for i in range(300)]
+        + [(7, 9, 1, 2, 9.0, None), (None, 9, None, 3, None, "1996-12-31")])
+    rows = legs(spark, folder)
+    # no wide copy is shuffled or written: the scan is that of the source
+    assert all(f.startswith(f"file://{tmp_path}") or f.startswith(f"file:{tmp_path}")
+               for f in rows.inputFiles())
+    assert rows.count() == 302 and rows.where("YEAR IS NULL").count() == 1
+    some = legs(spark, folder, years=[1996, 1998])
+    assert (sorted(map(repr, some.collect()))
+            == sorted(map(repr, rows.where("YEAR IN (1996, 1998)").collect()))) and some.count() == 151
+    assert QUERIES["airport_regime_mix"](spark, folder).count() == 10

@@ -1,6 +1,7 @@
 """Hand fixtures for routes and paths (FIXTURES §3: clock, one_route, graph)."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -254,3 +255,19 @@ def test_route_options_by_predecessors_and_with_a_cap(spark):
     short = {(r.origin, r.destination): r.hops for r in G.route_options(
         e, pairs, max_rounds=2).where("criterion = 'fewest_hops'").collect()}
     assert short[("N00", "L05")] is None and short[("N01", "N01")] == 0
+
+
+def test_days_with_service_without_a_row_per_route_and_day(spark):
+    d = dt.date(2003, 1, 5)
+    rows = [(d + dt.timedelta(days=i % 7), "AAA", "BBB" if i % 2 else "CCC", "ZZ", 60, float(i))
+            for i in range(70)] + [(None, "AAA", "BBB", "XX", 60, 1.0), (None, None, "DDD", "XX", 60, 2.0)]
+    flights = spark.createDataFrame(rows, "date date, src string, dst string, carrier string, "
+                                          "flight_time int, arr_delay double")
+    table = N.direct_routes(flights)
+    found = {(r.src, r.dst): (r.flight_count, r.days_with_service, r.availability_pct)
+             for r in table.collect()}
+    assert found == {("AAA", "BBB"): (36, 7, 100.0), ("AAA", "CCC"): (35, 7, 100.0),
+                     (None, "DDD"): (1, 0, 0.0)}
+    assert dict(table.dtypes)["days_with_service"] == "bigint"
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[src#\d+, dst#\d+, date#\d+", plan)

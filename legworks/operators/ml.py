@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from legworks.operators.stats import exact_percentile
-from legworks.session import materialize
+from legworks.operators.stats import exact_percentile, running_totals
+from legworks.session import materialize, written
 
 
 # ----------------------------------------------------------- standardisation
@@ -128,22 +128,25 @@ POINT_WEIGHT = "_weight"
 POINTS_PER_TASK = 200_000
 
 
-def weighted_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def weighted_points(df: DataFrame, features: Sequence[str], laid_out: bool = True) -> DataFrame:
     """The distinct points of the feature columns with their rows as ``_weight``: a written table in a
     layout that only the points decide.
 
     Rows are counted before the shuffle, so it is bounded by distinct points.  Points are
     dealt by their hash into as many partitions as their number asks for, in the order of their
-    values: what is fitted on them is the same on any cluster and for any file layout.  A NULL
+    values: what is fitted on them is the same on any cluster and for any file layout.
+    ``laid_out=False`` leaves that second shuffle out, for what only sums over the points.  A NULL
     feature raises: leave such rows out before.
     """
     missing = reduce(Column.__or__, [F.col(f).isNull() for f in features])
     known = F.when(missing, F.raise_error(F.lit("k-means: a feature is NULL"))).otherwise(True)
     # every zero is the same point
-    counted = materialize(df.where(known).select(*[(F.col(f).cast("double") + F.lit(0.0)).alias(f)
-                                                   for f in features])
-                          .groupBy(*features).agg(F.count(F.lit(1)).cast("double")
-                                                  .alias(POINT_WEIGHT)))
+    counted = written(df.where(known).select(*[(F.col(f).cast("double") + F.lit(0.0)).alias(f)
+                                               for f in features])
+                      .groupBy(*features).agg(F.count(F.lit(1)).cast("double")
+                                              .alias(POINT_WEIGHT)), "points")
+    if not laid_out:
+        return counted
     tasks = max(1, math.ceil(counted.count() / POINTS_PER_TASK))
     return materialize(counted.repartition(tasks, *features).sortWithinPartitions(*features))
 
@@ -213,16 +216,39 @@ def inertia(points: DataFrame, fit: KMeansFit) -> float:
     return points.agg(F.sum(F.col(POINT_WEIGHT) * nearest)).head()[0] or 0.0
 
 
-def quantile_start(df: DataFrame, features: Sequence[str], k: int) -> KMeansFit:
+def quantile_start(df: DataFrame, features: Sequence[str], k: int,
+                   weight: str | None = None) -> KMeansFit:
     """Centres that the data fix without a draw: the i-th has every feature's
-    (2i + 1) / 2k quantile (a value of the feature)."""
+    (2i + 1) / 2k quantile (a value of the feature), of rows that count ``weight`` times if it is
+    named (whole numbers; rows without weight are left out)."""
     at = [(2 * i + 1) / (2 * k) for i in range(k)]
-    row = df.agg(*[exact_percentile(f, p).alias(f"{f}_{i}")
-                   for f in features for i, p in enumerate(at)]).head()
+    if weight is None:
+        row = df.agg(*[exact_percentile(f, p).alias(f"{f}_{i}")
+                       for f in features for i, p in enumerate(at)]).head()
+    else:
+        row = _weighted_quantiles(df, features, at, weight)
     centres = tuple(tuple(float(row[f"{f}_{i}"]) for f in features) for i in range(k))
     return KMeansFit(tuple(features), centres, (0.0,) * len(features), (1.0,) * len(features))
 
 
+def _weighted_quantiles(df: DataFrame, features: Sequence[str], at: Sequence[float], weight: str
+                        ) -> dict[str, float]:
+    """``<feature>_<i>``: the ceil(at_i * n)-th smallest value of each feature, of n rows that
+    ``weight`` counts.  Values are added up to a row each before a running total over ranges."""
+    named = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value"))
+                                for f in features]))
+    rows = (df.select(weight, named.alias("v")).select(weight, "v.*")
+            .where(F.col(weight) > 0))
+    totals = running_totals(rows, ["feature"], "value", {"n": F.col(weight).cast("long")})
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"))
+                                 for i, p in enumerate(at)]))
+    upto = F.col("n_below") + F.col("n")
+    rank = F.greatest(F.ceil(F.col("q.p") * F.col("n_total")), F.lit(1))
+    found = (totals.withColumn("q", wanted).where((F.col("n_below") < rank) & (rank <= upto))
+             .select("feature", "q.i", "value").collect())  # a row per feature and quantile
+    return {f"{r['feature']}_{r['i']}": r["value"] for r in found}
+
+
 def kmeans_clusters(df: DataFrame, features: Sequence[str], k: int, seed: int = 42,
                     scale: bool = False, max_iter: int = 20, out: str = "cluster") -> DataFrame:
     """Fit k-means (``fit_kmeans``) and add the cluster of every row as ``out``."""

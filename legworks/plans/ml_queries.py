@@ -63,14 +63,17 @@ def _kmeans_recovery(spark, sf_dir):
 
 
 def _kmeans_lloyd(spark, sf_dir):
-    """k-means without a draw: Lloyd's rounds from quantiles, whose centres SQL can check."""
-    rows = extra(spark, sf_dir)
-    points = M.weighted_points(rows, PROPAGATION_FEATURES)
-    fit = M.lloyd(points, M.quantile_start(rows, PROPAGATION_FEATURES, PROPAGATION_K),
-                  LLOYD_ROUNDS)
-    return fit.assign(rows).groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("legs"),
-        *[F.avg(f).alias(f"mean_{f}") for f in PROPAGATION_FEATURES])
+    """k-means without a draw: Lloyd's rounds from quantiles, whose centres SQL can check.
+
+    The day window over the legs runs once, for the points; quantiles, rounds and the clusters'
+    figures count each point with its legs."""
+    points = M.weighted_points(extra(spark, sf_dir), PROPAGATION_FEATURES, laid_out=False)
+    fit = M.lloyd(points, M.quantile_start(points, PROPAGATION_FEATURES, PROPAGATION_K,
+                                           M.POINT_WEIGHT), LLOYD_ROUNDS)
+    n = F.col(M.POINT_WEIGHT)
+    return fit.assign(points).groupBy("cluster").agg(
+        F.sum(n).cast("long").alias("legs"),
+        *[(F.sum(n * F.col(f)) / F.sum(n)).alias(f"mean_{f}") for f in PROPAGATION_FEATURES])
 
 
 def _fitted_regimes(spark, sf_dir):

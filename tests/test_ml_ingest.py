@@ -314,3 +314,18 @@ def test_legs_are_read_from_the_source(spark, tmp_path):
     assert (sorted(map(repr, some.collect()))
             == sorted(map(repr, rows.where("YEAR IN (1996, 1998)").collect()))) and some.count() == 151
     assert QUERIES["airport_regime_mix"](spark, folder).count() == 10
+
+
+def test_weighted_points_give_the_quantiles_of_their_rows(spark):
+    rng = np.random.default_rng(11)
+    rows = [(float(a), float(b)) for a, b in zip(rng.integers(-9, 30, 700), rng.integers(0, 5, 700),
+                                                 strict=True)] + [(-0.0, 1.0), (0.0, 1.0)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    points = M.weighted_points(df, ["a", "b"], laid_out=False)
+    same = M.weighted_points(df, ["a", "b"])
+    assert sorted(points.collect()) == sorted(same.collect()) and points.count() < 250
+    for k in (1, 3, 7):
+        assert (M.quantile_start(points, ["a", "b"], k, M.POINT_WEIGHT)
+                == M.quantile_start(df, ["a", "b"], k))
+    one = spark.createDataFrame([(5.0, 3.0), (9.0, 0.0)], f"a double, {M.POINT_WEIGHT} double")
+    assert M.quantile_start(one, ["a"], 2, M.POINT_WEIGHT).centres == ((5.0,), (5.0,))

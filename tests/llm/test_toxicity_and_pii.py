@@ -219,3 +219,23 @@ def test_no_personal_data(spark):
     plain = spark.createDataFrame([(1, "nothing here"), (2, None)], "doc_id long, text string")
     assert [(r.spans, r.n_card) for r in P.pii(plain).collect()] == [("", 0)] * 2
     assert P.pii(no_docs(spark)).collect() == []
+
+
+def test_trees_learn_from_all_base_spans(spark):
+    # more matches than a bounded draw would take; equal ones are one weighted example
+    n = 30_000
+    spans = spark.range(n).select(
+        F.col("id").alias("row"), F.col("id").alias("doc_id"), F.lit("ip").alias("kind"),
+        F.concat(F.lit("10.0."), F.col("id") % 7, F.lit("."), F.col("id") % 5).alias("raw"),
+        F.lit(0).alias("start"), F.lit(8).alias("end"), F.lit("at ").alias("before"),
+        F.concat(F.lit(" x"), F.col("id").cast("string")).alias("after"), F.lit("ip").alias("gen"),
+        F.when(F.col("id") != 5, True).otherwise(False).alias("base_ok"))
+    rows = P.examples(spans)
+    by = {(r.label, r.kept): r.n for r in rows.groupBy("label", "kept").agg(
+        F.sum("n").alias("n")).collect()}
+    assert by[1.0, True] + by[1.0, False] == n - 1
+    assert by[0.0, True] + by[0.0, False] == n           # each valid one broken, and the failing one
+    assert 0.25 < by[1.0, True] / n < 0.35
+    assert rows.count() < 200
+    none = spans.where("base_ok IS NULL")
+    assert P.fit(none) is None

@@ -25,6 +25,7 @@ HASH_SEED = 42             # that of Spark's xxhash64()
 LONG = 4096                # code points up to which a line's places of a character are one number
 CLASSES = 64               # of characters, in the counts that rule out pairs
 FILTER_PAGES = 1 << 13     # of 4 KB, of a filter: 32 MB in each worker, whatever the table's size
+PAGES_AT_ONCE = 128        # that come to the driver in one piece, 2 MB of two filters
 SEEN_LINES = 100_000       # line ids by which a task leaves out repeats
 SLICE_CHARS = 1 << 18      # code points of lines that are hashed together
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -256,11 +257,15 @@ PROBE = T.StructType([*KEYS, T.StructField("slot", T.LongType())])
 
 def _filters(slots_of: DataFrame, columns: dict) -> list[np.ndarray]:
     """A filter of the rows that satisfy each of the conditions: pages of 4 KB in which a row's two
-    bits are set, merged before and after the shuffle.  ``FILTER_PAGES`` decide the size."""
+    bits are set, merged before and after the shuffle.  ``FILTER_PAGES`` decide the size.
+
+    The merged pages, of fixed size, are dealt into small partitions, which the driver takes one by
+    one: adaptive execution would hand them over in a few pieces of 64 MB."""
     first, second = F.shiftright("slot", 15).bitwiseAND(32_767), F.col("slot").bitwiseAND(32_767)
     maps = (slots_of.groupBy(F.shiftright("slot", 30).cast("int").alias("page")).agg(*[
         F.bitmap_construct_agg(F.when(c, at)).alias(f"{n}{i}")
-        for n, c in columns.items() for i, at in enumerate((first, second))]))
+        for n, c in columns.items() for i, at in enumerate((first, second))])
+        .repartition(-(-FILTER_PAGES // PAGES_AT_ONCE), "page"))
     out = [np.zeros(FILTER_PAGES * 4096, np.uint8) for _ in columns]
     for row in maps.toLocalIterator():
         at = slice(row["page"] * 4096, (row["page"] + 1) * 4096)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 from hypothesis import given, settings, strategies as st
 from messy import messy_docs, no_docs
+from pyspark.sql import functions as F
 
 from legworks.llm import line_dedup as L
 
@@ -184,3 +185,22 @@ def test_the_filter_decides_nothing(spark, monkeypatch):
     monkeypatch.setattr(L, "FILTER_PAGES", 1)       # many probes pass by chance
     got = sorted(map(tuple, L.line_dedup(docs).select("doc_id", "n_links", "n_dropped").collect()))
     assert got == want and any(n for _, n, _ in want)
+
+
+def test_filters_reach_the_driver_in_small_pieces(spark, monkeypatch):
+    pieces = []
+    kind = type(spark.range(1))
+    whole = kind.toLocalIterator
+
+    def spied(df, *args, **kw):
+        pieces.append(df.rdd.getNumPartitions())
+        return whole(df, *args, **kw)
+
+    monkeypatch.setattr(kind, "toLocalIterator", spied)
+    h = np.arange(5000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    df = spark.createDataFrame([(int(s), i % 2 == 0) for i, s in enumerate(L.slots(h))],
+                               "slot long, even boolean")
+    all_of, even = L._filters(df, {"one": F.lit(True), "even": F.col("even")})
+    assert pieces == [L.FILTER_PAGES // 128]
+    assert L.in_filter(all_of, L.slots(h)).all() and L.in_filter(even, L.slots(h[::2])).all()
+    assert L.in_filter(even, L.slots(h[1::2])).mean() < 0.01

@@ -51,7 +51,7 @@ def test_stages_follow_their_operators(spark):
 def test_query_equals_its_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = Q.QUERIES[name](spark, SF)
     cur = con.execute(Q.ORACLE[name])
@@ -64,5 +64,5 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_registered_queries():
-    assert [q.split("_")[0] for q in Q.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in Q.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert 4 <= len(C.STAGES) <= 5

@@ -5,7 +5,7 @@
 A query may run several Spark SQL executions: the rounds of a search, the passes of a fit, a
 staged table.  All of them count, from Spark's event log: per query the executions, and summed
 over them parquet scans, shuffle and broadcast exchanges, joins, windows, Python nodes
-and any cartesian or nested-loop join.  The legs are landed before, once, and aren't counted.
+and any cartesian or nested-loop join.  The legs are expressions over the source that a query scans.
 """
 
 from __future__ import annotations
@@ -82,7 +82,7 @@ def main() -> int:
     ran = executions(log_dir)
     print(f"# Executed plans at {os.path.basename(args.sf)}\n")
     print("Generated by `tools/plan_summary.py` from Spark's event log: the nodes of all SQL "
-          "executions of a query, searches and fits included. Scans read the landed legs or "
+          "executions of a query, searches and fits included. Scans read the source or "
           "written tables of the same query.\n")
     print("| query | oracle | executions | " + " | ".join(COUNTERS) + " |")
     print("| --- " * (len(COUNTERS) + 3) + "|")

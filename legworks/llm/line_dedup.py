@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -27,11 +27,12 @@ CLASSES = 64               # of characters, in the counts that rule out pairs
 FILTER_PAGES = 1 << 13     # of 4 KB, of a filter: 32 MB in each worker, whatever the table's size
 PAGES_AT_ONCE = 128        # that come to the driver in one piece, 2 MB of two filters
 SEEN_LINES = 100_000       # line ids by which a task leaves out repeats
+SPACES = " \t\n\x0b\x0c\r"    # a line of these alone has no word
 SLICE_CHARS = 1 << 18      # code points of lines that are hashed together
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 KEYS = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("item", T.LongType()),
-                     T.StructField("chars", T.IntegerType()), T.StructField("own", T.BooleanType())])
+                     T.StructField("chars", T.IntegerType())])
 
 
 def bound(length: int, bounds: tuple = BOUNDS) -> int:
@@ -185,37 +186,66 @@ class KeyMaker:
         h *= self.up[:len(points)]
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum(h, out=sums[1:])
-        lengths = [len(x) for x in lines]
-        seeds, starts, ends = (np.concatenate(x) for x in zip(
-            *[self.plan(n) for n in lengths], strict=True))
-        counts = [len(self.plan(n)[0]) for n in lengths]
-        at = np.repeat(np.cumsum(lengths) - lengths, counts)
-        part = (sums[at + ends] - sums[at + starts]) * self.down[at + starts]
-        return np.repeat(np.arange(len(lines)), counts), part ^ seeds
+        lengths = np.array([len(x) for x in lines])
+        # the plan of each length once, and of each line the rows of its length's plan
+        sizes, size_of = np.unique(lengths, return_inverse=True)
+        plans = [self.plan(n) for n in sizes.tolist()]
+        seeds, starts, ends = (np.concatenate(x) for x in zip(*plans, strict=True))
+        planned = np.array([len(x[0]) for x in plans])
+        counts = planned[size_of]
+        who = np.repeat(np.arange(len(lines)), counts)
+        ahead = (np.cumsum(planned) - planned)[size_of] - (np.cumsum(counts) - counts)
+        row = ahead[who] + np.arange(len(who))
+        at = (np.cumsum(lengths) - lengths)[who]
+        first = at + starts[row]
+        part = (sums[at + ends[row]] - sums[first]) * self.down[first]
+        return who, part ^ seeds[row]
+
+
+def buckets(h: np.ndarray) -> np.ndarray:
+    """Names of hashes' buckets, a bijection whose upper bits place them in the filters."""
+    return (h * BASE).view(np.int64)
+
+
+def places(bucket: np.ndarray, pages: int) -> np.ndarray:
+    """Where buckets lie in filters of that many pages: a page, and two bits of its 2^15."""
+    x = bucket.view(np.uint64)
+    page = (x >> np.uint64(50)) % np.uint64(pages)
+    return (page << np.uint64(30) | x >> np.uint64(19) & np.uint64((1 << 30) - 1)).view(np.int64)
 
 
 def slots(h: np.ndarray) -> np.ndarray:
-    """Where hashes lie in the filters: a page, and two bits of its 2^15."""
-    x = h * BASE
-    page = (x >> np.uint64(50)) % np.uint64(FILTER_PAGES)
-    return (page << np.uint64(30) | x >> np.uint64(19) & np.uint64((1 << 30) - 1)).astype(np.int64)
+    """Where hashes lie in the filters."""
+    return places(buckets(h), FILTER_PAGES)
+
+
+def slot_of(bucket: str) -> Column:
+    """As ``places``, of a column."""
+    page = F.shiftrightunsigned(bucket, 50) % F.lit(FILTER_PAGES).cast("long")
+    return F.shiftleft(page, 30).bitwiseOR(
+        F.shiftrightunsigned(bucket, 19).bitwiseAND(F.lit((1 << 30) - 1).cast("long")))
 
 
 def in_filter(bits: np.ndarray, slot: np.ndarray) -> np.ndarray:
-    page = (slot >> 30) << 12
-    out = np.ones(len(slot), bool)
-    for at in (slot >> 15 & 32_767, slot & 32_767):
-        out &= (bits[page + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    def is_set(slot: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (bits[(slot >> 30 << 12) + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    # few have the first bit, so the second is looked up for those only
+    left = np.flatnonzero(is_set(slot, slot >> 15 & 32_767))
+    rest = slot[left]
+    out = np.zeros(len(slot), bool)
+    out[left[is_set(rest, rest & 32_767)]] = True
     return out
 
 
-def _keys_of(docs: DataFrame, bounds: tuple, own: bool, schema: T.StructType, pick) -> DataFrame:
-    """``pick`` (hashes, items, lengths, as arrays) applied to the keys of all lines, by slices.
+def _keys_of(docs: DataFrame, bounds: tuple, own: bool, pick) -> DataFrame:
+    """bucket, item and chars of the keys of all lines that ``pick`` (buckets as an array) keeps.
 
     Lines are made distinct before they get keys, as far as a task's memory of ids goes.
     """
     least = bounds[0][0] - bounds[0][1]
-    arrow = to_arrow_schema(schema)
+    arrow = to_arrow_schema(KEYS)
+    hash_of = xxhash.xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker, seen = KeyMaker(bounds, own), set()
@@ -224,16 +254,19 @@ def _keys_of(docs: DataFrame, bounds: tuple, own: bool, schema: T.StructType, pi
         def made() -> pa.RecordBatch:
             item = np.array(items, np.uint64).view(np.int64) & ~np.int64(1)
             who, h = maker.keys(lines)
+            bucket = buckets(h)
+            keep = pick(bucket)
+            who, bucket = who[keep], bucket[keep]
             chars = np.array([len(x) for x in lines], np.int32)
             return pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in pick(h, item[who], chars[who])], schema=arrow)
+                [pa.array(x) for x in (bucket, item[who], chars[who])], schema=arrow)
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 for line in text.split("\n"):
-                    if len(line) < least or not line.strip(" \t\n\x0b\x0c\r"):
+                    if len(line) < least or not line.strip(SPACES):
                         continue
-                    item = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), HASH_SEED)
+                    item = hash_of(line.encode("utf-8", "surrogatepass"), HASH_SEED)
                     if item in seen:
                         continue
                     if len(seen) >= SEEN_LINES:
@@ -248,11 +281,7 @@ def _keys_of(docs: DataFrame, bounds: tuple, own: bool, schema: T.StructType, pi
         if lines:
             yield made()
 
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, schema)
-
-
-ENTRY = T.StructType([T.StructField("slot", T.LongType()), T.StructField("tag", T.ShortType())])
-PROBE = T.StructType([*KEYS, T.StructField("slot", T.LongType())])
+    return docs.select(text_or_empty().alias("text")).mapInArrow(run, KEYS)
 
 
 def _filters(slots_of: DataFrame, columns: dict) -> list[np.ndarray]:
@@ -283,33 +312,34 @@ def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
     such a probe or of another line's entry.  What passes by chance meets nothing later.
     """
     context = docs.sparkSession.sparkContext
-    entries = _keys_of(docs, bounds, True, ENTRY, lambda h, item, chars: (
-        slots(h), (item >> 20 & 0x7FFF).astype(np.int16)))
+    entries = staged(_keys_of(docs, bounds, True, lambda bucket: slice(None)), "line-index")
     # whether different lines have an entry in the slot, told by a few bits of their ids
-    entries = entries.groupBy("slot").agg((F.min("tag") != F.max("tag")).alias("shared"))
-    any_entry, shared_entry = _filters(entries, {"one": F.lit(True), "shared": F.col("shared")})
+    tag = F.shiftright("item", 20).bitwiseAND(F.lit(0x7FFF).cast("long")).cast("short")
+    shared = (entries.select(slot_of("bucket").alias("slot"), tag.alias("tag"))
+              .groupBy("slot").agg((F.min("tag") != F.max("tag")).alias("shared")))
+    any_entry, shared_entry = _filters(shared, {"one": F.lit(True), "shared": F.col("shared")})
     held = context.broadcast(any_entry)
     del any_entry
 
-    def probed(h, item, chars):
-        slot = slots(h)
-        keep = in_filter(held.value, slot)
-        h, slot = h[keep], slot[keep]
-        return mixed(h).view(np.int64), item[keep], chars[keep], np.zeros(len(h), bool), slot
+    def meets(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        return in_filter(bits, places(bucket, len(bits) >> 12))
 
-    found = staged(_keys_of(docs, bounds, False, PROBE, probed), "line-probes")
+    found = staged(_keys_of(docs, bounds, False, lambda bucket: meets(held.value, bucket)),
+                   "line-probes")
     held.destroy()
-    met, = _filters(found.select("slot"), {"met": F.lit(True)})
+    met, = _filters(found.select(slot_of("bucket").alias("slot")), {"met": F.lit(True)})
     met |= shared_entry
     del held, shared_entry
     wanted = context.broadcast(met)
     del met
 
-    def indexed(h, item, chars):
-        keep = in_filter(wanted.value, slots(h))
-        return mixed(h[keep]).view(np.int64), item[keep], chars[keep], np.ones(keep.sum(), bool)
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            yield batch.filter(pa.array(meets(wanted.value, bucket)))
 
-    return found.drop("slot").union(_keys_of(docs, bounds, True, KEYS, indexed))
+    return (found.withColumn("own", F.lit(False))
+            .union(entries.mapInArrow(indexed, KEYS).withColumn("own", F.lit(True))))
 
 
 def _shared_keys(keys: DataFrame) -> DataFrame:
@@ -380,7 +410,7 @@ def line_rows(docs: DataFrame) -> DataFrame:
     lines = docs.select("row", F.col("doc_id").cast("long"),
                         F.posexplode(F.split(text_or_empty(), "\n")).alias("line_no", "line"))
     return lines.select("row", "doc_id", "line_no", F.when(
-        F.col("line").rlike(r"[^\x20\x09-\x0D]"), line_id("line")).alias("item"))
+        F.ltrim("line", F.lit(SPACES)) != "", line_id("line")).alias("item"))
 
 
 def duplicate_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
@@ -401,16 +431,22 @@ def duplicate_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
     firsts = items.groupBy("root").agg(F.min("first").alias("kept"))
     repeats = (items.join(firsts, "root").join(links, "item", "left")
                .select("item", F.col("first").alias("item_first"), "kept", "links"))
-    judged = (rows.join(repeats, "item", "left")
-              .withColumn("drop", F.col("kept").isNotNull() & (F.col("kept") != place)))
-    return judged.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.count("item").alias("n_lines"),
+    judged = rows.join(repeats, "item").withColumn("drop", F.col("kept") != place)
+    of_row = judged.groupBy("row").agg(
         F.count_if("drop").alias("n_dropped"),
         F.count_if(F.col("drop") & (F.col("kept") != F.col("item_first"))).alias("n_near"),
         F.sum(F.coalesce("links", F.lit(0))).alias("n_links"),
         F.sort_array(F.collect_list(F.when(F.col("drop"), F.col("line_no")))).alias("dropped"),
         F.sort_array(F.collect_set(F.when(F.col("drop"), F.col("kept.doc_id"))))
         .alias("kept_in"))
+    # most lines repeat nothing and are only counted
+    counts = rows.groupBy("row").agg(F.first("doc_id").alias("doc_id"),
+                                     F.count("item").alias("n_lines"))
+    return counts.join(of_row, "row", "left").select(
+        "row", "doc_id", "n_lines",
+        *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_dropped", "n_near", "n_links")],
+        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
+        F.coalesce("kept_in", F.array().cast("array<long>")).alias("kept_in"))
 
 
 def line_dedup(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:

@@ -204,3 +204,37 @@ def test_filters_reach_the_driver_in_small_pieces(spark, monkeypatch):
     assert pieces == [L.FILTER_PAGES // 128]
     assert L.in_filter(all_of, L.slots(h)).all() and L.in_filter(even, L.slots(h[::2])).all()
     assert L.in_filter(even, L.slots(h[1::2])).mean() < 0.01
+
+
+def test_lines_are_cut_into_index_entries_once(spark, monkeypatch):
+    passes = []
+    keys_of = L._keys_of
+
+    def spied(docs, bounds, own, *args):
+        passes.append(own)
+        return keys_of(docs, bounds, own, *args)
+
+    monkeypatch.setattr(L, "_keys_of", spied)
+    docs = spark.createDataFrame([(r[0], r[1]) for r in sample(4)], "doc_id long, text string")
+    assert L.line_dedup(docs).agg(F.sum("n_links")).head()[0] > 0
+    assert passes == [True, False]
+
+
+def test_a_bucket_has_one_place_in_rows_and_arrays(spark):
+    bucket = L.buckets(np.arange(2000, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    ends = np.array([-1, 0, 1, 2 ** 63 - 1, -2 ** 63, 2 ** 50, -2 ** 50], np.int64)
+    bucket = np.concatenate([bucket, ends])
+    rows = spark.createDataFrame([(int(b),) for b in bucket], "bucket long")
+    got = {r.bucket: r.slot for r in rows.select("bucket", L.slot_of("bucket").alias("slot")).collect()}
+    assert [got[int(b)] for b in bucket] == L.places(bucket, L.FILTER_PAGES).tolist()
+    assert (bucket < 0).any() and len(set(got.values())) > 1900
+
+
+def test_rows_without_repeats_and_blank_lines(spark):
+    rows = [(1, "a line that comes once\n\n \t\x0b\x0c\r \n \n x"), (2, " \t "), (3, "\n"),
+            (4, None), (5, "a line that comes twice"), (6, "a line that comes twice\n\x1f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: tuple(r)[1:] for r in L.line_dedup(docs).collect()}
+    none = (0, 0, 0, [], [])
+    assert got == {1: (3, *none), 2: (0, *none), 3: (0, *none), 4: (0, *none), 5: (1, *none),
+                   6: (2, 1, 0, 0, [0], [5])}

@@ -304,8 +304,9 @@ def _filters(slots_of: DataFrame, columns: dict) -> list[np.ndarray]:
     return out
 
 
-def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
-    """bucket, item, chars and own of the index entries and probes that may meet one another.
+def _keys(docs: DataFrame, bounds: tuple) -> tuple[DataFrame, int]:
+    """bucket, item, chars and own of the index entries and probes that may meet one another, and
+    the number of rows that these are at most.
 
     A bucket is a hash of the other line's length, its bound, the segment and the substring.
     Filters of fixed size save what meets nothing: a probe needs the slot of an entry, an entry that of
@@ -339,24 +340,26 @@ def _keys(docs: DataFrame, bounds: tuple) -> DataFrame:
             yield batch.filter(pa.array(meets(wanted.value, bucket)))
 
     return (found.withColumn("own", F.lit(False))
-            .union(entries.mapInArrow(indexed, KEYS).withColumn("own", F.lit(True))))
+            .union(entries.mapInArrow(indexed, KEYS).withColumn("own", F.lit(True))),
+            found.count() + entries.count())
 
 
-def _shared_keys(keys: DataFrame) -> DataFrame:
+def _shared_keys(keys: DataFrame, n_keys: int) -> DataFrame:
     """bucket, item and chars of the buckets that hold an index entry and a second line.
 
     Buckets of the same lines become one: a bucket is renamed to the sum of its lines' hashes.
     Buckets are counted before they are brought together with their lines, in a join that
     adaptive execution can split.
     """
-    lines = staged(keys.groupBy("bucket", "item").agg(
-        F.first("chars").alias("chars"), F.max("own").alias("own")), "line-entries")
+    lines = keys.groupBy("bucket", "item").agg(
+        F.first("chars").alias("chars"), F.max("own").alias("own"))
+    lines = staged(lines, "line-entries", n_keys)
     sizes = (lines.groupBy("bucket").agg(
         F.count("*").alias("n"), F.max("own").alias("indexed"),
         F.sum(F.shiftright(F.xxhash64("item"), 16)).alias("lines"))
         .where("n > 1 AND indexed").select("bucket", "lines"))
-    return (lines.join(sizes, "bucket").select(F.col("lines").alias("bucket"), "item", "chars")
-            .distinct())
+    return staged(lines.join(sizes, "bucket").select(F.col("lines").alias("bucket"), "item", "chars")
+                  .distinct(), "line-keys", lines.count())
 
 
 def _near_lines(bounds: tuple):
@@ -389,16 +392,20 @@ LINKS = T.StructType([T.StructField("item", T.LongType()), T.StructField("root",
 
 
 def near_lines(docs: DataFrame, bounds: tuple = BOUNDS) -> DataFrame:
-    """Links of distinct lines: item (line id), root and links, a row per cell and line."""
-    shared = staged(_shared_keys(_keys(docs, bounds)), "line-keys")
-    cell = staged(cells(shared.withColumnRenamed("chars", "weight"), CELL_ROWS, CELL_CHARS),
+    """Links of distinct lines: item (line id), root and links, a row per line and root."""
+    shared = _shared_keys(*_keys(docs, bounds))
+    n_shared = shared.count()
+    cell = staged(cells(shared.withColumnRenamed("chars", "weight"), CELL_ROWS, CELL_CHARS, n_shared),
                   "line-cells")
-    wanted = small_side(staged(cell.select("item").distinct(), "line-wanted"), MAX_BROADCAST)
+    wanted = small_side(staged(cell.select("item").distinct(), "line-wanted", n_shared),
+                        MAX_BROADCAST)
     texts = (docs.select(F.explode(F.split(text_or_empty(), "\n")).alias("line"))
              .withColumn("item", line_id("line")).join(wanted, "item")
              .groupBy("item").agg(F.first("line").alias("line")))
-    return staged(map_groups(cell.join(texts, "item"), "cell", _near_lines(bounds), LINKS),
-                  "line-links")
+    # cells of one task each hold few links; these are brought together in few files
+    found = (map_groups(cell.join(texts, "item"), "cell", _near_lines(bounds), LINKS)
+             .groupBy("item", "root").agg(F.sum("links").alias("links")))
+    return staged(found, "line-links", cell.count())
 
 
 def line_id(line: str):

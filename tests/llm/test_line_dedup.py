@@ -7,7 +7,7 @@ from hypothesis import given, settings, strategies as st
 from messy import messy_docs, no_docs
 from pyspark.sql import functions as F
 
-from legworks.llm import line_dedup as L
+from legworks.llm import common, line_dedup as L
 
 
 def distance(a, b):
@@ -238,3 +238,37 @@ def test_rows_without_repeats_and_blank_lines(spark):
     none = (0, 0, 0, [], [])
     assert got == {1: (3, *none), 2: (0, *none), 3: (0, *none), 4: (0, *none), 5: (1, *none),
                    6: (2, 1, 0, 0, [0], [5])}
+
+
+def test_few_rows_are_staged_in_few_files(spark, monkeypatch):
+    """Each file costs processes on the executor; a session may have many shuffle partitions."""
+    from legworks.llm import links
+    files = []
+
+    def spied(df, name, *args):
+        out = common.staged(df, name, *args)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    docs = spark.createDataFrame([(r[0], r[1]) for r in sample(6)], "doc_id long, text string")
+    docs = docs.coalesce(1)
+    columns = ("doc_id", "n_links", "n_dropped", "n_near")
+    want = sorted(map(tuple, L.line_dedup(docs).select(*columns).collect()))
+    monkeypatch.setattr(L, "staged", spied)
+    monkeypatch.setattr(links, "staged", spied)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                           "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "30")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = sorted(map(tuple, L.line_dedup(docs).select(*columns).collect()))
+        few = [n for _, n in files]
+        assert len(few) >= 10 and max(few) == 1
+        monkeypatch.setattr(common, "FILE_ROWS", 100)
+        files.clear()
+        again = sorted(map(tuple, L.line_dedup(docs).select(*columns).collect()))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == want and again == want and any(n for _, n, *_ in want)
+    assert 1 < max(n for name, n in files if name == "line-keys") < 30     # and more for more rows

@@ -215,6 +215,38 @@ def test_proposals_overlap_and_are_settled(spark):
     assert kept == {(1, 5), (1, 16), (1, 50), (2, 0)}
 
 
+def one_by_one(spans):
+    """Proposals taken from the best on, where none taken before overlaps: (row, kind, start, end)."""
+    taken = []
+    for row, run, kind, start, end, _ in sorted(spans, reverse=True, key=lambda s: (
+            s[5], s[4] - s[3], -s[3], s[2])):
+        if not any((row, run) == t[:2] and t[3] < end and start < t[4] for t in taken):
+            taken.append((row, run, kind, start, end))
+    return sorted((row, kind, start, end) for row, _, kind, start, end in taken)
+
+
+@pytest.mark.parametrize("stretch", [16_384, 64])
+def test_chains_of_proposals_are_settled_to_the_end(spark, monkeypatch, stretch):
+    monkeypatch.setattr(P, "STRETCH", stretch, raising=False)
+    # each overlaps the one before it, which is better: every other one stays
+    spans = [(1, 0, "phone", 8 * i, 8 * i + 10, 0.99 - i / 100) for i in range(7)]
+    spans += [(2, 5, "phone", 5 + 8 * i, 15 + 8 * i, 0.9) for i in range(60)]         # by ties
+    spans += [(3, 0, "phone", 8 * i, 8 * i + 10, 0.5 + i / 1000) for i in range(60)]  # from the right
+    rnd = random.Random(4)
+    for row in range(4, 8):
+        spans += [(row, 30, kind, at, at + rnd.randint(7, 24), rnd.randint(5, 9) / 10)
+                  for at in range(30, 900, 3) for kind in rnd.sample(["phone", "card"], rnd.randint(1, 2))]
+    spans += [(8, 0, "email", 0, 400, 0.8), (8, 0, "phone", 395, 410, 0.7), (8, 0, "card", 405, 425, 0.6)]
+    df = spark.createDataFrame(
+        [(*s, 0) for s in spans], "row long, run int, kind string, start int, end int, p double, pos int")
+    out = P.settled(df)
+    assert out.columns == df.columns
+    got = sorted((r.row, r.kind, r.start, r.end) for r in out.collect())
+    assert got == one_by_one(spans)
+    assert [r[2] // 8 for r in got if r[0] == 1] == [0, 2, 4, 6]
+    assert P.settled(df.where("row < 0")).collect() == []
+
+
 def test_no_personal_data(spark):
     plain = spark.createDataFrame([(1, "nothing here"), (2, None)], "doc_id long, text string")
     assert [(r.spans, r.n_card) for r in P.pii(plain).collect()] == [("", 0)] * 2

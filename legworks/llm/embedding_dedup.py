@@ -20,16 +20,16 @@ SLACK = 1e-4                   # by which single precision may miss; what it fin
 RECALL = 0.995                 # of the audits of a shard
 BEAM = 32                      # where audits begin; doubled until they pass
 LEAST_SHARDS, SHARD_ROWS = 4, 32_768
-PART_ROWS = 16_384             # queries that a task puts to a shard
+PART_ROWS, PARTS = 16_384, 8   # queries that a task puts to a shard: four times as many if these are more parts
 AUDITS, TURNED = 1_024, 256    # audit queries: rows of the table, and rows of the shard turned
 CHUNK = 512                    # queries at a time
 MAX_BROADCAST = 10_000
 
 INDEX = T.StructType([
-    T.StructField("shard", T.LongType()), T.StructField("items", T.BinaryType()),
-    T.StructField("weights", T.BinaryType()), T.StructField("units", T.BinaryType()),
-    T.StructField("graph", T.BinaryType()), T.StructField("beam", T.IntegerType()),
-    T.StructField("recall", T.DoubleType())])
+    T.StructField("shard", T.LongType()), T.StructField("place", T.IntegerType()),
+    T.StructField("item", T.LongType()), T.StructField("weight", T.LongType()),
+    T.StructField("unit", T.ArrayType(T.DoubleType())), T.StructField("links", T.BinaryType()),
+    T.StructField("beam", T.IntegerType()), T.StructField("recall", T.DoubleType())])
 LINKS = T.StructType([T.StructField("item", T.LongType()), T.StructField("root", T.LongType()),
                       T.StructField("links", T.LongType())])
 
@@ -74,8 +74,9 @@ def _audited(graph: Graph, asked: np.ndarray, similar: float, recall: float, see
     sets = []
     for queries in (asked, turned):
         q = np.ascontiguousarray(queries, np.float32)
-        true = np.concatenate([(q[lo:lo + CHUNK] @ x.T >= similar).sum(axis=1)
-                               for lo in range(0, len(q), CHUNK)] or [np.zeros(0, np.int64)])
+        true = np.zeros(len(q), np.int64)
+        for who, _ in graph.compared(q, similar):
+            true += np.bincount(who, minlength=len(q))
         sets.append((q[true > 0], true[true > 0]))
     width = BEAM
     while True:
@@ -84,8 +85,9 @@ def _audited(graph: Graph, asked: np.ndarray, similar: float, recall: float, see
             if len(q):
                 found = np.zeros(len(q))
                 for lo in range(0, len(q), CHUNK):
-                    who, _ = graph.within(q[lo:lo + CHUNK], similar, width)
-                    found[lo:lo + CHUNK] = np.bincount(who, minlength=len(q[lo:lo + CHUNK]))
+                    part = q[lo:lo + CHUNK]
+                    for who, _ in graph.pairs(part, similar, width):
+                        found[lo:lo + CHUNK] += np.bincount(who, minlength=len(part))
                 worst = min(worst, (found / true).mean(), found.sum() / true.sum())
         if worst >= recall or 4 * width >= len(x):
             return width, float(worst)
@@ -102,15 +104,17 @@ def _indexer(similar: float, recall: float):
         graph = Graph(x)
         width, found = _audited(graph, _units(asked.column("unit")) if asked.num_rows else x[:0],
                                 similar, recall, abs(shard))
-        return [(shard, own.column("item").to_numpy().tobytes(),
-                 own.column("weight").to_numpy().tobytes(), x.tobytes(), graph.dumps(), width,
-                 found)]
+        n = len(x)
+        return list(zip([shard] * n, range(n), own.column("item").to_pylist(),
+                        own.column("weight").to_pylist(), x, graph.dumps(), [width] * n, [found] * n,
+                        strict=True))
 
     return build
 
 
 def index(items: DataFrame, similar: float = SIMILAR, recall: float = RECALL) -> DataFrame:
-    """A graph per shard, as a written table; a shard has about ``SHARD_ROWS`` rows at most.
+    """A graph per shard, as a written table with a row per item and its links, so that no row is as
+    large as a shard; a shard has about ``SHARD_ROWS`` rows at most.
 
     ``items``: item, weight, unit, shard, dims, n_shards.  Rows are dealt to shards by hash.
     """
@@ -121,7 +125,7 @@ def index(items: DataFrame, similar: float = SIMILAR, recall: float = RECALL) ->
     rows = (items.select("shard", "item", "unit", "weight").withColumn("audit", F.lit(False))
             .unionByName(audits))
     n = shards.count()
-    return staged(map_groups(rows, "shard", _indexer(similar, recall), INDEX, tasks=max(1, 4 * n),
+    return staged(map_groups(rows, "shard", _indexer(similar, recall), INDEX, tasks=max(1, 8 * n),
                              held_rows=1), "vector-index")
 
 
@@ -139,71 +143,104 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         label = new
 
 
+class _Asked:
+    """A shard's graph while a part of the table queries it, and what the links connect so far."""
+
+    def __init__(self, own: list[pa.RecordBatch], similar: float):
+        def joined(name: str) -> np.ndarray:
+            return np.concatenate([b.column(name).to_numpy(zero_copy_only=False) for b in own])
+
+        self.similar, self.beam = similar, own[0].column("beam")[0].as_py()
+        self.items, self.weights = joined("item"), joined("weight")
+        self.units = np.concatenate([_units(b.column("unit")) for b in own])
+        self.graph = Graph.loads(self.units, [r for b in own for r in b.column("links").to_pylist()])
+        self.label = np.arange(len(self.items))
+
+    def answer(self, items: np.ndarray, x: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """item, an item that it links to, and its links' weight, of the queries with links."""
+        for who, row in self.graph.pairs(x, self.similar - SLACK, self.beam):
+            sure = np.concatenate([np.zeros(0, bool), *(
+                np.einsum("ij,ij->i", x[who[k:k + 50_000]], self.units[row[k:k + 50_000]])
+                >= self.similar for k in range(0, len(who), 50_000))])
+            sure &= self.items[row] != items[who]
+            who, row = who[sure], row[sure]
+            if len(who):
+                links = np.bincount(who, self.weights[row], len(items)).astype(np.int64)
+                one = np.zeros(len(items), np.int64)
+                one[who] = row
+                self._connect(one[who], row)
+                asked = np.flatnonzero(links)
+                yield items[asked], self.items[one[asked]], links[asked]
+
+    def _connect(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Rows that one query links to get the same label."""
+        a, b = self.label[a], self.label[b]
+        apart = a != b
+        nodes, at = np.unique(np.concatenate([a[apart], b[apart]]), return_inverse=True)
+        half, lowest = len(at) // 2, np.arange(len(self.label))
+        lowest[nodes] = nodes[_forest(at[:half], at[half:], len(nodes))]
+        self.label = lowest[self.label]
+
+    def connected(self) -> tuple[np.ndarray, ...]:
+        """As from ``answer``: the shard's rows that the links connect, with one of them, and no links."""
+        some = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return self.items[some], self.items[self.label[some]], np.zeros(len(some), np.int64)
+
+
 def _linker(similar: float):
     schema = to_arrow_schema(LINKS)
 
-    def answered(index: dict, items: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-        who, row = index["graph"].within(x, similar - SLACK, index["beam"])
-        sure = np.concatenate([np.zeros(0, bool), *(
-            np.einsum("ij,ij->i", x[who[k:k + 50_000]], index["units"][row[k:k + 50_000]])
-            >= similar for k in range(0, len(who), 50_000))])
-        who, row = who[sure], row[sure]
-        other = index["items"][row] != items[who]
-        who, row = who[other], row[other]
-        links = np.bincount(who, index["weights"][row], len(items)).astype(np.int64)
-        # a spanning forest of what was found; nodes in the order of their items
-        nodes, at = np.unique(np.concatenate([items[who], index["items"][row]]),
-                              return_inverse=True)
-        root = nodes[_forest(at[:len(who)], at[len(who):], len(nodes))] if len(nodes) else nodes
-        count = np.zeros(len(nodes), np.int64)
-        asked = np.flatnonzero(links)
-        count[np.searchsorted(nodes, items[asked])] = links[asked]
-        told = (count > 0) | (root != nodes)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v[told]) for v in (nodes, root, count)], schema=schema)
+    def told(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index: dict = {}
+        now, own, asked = None, [], None         # a cell, its graph's rows, and the graph
         for batch in batches:
-            shard = batch.column("cell").to_numpy()
-            own = batch.column("graph").is_valid().to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero((shard[1:] != shard[:-1]) | own[1:] | own[:-1]) + 1
-            edges = [0, *cuts.tolist(), len(shard)] if len(shard) else []
+            cell = batch.column("cell").to_numpy()
+            query = batch.column("place").is_null().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((cell[1:] != cell[:-1]) | (query[1:] != query[:-1])) + 1
+            edges = [0, *cuts.tolist(), len(cell)] if len(cell) else []
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 part = batch.slice(lo, hi - lo)
-                if own[lo]:
-                    row = part.select(["items", "weights", "units", "graph", "beam"]).to_pylist()[0]
-                    items = np.frombuffer(row["items"], np.int64)
-                    units = np.frombuffer(row["units"], np.float64).reshape(len(items), -1)
-                    index = {"items": items, "units": units, "beam": row["beam"],
-                             "weights": np.frombuffer(row["weights"], np.int64),
-                             "graph": Graph.loads(units, row["graph"])}
+                if cell[lo] != now:
+                    if asked is not None:
+                        yield told(asked.connected())
+                    now, own, asked = cell[lo], [], None
+                if not query[lo]:
+                    own.append(part)
                     continue
+                if asked is None:
+                    asked, own = _Asked(own, similar), []
                 for at in range(0, part.num_rows, CHUNK):
                     some = part.slice(at, CHUNK)
-                    yield answered(index, some.column("item").to_numpy(),
-                                   _units(some.column("unit")))
+                    for columns in asked.answer(some.column("item").to_numpy(),
+                                                _units(some.column("unit"))):
+                        yield told(columns)
+        if asked is not None:
+            yield told(asked.connected())
 
     return run
 
 
 def near_vectors(items: DataFrame, similar: float = SIMILAR, recall: float = RECALL) -> DataFrame:
-    """item, root, links: a row per task and item with a link; links counts partners' weights."""
+    """item, root, links: rows of items with a link, and another item of the same class; links counts
+    partners' weights, and an item's are the sum of its rows'."""
     graphs = index(items, similar, recall)
     shards = items.select("shard", "dims", "n_parts").distinct()
     part = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)).alias("part")
     cell = F.xxhash64("shard", "part").alias("cell")
     shards = staged(shards, "vector-shards")
     of_graph = graphs.join(small_side(shards.select("shard", "n_parts"), MAX_BROADCAST), "shard")
-    of_graph = of_graph.select("*", part).select(cell, "items", "weights", "units", "graph", "beam")
+    of_graph = of_graph.select("*", part).select(cell, "place", "item", "weight", "unit", "links",
+                                                 "beam")
     asked = (items.select("item", "unit", "dims", F.pmod(F.xxhash64("item", F.lit("part")),
                                                          "n_parts").cast("int").alias("part"))
              .join(small_side(shards.select("shard", "dims"), MAX_BROADCAST), "dims")
              .select(cell, "item", "unit"))
     rows = of_graph.unionByName(asked, allowMissingColumns=True)
-    tasks = 2 * int(shards.agg(F.sum("n_parts")).head()[0] or 0)
+    tasks = 4 * int(shards.agg(F.sum("n_parts")).head()[0] or 0)
     return staged(rows.repartition(max(1, tasks), "cell")
-                  .sortWithinPartitions("cell", F.col("graph").isNull())
+                  .sortWithinPartitions("cell", F.col("place").asc_nulls_last())
                   .mapInArrow(_linker(similar), LINKS), "vector-links")
 
 
@@ -216,7 +253,7 @@ def embedding_dedup(vectors: DataFrame, similar: float = SIMILAR, recall: float
     shard's beam is doubled until audits against all of its rows reach ``recall``: for a sample of the
     table's items (``AUDITS``, the only sample: all rows are indexed and all are
     queries), and for rows turned to be just similar enough.  Every item then queries every
-    shard; a beam that ends full of links is widened, up to a comparison with the whole shard, so a
+    shard; a query whose beam ends full of links is compared with the whole shard, so a
     dense group of near copies loses none.  Cosines are verified in double
     precision.  Links leave a task as counts and a spanning forest, and classes
     are connected components.
@@ -238,7 +275,9 @@ def embedding_dedup(vectors: DataFrame, similar: float = SIMILAR, recall: float
     items = staged(items, "vector-items")
     dealt = items.groupBy("dims").agg(F.count("*").alias("n")).select(
         "dims", F.greatest(F.lit(LEAST_SHARDS), F.ceil(F.col("n") / SHARD_ROWS)).cast("int")
-        .alias("n_shards"), F.ceil(F.col("n") / PART_ROWS).cast("int").alias("n_parts"))
+        .alias("n_shards"), F.greatest(
+            F.least(F.lit(PARTS), F.ceil(F.col("n") / PART_ROWS)),
+            F.ceil(F.col("n") / (4 * PART_ROWS))).cast("int").alias("n_parts"))
     dealt = items.join(small_side(staged(dealt, "vector-dims"), MAX_BROADCAST), "dims").withColumn(
         "shard", F.xxhash64("dims", F.pmod(F.xxhash64("item"), "n_shards")))
     found = near_vectors(staged(dealt, "vector-dealt"), similar, recall)

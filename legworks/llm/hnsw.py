@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import io
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -12,6 +12,8 @@ BEAM_BUILD = 48                # beam while building
 BATCH = 512                    # nodes that are inserted together
 EXPANDED = 4                   # nodes of a beam whose links are followed at a time
 MATES = 16                     # candidates of a node among those inserted with it
+BEAM_CELLS = 1 << 20           # places of the beams, and pairs compared, at a time
+PAIR_CELLS = 1 << 22
 
 
 def beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarray,
@@ -23,10 +25,12 @@ def beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarra
     ids = np.full((n, width), -1, np.int32)
     sims = np.full((n, width), -np.inf, np.float32)
     done = np.ones((n, width), bool)
-    seen = np.zeros((n, m), bool)
+    # a query and a node as one number
+    bits = (m - 1).bit_length()
+    seen = np.zeros(n << bits, bool)
     ids[:, 0], done[:, 0] = start, False
     sims[:, 0] = np.einsum("ij,ij->i", x[start], queries)
-    seen[np.arange(n), start] = True
+    seen[(np.arange(n) << bits) + start] = True
     active, ways = np.arange(n), min(EXPANDED, width)
     while len(active):
         open_sims = np.where(done[active], -np.inf, sims[active])
@@ -39,16 +43,17 @@ def beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarra
         row, col = np.nonzero(live)
         at = pick[row, col]
         done[active[row], at] = True
-        near = links[ids[active[row], at]]
-        who, what = np.repeat(row, near.shape[1]), near.ravel()
-        fresh = what >= 0
-        who, what = who[fresh], what[fresh]
-        fresh = ~seen[active[who], what]
-        key = np.unique(who[fresh].astype(np.int64) * m + what[fresh])
-        who, what = key // m, key % m
-        seen[active[who], what] = True
-        s = np.einsum("ij,ij->i", x[what], queries[active[who]])
-        better = s > sims[active].min(axis=1)[who]
+        own = active[row]
+        near = links.take(ids[own, at], axis=0)
+        key = ((own << bits)[:, None] + near)[near >= 0]
+        key = np.sort(key[~seen.take(key)])
+        key = key[np.diff(key, prepend=-1) > 0]
+        seen[key] = True
+        who, what = key >> bits, key & ((1 << bits) - 1)
+        s = np.einsum("ij,ij->i", x.take(what, axis=0), queries.take(who, axis=0))
+        worst = np.zeros(n, np.float32)
+        worst[active] = sims.take(active, axis=0).min(axis=1)
+        better = s > worst.take(who)
         who, what, s = who[better], what[better], s[better]
         if not len(who):
             continue
@@ -59,13 +64,12 @@ def beam(x: np.ndarray, links: np.ndarray, queries: np.ndarray, start: np.ndarra
         new_s = np.full((len(rows), most), -np.inf, np.float32)
         new_i = np.full((len(rows), most), -1, np.int32)
         new_s[line, place], new_i[line, place] = s, what
-        which = active[rows]
-        all_s = np.concatenate([sims[which], new_s], axis=1)
+        all_s = np.concatenate([sims[rows], new_s], axis=1)
         top = np.argpartition(-all_s, width - 1, axis=1)[:, :width]
-        sims[which] = np.take_along_axis(all_s, top, axis=1)
-        ids[which] = np.take_along_axis(np.concatenate([ids[which], new_i], axis=1), top, axis=1)
-        done[which] = np.take_along_axis(
-            np.concatenate([done[which], new_i < 0], axis=1), top, axis=1)
+        sims[rows] = np.take_along_axis(all_s, top, axis=1)
+        ids[rows] = np.take_along_axis(np.concatenate([ids[rows], new_i], axis=1), top, axis=1)
+        done[rows] = np.take_along_axis(
+            np.concatenate([done[rows], new_i < 0], axis=1), top, axis=1)
     return ids, sims
 
 
@@ -175,36 +179,51 @@ class Graph:
         start = upper.start(queries) if upper else np.zeros(len(queries), np.int64)
         return beam(self.x, self.layers[0], queries, start, width)
 
+    def compared(self, queries: np.ndarray, least: float
+                 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, row) pairs of a similarity of ``least`` or more among all, some queries at a time."""
+        step = max(1, PAIR_CELLS // max(1, len(self.x)))
+        for lo in range(0, len(queries), step):
+            who, row = np.nonzero(queries[lo:lo + step] @ self.x.T >= least)
+            yield who + lo, row
+
+    def pairs(self, queries: np.ndarray, least: float, width: int
+              ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, row) pairs of a similarity of ``least`` or more, all of a query at a time.
+
+        Queries whose beam ends full of such rows are in a dense group: they are compared with every
+        row, as are all if the beam would hold a good part of the rows.  What is held at a time is
+        bounded, however many pairs there are.
+        """
+        queries = np.ascontiguousarray(queries, np.float32)
+        dense = np.arange(len(queries))
+        if 4 * width < len(self.x):
+            full = np.zeros(len(queries), bool)
+            step = max(1, BEAM_CELLS // width)
+            for lo in range(0, len(queries), step):
+                ids, sims = self.search(queries[lo:lo + step], width)
+                full[lo:lo + step] = sims.min(axis=1) >= least
+                q, c = np.nonzero((sims >= least) & ~full[lo:lo + step, None])
+                yield q + lo, ids[q, c]
+            dense = np.flatnonzero(full)
+        for q, r in self.compared(queries[dense], least):
+            yield dense[q], r
+
     def within(self, queries: np.ndarray, least: float, width: int
                ) -> tuple[np.ndarray, np.ndarray]:
-        """(query, row) pairs of a similarity of ``least`` or more.
+        """The ``pairs`` at once."""
+        found = list(self.pairs(queries, least, width))
+        return (np.concatenate([p[0] for p in found] or [np.zeros(0, np.int64)]),
+                np.concatenate([p[1] for p in found] or [np.zeros(0, np.int64)]))
 
-        A beam that ends full of such rows is widened; queries in so dense a group that
-        the beam would hold a good part of all rows are compared with every row.
-        """
-        queries = np.ascontiguousarray(queries, np.float32)
-        who, pairs = np.arange(len(queries)), []
-        while len(who):
-            if 4 * width >= len(self.x):
-                for lo in range(0, len(who), BATCH):
-                    some = who[lo:lo + BATCH]
-                    q, r = np.nonzero(queries[some] @ self.x.T >= least)
-                    pairs.append((some[q], r))
-                break
-            ids, sims = self.search(queries[who], width)
-            full = sims.min(axis=1) >= least
-            q, c = np.nonzero((sims >= least) & ~full[:, None])
-            pairs.append((who[q], ids[q, c]))
-            who, width = who[full], 4 * width
-        return (np.concatenate([p[0] for p in pairs] or [np.zeros(0, np.int64)]),
-                np.concatenate([p[1] for p in pairs] or [np.zeros(0, np.int64)]))
-
-    def dumps(self) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, **{f"layer{k}": a for k, a in enumerate(self.layers)})
-        return out.getvalue()
+    def dumps(self) -> list[bytes]:
+        """Each row's links, layer after layer from the lowest on."""
+        return [b"".join(a[i].tobytes() for a in self.layers if i < len(a))
+                for i in range(len(self.x))]
 
     @classmethod
-    def loads(cls, x: np.ndarray, data: bytes) -> Graph:
-        with np.load(io.BytesIO(data)) as held:
-            return cls(x, [held[f"layer{k}"] for k in range(len(held.files))])
+    def loads(cls, x: np.ndarray, rows: list[bytes]) -> Graph:
+        held = np.array([len(r) for r in rows], np.int64) // (4 * WIDTH)
+        links = np.frombuffer(b"".join(rows), np.int32).reshape(-1, WIDTH)
+        first = np.cumsum(held) - held
+        return cls(x, [links[first[held > k] + k] for k in range(held.max(initial=0))])

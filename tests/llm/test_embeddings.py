@@ -117,6 +117,52 @@ def test_beams_widen_until_audits_pass(spark):
     assert (np.bincount(who[who == row], minlength=len(x)) > 0).mean() >= 0.98
 
 
+def test_no_row_or_step_holds_a_shard(spark, monkeypatch):
+    """Graphs are kept and sent a row per item, and a dense group leaves a task as rows per item."""
+    monkeypatch.setattr(E, "CHUNK", 16)
+    seen = {}
+
+    def kept(items, *args, real=E.near_vectors):
+        seen["items"] = items
+        seen["found"] = real(items, *args)
+        return seen["found"]
+
+    monkeypatch.setattr(E, "near_vectors", kept)
+    rng = np.random.default_rng(7)
+    x = np.vstack([rng.normal(size=(200, 8)), rng.normal(size=8) + 0.005 * rng.normal(size=(600, 8))])
+    rows = [(i, [float(v) for v in r], 0) for i, r in enumerate(x.astype(np.float32))]
+    got = sorted((tuple(r) for r in E.embedding_dedup(frame(spark, rows)).collect()), key=repr)
+    assert got == linked(rows) and max(r[1] for r in got) >= 599
+    graphs = E.index(seen["items"])
+    assert graphs.count() == 800                            # not one row per shard
+    sizes = [F.max(F.length(c)) for c, kind in graphs.dtypes if kind == "binary"]
+    assert all(n <= 4 * 4 * 24 for n in graphs.agg(*sizes).head())   # a node's links, of 4 layers at most
+    # each of 4 shards tells at most its own rows and the queries, not a part of them for each step
+    assert seen["found"].count() <= 4 * 800 + 800
+
+
+def test_pairs_come_in_bounded_steps(monkeypatch):
+    from legworks.llm import hnsw
+    monkeypatch.setattr(hnsw, "PAIR_CELLS", 4000)
+    monkeypatch.setattr(hnsw, "BEAM_CELLS", 640)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=8) + 0.05 * rng.normal(size=(1000, 8))
+    x = np.vstack([x, rng.normal(size=(1000, 8))])[rng.permutation(2000)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = Graph(x)
+    parts = list(graph.pairs(x[:200], 0.95, 32))
+    assert max(len(q) for q, _ in parts) <= 4000
+    assert sum(len(q) for q, _ in parts) == len({(a, b) for q, r in parts for a, b in zip(
+        q.tolist(), r.tolist(), strict=True)})
+    q, r = graph.within(x[:200], 0.95, 32)
+    want = x[:200].astype(np.float32) @ graph.x.T >= 0.95
+    dense = want.sum(axis=1) > 500
+    assert dense.sum() > 50
+    found = np.zeros(want.shape, bool)
+    found[q, r] = True
+    assert (found[dense] == want[dense]).all() and not (found & ~want).any()
+
+
 def test_graph_layers_and_links():
     rng = np.random.default_rng(4)
     x = rng.normal(size=(900, 8))
